@@ -71,7 +71,7 @@ def scale_units(value: str | Column, decimals: str | Column, exact: bool = False
     if exact:
         power = F.rpad(F.lit("1"), dec + 1, "0").cast("decimal(19,0)")
         return (raw.cast("decimal(38,0)") / power).cast("decimal(38,18)")
-    return raw.cast("double") * F.pow(F.lit(10.0), -dec.cast("double"))
+    return raw.cast("double") / F.pow(F.lit(10.0), dec.cast("double"))
 
 
 def from_micros(col: str | Column, digits: int = 2) -> Column:
