@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_suffix
-from .windows import cumulative_until, dense_rank_in_group, partition_agg, split_window
+from .windows import cumulative_until, deduplicate, dense_rank_in_group, partition_agg, split_window
 
 
 def pair_events(events: DataFrame, keys: list[str], kind: str, order: list[str], specs: dict[str, dict[str, str]],
@@ -46,7 +46,7 @@ def attempts_to_win(df: DataFrame, keys: list[str], ts: str, tie: str, success:
 def progress_mart(facts: DataFrame, user: str, item: str, ts: str, tie: str, success: Column, cumulative: str, run: list[str],
                   bucket: Column | None = None) -> DataFrame:
     """Deduplicated facts with attempt and win counters and the increment of a cumulative measure within its run."""
-    once = facts.dropDuplicates([user, item, ts, tie]) if not facts.isStreaming else facts
+    once = deduplicate(facts, [user, item, ts, tie], [F.asc(cumulative)])
     out = dense_rank_in_group(once, [user, item], [ts], "attempt", bucket)
     out = split_window(out, [user, item], [ts], bucket, {"wins": ("peer_sum", F.when(success, 1).otherwise(0))})
     out = split_window(out, run, [ts, tie], bucket, {"__before": ("lag", cumulative)})
