@@ -90,7 +90,8 @@ def watched_transfers(transfers: DataFrame, sender: str, receiver: str, value: s
     return legs.join(names, F.lower("party") == F.col("__w")).drop("__w").join(tokens, token, "left")
 
 
-def classify_transfers(transfers: DataFrame, sender: str, receiver: str, rules: DataFrame, keys: list[str], order: str) -> DataFrame:
+def classify_transfers(transfers: DataFrame, sender: str, receiver: str, rules: DataFrame, keys: list[str], order: str,
+                       bucket: Column | None = None) -> DataFrame:
     """Tag each transfer by a rule table (side, address, tag) and rank it within its transaction.
 
     A transfer that satisfies several rules gives one row per tag. Rules are joined on the address of either
@@ -99,7 +100,7 @@ def classify_transfers(transfers: DataFrame, sender: str, receiver: str, rules:
     sides = F.array(F.struct(F.lit("from").alias("side"), F.col(sender).alias("address")), F.struct(F.lit("to").alias("side"), F.col(receiver).alias("address")))
     ends = transfers.withColumn("__e", F.explode(sides)).select(*transfers.columns, "__e.side", "__e.address")
     tagged = ends.join(rules, ["side", "address"]).drop("side", "address")
-    return rank_in_group(tagged, keys, order, "rank_in_tx")
+    return rank_in_group(tagged, keys, order, "rank_in_tx", bucket)
 
 
 def transactions_touching(df: DataFrame, ends: list[str], address: Column | list, tx: str) -> DataFrame:

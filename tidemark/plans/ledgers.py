@@ -133,15 +133,15 @@ def rule_table(t):
 
 
 @query(f"""WITH {TRANSFERS}, {RULES}, m AS (SELECT tr.*, tag FROM tr JOIN r ON (side = 'to' AND address = to_address) OR (side = 'from' AND address = from_address))
-           SELECT tx, log_index, part, tag, cast(value AS DOUBLE) AS value, cast(rank() OVER (PARTITION BY tx ORDER BY log_index) AS INTEGER) AS rank_in_tx FROM m""")
+           SELECT tx, log_index, part, tag, cast(value AS DOUBLE) AS value, rank() OVER (PARTITION BY tx ORDER BY log_index) AS rank_in_tx FROM m""")
 def staking_classification(t):
-    out = L.classify_transfers(transfers(t), "from_address", "to_address", rule_table(t), ["tx"], "log_index")
+    out = L.classify_transfers(transfers(t), "from_address", "to_address", rule_table(t), ["tx"], "log_index", F.floor(F.col("log_index") / 1000))
     return as_double(out.select("tx", "log_index", "part", "tag", "value", "rank_in_tx"), "value")
 
 
 @query(f"""WITH {TRANSFERS}, {RULES} SELECT day, tag, cast(count(*) AS BIGINT) AS n, cast(sum(value) AS DOUBLE) AS value FROM tr JOIN r ON (side = 'to' AND address = to_address) OR (side = 'from' AND address = from_address) GROUP BY 1, 2""")
 def staking_daily(t):
-    out = L.classify_transfers(transfers(t), "from_address", "to_address", rule_table(t), ["tx"], "log_index")
+    out = L.classify_transfers(transfers(t), "from_address", "to_address", rule_table(t), ["tx"], "log_index", F.floor(F.col("log_index") / 1000))
     return out.groupBy("day", "tag").agg(F.count("*").alias("n"), F.sum("value").cast("double").alias("value"))
 
 
