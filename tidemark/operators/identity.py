@@ -71,8 +71,8 @@ def version_history(logins: DataFrame, user: str, version: str, ts: str, users:
 
 
 def version_sort_key(version: Column) -> Column:
-    """Numeric parts of a dotted version, so that 1.10 sorts after 1.9."""
-    return F.transform(F.split(version, r"\."), lambda p: F.coalesce(p.try_cast("int"), F.lit(0)))
+    """Numbers of a dotted version, so that 1.10 sorts after 1.9."""
+    return F.transform(F.regexp_extract_all(version, F.lit("([0-9]+)"), F.lit(1)), lambda p: p.cast("bigint"))
 
 
 def release_calendar(events: DataFrame, version: str, date: str, today: Column) -> DataFrame:

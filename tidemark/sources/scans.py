@@ -24,7 +24,7 @@ def scan_partitioned(spark: SparkSession, root: str, partition_types: dict[str,
         return df.withColumns({k: F.col(k).cast(t) for k, t in partition_types.items()})
     full = T.StructType([f for f in schema.fields if f.name not in partition_types])
     for k, t in partition_types.items():
-        full = full.add(k, t)
+        full = full.add(T.StructType.fromDDL(f"`{k}` {t}").fields[0])
     return reader.schema(full).load(root)
 
 
