@@ -72,6 +72,9 @@ def main(argv: list[str]) -> int:
     for a in argv:
         if a.startswith("sf="):
             sf = a[3:]
+        elif a.startswith("hot="):
+            from tidemark.operators import windows
+            windows.HOT_ROWS = int(a[4:])
         else:
             picks.append(a)
     for m in MODULES:

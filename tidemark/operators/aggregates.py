@@ -11,8 +11,12 @@ from .windows import _cols, even_buckets, split_window
 
 
 def money(col: str | Column, scale: int = 2) -> Column:
-    """Exact decimal view of an amount, so that sums do not depend on the order of the rows."""
-    return _c(col).cast(f"decimal(14,{scale})")
+    """Exact decimal view of an amount, so that sums do not depend on the order of the rows.
+
+    Twelve digits keep products with a rate within the 18 digits that Spark holds as plain longs; an amount that
+    does not fit raises.
+    """
+    return _c(col).cast(f"decimal(12,{scale})")
 
 
 def conditional_sums(df: DataFrame, keys, col: str, values: list[str], measure: str | Column | None = None,

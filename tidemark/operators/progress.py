@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_suffix
-from .windows import cumulative_until, deduplicate, dense_rank_in_group, partition_agg, split_window
+from .windows import attempt_counters, cumulative_until, deduplicate, partition_agg, split_window
 
 
 def pair_events(events: DataFrame, keys: list[str], kind: str, order: list[str], specs: dict[str, dict[str, str]],
@@ -47,8 +47,7 @@ def progress_mart(facts: DataFrame, user: str, item: str, ts: str, tie: str, suc
                   bucket: Column | None = None) -> DataFrame:
     """Deduplicated facts with attempt and win counters and the increment of a cumulative measure within its run."""
     once = deduplicate(facts, [user, item, ts, tie], [F.asc(cumulative)])
-    out = dense_rank_in_group(once, [user, item], [ts], "attempt", bucket)
-    out = split_window(out, [user, item], [ts], bucket, {"wins": ("peer_sum", F.when(success, 1).otherwise(0))})
+    out = attempt_counters(once, [user, item], ts, success, bucket)
     out = split_window(out, run, [ts, tie], bucket, {"__before": ("lag", cumulative)})
     return out.withColumn(f"{cumulative}_increment", F.coalesce(F.col(cumulative) - F.col("__before"), F.col(cumulative))).drop("__before")
 

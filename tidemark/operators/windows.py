@@ -1,9 +1,9 @@
 """Ordered windows that stay spread out when one key holds most of the rows.
 
-A plain window puts a whole key into one task. ``split_window`` cuts each key into buckets along its order
-(days of a timestamp, months of a date, steps of a number), summarises the buckets with an ordinary partial
-aggregation, and hands every bucket what came before it as one extra "carry" row. The window then runs per
-(key, bucket) and gives the same values as the plain one.
+A plain window puts a whole key into one task. ``split_window`` first counts the rows per key. Ordinary keys
+take the plain window. Keys above ``HOT_ROWS`` are cut into buckets along their order (hours of a timestamp, days
+of a date), the buckets are summarised by an ordinary partial aggregation, and every bucket gets what came before
+it as one extra "carry" row. The window then runs per (key, bucket) and gives the same values as the plain one.
 """
 
 from __future__ import annotations
@@ -16,30 +16,51 @@ from ..functions.numeric import _c
 FIRST_ROW = Window.unboundedPreceding
 CURRENT_ROW = Window.currentRow
 
+# Rows of one key that a single task may sort. Keys above it are split; there can be at most
+# (rows of the table / HOT_ROWS) of them, which bounds the broadcast list of hot keys.
+HOT_ROWS = 2_000_000
+
 
 def _cols(names) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
-def split_window(df: DataFrame, keys, order, bucket: Column | None, outputs: dict[str, tuple[str, str | Column]]) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, as ``__k_<key>`` columns: a partial count of the key columns."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") > (hot_rows or HOT_ROWS))
+    return counts.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.lit(True).alias("__hot"))
+
+
+def _with_hot(df: DataFrame, hot: DataFrame, keys: list[str], how: str) -> DataFrame:
+    same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
+    return df.join(F.broadcast(hot), same, how).drop(*[f"__k_{k}" for k in keys])
+
+
+def split_window(df: DataFrame, keys, order, bucket: Column | None, outputs: dict[str, tuple[str, str | Column | None]]) -> DataFrame:
     """Add window columns over ``keys`` in ascending ``order``.
 
     ``outputs`` maps a name to ``(kind, column)``: ``sum`` (running sum over rows), ``peer_sum`` (running sum,
     rows equal in order included), ``lag``, ``lead`` (neighbour row), ``last`` (latest non-null so far, the
-    row itself included). ``bucket`` must be a function of the leading order column that rises with it;
-    ``None`` runs a plain window, for keys known to be small.
+    row itself included), ``rank``, ``dense_rank``, ``row_number`` (no column). ``bucket`` must be a function
+    of the leading order column that rises with it and may be fine-grained, as it only serves hot keys; ``None``
+    runs a plain window, for keys known to be small. Without keys the whole table is one group and is always cut.
     """
     keys, order = _cols(keys), _cols(order)
     ins = {name: f"__in{i}" for i, name in enumerate(outputs)}
-    base = df.withColumns({ins[n]: _c(c) for n, (_, c) in outputs.items()})
+    counters = ("rank", "dense_rank", "row_number")
+    base = df.withColumns({ins[n]: F.lit(0).cast("bigint") if kind in counters else _c(c) for n, (kind, c) in outputs.items()})
 
     if bucket is None:
         by, sort, rows = keys, order, base
     else:
-        base = base.withColumn("__bucket", bucket)
-        rows = base.withColumn("__edge", F.lit(0)).unionByName(
-            _carry_rows(base, keys, order, outputs, ins), allowMissingColumns=True
-        )
+        if keys:
+            hot = hot_keys(df, keys)
+            cut = _with_hot(base, hot, keys, "inner").withColumn("__bucket", bucket).drop("__hot")
+            base = _with_hot(base, hot, keys, "left").withColumn("__bucket", F.when(F.col("__hot"), bucket)).drop("__hot")
+        else:
+            base = cut = base.withColumn("__bucket", bucket)
+        carry = _carry_rows(cut, keys, order, outputs, ins)
+        rows = base.withColumn("__edge", F.lit(0)).unionByName(carry, allowMissingColumns=True)
         by, sort = [*keys, "__bucket"], ["__edge", *order]
 
     ordered = Window.partitionBy(*by).orderBy(*sort)
@@ -54,6 +75,9 @@ def split_window(df: DataFrame, keys, order, bucket: Column | None, outputs: dic
             "lag": lambda: F.lag(c).over(ordered),
             "lead": lambda: F.lead(c).over(ordered),
             "last": lambda: F.last(c, ignorenulls=True).over(so_far),
+            "rank": lambda: F.rank().over(ordered) + F.first(c).over(so_far),
+            "dense_rank": lambda: F.dense_rank().over(ordered) + F.first(c).over(so_far),
+            "row_number": lambda: F.row_number().over(ordered) + F.first(c).over(so_far),
         }[kind]()
     out = rows.withColumns(made)
     if bucket is not None:
@@ -61,26 +85,32 @@ def split_window(df: DataFrame, keys, order, bucket: Column | None, outputs: dic
     return out.drop("__edge", "__bucket", *ins.values())
 
 
-def _carry_rows(base: DataFrame, keys, order, outputs, ins) -> DataFrame:
-    """One row before each bucket and, where a lead is asked for, one after it, with the carried values."""
+def _carry_rows(cut: DataFrame, keys, order, outputs, ins) -> DataFrame:
+    """One row before each later bucket and, where a lead is asked for, one after it, with the carried values.
+
+    A carry row is itself one row of its window, so numbering starts one lower.
+    """
     place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     across = Window.partitionBy(*keys).orderBy("__bucket")
     before = across.rowsBetween(FIRST_ROW, -1)
     summary, carried, after = {}, {}, {}
     for name, (kind, _) in outputs.items():
-        c = F.col(ins[name])
+        n, c = ins[name], F.col(ins[name])
         if kind in ("sum", "peer_sum"):
-            summary[ins[name]], carried[ins[name]] = F.sum(c), F.sum(c).over(before)
+            summary[n], carried[n] = F.sum(c), F.sum(c).over(before)
         elif kind == "lag":
-            summary[ins[name]], carried[ins[name]] = F.max_by(c, place), F.lag(c).over(across)
+            summary[n], carried[n] = F.max_by(c, place), F.lag(c).over(across)
         elif kind == "last":
-            known = F.max_by(c, F.when(c.isNotNull(), place))
-            summary[ins[name]], carried[ins[name]] = known, F.last(c, ignorenulls=True).over(before)
+            summary[n], carried[n] = F.max_by(c, F.when(c.isNotNull(), place)), F.last(c, ignorenulls=True).over(before)
+        elif kind == "lead":
+            summary[n], after[n] = F.min_by(c, place), F.lead(c).over(across)
         else:
-            summary[ins[name]], after[ins[name]] = F.min_by(c, place), F.lead(c).over(across)
-    buckets = base.groupBy(*keys, "__bucket").agg(*[c.alias(n) for n, c in summary.items()])
+            summary[n] = F.count_distinct(place) if kind == "dense_rank" else F.count(F.lit(1))
+            carried[n] = F.sum(c).over(before) - 1
+    buckets = cut.groupBy(*keys, "__bucket").agg(*[c.alias(n) for n, c in summary.items()])
+    numbered = buckets.withColumns({**carried, **after, "__first": F.row_number().over(across) == 1})
     edges = F.array(*[F.lit(e) for e, cols in ((-1, carried), (1, after)) if cols])
-    rows = buckets.withColumns({**carried, **after}).withColumn("__edge", F.explode(edges))
+    rows = numbered.withColumn("__edge", F.explode(edges)).filter("NOT (__first AND __edge = -1)").drop("__first")
     return rows.withColumns(
         {n: F.when(F.col("__edge") == (-1 if n in carried else 1), F.col(n)) for n in summary}
     )
@@ -173,29 +203,13 @@ def top_n(df: DataFrame, keys, order: list[Column], n: int, rank: str = "rank")
 
 
 def rank_in_group(df: DataFrame, keys, order, name: str = "rank", bucket: Column | None = None) -> DataFrame:
-    """RANK by ascending order: one more than the number of rows before the first peer."""
-    keys, order = _cols(keys), _cols(order)
-    if bucket is None:
-        return df.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(*order)))
-    tied = df.groupBy(*keys, *order).agg(F.count("*").alias("__n"))
-    ranked = split_window(tied, keys, order, bucket, {"__upto": ("sum", "__n")})
-    ranked = ranked.withColumn(name, F.col("__upto") - F.col("__n") + 1).drop("__upto", "__n")
-    return _join_back(df, ranked, [*keys, *order])
+    """RANK by ascending order."""
+    return split_window(df, keys, order, bucket, {name: ("rank", None)})
 
 
 def dense_rank_in_group(df: DataFrame, keys, order, name: str = "dense_rank", bucket: Column | None = None) -> DataFrame:
-    """DENSE_RANK by ascending order, counted over the distinct order values."""
-    keys, order = _cols(keys), _cols(order)
-    if bucket is None:
-        return df.withColumn(name, F.dense_rank().over(Window.partitionBy(*keys).orderBy(*order)))
-    steps = split_window(df.select(*keys, *order).distinct(), keys, order, bucket, {name: ("sum", F.lit(1))})
-    return _join_back(df, steps, [*keys, *order])
-
-
-def _join_back(df: DataFrame, extra: DataFrame, keys: list[str]) -> DataFrame:
-    new = [c for c in extra.columns if c not in keys]
-    other = extra.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *new)
-    return df.join(other, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys], "left").drop(*[f"__k_{k}" for k in keys])
+    """DENSE_RANK by ascending order."""
+    return split_window(df, keys, order, bucket, {name: ("dense_rank", None)})
 
 
 def global_rank(df: DataFrame, score: str, tie: str, name: str = "ranking", buckets: int = 64) -> DataFrame:
@@ -205,7 +219,7 @@ def global_rank(df: DataFrame, score: str, tie: str, name: str = "ranking", buck
     """
     flipped = df.withColumn("__neg", -F.col(score).cast("double"))
     bucket = even_buckets(flipped, "__neg", buckets)
-    return running_sum(flipped, [], ["__neg", tie], {name: F.lit(1)}, bucket=bucket).drop("__neg")
+    return split_window(flipped, [], ["__neg", tie], bucket, {name: ("row_number", None)}).drop("__neg")
 
 
 def row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
@@ -215,8 +229,7 @@ def row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
 
 def attempt_counters(df: DataFrame, keys, ts: str, success: Column, bucket: Column | None = None) -> DataFrame:
     """Attempt number (distinct times so far) and number of successes so far, per key."""
-    out = dense_rank_in_group(df, keys, [ts], "attempt", bucket)
-    return split_window(out, keys, [ts], bucket, {"wins": ("peer_sum", F.when(success, 1).otherwise(0))})
+    return split_window(df, keys, [ts], bucket, {"attempt": ("dense_rank", None), "wins": ("peer_sum", F.when(success, 1).otherwise(0))})
 
 
 def cumulative_until(df: DataFrame, keys, order, stop: Column, measures: dict[str, str | Column], bucket: Column | None = None) -> DataFrame:

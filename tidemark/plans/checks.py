@@ -58,7 +58,7 @@ def check_expression_is_true(t):
 def check_mutually_exclusive_ranges(t):
     end = F.col("o_orderdate") + F.make_interval(days=(F.col("o_orderkey") % 90).cast("int"))
     r = t.orders.select("o_custkey", F.col("o_orderdate").alias("a"), end.alias("b"))
-    return K.mutually_exclusive_ranges(r, "a", "b", "o_custkey", bucket=F.trunc("a", "year")).select("o_custkey", "a", "b")
+    return K.mutually_exclusive_ranges(r, "a", "b", "o_custkey", bucket=F.to_date("a")).select("o_custkey", "a", "b")
 
 
 @query("SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderpriority IN ('5-LOW', 'NONE')")

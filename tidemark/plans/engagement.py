@@ -17,6 +17,10 @@ def day():
     return F.to_date("ts")
 
 
+def hour():
+    return F.date_trunc("hour", "ts")
+
+
 @query("""SELECT 'day' AS grain, cast(ts AS DATE) AS period, count(DISTINCT user_id) AS users FROM events GROUP BY 2
           UNION ALL SELECT 'month', cast(date_trunc('month', ts) AS DATE), count(DISTINCT user_id) FROM events GROUP BY 2""")
 def dau_mau(t):
@@ -42,7 +46,7 @@ def retention_curve(t):
                g AS (SELECT day, count(*) AS ending, count(*) FILTER (p IS NULL) AS new_users, count(*) FILTER (day - p > 1) AS returning, count(*) FILTER (day - p = 1) AS retained FROM l GROUP BY 1)
           SELECT *, lag(ending) OVER (ORDER BY day) AS beginning, lag(ending) OVER (ORDER BY day) - retained AS churned FROM g""")
 def growth_accounting(t):
-    return E.growth_accounting(t.events, "user_id", "ts", bucket=F.trunc("day", "month"))
+    return E.growth_accounting(t.events, "user_id", "ts")
 
 
 SESSIONS = """WITH n AS (SELECT *, sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM events),
@@ -52,13 +56,13 @@ SESSIONS = """WITH n AS (SELECT *, sum(CASE WHEN event_type = 'signup' THEN 1 EL
 @query(SESSIONS + """ SELECT user_id, s AS session_no, min(ts) AS session_start, max(ts) AS session_end, count(*) AS events, date_sub('minute', min(ts), max(ts)) AS minutes,
                              user_id || '-' || s || '-' || cast(min(ts) AS DATE) AS session_id FROM e GROUP BY 1, 2""")
 def sessionize(t):
-    return E.sessionize(t.events, "user_id", "ts", "event_id", F.col("event_type") == "signup", day())
+    return E.sessionize(t.events, "user_id", "ts", "event_id", F.col("event_type") == "signup", hour())
 
 
 @query(SESSIONS + """ SELECT event_id, user_id, s AS session_no FROM e""")
 def join_session_window(t):
     e = t.events.select("event_id", "user_id", "ts", "event_type")
-    return E.assign_sessions(e, "user_id", "ts", "event_id", F.col("event_type") == "signup", day()).select("event_id", "user_id", "session_no")
+    return E.assign_sessions(e, "user_id", "ts", "event_id", F.col("event_type") == "signup", hour()).select("event_id", "user_id", "session_no")
 
 
 @query(SESSIONS + """, m AS (SELECT user_id, day, cast(sum(mi) AS BIGINT) AS session_minutes FROM (SELECT user_id, s, cast(ts AS DATE) AS day, date_sub('minute', min(ts), max(ts)) AS mi FROM e GROUP BY 1, 2, 3) GROUP BY 1, 2),
@@ -67,7 +71,7 @@ def join_session_window(t):
                f AS (SELECT user_id, min(ts) AS first_active_time FROM events WHERE event_type = 'signup' GROUP BY 1)
           SELECT user_id, day, played, did_click, did_purchase, first_active_time, session_minutes, cast(first_active_time AS DATE) = day AS is_first_day FROM d JOIN f USING (user_id) LEFT JOIN m USING (user_id, day) WHERE active = 1""")
 def session_daily_activity(t):
-    return E.daily_activity(t.events, "user_id", "ts", "event_id", "event_type", "signup", "view", ["click", "purchase"], day())
+    return E.daily_activity(t.events, "user_id", "ts", "event_id", "event_type", "signup", "view", ["click", "purchase"], hour())
 
 
 @query("""SELECT cast(ts AS DATE) AS day, user_id, cast(sum(cast(value AS DECIMAL(14,2))) AS DOUBLE) AS engagement, min(ts) AS first_ts,
@@ -101,8 +105,7 @@ def star_history(t):
                  CASE WHEN day = d0 THEN 'new' WHEN day - d0 <= 7 THEN 'recent' ELSE 'regular' END AS lifetime, coalesce(orders, 0) AS orders FROM r LEFT JOIN h USING (user_id)""")
 def quest_dashboard(t):
     held = t.orders.groupBy(F.col("o_custkey").alias("user_id")).agg(F.count("*").alias("orders"))
-    out = E.engagement_dashboard(t.events, "user_id", "ts", "event_id", "event_type", money("value"), [(500, 1), (1500, 2), (3000, 3)], held, "orders",
-                                 bucket=F.trunc("day", "month"))
+    out = E.engagement_dashboard(t.events, "user_id", "ts", "event_id", "event_type", money("value"), [(500, 1), (1500, 2), (3000, 3)], held, "orders")
     return out.withColumns({c: F.col(c).cast("double") for c in ("points", "points_so_far")})
 
 

@@ -109,7 +109,7 @@ def expect_values_between(t):
 
 @query("""SELECT event_id FROM (SELECT event_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) WHERE NOT (value > p)""")
 def expect_values_increasing(t):
-    return X.expect_monotone(t.events, "value", ["ts", "event_id"], group_by="user_id", bucket=F.to_date("ts")).select("event_id")
+    return X.expect_monotone(t.events, "value", ["ts", "event_id"], group_by="user_id", bucket=F.date_trunc("hour", "ts")).select("event_id")
 
 
 @query("""SELECT day, n FROM (SELECT day, n, lag(n) OVER (ORDER BY day) AS p FROM (SELECT cast(ts AS DATE) AS day, count(DISTINCT user_id) AS n FROM events GROUP BY 1)) WHERE NOT (n <= p)""")

@@ -43,7 +43,7 @@ def revenue_rows(t):
 def cost_rows(t):
     """Line costs reduced per supplier and month before the supplier's country is looked up."""
     where = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("country"))
-    per = t.lineitem.groupBy("l_suppkey", F.trunc("l_shipdate", "month").alias("month")).agg(F.sum(money("l_tax") * money("l_quantity")).cast("decimal(24,4)").alias("cost"))
+    per = t.lineitem.groupBy("l_suppkey", F.trunc("l_shipdate", "month").alias("month")).agg(F.sum(F.col("l_tax").cast("decimal(4,2)") * money("l_quantity")).alias("cost"))
     return per.join(where, "l_suppkey").groupBy("month", "country").agg(F.sum("cost").alias("cost"))
 
 

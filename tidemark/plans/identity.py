@@ -55,7 +55,7 @@ def latest_contact(t):
           FROM s JOIN d USING (user_id) LEFT JOIN customer ON c_custkey = user_id""")
 def day0_version_history(t):
     users = t.customer.select(F.col("c_custkey").alias("user_id"), F.concat("c_name", F.lit("@"), "c_mktsegment").alias("mail"))
-    return I.version_history(builds(t), "user_id", "version", "ts", users, "mail", "Building", bucket=F.to_date("version_start"))
+    return I.version_history(builds(t), "user_id", "version", "ts", users, "mail", "Building")
 
 
 def builds(t):

@@ -20,7 +20,7 @@ def transfers(t):
         F.col("l_orderkey").alias("tx"), F.col("l_linenumber").alias("log_index"), F.concat(F.lit("C"), "o_custkey").alias("from_address"),
         F.concat(F.lit("S"), "l_suppkey").alias("to_address"), F.col("l_returnflag").alias("token"), F.col("l_shipdate").alias("ts"),
         F.to_date("l_shipdate").alias("day"), F.col("l_partkey").alias("part"),
-        (money("l_extendedprice") * (1 - money("l_discount"))).cast("decimal(20,4)").alias("value"))
+        (money("l_extendedprice") * (1 - F.col("l_discount").cast("decimal(4,2)"))).alias("value"))
 
 
 def as_double(df, *cols):
@@ -58,7 +58,7 @@ def ledger_balance_asof(t):
 @query(f"""WITH {TRANSFERS}, s AS (SELECT party, token, ts, sum(amount) AS change FROM legs GROUP BY 1, 2, 3)
            SELECT party, token, ts, cast(change AS DOUBLE) AS change, cast(sum(change) OVER (PARTITION BY party, token ORDER BY ts) AS DOUBLE) AS balance FROM s""")
 def ledger_balance_history(t):
-    out = L.balance_history(transfers(t), *ENDS, ["token"], "ts", F.trunc("ts", "month"))
+    out = L.balance_history(transfers(t), *ENDS, ["token"], "ts")
     return as_double(out, "change", "balance")
 
 
@@ -71,7 +71,7 @@ def ledger_daily_dense(t):
     c = t.customer.select(F.concat(F.lit("C"), "c_custkey").alias("from_address"), F.concat(F.lit("N"), "c_nationkey").alias("from_nation"))
     s = t.supplier.select(F.concat(F.lit("S"), "s_suppkey").alias("to_address"), F.concat(F.lit("N"), "s_nationkey").alias("to_nation"))
     tr = transfers(t).join(c, "from_address").join(s, "to_address").withColumn("month", F.trunc("day", "month"))
-    out = L.daily_balances(tr, "from_nation", "to_nation", "value", [], "month", "INTERVAL 1 MONTH", F.trunc("month", "year"))
+    out = L.daily_balances(tr, "from_nation", "to_nation", "value", [], "month", "INTERVAL 1 MONTH")
     return as_double(out, "change", "balance")
 
 

@@ -13,6 +13,10 @@ def day():
     return F.to_date("ts")
 
 
+def hour():
+    return F.date_trunc("hour", "ts")
+
+
 @query("""WITH e AS (SELECT user_id, cast(ts AS DATE) AS day, event_type, value, ts, event_id FROM events WHERE event_type <> 'error')
           SELECT user_id, day, min(ts) FILTER (event_type = 'signup') AS start_ts, coalesce(arg_min(value, (ts, event_id)) FILTER (event_type = 'signup'), arg_min(value, (ts, event_id)) FILTER (event_type = 'view')) AS power,
                  arg_min(value, (ts, event_id)) FILTER (event_type = 'click') AS bonus,
@@ -37,7 +41,7 @@ def paired_event_fact(t):
 def attempts_to_first_win(t):
     e = t.events.withColumn("stage", F.floor(F.get_json_object("props", "$.k").cast("bigint") / 20))
     day0 = e.groupBy("user_id").agg(F.min(day()).alias("day0"))
-    out = G.attempts_to_win(e, ["user_id", "stage"], "ts", "event_id", F.col("event_type") == "purchase", money("value"), day0, "day0", day())
+    out = G.attempts_to_win(e, ["user_id", "stage"], "ts", "event_id", F.col("event_type") == "purchase", money("value"), day0, "day0", hour())
     return out.withColumn("total_to_win", F.col("total_to_win").cast("double"))
 
 
@@ -48,7 +52,7 @@ def attempts_to_win(t):
     from ..operators.windows import cumulative_until
 
     clicks = {"clicks": F.when(F.col("event_type") == "click", 1).otherwise(0)}
-    return cumulative_until(t.events, "user_id", ["ts", "event_id"], F.col("event_type") == "purchase", clicks, day()).select("user_id", "clicks")
+    return cumulative_until(t.events, "user_id", ["ts", "event_id"], F.col("event_type") == "purchase", clicks, hour()).select("user_id", "clicks")
 
 
 @query("""WITH e AS (SELECT event_id, user_id, event_type AS stage, ts, cast(ts AS DATE) AS day, event_id AS played, value > 40 AS win FROM events)
@@ -56,7 +60,7 @@ def attempts_to_win(t):
                  coalesce(played - lag(played) OVER (PARTITION BY user_id, stage, day ORDER BY ts, event_id), played) AS played_increment FROM e""")
 def level_mart(t):
     e = t.events.select("event_id", "user_id", F.col("event_type").alias("stage"), "ts", day().alias("day"), F.col("event_id").alias("played"), "value")
-    out = G.progress_mart(e, "user_id", "stage", "ts", "event_id", F.col("value") > 40, "played", ["user_id", "stage", "day"], day())
+    out = G.progress_mart(e, "user_id", "stage", "ts", "event_id", F.col("value") > 40, "played", ["user_id", "stage", "day"], hour())
     return out.select("event_id", "attempt", "wins", "played_increment")
 
 

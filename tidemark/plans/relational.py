@@ -17,6 +17,10 @@ def day():
     return F.to_date("ts")
 
 
+def hour():
+    return F.date_trunc("hour", "ts")
+
+
 def order_month():
     return F.trunc("o_orderdate", "month")
 
@@ -188,7 +192,7 @@ def asof_validity(t):
     e = t.events
     versions = e.filter("event_type = 'signup'").select("user_id", F.col("ts").alias("start"), F.col("value").alias("signup_value"))
     buys = e.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
-    return J.asof_validity_join(buys, versions, "user_id", "ts", "start", ["signup_value"], "event_id", day()).drop("ts")
+    return J.asof_validity_join(buys, versions, "user_id", "ts", "start", ["signup_value"], "event_id", hour()).drop("ts")
 
 
 @query("""WITH r AS (SELECT o_orderpriority AS label, cast(min(o_orderdate) AS DATE) AS a, cast(min(o_orderdate) AS DATE) + 40 AS b FROM orders GROUP BY 1
@@ -224,7 +228,7 @@ def join_self_previous(t):
           SELECT user_id, ts, event_id, cast(clicks AS BIGINT) AS clicks, cast(spent AS DOUBLE) AS spent FROM f WHERE rn = 1""")
 def cumulative_until_success(t):
     measures = {"clicks": F.when(F.col("event_type") == "click", 1).otherwise(0), "spent": money("value")}
-    out = W.cumulative_until(t.events, "user_id", ["ts", "event_id"], F.col("event_type") == "purchase", measures, bucket=day())
+    out = W.cumulative_until(t.events, "user_id", ["ts", "event_id"], F.col("event_type") == "purchase", measures, bucket=hour())
     return out.withColumn("spent", F.col("spent").cast("double"))
 
 
@@ -385,14 +389,14 @@ def win_qualify_latest(t):
 @query("SELECT o_orderkey, o_custkey, rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS rank FROM orders")
 def win_rank(t):
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    return W.rank_in_group(o, "o_custkey", "o_orderdate", bucket=F.trunc("o_orderdate", "year")).drop("o_orderdate")
+    return W.rank_in_group(o, "o_custkey", "o_orderdate", bucket=F.to_date("o_orderdate")).drop("o_orderdate")
 
 
 @query("""SELECT event_id, dense_rank() OVER (PARTITION BY user_id ORDER BY ts) AS attempt, cast(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS BIGINT) AS wins
           FROM events""")
 def win_dense_rank_attempts(t):
     e = t.events.select("event_id", "user_id", "ts", "event_type")
-    return W.attempt_counters(e, "user_id", "ts", F.col("event_type") == "purchase", day()).select("event_id", "attempt", "wins")
+    return W.attempt_counters(e, "user_id", "ts", F.col("event_type") == "purchase", hour()).select("event_id", "attempt", "wins")
 
 
 @query("SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS ranking FROM customer")
@@ -412,7 +416,7 @@ def period_deltas(t):
 def validity_ranges(t):
     o = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("valid_from"))
     end = F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")
-    return W.validity_ranges(o, "o_custkey", "valid_from", ["valid_from", "o_orderkey"], "valid_to", end, F.trunc("valid_from", "year")).drop("o_custkey")
+    return W.validity_ranges(o, "o_custkey", "valid_from", ["valid_from", "o_orderkey"], "valid_to", end, F.to_date("valid_from")).drop("o_custkey")
 
 
 @query("""WITH d AS (SELECT event_type, cast(ts AS DATE) AS day, count(DISTINCT user_id) AS users FROM events GROUP BY 1, 2)
@@ -424,14 +428,14 @@ def win_lag_over_agg(t):
 
 @query("""SELECT event_id, cast(sum(cast(value AS DECIMAL(14,2))) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running FROM events""")
 def win_running_sum(t):
-    e = W.running_sum(t.events.select("event_id", "user_id", "ts", "value"), "user_id", ["ts", "event_id"], {"running": money("value")}, bucket=day())
+    e = W.running_sum(t.events.select("event_id", "user_id", "ts", "value"), "user_id", ["ts", "event_id"], {"running": money("value")}, bucket=hour())
     return e.select("event_id", F.col("running").cast("double").alias("running"))
 
 
 @query("""SELECT o_orderkey, cast(sum(cast(o_totalprice AS DECIMAL(14,2))) OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate) AS DOUBLE) AS running FROM orders""")
 def win_running_sum_range(t):
     o = t.orders.select("o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice")
-    out = W.running_sum(o, "o_orderpriority", "o_orderdate", {"running": money("o_totalprice")}, frame="range", bucket=F.trunc("o_orderdate", "month"))
+    out = W.running_sum(o, "o_orderpriority", "o_orderdate", {"running": money("o_totalprice")}, frame="range", bucket=F.to_date("o_orderdate"))
     return out.select("o_orderkey", F.col("running").cast("double").alias("running"))
 
 
