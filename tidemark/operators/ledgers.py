@@ -121,15 +121,26 @@ def asset_counts(logs: list[tuple[DataFrame, str, Column]], key: str, names: dic
 
 
 def reconcile(a: DataFrame, b: DataFrame, key: str, a_cols: list[str], b_cols: list[str]) -> DataFrame:
-    """Two sources side by side on the key, with flags for the side that lacks the record."""
-    left = a.select(key, *a_cols).withColumn("__in_a", F.lit(True))
-    right = b.select(key, *b_cols).withColumn("__in_b", F.lit(True))
-    both = left.join(right, key, "full_outer")
-    return both.select(
-        key, *a_cols, *b_cols,
-        F.when(F.col("__in_a").isNull(), "missing").alias("missing_left"),
-        F.when(F.col("__in_b").isNull(), "missing").alias("missing_right"),
-    )
+    """Two sources side by side on the key, with flags for the side that lacks the record.
+
+    Written as a left join plus the unmatched rest of b: adaptive execution can split a hot key there, which it
+    cannot in a full outer join.
+    """
+    left = a.select(key, *a_cols)
+    right = b.select(key, *b_cols)
+    matched = left.join(right.withColumn("__in_b", F.lit(True)), key, "left").select(
+        key, *a_cols, *b_cols, F.lit(None).cast("string").alias("missing_left"), F.when(F.col("__in_b").isNull(), "missing").alias("missing_right"))
+    rest = right.join(left.select(key).distinct(), key, "left_anti").select(
+        key, *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in a_cols], *b_cols,
+        F.lit("missing").alias("missing_left"), F.lit(None).cast("string").alias("missing_right"))
+    return matched.unionByName(rest)
+
+
+def recovered_rows(orders: DataFrame, reconciled: DataFrame, status: str, charged: str, mapping: dict[str, Column], flag: str = "missing_right") -> DataFrame:
+    """The own orders plus the charged report rows they lack, conformed to the order columns (NULL where unknown)."""
+    lost = reconciled.filter((F.col(flag) == "missing") & (F.col(status) == charged))
+    cols = [(mapping[c] if c in mapping else F.lit(None)).cast(orders.schema[c].dataType).alias(c) for c in orders.columns]
+    return orders.withColumn("recovered", F.lit(False)).unionByName(lost.select(*cols).withColumn("recovered", F.lit(True)))
 
 
 def refund_overrides(report: DataFrame, order: str, status: str, refund: str, keep: list[str], date: str) -> DataFrame:

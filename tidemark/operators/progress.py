@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import as_timestamp
 from ..functions.text import strip_suffix
 from .windows import attempt_counters, cumulative_until, deduplicate, partition_agg, split_window
 
@@ -109,13 +110,30 @@ def catalog_dim(updates: DataFrame, code: str, group: Column, name: Column, rari
     return out.withColumn("group_rarity", F.try_element_at(text, F.col("group_rarity_rank")))
 
 
-def multi_unlock(client: DataFrame, server: DataFrame, keys: list[str], item: str, amount: str, threshold: int) -> DataFrame:
-    """Keys whose evidence rows (client and server, distinct) reach the threshold, with items and sources."""
-    rows = client.withColumn("source", F.lit("client")).unionByName(server.withColumn("source", F.lit("server"))).distinct()
+def consuming_traces(updates: DataFrame, keys: list[str], ts: str, balance: str, trace: str, bucket: Column | None = None) -> DataFrame:
+    """Traces in which a balance went down against the update before it."""
+    line = split_window(updates, keys, [ts, trace], bucket, {"__before": ("lag", balance)})
+    fell = F.coalesce(F.col(balance), F.lit(0)) < F.coalesce("__before", F.lit(0))
+    return line.filter(fell).select(trace).distinct()
+
+
+def multi_unlock(client: DataFrame, server: DataFrame, consumed: DataFrame, keys: list[str], trace: str, item: str, amount: str, ts: str, as_of: str,
+                 minutes: int, threshold: int) -> DataFrame:
+    """Keys whose unlocks within the lookback reach the threshold, with the evidence of both sides.
+
+    Server rows count only for traces that consumed a key; copies of a row count once per side.
+    """
+    now = as_timestamp(as_of)
+    cols = [*keys, item, amount]
+
+    def recent(df: DataFrame) -> DataFrame:
+        return df.filter((F.col(ts) >= now - F.make_interval(mins=F.lit(minutes))) & (F.col(ts) <= now))
+
+    proven = recent(server).join(consumed, trace, "left_semi")
+    rows = recent(client).select(*cols).withColumn("source", F.lit("client")).unionByName(proven.select(*cols).withColumn("source", F.lit("server"))).distinct()
     out = rows.groupBy(*keys).agg(
         F.sum(amount).alias("total"),
         F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"),
-        F.count("*").alias("items"),
-        F.max(item).alias("last_item"),
+        F.count("*").alias("evidence"),
     )
     return out.filter(F.col("total") >= threshold)

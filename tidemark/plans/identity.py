@@ -8,16 +8,16 @@ from ..operators import identity as I
 from .registry import query
 
 
-@query("""WITH c AS (SELECT c_nationkey AS nation, 'C' || c_custkey AS w, c_mktsegment AS seg FROM customer), s AS (SELECT s_nationkey AS nation, 'S' || s_suppkey AS w FROM supplier),
-               u AS (SELECT nation, lower(w) AS w FROM c UNION SELECT nation, lower(w) FROM s UNION SELECT nation, lower(w) || 'x' FROM s)
-          SELECT nation, count(w) AS n_wallets, string_agg(w, ',' ORDER BY w) AS wallets, any_value(segs) AS segments FROM u LEFT JOIN (SELECT nation, list_aggregate(list_sort(list(DISTINCT seg)), 'string_agg', ',') AS segs FROM c GROUP BY 1) USING (nation) GROUP BY 1""")
+@query("""WITH w AS (SELECT c_custkey AS u, lower('C' || c_custkey) AS w FROM customer UNION SELECT c_custkey, lower('C' || c_custkey) || 'x' FROM customer UNION SELECT user_id, event_type FROM events),
+               p AS (SELECT o_custkey AS u, list_aggregate(list_sort(list(DISTINCT o_orderpriority)), 'string_agg', ',') AS names FROM orders GROUP BY 1)
+          SELECT u AS user_id, count(*) AS n_wallets, string_agg(w, ',' ORDER BY w) AS wallets, any_value(names) AS names FROM w LEFT JOIN p USING (u) GROUP BY 1""")
 def identity_union(t):
-    nation = F.col("c_nationkey").alias("nation")
-    c = t.customer.select(nation, F.concat(F.lit("C"), "c_custkey").alias("w"))
-    w = F.concat(F.lit("S"), "s_suppkey")
-    s = t.supplier.select(F.col("s_nationkey").alias("nation"), F.concat(w, F.lit(" , "), w, F.lit("X,")).alias("w"))
-    out = I.identity_union([c, s], t.customer.select(nation, F.col("c_mktsegment").alias("segment")), "nation", "w", ["segment"])
-    return out.select("nation", F.size("wallets").cast("bigint").alias("n_wallets"), F.array_join("wallets", ",").alias("wallets"), F.array_join("segment", ",").alias("segments"))
+    wallet = F.concat(F.lit("C"), "c_custkey")
+    a = t.customer.select(F.col("c_custkey").alias("user_id"), F.concat(wallet, F.lit(" , "), wallet, F.lit("X,")).alias("w"))
+    b = t.events.select("user_id", F.upper("event_type").alias("w")).distinct()
+    directory = t.orders.select(F.col("o_custkey").alias("user_id"), F.col("o_orderpriority").alias("name"))
+    out = I.identity_union([a, b], directory, "user_id", "w", ["name"])
+    return out.select("user_id", F.size("wallets").cast("bigint").alias("n_wallets"), F.array_join("wallets", ",").alias("wallets"), F.array_join("name", ",").alias("names"))
 
 
 @query("""SELECT c_custkey, coalesce(a.v, b.v, 'none') AS v FROM customer LEFT JOIN (SELECT o_custkey, max(o_orderpriority) AS v FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) a ON a.o_custkey = c_custkey

@@ -170,19 +170,38 @@ def reconcile(t):
     return L.reconcile(t.documents.filter("lang <> 'fr'"), t.labels, "doc_id", ["source"], ["quality"])
 
 
-@query("""WITH rep AS (SELECT l_orderkey AS order_id, CASE WHEN l_returnflag = 'R' THEN 'Refund' ELSE 'Charged' END AS status, l_suppkey AS product, cast(l_shipdate AS DATE) AS charged, cast(l_quantity AS INTEGER) AS price FROM lineitem WHERE l_linenumber < 3),
+REPORT = """WITH rep AS (SELECT l_orderkey AS order_id, CASE WHEN l_returnflag = 'R' THEN 'Refund' ELSE 'Charged' END AS status, l_suppkey AS product, cast(l_shipdate AS DATE) AS charged, cast(l_quantity AS INTEGER) AS price FROM lineitem WHERE l_linenumber < 3),
                ref AS (SELECT DISTINCT order_id FROM rep WHERE status = 'Refund'),
                pre AS (SELECT order_id, CASE WHEN f.order_id IS NULL THEN status ELSE 'Refund' END AS status, product, price, min(charged) AS charged FROM rep LEFT JOIN ref f USING (order_id) GROUP BY 1, 2, 3, 4),
                game AS (SELECT o_orderkey AS order_id, o_custkey AS user_id, cast(floor(o_totalprice) AS BIGINT) AS game_price FROM orders WHERE o_orderstatus <> 'O'),
                j AS (SELECT order_id, user_id, status, product, price, game_price, charged, CASE WHEN p.order_id IS NULL THEN 'missing' END AS missing_left, CASE WHEN g.order_id IS NULL THEN 'missing' END AS missing_right FROM pre p FULL JOIN game g USING (order_id)),
-               b AS (SELECT product, min(game_price) AS fill FROM j WHERE price IS NOT NULL AND game_price IS NOT NULL GROUP BY 1)
-          SELECT order_id, user_id, status, j.product, price, charged, missing_left, missing_right, coalesce(game_price, fill) AS game_price FROM j LEFT JOIN b ON b.product IS NOT DISTINCT FROM j.product""")
-def reconcile_two_sources(t):
-    """Store report against the game's own orders, refunds first, missing prices filled from the same product."""
+               b AS (SELECT product, min(game_price) AS fill FROM j WHERE price IS NOT NULL AND game_price IS NOT NULL GROUP BY 1)"""
+
+
+def store_report(t):
+    """Store lines as a report, refunds first: one row per order and product."""
     rep = t.lineitem.filter("l_linenumber < 3").select(
         F.col("l_orderkey").alias("order_id"), F.when(F.col("l_returnflag") == "R", "Refund").otherwise("Charged").alias("status"), F.col("l_suppkey").alias("product"),
         F.to_date("l_shipdate").alias("charged"), F.col("l_quantity").cast("int").alias("price"))
-    pre = L.refund_overrides(rep, "order_id", "status", "Refund", ["product", "price"], "charged")
-    game = t.orders.filter("o_orderstatus <> 'O'").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), F.floor("o_totalprice").cast("bigint").alias("game_price"))
-    both = L.reconcile(pre, game, "order_id", ["status", "product", "price", "charged"], ["user_id", "game_price"])
+    return L.refund_overrides(rep, "order_id", "status", "Refund", ["product", "price"], "charged")
+
+
+def game_orders(t):
+    return t.orders.filter("o_orderstatus <> 'O'").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), F.floor("o_totalprice").cast("bigint").alias("game_price"))
+
+
+@query(REPORT + """
+          SELECT order_id, user_id, status, j.product, price, charged, missing_left, missing_right, coalesce(game_price, fill) AS game_price FROM j LEFT JOIN b ON b.product IS NOT DISTINCT FROM j.product""")
+def reconcile_two_sources(t):
+    """Store report against the game's own orders, missing prices filled from the same product."""
+    both = L.reconcile(store_report(t), game_orders(t), "order_id", ["status", "product", "price", "charged"], ["user_id", "game_price"])
     return L.backfill_by_product(both, "product", {"game_price": F.when(F.col("price").isNotNull(), F.col("game_price"))})
+
+
+@query(REPORT + """
+          SELECT order_id, user_id, game_price, false AS recovered FROM game UNION ALL SELECT order_id, NULL, cast(price AS BIGINT), true FROM j WHERE missing_right = 'missing' AND status = 'Charged'""")
+def reconcile_recovered(t):
+    """Own orders plus charged store rows they lack."""
+    game = game_orders(t)
+    both = L.reconcile(store_report(t), game, "order_id", ["status", "product", "price", "charged"], ["user_id", "game_price"])
+    return L.recovered_rows(game, both, "status", "Charged", {"order_id": F.col("order_id"), "game_price": F.col("price")})

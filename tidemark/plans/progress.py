@@ -103,10 +103,14 @@ def catalog_dimension(t):
                          [(code.like("%bolt"), 3), (code.like("%ring"), 2), (code.like("%e%"), 1)], {3: "epic", 2: "rare", 1: "common"})
 
 
-@query("""WITH e AS (SELECT DISTINCT user_id, cast(ts AS DATE) AS trace, event_type AS item, 1 AS amount, 'client' AS source FROM events WHERE value > 40 UNION SELECT user_id, cast(ts AS DATE), event_type, 2, 'server' FROM events WHERE value > 90)
-          SELECT user_id, trace, cast(sum(amount) AS BIGINT) AS total, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, count(*) AS items, max(item) AS last_item FROM e GROUP BY 1, 2 HAVING sum(amount) >= 5""")
+@query("""WITH u AS (SELECT *, user_id || '-' || cast(json_extract_string(props, '$.k') AS BIGINT) // 50 AS trace FROM events),
+               d AS (SELECT DISTINCT trace FROM (SELECT trace, value, coalesce(lag(value) OVER (PARTITION BY user_id ORDER BY ts, trace), 0) AS p FROM u WHERE event_type = 'click') WHERE value < p),
+               w AS (SELECT * FROM u WHERE ts BETWEEN TIMESTAMP '2024-01-19' AND TIMESTAMP '2024-01-20'),
+               e AS (SELECT DISTINCT user_id, trace, event_type AS item, 1 AS amount, 'client' AS source FROM w WHERE value > 30 UNION SELECT DISTINCT user_id, trace, event_type, 2, 'server' FROM w WHERE value > 60 AND trace IN (SELECT trace FROM d))
+          SELECT user_id, trace, cast(sum(amount) AS BIGINT) AS total, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, count(*) AS evidence FROM e GROUP BY 1, 2 HAVING sum(amount) >= 3""")
 def multi_unlock_detector(t):
-    rows = t.events.select("user_id", day().alias("trace"), F.col("event_type").alias("item"), "value")
-    client = rows.filter("value > 40").select("user_id", "trace", "item", F.lit(1).alias("amount"))
-    server = rows.filter("value > 90").select("user_id", "trace", "item", F.lit(2).alias("amount"))
-    return G.multi_unlock(client, server, ["user_id", "trace"], "item", "amount", 5)
+    half = F.expr("cast(get_json_object(props, '$.k') AS BIGINT) div 50").cast("string")
+    u = t.events.select("user_id", "ts", "event_type", "value", F.concat(F.col("user_id").cast("string"), F.lit("-"), half).alias("trace"), F.col("event_type").alias("item"))
+    consumed = G.consuming_traces(u.filter("event_type = 'click'"), ["user_id"], "ts", "value", "trace", hour())
+    client, server = u.filter("value > 30").withColumn("amount", F.lit(1)), u.filter("value > 60").withColumn("amount", F.lit(2))
+    return G.multi_unlock(client, server, consumed, ["user_id", "trace"], "trace", "item", "amount", "ts", "2024-01-20 00:00:00", 1440, 3)

@@ -38,11 +38,19 @@ def select_except_replace(t):
                             {"o_orderstatus": F.lower("o_orderstatus"), "o_totalprice": F.col("o_totalprice") * 2})
 
 
-@query("""SELECT p_partkey, nullif(CASE WHEN p_size > 25 THEN '' ELSE p_name END, '') AS p_name,
-                 CASE WHEN p_type IN ('SMALL', 'ECONOMY') THEN NULL ELSE p_type END AS p_type FROM part""")
-def null_rules(t):
-    holes = t.part.select("p_partkey", F.when(F.col("p_size") > 25, "").otherwise(F.col("p_name")).alias("p_name"), "p_type")
-    return P.null_sentinels(P.nullcheck(holes), ["p_type"], ["SMALL", "ECONOMY"])
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+def select_filtered_columns(t):
+    return t.lineitem.select(P.filtered_columns(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_tax"), ["L_TAX"]))
+
+
+@query("""SELECT p_partkey, nullif(CASE WHEN p_size > 25 THEN '' ELSE p_name END, '') AS p_name, p_size FROM part""")
+def nullcheck_columns(t):
+    return P.nullcheck(t.part.select("p_partkey", F.when(F.col("p_size") > 25, "").otherwise(F.col("p_name")).alias("p_name"), "p_size"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_type IN ('SMALL', 'ECONOMY') THEN NULL ELSE p_type END AS p_type, CASE WHEN p_brand IN ('SMALL', 'ECONOMY') THEN NULL ELSE p_brand END AS p_brand FROM part""")
+def null_sentinels(t):
+    return P.null_sentinels(t.part.select("p_partkey", "p_type", "p_brand"), ["p_type", "p_brand"], ["SMALL", "ECONOMY"])
 
 
 @query("""SELECT event_id AS id, upper(event_type) AS kind, cast(floor(value) AS INTEGER) AS amount_floor, try_cast(json_extract_string(props, '$.k') AS INTEGER) AS k,

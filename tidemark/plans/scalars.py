@@ -71,6 +71,12 @@ def log_natural(t):
     return t.orders.select("o_orderkey", F.round(M.log_natural("o_totalprice"), 6).alias("log_price"))
 
 
+@query("SELECT count(*) AS n, true AS in_range FROM orders")
+def rand_uniform(t):
+    drawn = t.orders.select(M.uniform(7).alias("u"))
+    return drawn.agg(F.count("*").alias("n"), F.bool_and((F.col("u") >= 0) & (F.col("u") < 1)).alias("in_range"))
+
+
 @query("""SELECT p_partkey, cast(p_size * 1000000 AS DOUBLE) / pow(10.0, coalesce(CASE WHEN p_size < 40 THEN p_size % 7 END, 0)) AS units
           FROM part""")
 def scale_by_decimals(t):

@@ -177,7 +177,7 @@ def write_snapshot_shard(t):
     root = scratch(t, "snapshot")
     c = t.customer.select("c_custkey", F.col("c_acctbal").alias("balance"))
     W.write_snapshot(c, root, "2024-01-01")
-    W.write_snapshot(c.limit(1), root, "2024-01-02")
+    W.write_snapshot(c.withColumn("balance", F.lit(0.0)), root, "2024-01-02")
     W.write_snapshot(c.withColumn("balance", F.col("balance") + 1), root, "2024-01-02")
     return S.scan_partitioned(t.spark, root, {"_suffix": "string"})
 

@@ -41,7 +41,11 @@ def write_append(df: DataFrame, path: str, partition_by: list[str] | None = None
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Replace exactly the partitions that occur in the frame."""
+    """Replace exactly the partitions that occur in the frame.
+
+    The rebalance hint gathers each partition into files of a sound size and splits a hot partition.
+    """
+    df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
