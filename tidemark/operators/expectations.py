@@ -314,7 +314,7 @@ def expect_regex(df: DataFrame, col: str, patterns: str | list[str], positive: b
 # ---- table shape: decided from the schema, reported in the same form as row checks
 
 def _finding(df: DataFrame, ok: bool, detail: str) -> DataFrame:
-    return df.sparkSession.createDataFrame([] if ok else [(detail,)], "finding string")
+    return df.sparkSession.range(0 if ok else 1).select(F.lit(detail).alias("finding"))
 
 
 def expect_column(df: DataFrame, col: str, index: int | None = None) -> DataFrame:

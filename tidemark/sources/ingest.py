@@ -63,7 +63,7 @@ def ingest_zip_reports(spark: SparkSession, glob: str, date_regex: str, date_for
                         rows = csv.DictReader(io.TextIOWrapper(archive.open(member), encoding=encoding, newline=""), delimiter=sep)
                         chunk = []
                         for i, row in enumerate(rows):
-                            chunk.append((path, i, [(k, v) for k, v in row.items()]))
+                            chunk.append((path, i, dict(row)))
                             if len(chunk) == 5000:
                                 yield pd.DataFrame(chunk, columns=["path", "line", "record"])
                                 chunk = []
@@ -166,5 +166,8 @@ def price_series(df: DataFrame, html: str, pattern: str, keep: list[str]) -> Dat
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """Constant dimension kept in code."""
-    return spark.createDataFrame(rows, schema)
+    """Constant dimension kept in code. It goes over as one Arrow batch, so the plan holds a local relation of known size."""
+    import pandas as pd
+
+    names = T.StructType.fromDDL(schema).fieldNames()
+    return spark.createDataFrame(pd.DataFrame(rows, columns=names), schema)

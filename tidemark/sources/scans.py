@@ -13,15 +13,14 @@ def scan_partitioned(spark: SparkSession, root: str, partition_types: dict[str,
                      merge_schema: bool = False) -> DataFrame:
     """Table over ``key=value`` folders with declared partition types.
 
-    With a schema, unknown file columns are ignored and missing ones are NULL; the partition keys are appended
-    to it, so Spark neither infers their types nor reads a footer to plan.
+    The declared types are part of the read schema, so Spark never guesses them (``007`` stays text). With a
+    schema given, unknown file columns are ignored, missing ones are NULL, and no footer is read to plan.
     """
     reader = spark.read.format(fmt).option("basePath", root)
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
     if schema is None:
-        df = reader.load(root)
-        return df.withColumns({k: F.col(k).cast(t) for k, t in partition_types.items()})
+        schema = reader.load(root).schema
     full = T.StructType([f for f in schema.fields if f.name not in partition_types])
     for k, t in partition_types.items():
         full = full.add(T.StructType.fromDDL(f"`{k}` {t}").fields[0])
