@@ -72,29 +72,40 @@ def cohort_ltv(revenue: DataFrame, cost: DataFrame, installs: DataFrame, retaine
     return range_join(out, last, cohort, "from_date", "__to", "left").drop("from_date", "__to")
 
 
+def _rounded(c: Column, digits: int) -> Column:
+    return F.round(c, digits).cast(f"decimal(28,{digits})")
+
+
+def _units(c: Column) -> Column:
+    """A count as a short decimal, which leaves a quotient room for more than ten decimals before it is rounded."""
+    return c.cast("decimal(12,0)")
+
+
 def allocate(weights: DataFrame, costs: dict[str, DataFrame], period: str, weight: str, digits: int = 3) -> DataFrame:
     """Costs of a period shared among its segments by weight, rounded; costs per unit of weight as well.
 
-    The window runs over the aggregated segments of one period.
+    All in decimals, so that halves round up whatever the binary fraction. The window runs over the aggregated
+    segments of one period.
     """
-    total = F.sum(weight).over(Window.partitionBy(period))
+    total = _units(F.sum(weight).over(Window.partitionBy(period)))
     out = weights
     for name, c in costs.items():
-        out = out.join(c.select(period, F.col("cost").alias(f"__{name}")), period, "left")
+        out = out.join(c.select(period, F.col("cost").cast("decimal(18,4)").alias(f"__{name}")), period, "left")
     out = out.withColumn("__total", total)
-    share = {f"cost_{n}": F.round(F.coalesce(F.col(f"__{n}").cast("double"), F.lit(0.0)) / F.col("__total") * F.col(weight), digits) for n in costs}
+    share = {f"cost_{n}": _rounded(F.coalesce(F.col(f"__{n}"), F.lit(0)) * _units(F.col(weight)) / F.col("__total"), digits) for n in costs}
     out = out.withColumns(share).drop("__total", *[f"__{n}" for n in costs])
     whole = reduce(lambda a, b: a + b, [F.col(c) for c in share])
-    return out.withColumns({"total_cost": F.round(whole, digits), "cost_per_unit": F.round(whole / F.col(weight), digits)})
+    return out.withColumns({"total_cost": whole.cast(f"decimal(28,{digits})"), "cost_per_unit": _rounded(whole / _units(F.col(weight)), digits)})
 
 
 def new_user_profit(allocated: DataFrame, revenue: DataFrame, keys: list[str], period: str, weight: str, digits: int = 3) -> DataFrame:
     """Revenue per new user of each segment and of the whole period next to the allocated cost."""
-    joined = allocated.join(revenue, keys, "left").withColumn("revenue", F.round(F.coalesce(F.col("revenue").cast("double"), F.lit(0.0)), digits))
+    amount = _rounded(F.coalesce(F.col("revenue").cast("decimal(20,4)"), F.lit(0)), digits)
+    joined = allocated.join(revenue, keys, "left").withColumn("revenue", amount)
     w = Window.partitionBy(period)
     return joined.withColumns({
-        "rev_per_user_segment": F.round(F.col("revenue") / F.col(weight), digits),
-        "rev_per_user": F.round(F.sum(F.col("revenue").cast("decimal(20,3)")).over(w).cast("double") / F.sum(weight).over(w), digits),
+        "rev_per_user_segment": _rounded(F.col("revenue") / _units(F.col(weight)), digits),
+        "rev_per_user": _rounded(F.sum("revenue").over(w).cast("decimal(24,3)") / _units(F.sum(weight).over(w)), digits),
     })
 
 

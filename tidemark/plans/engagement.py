@@ -37,7 +37,7 @@ def retention_nday(t):
 
 @query("""WITH f AS (SELECT user_id, min(cast(ts AS DATE)) AS d0 FROM events GROUP BY 1),
                s AS (SELECT cast((cast(ts AS DATE) - d0) // 7 AS BIGINT) AS period, count(DISTINCT user_id) AS users FROM events JOIN f USING (user_id) GROUP BY 1)
-          SELECT period, users, round((users - lag(users) OVER (ORDER BY period)) / lag(users) OVER (ORDER BY period), 2) AS churn_rate, round(users / (SELECT users FROM s WHERE period = 0), 2) AS share_of_first FROM s""")
+          SELECT period, users, cast(round(cast((users - lag(users) OVER (ORDER BY period)) / lag(users) OVER (ORDER BY period) AS DECIMAL(38,9)), 2) AS DOUBLE) AS churn_rate, cast(round(cast(users / (SELECT users FROM s WHERE period = 0) AS DECIMAL(38,9)), 2) AS DOUBLE) AS share_of_first FROM s""")
 def retention_curve(t):
     return E.retention_curve(t.events, "user_id", "ts")
 

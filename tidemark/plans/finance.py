@@ -101,19 +101,22 @@ def cohort_ltv(t):
 
 @query("""WITH w AS (SELECT cast(date_trunc('month', o_orderdate) AS DATE) AS month, c_mktsegment AS segment, count(DISTINCT o_custkey) AS users, cast(sum(cast(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS rev FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2),
                c AS (SELECT cast(date_trunc('month', l_shipdate) AS DATE) AS month, cast(sum(cast(l_tax AS DECIMAL(14,2))) AS DOUBLE) AS tax, cast(sum(cast(l_discount AS DECIMAL(14,2))) AS DOUBLE) AS disc FROM lineitem WHERE year(l_shipdate) < 2001 GROUP BY 1),
-               s AS (SELECT month, segment, users, round(rev, 3) AS revenue, round(coalesce(tax, 0.0) / sum(users) OVER (PARTITION BY month) * users, 3) AS cost_tax, round(coalesce(disc, 0.0) / sum(users) OVER (PARTITION BY month) * users, 3) AS cost_disc FROM w LEFT JOIN c USING (month))
-          SELECT month, segment, users, cost_tax, cost_disc, round(cost_tax + cost_disc, 3) AS total_cost, round((cost_tax + cost_disc) / users, 3) AS cost_per_unit, revenue, round(revenue / users, 3) AS rev_per_user_segment,
-                 round(cast(sum(cast(revenue AS DECIMAL(20,3))) OVER (PARTITION BY month) AS DOUBLE) / sum(users) OVER (PARTITION BY month), 3) AS rev_per_user FROM s""")
+               s AS (SELECT month, segment, users, cast(round(cast(rev AS DECIMAL(38,9)), 3) AS DOUBLE) AS revenue, cast(round(cast(coalesce(tax, 0.0) * users / sum(users) OVER (PARTITION BY month) AS DECIMAL(38,9)), 3) AS DOUBLE) AS cost_tax,
+                            cast(round(cast(coalesce(disc, 0.0) * users / sum(users) OVER (PARTITION BY month) AS DECIMAL(38,9)), 3) AS DOUBLE) AS cost_disc FROM w LEFT JOIN c USING (month))
+          SELECT month, segment, users, cost_tax, cost_disc, cast(round(cast(cost_tax + cost_disc AS DECIMAL(38,9)), 3) AS DOUBLE) AS total_cost, cast(round(cast((cost_tax + cost_disc) / users AS DECIMAL(38,9)), 3) AS DOUBLE) AS cost_per_unit, revenue,
+                 cast(round(cast(revenue / users AS DECIMAL(38,9)), 3) AS DOUBLE) AS rev_per_user_segment,
+                 cast(round(cast(cast(sum(cast(revenue AS DECIMAL(20,3))) OVER (PARTITION BY month) AS DOUBLE) / sum(users) OVER (PARTITION BY month) AS DECIMAL(38,9)), 3) AS DOUBLE) AS rev_per_user FROM s""")
 def cost_allocation(t):
     month = F.trunc("o_orderdate", "month").alias("month")
     # one row per month, segment and customer first, so that the users are counted without a wide distinct
     per = t.orders.groupBy(month, "o_custkey").agg(F.sum(money("o_totalprice")).alias("rev")).join(
         t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment")), "o_custkey")
-    seg = per.groupBy("month", "segment").agg(F.count("*").alias("users"), F.sum("rev").cast("double").alias("revenue"))
+    seg = per.groupBy("month", "segment").agg(F.count("*").alias("users"), F.sum("rev").alias("revenue"))
     cost = t.lineitem.filter("l_shipdate < '2001-01-01'").groupBy(F.trunc("l_shipdate", "month").alias("month"))
-    costs = {"tax": cost.agg(F.sum(money("l_tax")).cast("double").alias("cost")), "disc": cost.agg(F.sum(money("l_discount")).cast("double").alias("cost"))}
+    costs = {"tax": cost.agg(F.sum(money("l_tax")).alias("cost")), "disc": cost.agg(F.sum(money("l_discount")).alias("cost"))}
     out = B.allocate(seg.drop("revenue"), costs, "month", "users")
-    return B.new_user_profit(out, seg.drop("users"), ["month", "segment"], "month", "users")
+    out = B.new_user_profit(out, seg.drop("users"), ["month", "segment"], "month", "users")
+    return out.withColumns({c: F.col(c).cast("double") for c in out.columns if c not in ("month", "segment", "users")})
 
 
 @query("""WITH b AS (SELECT l_returnflag AS acct, cast(l_shipdate AS DATE) AS snap, l_linestatus AS kind, l_suppkey % 10 AS product, cast(l_tax AS DECIMAL(14,2)) AS cost FROM lineitem WHERE l_returnflag IN ('A', 'R')),

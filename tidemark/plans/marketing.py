@@ -44,7 +44,7 @@ def campaign_fact(t):
         F.count_if(F.col("event_type") == "view").alias("views"), F.sum(money("value")).cast("double").alias("revenue"))
 
 
-@query("""WITH p AS (SELECT l_partkey AS ad, l_returnflag AS age_group, max(cast(l_quantity AS BIGINT)) AS clicks, round(max(cast(l_extendedprice * 1000 AS BIGINT)) / 1e6, 2) AS spend, cast(sum(l_linenumber) AS BIGINT) AS impressions FROM lineitem GROUP BY 1, 2)
+@query("""WITH p AS (SELECT l_partkey AS ad, l_returnflag AS age_group, max(cast(l_quantity AS BIGINT)) AS clicks, cast(round(cast(max(cast(round(l_extendedprice * 1000) AS BIGINT)) / 1e6 AS DECIMAL(38,9)), 2) AS DOUBLE) AS spend, cast(sum(l_linenumber) AS BIGINT) AS impressions FROM lineitem GROUP BY 1, 2)
           SELECT ad, age_group, clicks, spend, impressions, p_name AS status, s_name AS video FROM p LEFT JOIN part ON p_partkey = ad LEFT JOIN supplier ON s_suppkey = ad""")
 def ads_fact(t):
     stats = t.lineitem.select(F.col("l_partkey").alias("ad"), F.col("l_returnflag").alias("age_group"), F.col("l_quantity").cast("bigint").alias("clicks"),

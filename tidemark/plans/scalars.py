@@ -84,7 +84,7 @@ def scale_by_decimals(t):
     return t.part.select("p_partkey", M.scale_units(F.col("p_size") * 1000000, decimals).alias("units"))
 
 
-@query("SELECT p_brand, round(max(p_size * 1234567) / 1e6, 2) AS units FROM part GROUP BY 1")
+@query("SELECT p_brand, cast(round(cast(max(p_size * 1234567) / 1e6 AS DECIMAL(38,9)), 2) AS DOUBLE) AS units FROM part GROUP BY 1")
 def micros_to_units(t):
     return t.part.groupBy("p_brand").agg(M.from_micros(F.max(F.col("p_size") * 1234567)).alias("units"))
 
