@@ -73,10 +73,11 @@ def expect_agg_between(t):
     return out[0].union(out[1]).union(out[2])
 
 
-@query("""SELECT user_id, 'mean' AS agg, round(avg(value), 4) AS value FROM events GROUP BY 1 HAVING NOT (avg(value) BETWEEN 45 AND 55)
+@query("""SELECT user_id, 'mean' AS agg, cast(round(cast(cast(sum(cast(value AS DECIMAL(14,2))) AS DOUBLE) / count(*) AS DECIMAL(38,12)), 6) AS DOUBLE) AS value FROM events GROUP BY 1 HAVING NOT (avg(value) BETWEEN 45 AND 55)
           UNION ALL SELECT user_id, 'median', round(median(value), 4) FROM events GROUP BY 1 HAVING NOT (median(value) BETWEEN 30 AND 40)""")
 def expect_mean_median_between(t):
-    mean = X.expect_agg_between(t.events, "mean", "value", 45, 55, "user_id").select("user_id", F.lit("mean").alias("agg"), F.round("value", 4).alias("value"))
+    exact = t.events.select("user_id", money("value").alias("value"))
+    mean = X.expect_agg_between(exact, "mean", "value", 45, 55, "user_id").select("user_id", F.lit("mean").alias("agg"), F.col("value").cast("double").alias("value"))
     return mean.union(X.expect_agg_between(t.events, "median", "value", 30, 40, "user_id").select("user_id", F.lit("median"), F.round("value", 4)))
 
 

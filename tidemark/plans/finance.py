@@ -17,14 +17,14 @@ def order_day():
     return F.to_date("o_orderdate")
 
 
-@query("""SELECT event_id, user_id, 'item_' || json_extract_string(props, '$.k') AS product, cast(floor(value) * 1000000 AS BIGINT) / 1e6 AS amount, CASE WHEN user_id % 2 = 0 THEN 'odyssey' ELSE 'atlas' END AS app FROM events WHERE event_type = 'purchase'""")
+@query("""SELECT event_id, user_id, 'item_' || json_extract_string(props, '$.k') AS product, cast(floor(value) * 1000000 AS BIGINT) / 1e6 AS amount, CASE WHEN user_id % 2 = 0 THEN 'even_app' ELSE 'odd_app' END AS app FROM events WHERE event_type = 'purchase'""")
 def iap_events(t):
     from ..functions.nested import event_param
     from .scalars import with_params
 
     name = F.concat(F.lit("item_"), event_param("event_params", "k", "int_value"))
     micros = F.floor(event_param("event_params", "value", "double_value")) * 1000000
-    return B.purchases(with_params(t.events), "event_type", "purchase", ["event_id", "user_id"], name, micros, F.when(F.col("user_id") % 2 == 0, "odyssey").otherwise("atlas"))
+    return B.purchases(with_params(t.events), "event_type", "purchase", ["event_id", "user_id"], name, micros, F.when(F.col("user_id") % 2 == 0, "even_app").otherwise("odd_app"))
 
 
 COUNTRY_DAYS = """o AS (SELECT cast(date_trunc('month', o_orderdate) AS DATE) AS month, n_name AS country, substr(o_orderpriority, 1, 1) AS channel, cast(o_totalprice AS DECIMAL(14,2)) AS revenue, o_orderkey, o_custkey, o_orderdate
