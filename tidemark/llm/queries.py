@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import decontaminate, mixing, quality_rules, sharding, simhash
+from . import decontaminate, mixing, quality_rules, sharding, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of each document without windows of 20 words that occurred before."""
+    kept = substrings.without_repeats(_read(spark, sf_dir, "documents"), window=20)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of 150 % of all words takes of each document, sources weighing 5, 2, 1 in turn."""
