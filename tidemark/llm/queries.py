@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import decontaminate, mixing, quality_rules, sharding, simhash, substrings
+from . import decontaminate, licenses, mixing, quality_rules, sharding, simhash, substrings, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +63,18 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forty shards of near-equal bytes."""
     placed = sharding.kd_shards(_read(spark, sf_dir, "documents"), shards=40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and covered licence wording of each document."""
+    found = licenses.scan_licenses(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict per page: the rules, else the reputation of the host from the outcomes labelled under the page's id."""
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
+    outcomes = _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return urls.filter_urls(_read(spark, sf_dir, "pages"), outcomes).select("page_id", "host", "path", "rule", "verdict")
