@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import decontaminate, licenses, mixing, quality_rules, sharding, simhash, substrings, urls
+from . import decontaminate, licenses, mixing, quality_rules, sharding, simhash, substrings, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document by the lexicon and weights learned from two thirds of the labelled ones."""
+    return toxicity.score_toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left of each document without windows of 20 words that occurred before."""
