@@ -16,18 +16,16 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .parcels import PARCEL, batch_name, frame, parcel, parcels
 from .shared import WordHash, buckets_for, pack_gaps, pack_low, row_key, texts, unpack_gaps, unpack_low, word_total
 
 WINDOW = 20
 BATCH_WORDS = 1_500_000
 BUCKET_ENTRIES = 4_000_000
 LOW = 5  # bytes of an anchor's hash beyond its bucket; a false match only adds a candidate
-PARCEL = "bucket int, batch bigint, docs binary, places binary, hashes binary, flags binary"
 RESULT = "did bigint, th bigint, places binary"
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))  # odd multipliers of the two rolling hashes
 
@@ -50,11 +48,6 @@ class Batch:
             out = out * by + words[j : n + j]
         return out
 
-    def name(self, number: int) -> int:
-        """From task, number and content: a batch that were made anew of other rows would not pass for this one."""
-        own = f"{TaskContext.get().partitionId()} {number} ".encode()
-        return int(np.uint64(xxhash.xxh64_intdigest(own + self.dids.tobytes() + self.ths.tobytes())).view(np.int64))
-
 
 def _batches(parts: Iterator[pa.RecordBatch], most: int, extra: str | None = None) -> Iterator[Batch]:
     hasher, dids, ths, hashes, more, n = WordHash(), [], [], [], [], 0
@@ -82,32 +75,12 @@ def _groups(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, fresh
 
 
-def _parcels(batch: int, places: np.ndarray, hashes: np.ndarray, buckets: int, rest: Callable[[np.ndarray], dict]) -> list[dict]:
-    """Rows for the buckets of the entries; ``places`` rise."""
-    bucket = (hashes % np.uint64(buckets)).astype(np.uint16 if buckets < 2**16 else np.int64)
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.concatenate([[0], np.nonzero(np.diff(bucket[order]))[0] + 1, [len(order)]])
-    rows = []
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        mine = order[a:b]
-        if len(mine):
-            rows.append({"bucket": int(bucket[mine[0]]), "batch": batch, "docs": None, "places": pack_gaps(places[mine]), "hashes": None, "flags": None} | rest(mine))
-    return rows
-
-
 def _own(batch: Batch, name: int, places: np.ndarray, buckets: int) -> dict:
     """The row that goes back to the batch itself: its documents and the places settled within it."""
-    docs = np.concatenate([batch.dids, batch.ths, batch.starts]).tobytes()
-    return {"bucket": -1 - name % buckets, "batch": name, "docs": docs, "places": pack_gaps(places), "hashes": None, "flags": None}
-
-
-def _frame(rows: list[dict]) -> pa.RecordBatch:
-    names = ["bucket", "batch", "docs", "places", "hashes", "flags"]
-    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
-    return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], k) for n, k in zip(names, kinds)], names)
+    return parcel(-1 - name % buckets, name, docs=np.concatenate([batch.dids, batch.ths, batch.starts]).tobytes(), places=pack_gaps(places))
 
 
-def _return(parcels: DataFrame, settle: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
+def _return(sent: DataFrame, settle: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
     """Settle each bucket, bring the found places back to their batch and list them by document."""
     def bucket(pdf: pd.DataFrame) -> pd.DataFrame:
         if pdf["bucket"].iloc[0] < 0:  # a batch's own rows pass through
@@ -126,7 +99,7 @@ def _return(parcels: DataFrame, settle: Callable[[pd.DataFrame], pd.DataFrame])
         at = np.array([d for d, _ in found], np.int64)
         return pd.DataFrame({"did": dids[at], "th": ths[at], "places": [p for _, p in found]})
 
-    answers = parcels.groupBy("bucket").applyInPandas(bucket, "batch bigint, docs binary, places binary")
+    answers = sent.groupBy("bucket").applyInPandas(bucket, "batch bigint, docs binary, places binary")
     return answers.groupBy("batch").applyInPandas(batch, RESULT)
 
 
@@ -137,7 +110,7 @@ def anchor_hits(docs: DataFrame, buckets: int, block: int, least: int) -> DataFr
     """
     def run(parts):
         for number, b in enumerate(_batches(parts, BATCH_WORDS)):
-            name = b.name(number)
+            name = batch_name(number, b.dids, b.ths)
             h = b.rolling(b.words, block, MIX[0])
             at = np.nonzero(b.left[: len(h)] >= block)[0]
             anchor = (at - b.starts[b.doc[at]]) % block == 0
@@ -152,8 +125,8 @@ def anchor_hits(docs: DataFrame, buckets: int, block: int, least: int) -> DataFr
             flag[order[fresh]] = is_anchor
             hashes, flags = h[at[sent]], flag[sent]
             low = hashes // np.uint64(buckets)
-            rows = _parcels(name, at[sent], hashes, buckets, lambda i, low=low, flags=flags: {"hashes": pack_low(low[i], LOW), "flags": np.packbits(flags[i]).tobytes()})
-            yield _frame([*rows, _own(b, name, settled, buckets)])
+            rows = parcels(name, at[sent], hashes, buckets, lambda i, low=low, flags=flags: {"hashes": pack_low(low[i], LOW), "flags": np.packbits(flags[i]).tobytes()})
+            yield frame([*rows, _own(b, name, settled, buckets)])
 
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
         low = [unpack_low(x, LOW) for x in pdf["hashes"]]
@@ -178,7 +151,7 @@ def repeated_windows(docs: DataFrame, buckets: int, window: int, block: int) ->
     """
     def run(parts):
         for number, b in enumerate(_batches(parts, BATCH_WORDS, "places")):
-            name = b.name(number)
+            name = batch_name(number, b.dids, b.ths)
             hit = np.zeros(len(b.words) + 1, np.int64)
             for s, p in zip(b.starts, b.extra):
                 hit[s + unpack_gaps(p)] = 1
@@ -196,8 +169,8 @@ def repeated_windows(docs: DataFrame, buckets: int, window: int, block: int) ->
             settled = np.sort(at[order[later]])
             sent = np.sort(order[~later])
             o, t, d, p = one[sent], two[sent], did[sent], pos[sent]
-            rows = _parcels(name, at[sent], o, buckets, lambda i, o=o, t=t, d=d, p=p: {"hashes": np.concatenate([o[i], t[i]]).tobytes(), "flags": d[i].tobytes() + p[i].tobytes()})
-            yield _frame([*rows, _own(b, name, settled, buckets)])
+            rows = parcels(name, at[sent], o, buckets, lambda i, o=o, t=t, d=d, p=p: {"hashes": np.concatenate([o[i], t[i]]).tobytes(), "flags": d[i].tobytes() + p[i].tobytes()})
+            yield frame([*rows, _own(b, name, settled, buckets)])
 
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
         one, two = np.concatenate([np.frombuffer(x, np.uint64).reshape(2, -1) for x in pdf["hashes"]], axis=1)
