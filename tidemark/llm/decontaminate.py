@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .fm_index import FMIndex
-from .shared import ALNUM, row_key, table, texts
+from .shared import ALNUM, table, texts, whole_row
 
 WINDOW = 13
 SHARD_SYMBOLS = 1_000_000  # indexed words of a shard
@@ -112,7 +112,7 @@ def _pass(docs: DataFrame, phrases: Phrases) -> DataFrame:
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, item: str = "item_id", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``(doc_id, did, th, n_words, spans, items)`` per row of ``docs``.
+    """``(__did, __row, doc_id, n_words, spans, items)`` per row of ``docs``.
 
     Words are runs of ASCII letters and digits and any other non-ASCII characters, lower-cased in A-Z. Every
     ``window`` consecutive words of an item, or all words of a shorter one, are a phrase. ``spans`` are the merged
@@ -126,7 +126,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, item: str = "item_
     A null or empty text has no words; a null item text has no phrases; a null item id counts as the item ``''``;
     items that share an id are one item. Repeated rows are judged alike. Empty tables give no rows or no hits.
     """
-    keyed = docs.select(F.col("doc_id"), *row_key(), F.col("text").cast("string").alias("text"))
+    keyed = docs.select(*whole_row(docs), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
     sized = table(items.withColumn("size", F.octet_length("text") + 64), "benchmark")
     before = F.sum("size").over(Window.orderBy("item", "text").rowsBetween(Window.unboundedPreceding, -1))
@@ -145,10 +145,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, item: str = "item_
     more = passes[1].filter("size(spans) > 0")
     for p in passes[2:]:
         more = more.union(p.filter("size(spans) > 0"))
-    joined = more.groupBy("did", "th").agg(
+    joined = more.groupBy("__did", "__row").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("m_spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("m_items")
     )
-    both = first.join(joined, ["did", "th"], "left")
+    both = first.join(joined, ["__did", "__row"], "left")
     spans = F.array_sort(F.concat("spans", F.coalesce("m_spans", F.array().cast("array<struct<start:int,stop:int>>"))))
     merged = F.expr(
         "aggregate(all_spans, cast(array() AS array<struct<start:int,stop:int>>), (a, s) -> if(size(a) > 0 AND s.start <= element_at(a, -1).stop,"
@@ -162,3 +162,9 @@ def contaminated(found: DataFrame) -> DataFrame:
     """Add ``n_hit`` (words inside spans) and ``contaminated``: some hit, and a twentieth of the words or more."""
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["stop"] - s["start"])
     return found.withColumn("n_hit", n_hit).withColumn("contaminated", F.expr("n_hit > 0 AND 20 * n_hit >= n_words"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, unchanged."""
+    out = contaminated(find_contamination(docs, benchmark, window=window)).filter("contaminated").select("__did", "__row")
+    return docs.select(*whole_row(docs), "*").join(out, ["__did", "__row"], "left_anti").select(*docs.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import table, whole_row
 
 # Rules: a document fails if the measure lies beyond the cutoff; cutoffs are listed from harmless to strict.
 # (measure as SQL over the features, "above" or "below", candidate cutoffs)
@@ -50,7 +50,7 @@ def _covered() -> Column:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """One row of text measures per row of ``docs``: ``doc_id, th, stratum`` and the counts the rules use.
+    """One row of text measures per row of ``docs``: ``__did, __row, doc_id, stratum`` and the counts the rules use.
 
     Words are what lies between ASCII white space; a null or empty text has none and all its counts are 0.
     ``stratum`` is the document's ``lang`` (``?`` where it is null or there is no such column). Everything is
@@ -61,7 +61,7 @@ def features(docs: DataFrame) -> DataFrame:
     has_word = lambda x: F.length(F.btrim(x, F.lit(BLANKS))) > 0
     code = lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).bitwiseAND(F.lit(-(2**24))).bitwiseOR(i.cast("bigint"))
     out = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("th"), lang.alias("stratum"),
+        *whole_row(docs), F.col("doc_id").cast("bigint").alias("doc_id"), lang.alias("stratum"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"),
     )
     out = out.withColumn("bare", F.btrim("t", F.lit(BLANKS)))
@@ -71,7 +71,7 @@ def features(docs: DataFrame) -> DataFrame:
     out = out.withColumn("p", F.when(F.col("n") > 3, _adjacent_repeats()).otherwise(F.array().cast("array<int>")))
     out = out.withColumn("lines", F.filter(F.split("t", "\n"), has_word))
     return out.select(
-        "doc_id", "th", "stratum", F.col("n").cast("bigint").alias("n_words"),
+        "__did", "__row", "doc_id", "stratum", F.col("n").cast("bigint").alias("n_words"),
         (F.length("t") - gone(BLANKS)).cast("bigint").alias("word_chars"),
         gone("#*$%&|<>").cast("bigint").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
@@ -142,3 +142,9 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, rate: float = RATE, con
         broken = broken | c
     judged = feats.join(cuts, F.col("stratum") == F.col("s"), "left")
     return judged.withColumn("base_failed", base_failed()).withColumn("kept", ~(F.col("base_failed") | broken)).select(*feats.columns, "base_failed", "kept")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, rate: float = RATE, confidence: float = 0.95) -> DataFrame:
+    """The rows of ``docs`` that are kept, unchanged."""
+    out = quality_verdicts(docs, labels, rate, confidence).filter(~F.col("kept")).select("__did", "__row")
+    return docs.select(*whole_row(docs), "*").join(out, ["__did", "__row"], "left_anti").select(*docs.columns)

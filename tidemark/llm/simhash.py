@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import row_key, table, texts
+from .shared import attach, table, texts, whole_row
 
 HALF = 32  # bits of a segment: two segments, so that of 3 differing bits one segment has at most one
 # Members of a signature that are compared directly in one task. Larger groups are cut by signatures of the other half.
@@ -37,14 +37,16 @@ def fingerprint(text: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``(doc_id, th, fp)`` per row: the text's 64-bit hash and its fingerprint as a signed bigint."""
+    """``(__did, __row, doc_id, fp)`` per row: its key, its id and the fingerprint as a signed bigint."""
+    names = ["__did", "__row", "doc_id"]
+
     def run(batches):
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in texts(b)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(fp)], ["doc_id", "th", "fp"])
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(fp)], [*names, "fp"])
 
-    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_key()[1], F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id bigint, th bigint, fp bigint")
+    narrow = docs.select(*whole_row(docs), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return narrow.mapInArrow(run, "__did bigint, __row bigint, doc_id bigint, fp bigint")
 
 
 def near_groups(prints: np.ndarray, most: int) -> np.ndarray:
@@ -140,19 +142,25 @@ def near_edges(prints: DataFrame, most: int = 3, direct: int = DIRECT) -> DataFr
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, most: int = 3, direct: int = DIRECT) -> DataFrame:
-    """``(doc_id, th, fp, fingerprint, component_id)`` per row of ``docs`` (columns ``doc_id``, ``text``).
+    """``(__did, __row, doc_id, fp, root, fingerprint, component_id)`` per row of ``docs`` (columns ``doc_id``, ``text``).
 
     Fingerprints are linked when they differ in at most ``most`` bits; ``component_id`` is the smallest doc_id
     that can be reached over links, the row's own included. A null or empty text has fingerprint zero and is
     linked like any other. Texts of up to ``shingle`` words are one shingle. Repeated rows and equal texts share
     a fingerprint and so a group. A null doc_id keeps its row and never becomes a component_id unless its whole
-    group has none. Other columns are not read; an empty table gives no rows.
+    group has none. Other columns only help to tell rows apart; an empty table gives no rows.
     """
     prints = table(fingerprints(docs, shingle), "simhash")
     firsts = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(near_edges(prints, most, direct)).select(F.col("node").alias("fp"), "root")
     firsts = firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     group = firsts.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = firsts.join(group, "root").select("fp", "component_id")
+    named = firsts.join(group, "root").select("fp", "root", "component_id")
     return prints.join(named, "fp").withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0"))).select(
-        "doc_id", "th", "fp", "fingerprint", "component_id")
+        "__did", "__row", "doc_id", "fp", "root", "fingerprint", "component_id")
+
+
+def one_per_group(docs: DataFrame, shingle: int = 3, most: int = 3) -> DataFrame:
+    """The documents without near-duplicates: of each group the row with the smallest doc_id (null last), then the smallest row hash."""
+    groups = simhash_groups(docs, shingle, most).groupBy("root").agg(F.min(F.struct("__did", "__row")).alias("r"))
+    return attach(docs, groups.select("r.*")).select(*docs.columns)
