@@ -75,6 +75,12 @@ def _groups(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, fresh
 
 
+def _runs(values: np.ndarray) -> bytes:
+    """Values and lengths of the runs of equal neighbours."""
+    first = np.concatenate([[0], np.nonzero(np.diff(values))[0] + 1])
+    return np.concatenate([values[first], np.diff(np.append(first, len(values)))]).astype(np.int64).tobytes()
+
+
 def _own(batch: Batch, name: int, places: np.ndarray, buckets: int) -> dict:
     """The row that goes back to the batch itself: its documents and the places settled within it."""
     return parcel(-1 - name % buckets, name, docs=np.concatenate([batch.dids, batch.ths, batch.starts]).tobytes(), places=pack_gaps(places))
@@ -174,7 +180,8 @@ def repeated_windows(docs: DataFrame, buckets: int, window: int, block: int) ->
 
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
         one, two = np.concatenate([np.frombuffer(x, np.uint64).reshape(2, -1) for x in pdf["hashes"]], axis=1)
-        did, pos = np.concatenate([np.frombuffer(x, np.int64).reshape(2, -1) for x in pdf["flags"]], axis=1)
+        did = np.concatenate([np.repeat(*np.frombuffer(x, np.int64).reshape(2, -1)) for x in pdf["docs"]])
+        pos = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["flags"]])
         row = np.repeat(np.arange(len(pdf)), [len(x) // 16 for x in pdf["hashes"]])
         _, fresh = _groups([one, two])
         order = np.lexsort([pos, did, two, one])
@@ -203,13 +210,15 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, buckets: int | None =
     assert window >= 3
     block = (window + 1) // 2  # 2 * block - 1 <= window: any window holds a whole block
     buckets = buckets or buckets_for(word_total(docs), BUCKET_ENTRIES)
-    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *row_key(), F.col("text").cast("string").alias("text"))
-    hits = anchor_hits(keyed.select("did", "th", "text"), buckets, block, window).groupBy("did", "th").agg(F.first("places").alias("places"))
+    # Both joins below read the texts with the same columns, so that they share one shuffle of them.
+    keyed = docs.select(*row_key(), F.col("text").cast("string").alias("text"))
+    hits = anchor_hits(keyed, buckets, block, window).groupBy("did", "th").agg(F.first("places").alias("places"))
     suspects = keyed.join(hits, ["did", "th"]).select("did", "th", "text", "places")
     repeats = repeated_windows(suspects, buckets, window, block).groupBy("did", "th").agg(F.first("places").alias("places"))
-    return keyed.join(repeats, ["did", "th"], "left").select("doc_id", "did", "th", "text", "places").mapInArrow(
-        lambda parts: _removed(parts, window), "doc_id bigint, did bigint, th bigint, n_words bigint, n_removed bigint, spans array<struct<start:int,stop:int>>, kept_text string"
+    out = keyed.join(repeats, ["did", "th"], "left").select("did", "th", "text", "places").mapInArrow(
+        lambda parts: _removed(parts, window), "did bigint, th bigint, n_words bigint, n_removed bigint, spans array<struct<start:int,stop:int>>, kept_text string"
     )
+    return out.select(F.when(F.col("did") < 2**63 - 1, F.col("did")).alias("doc_id"), *out.columns)
 
 
 def _removed(parts: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -229,5 +238,5 @@ def _removed(parts: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
             n_removed.append(sum(m["stop"] - m["start"] for m in mine))
             spans.append(mine)
             kept.append(b" ".join(words).decode())
-        arrays = [b.column("doc_id"), b.column("did"), b.column("th"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, pa.list_(span)), pa.array(kept, pa.string())]
-        yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "did", "th", "n_words", "n_removed", "spans", "kept_text"])
+        arrays = [b.column("did"), b.column("th"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, pa.list_(span)), pa.array(kept, pa.string())]
+        yield pa.RecordBatch.from_arrays(arrays, ["did", "th", "n_words", "n_removed", "spans", "kept_text"])
