@@ -122,7 +122,8 @@ def kd_shards(docs: DataFrame, shards: int = SHARDS, dims: tuple[str, ...] = DIM
     rows = table(rows.drop(*[f"__{d}" for d in dims]), "shard-rows")
     total = rows.agg(F.sum("size").alias("s")).first()["s"] or 0
     least = [F.min(f"dim{i}").alias(f"dim{i}") for i in range(len(dims))]
-    groups = rows.groupBy("th").agg(F.sum("size").alias("bytes"), *least)
+    # Written, so that the join has a plain shuffle on either side, of which adaptive execution can split a large group.
+    groups = table(rows.groupBy("th").agg(F.sum("size").alias("bytes"), *least), "shard-groups")
     keyed = rows.drop(*[f"dim{i}" for i in range(len(dims))]).join(groups, "th")
     pieces = F.ceil(F.col("bytes") / max(1.0, WHOLE * total / shards))
     keyed = keyed.withColumn("piece", F.pmod(F.xxhash64("__did", "__row"), pieces))

@@ -59,7 +59,8 @@ def _strength(groups: DataFrame) -> float:
     """Strength of the beta prior, by moments: how little the groups' shares of bad pages differ beyond chance.
 
     ``groups`` has ``n``, ``bad`` and the parent's mean ``m``. Only sums over all groups are needed. Weights are
-    n - 1, so a group seen once tells nothing about the spread. At most 1000 (no spread at all).
+    n - 1, so a group seen once tells nothing about the spread. Between 2 pages (a single page never decides) and
+    1000 (no spread at all).
     """
     r = groups.filter("n > 1").agg(
         F.sum("n").alias("n"), F.sum(F.expr("bad * (n - bad) / (n - 1)")).alias("inside"), F.sum(F.expr("n * m * (1 - m)")).alias("total"), F.count("*").alias("k")
@@ -69,7 +70,7 @@ def _strength(groups: DataFrame) -> float:
     # Within a group two pages differ with probability 2 q (1 - q); against 2 m (1 - m) over the parent this gives the correlation.
     inside = min(max(r["inside"] / r["total"], 0.0), 1.0)
     correlation = min(max(1 - inside, 1e-3), 1 - 1e-3)
-    return (1 - correlation) / correlation
+    return max(2.0, (1 - correlation) / correlation)
 
 
 def beta_tail(a: np.ndarray, b: np.ndarray, x: float) -> np.ndarray:
