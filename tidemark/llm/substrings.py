@@ -175,7 +175,7 @@ def repeated_windows(docs: DataFrame, buckets: int, window: int, block: int) ->
             settled = np.sort(at[order[later]])
             sent = np.sort(order[~later])
             o, t, d, p = one[sent], two[sent], did[sent], pos[sent]
-            rows = parcels(name, at[sent], o, buckets, lambda i, o=o, t=t, d=d, p=p: {"hashes": np.concatenate([o[i], t[i]]).tobytes(), "flags": d[i].tobytes() + p[i].tobytes()})
+            rows = parcels(name, at[sent], o, buckets, lambda i, o=o, t=t, d=d, p=p: {"hashes": np.concatenate([o[i], t[i]]).tobytes(), "docs": _runs(d[i]), "flags": p[i].astype(np.uint32).tobytes()})
             yield frame([*rows, _own(b, name, settled, buckets)])
 
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
