@@ -83,12 +83,30 @@ def test_asof_bounds_are_exclusive(frame):
         assert left.count() == 5
 
 
-@pytest.mark.parametrize("limit", [100, 0])
-def test_like_join_broadcast_and_grams_agree(frame, limit):
+def test_like_join(frame):
     df = frame([(1, "dungeon_fire_1"), (2, "ice"), (3, None), (4, "fire_ice")], "id int, code string")
-    d = frame([("fire", "F"), ("i_e", "I"), ("f%1", "X")], "name string, tag string")
-    out = J.like_join(df, d, "code", "name", broadcast_rows=limit)
-    assert rows(out.select("id", "tag")) == sorted([(1, "F"), (1, "I"), (1, "X"), (2, "I"), (3, None), (4, "F"), (4, "I")], key=repr)
+    d = frame([("fire", "F"), ("i_e", "I"), ("f%1", "X"), ("%", "any"), ("", "any2"), ("e", "E"), ("dungeon_fire", "long"), ("zz", "no")], "name string, tag string")
+    out = J.like_join(df, d, "code", "name")
+    want = df.join(d, F.expr("code LIKE concat('%', name, '%')"), "left")
+    assert rows(out.select("id", "tag")) == rows(want.select("id", "tag"))
+
+
+def test_like_join_of_a_large_dictionary(frame):
+    """More patterns than the old switch between two ways of joining."""
+    d = frame([(f"item{i}", i) for i in range(2500)] + [("%", -1), ("m1_", -2)], "name string, tag int")
+    df = frame([(i, f"x_item{i * 37}y") for i in range(60)], "id int, code string")
+    want = df.join(d, F.expr("code LIKE concat('%', name, '%')"), "left")
+    assert rows(J.like_join(df, d, "code", "name").select("id", "tag")) == rows(want.select("id", "tag"))
+
+
+def test_no_limit_on_values(frame):
+    from tidemark.operators.aggregates import as_dict, column_values, money
+
+    many = frame([(i,) for i in range(12_000)], "v int")
+    assert len(column_values(many, "v")) == len(as_dict(many)["v"]) == 12_000
+    with pytest.raises(ValueError):
+        column_values(many, "v", limit=1000)
+    assert frame([(1e14,), (2e14,)], "v double").agg(F.sum(money("v"))).first()[0] == 300_000_000_000_000
 
 
 def test_range_join_cuts_open_ends(frame):

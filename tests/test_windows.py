@@ -27,6 +27,31 @@ def skewed(frame):
     return frame(data, "k int, t int, id int, v int, w string")
 
 
+@pytest.fixture
+def gaps(skewed):
+    """Order values are missing on some rows, for the hot key and for others."""
+    return skewed.withColumn("t", F.when(F.col("id") % 7 != 0, F.col("t")))
+
+
+@pytest.mark.parametrize("hot", [3, 20, 150])
+@pytest.mark.parametrize("order", [["t", "id"], ["t"], ["id"]])
+def test_split_equals_plain_with_null_order(gaps, monkeypatch, hot, order):
+    """Nulls come first, in a bucket of their own; with one order column ties leave only the tie-free kinds."""
+    monkeypatch.setattr(W, "HOT_ROWS", hot)
+    data = gaps.withColumn("id", F.when(F.col("id") > 1, F.col("id"))) if order == ["id"] else gaps
+    data = data.dropDuplicates(["k", "id"]) if order == ["id"] else data
+    outputs = {k: OUTPUTS[k] for k in ("p", "r", "d")} if order == ["t"] else OUTPUTS
+    bucket = F.floor(F.col(order[0]) / 7)
+    assert rows(W.split_window(data, "k", order, bucket, outputs)) == rows(W.split_window(data, "k", order, None, outputs))
+
+
+def test_one_null_time_of_a_hot_key(frame, monkeypatch):
+    data = frame([(1, None, 5), (1, 1, 6), (1, 2, 7), (1, 3, 8)], "k int, t int, v int")
+    monkeypatch.setattr(W, "HOT_ROWS", 2)
+    out = W.split_window(data, "k", ["t"], F.col("t"), {"d": ("dense_rank", None), "b": ("lag", "v"), "l": ("last", "v")})
+    assert rows(out.select("v", "d", "b", "l")) == [(5, 1, None, 5), (6, 2, 5, 6), (7, 3, 6, 7), (8, 4, 7, 8)]
+
+
 @pytest.mark.parametrize("hot", [20, 150])
 @pytest.mark.parametrize("order", [["t", "id"], ["t"]])
 def test_split_equals_plain(skewed, monkeypatch, hot, order):
@@ -36,9 +61,16 @@ def test_split_equals_plain(skewed, monkeypatch, hot, order):
     assert rows(split) == rows(W.split_window(skewed, "k", order, None, outputs))
 
 
+def whole():
+    return Window.orderBy("t", "id")
+
+
 def test_split_without_keys(skewed):
     split = W.split_window(skewed, [], ["t", "id"], F.floor(F.col("t") / 5), OUTPUTS)
-    assert rows(split) == rows(W.split_window(skewed, [], ["t", "id"], None, OUTPUTS))
+    plain = {n: {"s": F.sum("v").over(whole().rowsBetween(W.FIRST_ROW, 0)), "p": F.sum("v").over(whole().rangeBetween(W.FIRST_ROW, 0)), "b": F.lag("v").over(whole()),
+                 "n": F.lead("v").over(whole()), "l": F.last("w", True).over(whole().rowsBetween(W.FIRST_ROW, 0)), "r": F.rank().over(whole()),
+                 "d": F.dense_rank().over(whole()), "rn": F.row_number().over(whole())}[n] for n in OUTPUTS}
+    assert rows(split) == rows(skewed.withColumns(plain)) == rows(W.split_window(skewed, [], ["t", "id"], None, OUTPUTS))
 
 
 def test_hot_keys_are_bounded(skewed):
@@ -54,7 +86,7 @@ def test_only_hot_keys_get_buckets(skewed, monkeypatch):
 
 
 def test_global_rank(skewed):
-    got = W.global_rank(skewed.filter("v IS NOT NULL"), "v", "id", buckets=5)
+    got = W.global_rank(skewed.filter("v IS NOT NULL"), "v", "id")
     want = skewed.filter("v IS NOT NULL").withColumn("ranking", F.row_number().over(Window.orderBy(F.desc("v"), "id")))
     assert rows(got.select("id", "ranking")) == rows(want.select("id", "ranking"))
 

@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import _c
 from ..functions.text import slugify_name
-from .windows import _cols, even_buckets, split_window
+from .windows import _cols, range_parts, split_window
 
 
 def money(col: str | Column, scale: int = 2) -> Column:
     """Exact decimal view of an amount, so that sums do not depend on the order of the rows.
 
-    Twelve digits keep products with a rate within the 18 digits that Spark holds as plain longs; an amount that
-    does not fit raises.
+    28 digits hold any amount a double can tell apart at this scale, and leave room for sums and for products with a
+    rate within the 38 digits of a decimal.
     """
-    return _c(col).cast(f"decimal(12,{scale})")
+    return _c(col).cast(f"decimal(28,{scale})")
 
 
 def conditional_sums(df: DataFrame, keys, col: str, values: list[str], measure: str | Column | None = None,
@@ -47,30 +47,36 @@ def string_agg_ordered(df: DataFrame, keys, value: str, order: str, sep: str, na
     return df.groupBy(*_cols(keys)).agg(F.array_join(F.transform(pairs, lambda p: p["v"]), sep).alias(name))
 
 
-def percentile_cont(df: DataFrame, col: str, q: float, by=(), name: str = "percentile", buckets: int = 64) -> DataFrame:
-    """Exact continuous percentile per group.
+def percentiles(df: DataFrame, col: str, qs: dict[str, float], by=()) -> DataFrame:
+    """Exact continuous percentiles ``name -> q`` per group, all from one ladder.
 
-    Equal values are counted together first; the counts are then run up bucket by bucket, so neither a hot
-    group nor the whole table is sorted or held by one task. The two neighbours of the target rank are
-    interpolated.
+    Equal values are counted together first; the counts are cut into ranges of (group, value) and run up range by
+    range, so neither a hot group nor the whole table is sorted or held by one task. The two neighbours of each
+    target rank are interpolated.
     """
     by = _cols(by)
     counts = df.filter(F.col(col).isNotNull()).groupBy(*by, F.col(col).cast("double").alias("__v")).agg(F.count("*").alias("__n"))
-    ladder = split_window(counts, by, ["__v"], even_buckets(df.select(F.col(col).alias("__v")), "__v", buckets),
-                          {"__upto": ("sum", "__n")})
+    counts = range_parts(counts, [*by, "__v"])
+    ladder = split_window(counts, by, ["__v"], F.col("__part"), {"__upto": ("sum", "__n")})
     totals = counts.groupBy(*by).agg(F.sum("__n").alias("__total"))
     if by:
         keyed = totals.select(*[F.col(k).alias(f"__k_{k}") for k in by], "__total")
         ladder = ladder.join(keyed, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in by])
     else:
         ladder = ladder.withColumn("__total", totals.scalar())
-    rank = F.lit(q) * (F.col("__total") - 1)
-    low, high = F.floor(rank) + 1, F.ceil(rank) + 1
-    holds = lambda r: (F.col("__upto") >= r) & (F.col("__upto") - F.col("__n") < r)
-    picked = ladder.withColumns({"__lo": F.when(holds(low), F.col("__v")), "__hi": F.when(holds(high), F.col("__v")),
-                                 "__frac": rank - F.floor(rank)}).filter("__lo IS NOT NULL OR __hi IS NOT NULL")
-    out = picked.groupBy(*by).agg(F.max("__lo").alias("__lo"), F.max("__hi").alias("__hi"), F.max("__frac").alias("__frac"))
-    return out.select(*by, (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.col("__frac")).alias(name))
+    holds = lambda r: (F.col("__upto") >= r) & (F.col("__upto") - F.col("__n") < r)
+    found, made = [], []
+    for i, (name, q) in enumerate(qs.items()):
+        rank = F.lit(q) * (F.col("__total") - 1)
+        low, high = F.max(F.when(holds(F.floor(rank) + 1), F.col("__v"))), F.max(F.when(holds(F.ceil(rank) + 1), F.col("__v")))
+        found += [low.alias(f"__lo{i}"), high.alias(f"__hi{i}"), F.max(rank - F.floor(rank)).alias(f"__f{i}")]
+        made.append((F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__f{i}")).alias(name))
+    return ladder.groupBy(*by).agg(*found).select(*by, *made)
+
+
+def percentile_cont(df: DataFrame, col: str, q: float, by=(), name: str = "percentile") -> DataFrame:
+    """One exact continuous percentile per group."""
+    return percentiles(df, col, {name: q}, by)
 
 
 def value_counts(df: DataFrame, col: str, n: int | None = None) -> DataFrame:
@@ -84,14 +90,14 @@ def nth_most_common(df: DataFrame, col: str, n: int) -> DataFrame:
     return df.groupBy(col).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.asc(col)).offset(n - 1).limit(1)
 
 
-def column_values(df: DataFrame, col: str, limit: int = 1000, where: str | None = None, default=None) -> list:
+def column_values(df: DataFrame, col: str, limit: int | None = None, where: str | None = None, default=None) -> list:
     """Distinct values on the driver, most frequent first, for building pivot columns.
 
-    More than ``limit`` values raise, since a column list is no place for unbounded data.
+    The list becomes columns of a plan, so its size is the caller's choice; a ``limit`` that is given and exceeded raises.
     """
     src = df.filter(where) if where else df
-    rows = value_counts(src, col, limit + 1).collect()
-    if len(rows) > limit:
+    rows = value_counts(src, col, limit + 1 if limit else None).collect()
+    if limit and len(rows) > limit:
         raise ValueError(f"{col} has more than {limit} distinct values")
     return [r[0] for r in rows] or ([] if default is None else default)
 
@@ -152,23 +158,9 @@ def single_value(df: DataFrame, default=None):
     return default if row is None else row[0]
 
 
-def as_dict(df: DataFrame, limit: int = 10_000) -> dict[str, list]:
-    """Column name to value list of a small result; a longer one raises instead of being cut."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
+def as_dict(df: DataFrame, limit: int | None = None) -> dict[str, list]:
+    """Column name to value list of a result that the driver is to hold; a ``limit`` that is given and exceeded raises."""
+    rows = (df.limit(limit + 1) if limit else df).collect()
+    if limit and len(rows) > limit:
         raise ValueError(f"result has more than {limit} rows")
     return {c: [r[c] for r in rows] for c in df.columns}
-
-
-def percentile_attribute(df: DataFrame, keys, col: str, q: float = 0.5, name: str = "median") -> DataFrame:
-    """The group's percentile as an attribute of each row."""
-    keys = _cols(keys)
-    stat = percentile_cont(df, col, q, keys, name)
-    other = stat.select(*[F.col(k).alias(f"__k_{k}") for k in keys], name)
-    return df.join(other, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys], "left").drop(*[f"__k_{k}" for k in keys])
-
-
-def share_of_total(df: DataFrame, keys, col: str, name: str = "share") -> DataFrame:
-    """Share of a measure within its group (for aggregated tables: one short window)."""
-    total = F.sum(col).over(Window.partitionBy(*_cols(keys)))
-    return df.withColumn(name, F.col(col).cast("double") / F.nullif(total.cast("double"), F.lit(0.0)))

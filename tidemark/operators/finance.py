@@ -60,16 +60,24 @@ def roas(revenue: DataFrame, cost: DataFrame, installs: DataFrame, keys: list[st
     return out.withColumn("total_revenue", total).withColumn("roas", safe_divide("total_revenue", "cost"))
 
 
-def cohort_ltv(revenue: DataFrame, cost: DataFrame, installs: DataFrame, retained: DataFrame, releases: DataFrame, cohort: str, dim: str, age: str) -> DataFrame:
-    """Revenue per cohort day, dimension and age, with the cohort's cost, installs, ROAS, retention and release."""
+def cohort_ltv(by_age: DataFrame, cost: DataFrame, installs: DataFrame, releases: DataFrame, cohort: str, dim: str, age: str) -> DataFrame:
+    """Revenue and retention per cohort day, dimension and age, with the cohort's cost, installs, ROAS and release.
+
+    ``by_age`` holds ``revenue`` and ``retained`` per cohort, dimension and age. Costs and installs are stacked and
+    summed to one row per cohort, so one full join is left. A cohort with cost or installs alone has age 0.
+    """
     keys = [cohort, dim]
-    rev = revenue.groupBy(*keys, age).agg(F.sum("revenue").alias("revenue"))
-    out = rev.join(cost, keys, "full_outer").join(installs, keys, "full_outer")
+    none = F.lit(None)
+    stacked = cost.select(*keys, F.col("cost").cast("double").alias("cost"), none.cast("bigint").alias("installs")).union(
+        installs.select(*keys, none.cast("double"), F.col("installs").cast("bigint")))
+    spent = stacked.groupBy(*keys).agg(F.sum("cost").alias("cost"), F.sum("installs").alias("installs"))
+    out = by_age.join(spent, keys, "full_outer")
     out = out.withColumns({age: F.coalesce(age, F.lit(0)), "revenue": F.coalesce("revenue", F.lit(0.0)), "cost": F.coalesce("cost", F.lit(0.0)),
                            "installs": F.coalesce("installs", F.lit(0))})
-    out = out.withColumn("roas", safe_divide("revenue", "cost")).join(retained, [*keys, age], "left")
+    out = out.withColumn("roas", safe_divide("revenue", "cost"))
     last = releases.withColumn("__to", F.date_sub("to_date", 1)).drop("to_date")
-    return range_join(out, last, cohort, "from_date", "__to", "left").drop("from_date", "__to")
+    cohorts = by_age.select(cohort).union(cost.select(cohort)).union(installs.select(cohort))
+    return range_join(out, last, cohort, "from_date", "__to", "left", dates=cohorts).drop("from_date", "__to")
 
 
 def _rounded(c: Column, digits: int) -> Column:
@@ -77,8 +85,8 @@ def _rounded(c: Column, digits: int) -> Column:
 
 
 def _units(c: Column) -> Column:
-    """A count as a short decimal, which leaves a quotient room for more than ten decimals before it is rounded."""
-    return c.cast("decimal(12,0)")
+    """A count (below 10^15) as a decimal, which leaves a quotient of costs room for eight decimals before it is rounded."""
+    return c.cast("decimal(15,0)")
 
 
 def allocate(weights: DataFrame, costs: dict[str, DataFrame], period: str, weight: str, digits: int = 3) -> DataFrame:

@@ -110,50 +110,45 @@ def asof_validity_join(events: DataFrame, versions: DataFrame, key: str, ts: str
     return out if how == "left" else out.filter(F.col("valid_from").isNotNull())
 
 
-def range_join(df: DataFrame, ranges: DataFrame, col: str, lo: str, hi: str, how: str = "inner") -> DataFrame:
+def range_join(df: DataFrame, ranges: DataFrame, col: str, lo: str, hi: str, how: str = "inner", dates: DataFrame | None = None) -> DataFrame:
     """Rows whose date lies between two dates (both included): ranges become days, then an equi join.
 
-    Open or far-off ends are first cut to the span of dates that occur, so a range never grows beyond it.
+    Open or far-off ends are first cut to the span of dates that occur, so a range never grows beyond it. ``dates``
+    may name a cheaper frame with the same column that covers the dates of ``df``.
     """
-    span = df.agg(F.min(col).alias("a"), F.max(col).alias("b"))
+    span = (df if dates is None else dates).agg(F.min(col).alias("a"), F.max(col).alias("b"))
     first, last = span.select("a").scalar(), span.select("b").scalar()
     cut = ranges.withColumns({"__lo": F.greatest(F.col(lo), first), "__hi": F.least(F.col(hi), last)})
     days = cut.filter("__lo <= __hi").withColumn("__day", F.explode(F.sequence("__lo", "__hi"))).drop("__lo", "__hi")
     return df.join(days, F.col(col) == F.col("__day"), how).drop("__day")
 
 
-def like_join(df: DataFrame, dictionary: DataFrame, col: str, pattern: str, how: str = "left",
-              broadcast_rows: int = 2000) -> DataFrame:
+GRAM = 8  # characters of a pattern's longest literal run that find its candidates
+
+
+def like_join(df: DataFrame, dictionary: DataFrame, col: str, pattern: str, how: str = "left") -> DataFrame:
     """Join on ``col LIKE '%' || pattern || '%'``, one row per match.
 
-    Matches are found once per distinct text. A dictionary counted at no more than ``broadcast_rows`` rows is
-    broadcast; a larger one is matched by an equi join on the first k characters of each pattern's longest
-    literal run (k = the shortest such run) and then verified.
+    Matches are found once per distinct text, at any size of the dictionary alike: each pattern is looked up by the
+    start of its own longest literal run (up to ``GRAM`` characters), texts are cut into grams of just the lengths
+    that occur, and the equi join's candidates are verified. A pattern without literal characters has the empty
+    gram, which every text has.
     """
     texts = df.select(F.col(col).alias("__text")).filter(F.col(col).isNotNull()).distinct()
     names = dictionary.select(F.col(pattern).alias("__name")).filter(F.col(pattern).isNotNull()).distinct()
-    verify = F.expr("__text LIKE concat('%', __name, '%')")
-    if names.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        pairs = texts.join(F.broadcast(names), verify, "inner")
-    else:
-        pairs = _gram_pairs(texts, names).filter(verify)
+    runs = F.split("__name", r"[%_\\\\]")
+    longest = F.reduce(runs, F.lit(""), lambda best, r: F.when(F.length(r) > F.length(best), r).otherwise(best))
+    names = names.withColumn("__gram", F.substring(longest, 1, GRAM))
+    lengths = [r[0] for r in names.select(F.length("__gram")).distinct().collect()]  # GRAM + 1 numbers at most
+    cut = lambda k: F.transform(F.sequence(F.lit(1), F.length("__text") - k + 1), lambda i: F.substr(F.col("__text"), i, F.lit(k)))
+    empty = F.array().cast("array<string>")
+    grams = [F.array(F.lit("")) if k == 0 else F.when(F.length("__text") >= k, cut(k)).otherwise(empty) for k in lengths]
+    candidates = texts.withColumn("__gram", F.explode(F.array_distinct(F.concat(empty, *grams))))
+    pairs = candidates.join(names, "__gram").filter(F.expr("__text LIKE concat('%', __name, '%')"))
     matched = pairs.select("__text", "__name").join(dictionary, F.col("__name") == F.col(pattern)).drop("__name")
     return df.join(matched, F.col(col) == F.col("__text"), how).drop("__text")
 
 
-def _gram_pairs(texts: DataFrame, names: DataFrame) -> DataFrame:
-    runs = F.split("__name", "[%_\\\\]")
-    longest = F.reduce(runs, F.lit(""), lambda best, r: F.when(F.length(r) > F.length(best), r).otherwise(best))
-    names = names.withColumn("__run", longest)
-    k = names.agg(F.min(F.length("__run"))).first()[0]
-    if not k:
-        raise ValueError("a pattern without literal characters matches every text; filter it out first")
-    names = names.withColumn("__gram", F.substring("__run", 1, k))
-    cut = F.transform(F.sequence(F.lit(1), F.length("__text") - k + 1), lambda i: F.substr(F.col("__text"), i, F.lit(k)))
-    grams = texts.filter(F.length("__text") >= k).withColumn("__gram", F.explode(F.array_distinct(cut)))
-    return grams.join(names, "__gram")
-
-
 def self_prev_join(df: DataFrame, keys, rank_col: str, ok: Column) -> DataFrame:
     """Rows whose previous rank (rank - 1) of the same key has no row with ``ok``."""
     keys = _cols(keys)

@@ -53,6 +53,21 @@ def daily_balances(transfers: DataFrame, sender: str, receiver: str, value: str,
     return running_sum(dense, ["party", *by], day, {"balance": "change"}, bucket=bucket)
 
 
+def watched_daily_balances(transfers: DataFrame, sender: str, receiver: str, value: str, wallets: DataFrame, by: list[str], day: str, start: str, until: str) -> DataFrame:
+    """Balance of every watched wallet (and token) on every day from ``start`` to ``until``.
+
+    ``wallets`` has a column ``party``. What moved before the start is the opening balance. Entries are cut to the
+    watched wallets and summed per day before the days are filled in; a hot wallet's running sum is split by day.
+    """
+    legs = ledger(transfers.filter(F.col(day) <= F.lit(until).cast("date")), sender, receiver, value, keep=[*by, day])
+    mine = legs.join(wallets.select("party").distinct(), "party", "left_semi")
+    keys = ["party", *by]
+    moves = mine.groupBy(*keys, F.greatest(F.col(day), F.lit(start).cast("date")).alias(day)).agg(F.sum("amount").alias("change"))
+    days = F.explode(F.sequence(F.lit(start).cast("date"), F.lit(until).cast("date")))
+    dense = moves.select(*keys).distinct().withColumn(day, days).join(moves, [*keys, day], "left").withColumn("change", F.coalesce("change", F.lit(0)))
+    return running_sum(dense, keys, day, {"balance": "change"}, bucket=F.trunc(day, "month"))
+
+
 def value_balances(held: DataFrame, daily: DataFrame, intraday: DataFrame, symbol: str, day: str, price: str, as_of_ts: str, amount: str = "balance") -> DataFrame:
     """Balances times the close of their day, or the newest intraday price where the day has no close."""
     newest = latest_per_key(intraday.select(symbol, as_of_ts, F.col(price).alias("__spot")), symbol, [as_of_ts]).drop(as_of_ts)

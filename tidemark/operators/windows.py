@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import _c
+from ..session import written
 
 FIRST_ROW = Window.unboundedPreceding
 CURRENT_ROW = Window.currentRow
@@ -43,9 +44,13 @@ def split_window(df: DataFrame, keys, order, bucket: Column | None, outputs: dic
     rows equal in order included), ``lag``, ``lead`` (neighbour row), ``last`` (latest non-null so far, the
     row itself included), ``rank``, ``dense_rank``, ``row_number`` (no column). ``bucket`` must be a function
     of the leading order column that rises with it and may be fine-grained, as it only serves hot keys; ``None``
-    runs a plain window, for keys known to be small. Without keys the whole table is one group and is always cut.
+    runs a plain window, for keys known to be small. Without keys the whole table is one group: with a bucket it
+    is always cut, without one it is cut into ranges of its order (``range_parts``). Rows without an order value
+    come first; a bucket of NULL holds them.
     """
     keys, order = _cols(keys), _cols(order)
+    if not keys and bucket is None:
+        return split_window(range_parts(df, order), keys, order, F.col("__part"), outputs).drop("__part")
     ins = {name: f"__in{i}" for i, name in enumerate(outputs)}
     counters = ("rank", "dense_rank", "row_number")
     base = df.withColumns({ins[n]: F.lit(0).cast("bigint") if kind in counters else _c(c) for n, (kind, c) in outputs.items()})
@@ -90,7 +95,7 @@ def _carry_rows(cut: DataFrame, keys, order, outputs, ins) -> DataFrame:
 
     A carry row is itself one row of its window, so numbering starts one lower.
     """
-    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    place = F.struct(*order)  # never NULL itself, so rows without an order value count as well
     across = Window.partitionBy(*keys).orderBy("__bucket")
     before = across.rowsBetween(FIRST_ROW, -1)
     summary, carried, after = {}, {}, {}
@@ -116,18 +121,14 @@ def _carry_rows(cut: DataFrame, keys, order, outputs, ins) -> DataFrame:
     )
 
 
-def even_buckets(df: DataFrame, col: str, n: int = 64) -> Column:
-    """Bucket expression over a numeric column by its approximate quantiles.
+def range_parts(df: DataFrame, order: list[str | Column]) -> DataFrame:
+    """Add ``__part``: the rank of the row's range, of as many even ranges of ``order`` as there are shuffle partitions.
 
-    The split points are at most ``n`` numbers read once by the driver and become literals, so that every
-    use of the expression agrees; they steer the spread only, never the result.
+    The ranges are drawn by Spark's own range partitioning and written down, so every use of the frame sees the
+    same ones. Rows that tie in all of ``order`` share a range; give a tie-breaker where ties may be many.
     """
-    number = df.select(F.col(col).cast("double").alias("v"))
-    splits = sorted(set(number.approxQuantile("v", [i / n for i in range(1, n)], 0.005)))
-    if not splits:
-        return F.lit(0)
-    points = F.array(*[F.lit(s) for s in splits])
-    return F.size(F.filter(points, lambda p: p <= F.col(col).cast("double")))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return written(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "ranges")
 
 
 def running_sum(df: DataFrame, keys, order, cols: dict[str, str | Column], frame: str = "rows", bucket: Column | None = None) -> DataFrame:
@@ -212,14 +213,14 @@ def dense_rank_in_group(df: DataFrame, keys, order, name: str = "dense_rank", bu
     return split_window(df, keys, order, bucket, {name: ("dense_rank", None)})
 
 
-def global_rank(df: DataFrame, score: str, tie: str, name: str = "ranking", buckets: int = 64) -> DataFrame:
+def global_rank(df: DataFrame, score: str, tie: str, name: str = "ranking") -> DataFrame:
     """ROW_NUMBER over the whole table, highest score first, without a one-task sort.
 
-    The table is cut by score quantiles; each bucket is numbered on its own, shifted by the rows above it.
+    The table is cut into ranges of (score, tie); each range is numbered on its own, shifted by the rows above it.
+    A score that many rows share is cut by the tie-breaker.
     """
     flipped = df.withColumn("__neg", -F.col(score).cast("double"))
-    bucket = even_buckets(flipped, "__neg", buckets)
-    return split_window(flipped, [], ["__neg", tie], bucket, {name: ("row_number", None)}).drop("__neg")
+    return split_window(flipped, [], ["__neg", tie], None, {name: ("row_number", None)}).drop("__neg")
 
 
 def row_index(df: DataFrame, name: str = "row_index") -> DataFrame:

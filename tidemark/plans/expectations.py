@@ -143,11 +143,11 @@ def expect_values_unique(t):
     return X.expect_unique(t.part, "p_name", "p_size > 48")
 
 
-@query("""WITH v AS (SELECT DISTINCT CASE WHEN p_size % 7 = 0 THEN upper(p_name) ELSE p_name END AS value FROM part WHERE p_name LIKE 'r%' OR p_size > 25)
+@query("""WITH v AS (SELECT DISTINCT CASE WHEN p_size % 7 = 0 THEN upper(p_name) ELSE p_name END AS value FROM part)
           SELECT value FROM v WHERE lower(value) IN (SELECT lower(value) FROM v GROUP BY 1 HAVING count(*) > 1)
           UNION ALL SELECT count(*) || '/' || count(DISTINCT lower(value)) FROM v HAVING count(*) <> count(DISTINCT lower(value))""")
 def expect_consistent_casing(t):
-    v = t.part.filter("p_name LIKE 'r%' OR p_size > 25").withColumn("label", F.when(F.col("p_size") % 7 == 0, F.upper("p_name")).otherwise(F.col("p_name")))
+    v = t.part.withColumn("label", F.when(F.col("p_size") % 7 == 0, F.upper("p_name")).otherwise(F.col("p_name")))
     counts = X.expect_consistent_casing(v, "label").select(F.concat_ws("/", "set_count", "set_count_case_insensitive"))
     return X.expect_consistent_casing(v, "label", display_inconsistent=True).union(counts)
 

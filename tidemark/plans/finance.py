@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import finance as B
 from ..operators.aggregates import money
+from ..session import written
 from .registry import query
 
 
@@ -27,6 +29,11 @@ def iap_events(t):
     return B.purchases(with_params(t.events), "event_type", "purchase", ["event_id", "user_id"], name, micros, F.when(F.col("user_id") % 2 == 0, "even_app").otherwise("odd_app"))
 
 
+def CHANNELS(term: str, joined: str) -> str:
+    """The SQL term once per channel (the first character of an order priority)."""
+    return joined.join(term.replace("{c}", c) for c in "12345")
+
+
 COUNTRY_DAYS = """o AS (SELECT cast(date_trunc('month', o_orderdate) AS DATE) AS month, n_name AS country, substr(o_orderpriority, 1, 1) AS channel, cast(o_totalprice AS DECIMAL(14,2)) AS revenue, o_orderkey, o_custkey, o_orderdate
        FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey),
   c AS (SELECT cast(date_trunc('month', l_shipdate) AS DATE) AS month, n_name AS country, cast(l_tax AS DECIMAL(14,2)) * cast(l_quantity AS DECIMAL(14,2)) AS cost FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey),
@@ -71,11 +78,11 @@ def cost_revenue_rollup(t):
 
 
 @query(f"""WITH {COUNTRY_DAYS}, k AS (SELECT month, country FROM o UNION SELECT month, country FROM c UNION SELECT month, country FROM i),
-               r AS (SELECT month, country, cast(sum(revenue) FILTER (channel = '1') AS DOUBLE) AS a, cast(sum(revenue) FILTER (channel = '5') AS DOUBLE) AS b FROM o GROUP BY 1, 2), s AS (SELECT month, country, cast(sum(cost) AS DOUBLE) AS cost FROM c GROUP BY 1, 2)
-           SELECT month, country, coalesce(a, 0.0) AS rev_1, coalesce(b, 0.0) AS rev_5, coalesce(cost, 0.0) AS cost, coalesce(cast(installs AS DOUBLE), 0.0) AS installs, coalesce(a, 0.0) + coalesce(b, 0.0) AS total_revenue,
-                  (coalesce(a, 0.0) + coalesce(b, 0.0)) / nullif(coalesce(cost, 0.0), 0.0) AS roas FROM k LEFT JOIN r USING (month, country) LEFT JOIN s USING (month, country) LEFT JOIN i USING (month, country)""")
+               r AS (SELECT month, country, {CHANNELS("coalesce(cast(sum(revenue) FILTER (channel = '{c}') AS DOUBLE), 0.0) AS r{c}", ", ")} FROM o GROUP BY 1, 2), s AS (SELECT month, country, cast(sum(cost) AS DOUBLE) AS cost FROM c GROUP BY 1, 2)
+           SELECT month, country, {CHANNELS("coalesce(r{c}, 0.0) AS rev_{c}", ", ")}, coalesce(cost, 0.0) AS cost, coalesce(cast(installs AS DOUBLE), 0.0) AS installs, {CHANNELS("coalesce(r{c}, 0.0)", " + ")} AS total_revenue,
+                  ({CHANNELS("coalesce(r{c}, 0.0)", " + ")}) / nullif(coalesce(cost, 0.0), 0.0) AS roas FROM k LEFT JOIN r USING (month, country) LEFT JOIN s USING (month, country) LEFT JOIN i USING (month, country)""")
 def roas_by_channel(t):
-    return B.roas(revenue_rows(t), cost_rows(t), installs(t), ["month", "country"], "channel", ["1", "5"])
+    return B.roas(revenue_rows(t), cost_rows(t), installs(t), ["month", "country"], "channel", list("12345"))
 
 
 @query(f"""WITH {COUNTRY_DAYS}, f AS (SELECT o_custkey, any_value(country) AS country, cast(date_trunc('month', min(o_orderdate)) AS DATE) AS cohort FROM o GROUP BY 1),
@@ -88,19 +95,19 @@ def roas_by_channel(t):
 def cohort_ltv(t):
     from ..operators.identity import release_calendar
 
-    rows = revenue_rows(t)
-    first = rows.groupBy("o_custkey").agg(F.trunc(F.min("o_orderdate"), "month").alias("cohort"))
-    aged = rows.join(first, "o_custkey").withColumn("age", F.round(F.months_between("month", "cohort")).cast("bigint"))
-    keys = ["cohort", "country"]
-    revenue = aged.groupBy(*keys, "age").agg(F.sum("revenue").cast("double").alias("revenue"))
-    retained = aged.select(*keys, "age", "o_custkey").distinct().groupBy(*keys, "age").agg(F.count("*").alias("retained"))
-    cost = cost_rows(t).select(F.col("month").alias("cohort"), "country", F.col("cost").cast("double").alias("cost"))
-    releases = release_calendar(rows.withColumn("version", F.concat(F.lit("v"), F.year("month"))), "version", "month", F.lit("2002-01-01").cast("date"))
-    return B.cohort_ltv(revenue, cost, installs(t).withColumnRenamed("month", "cohort"), retained, releases, "cohort", "country", "age")
+    # One row per customer and month gives cohort, revenue, retention and installs; a customer has few months.
+    per = revenue_rows(t).groupBy("o_custkey", "country", "month").agg(F.sum("revenue").alias("revenue"))
+    aged = per.withColumn("cohort", F.min("month").over(Window.partitionBy("o_custkey"))).withColumn("age", F.round(F.months_between("month", "cohort")).cast("bigint"))
+    by_age = written(aged.groupBy("cohort", "country", "age").agg(F.sum("revenue").cast("double").alias("revenue"), F.count("*").alias("retained")), "cohorts")
+    cost = written(cost_rows(t).select(F.col("month").alias("cohort"), "country", F.col("cost").cast("double").alias("cost")), "costs")
+    installed = by_age.filter("age = 0").select("cohort", "country", F.col("retained").alias("installs"))
+    months = by_age.select(F.add_months("cohort", F.col("age").cast("int")).alias("month"))
+    releases = release_calendar(months.withColumn("version", F.concat(F.lit("v"), F.year("month"))), "version", "month", F.lit("2002-01-01").cast("date"))
+    return B.cohort_ltv(by_age, cost, installed, releases, "cohort", "country", "age")
 
 
 @query("""WITH w AS (SELECT cast(date_trunc('month', o_orderdate) AS DATE) AS month, c_mktsegment AS segment, count(DISTINCT o_custkey) AS users, cast(sum(cast(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS rev FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2),
-               c AS (SELECT cast(date_trunc('month', l_shipdate) AS DATE) AS month, cast(sum(cast(l_tax AS DECIMAL(14,2))) AS DOUBLE) AS tax, cast(sum(cast(l_discount AS DECIMAL(14,2))) AS DOUBLE) AS disc FROM lineitem WHERE year(l_shipdate) < 2001 GROUP BY 1),
+               c AS (SELECT cast(date_trunc('month', l_shipdate) AS DATE) AS month, cast(sum(cast(l_tax AS DECIMAL(14,2))) AS DOUBLE) AS tax, cast(sum(cast(l_discount AS DECIMAL(14,2))) AS DOUBLE) AS disc FROM lineitem GROUP BY 1),
                s AS (SELECT month, segment, users, cast(round(cast(rev AS DECIMAL(38,9)), 3) AS DOUBLE) AS revenue, cast(round(cast(coalesce(tax, 0.0) * users / sum(users) OVER (PARTITION BY month) AS DECIMAL(38,9)), 3) AS DOUBLE) AS cost_tax,
                             cast(round(cast(coalesce(disc, 0.0) * users / sum(users) OVER (PARTITION BY month) AS DECIMAL(38,9)), 3) AS DOUBLE) AS cost_disc FROM w LEFT JOIN c USING (month))
           SELECT month, segment, users, cost_tax, cost_disc, cast(round(cast(cost_tax + cost_disc AS DECIMAL(38,9)), 3) AS DOUBLE) AS total_cost, cast(round(cast((cost_tax + cost_disc) / users AS DECIMAL(38,9)), 3) AS DOUBLE) AS cost_per_unit, revenue,
@@ -112,19 +119,19 @@ def cost_allocation(t):
     per = t.orders.groupBy(month, "o_custkey").agg(F.sum(money("o_totalprice")).alias("rev")).join(
         t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment")), "o_custkey")
     seg = per.groupBy("month", "segment").agg(F.count("*").alias("users"), F.sum("rev").alias("revenue"))
-    cost = t.lineitem.filter("l_shipdate < '2001-01-01'").groupBy(F.trunc("l_shipdate", "month").alias("month"))
+    cost = t.lineitem.groupBy(F.trunc("l_shipdate", "month").alias("month"))
     costs = {"tax": cost.agg(F.sum(money("l_tax")).alias("cost")), "disc": cost.agg(F.sum(money("l_discount")).alias("cost"))}
     out = B.allocate(seg.drop("revenue"), costs, "month", "users")
     out = B.new_user_profit(out, seg.drop("users"), ["month", "segment"], "month", "users")
     return out.withColumns({c: F.col(c).cast("double") for c in out.columns if c not in ("month", "segment", "users")})
 
 
-@query("""WITH b AS (SELECT l_returnflag AS acct, cast(l_shipdate AS DATE) AS snap, l_linestatus AS kind, l_suppkey % 10 AS product, cast(l_tax AS DECIMAL(14,2)) AS cost FROM lineitem WHERE l_returnflag IN ('A', 'R')),
+@query("""WITH b AS (SELECT l_returnflag AS acct, cast(l_shipdate AS DATE) AS snap, l_linestatus AS kind, l_suppkey % 10 AS product, cast(l_tax AS DECIMAL(14,2)) AS cost FROM lineitem),
                s AS (SELECT acct, snap AS last FROM (SELECT acct, max(snap) AS snap FROM b GROUP BY acct, date_trunc('month', snap)))
           SELECT acct AS account, cast(date_trunc('month', snap) AS DATE) AS month, product, cast(sum(cost) AS DOUBLE) AS cost FROM b JOIN s USING (acct) WHERE snap = last AND kind = 'F' GROUP BY 1, 2, 3""")
 def billing_usage_rollup(t):
     li = t.lineitem.select("l_returnflag", F.to_date("l_shipdate").alias("snap"), F.col("l_linestatus").alias("kind"), (F.col("l_suppkey") % 10).alias("product"), money("l_tax").alias("cost"))
-    frames = {a: li.filter(F.col("l_returnflag") == a) for a in ("A", "R")}
+    frames = {a: li.filter(F.col("l_returnflag") == a) for a in ("A", "N", "R")}
     out = B.billing_rollup(frames, "snap", "snap", "kind", "F", ["product"], "cost")
     return out.withColumn("cost", F.col("cost").cast("double"))
 

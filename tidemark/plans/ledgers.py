@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ledgers as L
 from ..operators.aggregates import money
+from ..session import written
 from .registry import query
 
 TRANSFERS = """tr AS (SELECT l_orderkey AS tx, l_linenumber AS log_index, 'C' || o_custkey AS from_address, 'S' || l_suppkey AS to_address, l_returnflag AS token, l_shipdate AS ts,
@@ -43,51 +44,66 @@ def ledger_balance(t):
     return as_double(L.balances(transfers(t), *ENDS), "balance")
 
 
-@query(f"""WITH {TRANSFERS} SELECT lower(party) AS party, cast(sum(CASE WHEN token = 'A' THEN amount ELSE 0 END) AS DOUBLE) AS "A", cast(sum(CASE WHEN token = 'N' THEN amount ELSE 0 END) AS DOUBLE) AS "N" FROM legs GROUP BY 1""")
+@query(f"""WITH {TRANSFERS} SELECT lower(party) AS party, cast(sum(CASE WHEN token = 'A' THEN amount ELSE 0 END) AS DOUBLE) AS "A", cast(sum(CASE WHEN token = 'N' THEN amount ELSE 0 END) AS DOUBLE) AS "N",
+           cast(sum(CASE WHEN token = 'R' THEN amount ELSE 0 END) AS DOUBLE) AS "R" FROM legs GROUP BY 1""")
 def ledger_balance_by_token(t):
-    return as_double(L.balances_wide(transfers(t), *ENDS, "token", ["A", "N"]), "A", "N")
+    return as_double(L.balances_wide(transfers(t), *ENDS, "token", ["A", "N", "R"]), "A", "N", "R")
 
 
-@query(f"""WITH {TRANSFERS} SELECT party, max(ts) AS last_ts, cast(sum(CASE WHEN token = 'A' THEN amount ELSE 0 END) AS DOUBLE) AS "A", cast(sum(CASE WHEN token = 'R' THEN amount ELSE 0 END) AS DOUBLE) AS "R"
-           FROM legs WHERE ts < DATE '1998-01-01' GROUP BY 1""")
+@query(f"""WITH {TRANSFERS} SELECT party, max(ts) AS last_ts, cast(sum(CASE WHEN token = 'A' THEN amount ELSE 0 END) AS DOUBLE) AS "A", cast(sum(CASE WHEN token = 'N' THEN amount ELSE 0 END) AS DOUBLE) AS "N",
+           cast(sum(CASE WHEN token = 'R' THEN amount ELSE 0 END) AS DOUBLE) AS "R" FROM legs WHERE ts < DATE '1998-01-01' GROUP BY 1""")
 def ledger_balance_asof(t):
-    out = L.balances_asof(transfers(t), *ENDS, "token", ["A", "R"], "ts", F.lit("1998-01-01").cast("date"))
-    return as_double(out, "A", "R")
+    out = L.balances_asof(transfers(t), *ENDS, "token", ["A", "N", "R"], "ts", F.lit("1998-01-01").cast("date"))
+    return as_double(out, "A", "N", "R")
 
 
 @query(f"""WITH {TRANSFERS}, s AS (SELECT party, token, ts, sum(amount) AS change FROM legs GROUP BY 1, 2, 3)
            SELECT party, token, ts, cast(change AS DOUBLE) AS change, cast(sum(change) OVER (PARTITION BY party, token ORDER BY ts) AS DOUBLE) AS balance FROM s""")
 def ledger_balance_history(t):
-    out = L.balance_history(transfers(t), *ENDS, ["token"], "ts")
+    out = L.balance_history(transfers(t), *ENDS, ["token"], "ts", bucket=F.to_date("ts"))
     return as_double(out, "change", "balance")
 
 
-@query(f"""WITH {TRANSFERS}, n AS (SELECT c_nationkey, 'C' || c_custkey AS a FROM customer UNION ALL SELECT s_nationkey, 'S' || s_suppkey FROM supplier),
-           m AS (SELECT 'N' || c_nationkey AS party, cast(date_trunc('month', ts) AS DATE) AS month, sum(amount) AS change FROM legs JOIN n ON a = party GROUP BY 1, 2),
-           g AS (SELECT party, month FROM (SELECT DISTINCT party FROM m) CROSS JOIN (SELECT cast(unnest(generate_series((SELECT min(month) FROM m), (SELECT max(month) FROM m), INTERVAL 1 MONTH)) AS DATE) AS month))
-           SELECT party, month, cast(coalesce(change, 0) AS DOUBLE) AS change, cast(sum(coalesce(change, 0)) OVER (PARTITION BY party ORDER BY month) AS DOUBLE) AS balance FROM g LEFT JOIN m USING (party, month)""")
+START, UNTIL = "1996-01-01", "1998-12-31"  # first day and run date of the daily ledger
+
+# Closes are missing on even days: those quotes stand under another symbol, so every line is read.
+QUOTES = """q AS (SELECT CASE WHEN day(l_shipdate) % 2 = 1 THEN l_returnflag ELSE l_returnflag || 'x' END AS token, cast(l_shipdate AS DATE) AS day, cast(cast(max(l_quantity) AS INTEGER) % 7 AS DOUBLE) AS price FROM lineitem GROUP BY 1, 2),
+           i AS (SELECT l_returnflag AS token, arg_max(l_tax, (l_shipdate, l_orderkey, l_linenumber, l_tax)) AS spot FROM lineitem GROUP BY 1)"""
+
+
+def quotes(t, by):
+    from ..operators.windows import latest_per_key
+
+    li = t.lineitem.select(F.col("l_returnflag").alias("token"), "l_shipdate", "l_quantity", "l_tax", "l_orderkey", "l_linenumber")
+    token = F.when(F.dayofmonth("l_shipdate") % 2 == 1, F.col("token")).otherwise(F.concat("token", F.lit("x"))).alias("token")
+    closes = li.groupBy(token, by.alias("day")).agg((F.max("l_quantity").cast("int") % 7).cast("double").alias("price"))
+    spot = latest_per_key(li.withColumn("price", F.col("l_tax")), "token", ["l_shipdate", "l_orderkey", "l_linenumber", "l_tax"])
+    return closes, spot
+
+
+@query(f"""WITH {TRANSFERS}, {QUOTES}, w AS (SELECT 'S' || s_suppkey AS party FROM supplier WHERE s_acctbal > 8500),
+           m AS (SELECT party, token, greatest(day, DATE '{START}') AS day, sum(amount) AS change FROM legs JOIN w USING (party) WHERE day <= DATE '{UNTIL}' GROUP BY 1, 2, 3),
+           g AS (SELECT party, token, day FROM (SELECT DISTINCT party, token FROM m) CROSS JOIN (SELECT cast(unnest(generate_series(DATE '{START}', DATE '{UNTIL}', INTERVAL 1 DAY)) AS DATE) AS day)),
+           b AS (SELECT party, token, day, coalesce(change, 0) AS change, sum(coalesce(change, 0)) OVER (PARTITION BY party, token ORDER BY day) AS balance FROM g LEFT JOIN m USING (party, token, day))
+           SELECT party, token, day, cast(change AS DOUBLE) AS change, cast(balance AS DOUBLE) AS balance, coalesce(price, spot) AS price, cast(balance AS DOUBLE) * coalesce(price, spot) AS value_usd
+           FROM b LEFT JOIN q USING (token, day) LEFT JOIN i USING (token)""")
 def ledger_daily_dense(t):
-    """Monthly balances of every nation: transfers between customers and suppliers rolled up to their nations."""
-    c = t.customer.select(F.concat(F.lit("C"), "c_custkey").alias("from_address"), F.concat(F.lit("N"), "c_nationkey").alias("from_nation"))
-    s = t.supplier.select(F.concat(F.lit("S"), "s_suppkey").alias("to_address"), F.concat(F.lit("N"), "s_nationkey").alias("to_nation"))
-    tr = transfers(t).join(c, "from_address").join(s, "to_address").withColumn("month", F.trunc("day", "month"))
-    out = L.daily_balances(tr, "from_nation", "to_nation", "value", [], "month", "INTERVAL 1 MONTH")
-    return as_double(out, "change", "balance")
+    """Balance and value of every watched wallet and token on every day from the start to the run date."""
+    watched = t.supplier.filter("s_acctbal > 8500").select(F.concat(F.lit("S"), "s_suppkey").alias("party"))
+    held = L.watched_daily_balances(transfers(t), *ENDS, watched, ["token"], "day", START, UNTIL)
+    closes, spot = quotes(t, F.to_date("l_shipdate"))
+    return L.value_balances(as_double(held, "change", "balance"), closes, spot, "token", "day", "price", "l_shipdate")
 
 
 @query(f"""WITH {TRANSFERS}, b AS (SELECT party, token AS symbol, cast(date_trunc('month', ts) AS DATE) AS day, sum(amount) AS balance FROM legs GROUP BY 1, 2, 3),
-           q AS (SELECT l_returnflag AS symbol, cast(date_trunc('month', l_shipdate) AS DATE) AS day, cast(cast(max(l_quantity) AS INTEGER) % 7 AS DOUBLE) AS price FROM lineitem WHERE month(l_shipdate) < 10 GROUP BY 1, 2),
+           q AS (SELECT l_returnflag AS symbol, cast(date_trunc('month', l_shipdate) AS DATE) AS day, cast(cast(max(l_quantity) AS INTEGER) % 7 AS DOUBLE) AS price FROM (SELECT * REPLACE (CASE WHEN day(l_shipdate) % 2 = 1 THEN l_returnflag ELSE l_returnflag || 'x' END AS l_returnflag) FROM lineitem) GROUP BY 1, 2),
            i AS (SELECT l_returnflag AS symbol, arg_max(l_tax, (l_shipdate, l_orderkey, l_linenumber, l_tax)) AS spot FROM lineitem GROUP BY 1)
            SELECT party, symbol, day, cast(balance AS DOUBLE) AS balance, coalesce(price, spot) AS price, cast(balance AS DOUBLE) * coalesce(price, spot) AS value_usd FROM b LEFT JOIN q USING (symbol, day) LEFT JOIN i USING (symbol)""")
 def balance_valuation(t):
-    from ..operators.windows import latest_per_key
-
     month = F.trunc("ts", "month").alias("day")
     held = L.balances(transfers(t).select("from_address", "to_address", "value", F.col("token").alias("symbol"), month), *ENDS, by=["symbol", "day"])
-    li = t.lineitem.select(F.col("l_returnflag").alias("symbol"), "l_shipdate", "l_quantity", "l_tax", "l_orderkey", "l_linenumber")
-    quotes = li.filter(F.month("l_shipdate") < 10).groupBy("symbol", F.trunc("l_shipdate", "month").alias("day")).agg((F.max("l_quantity").cast("int") % 7).cast("double").alias("price"))
-    spot = latest_per_key(li.withColumn("price", F.col("l_tax")), "symbol", ["l_shipdate", "l_orderkey", "l_linenumber", "l_tax"])
-    return L.value_balances(as_double(held, "balance"), quotes, spot, "symbol", "day", "price", "l_shipdate")
+    closes, spot = quotes(t, F.trunc("l_shipdate", "month"))
+    return L.value_balances(as_double(held, "balance"), closes.withColumnRenamed("token", "symbol"), spot.withColumnRenamed("token", "symbol"), "symbol", "day", "price", "l_shipdate")
 
 
 @query(f"""WITH {TRANSFERS}, h AS (SELECT party, sum(amount) AS holding FROM legs GROUP BY 1 HAVING sum(amount) > 0)
@@ -165,36 +181,39 @@ def non_native_asset_counts(t):
 
 
 @query("""SELECT doc_id, source, quality, CASE WHEN d.doc_id IS NULL THEN 'missing' END AS missing_left, CASE WHEN l.doc_id IS NULL THEN 'missing' END AS missing_right
-          FROM (SELECT * FROM documents WHERE lang <> 'fr') d FULL JOIN labels l USING (doc_id)""")
+          FROM (SELECT * REPLACE (CASE WHEN lang = 'fr' THEN -1 - doc_id ELSE doc_id END AS doc_id) FROM documents) d FULL JOIN labels l USING (doc_id)""")
 def reconcile(t):
-    return L.reconcile(t.documents.filter("lang <> 'fr'"), t.labels, "doc_id", ["source"], ["quality"])
+    """Documents in French stand under ids that no label has."""
+    docs = t.documents.select("source", F.when(F.col("lang") == "fr", -1 - F.col("doc_id")).otherwise(F.col("doc_id")).alias("doc_id"))
+    return L.reconcile(docs, t.labels, "doc_id", ["source"], ["quality"])
 
 
-REPORT = """WITH rep AS (SELECT l_orderkey AS order_id, CASE WHEN l_returnflag = 'R' THEN 'Refund' ELSE 'Charged' END AS status, l_suppkey AS product, cast(l_shipdate AS DATE) AS charged, cast(l_quantity AS INTEGER) AS price FROM lineitem WHERE l_linenumber < 3),
+REPORT = """WITH rep AS (SELECT CASE WHEN l_linenumber < 3 THEN l_orderkey ELSE -l_orderkey END AS order_id, CASE WHEN l_returnflag = 'R' THEN 'Refund' ELSE 'Charged' END AS status, l_suppkey AS product, cast(l_shipdate AS DATE) AS charged, cast(l_quantity AS INTEGER) AS price FROM lineitem),
                ref AS (SELECT DISTINCT order_id FROM rep WHERE status = 'Refund'),
                pre AS (SELECT order_id, CASE WHEN f.order_id IS NULL THEN status ELSE 'Refund' END AS status, product, price, min(charged) AS charged FROM rep LEFT JOIN ref f USING (order_id) GROUP BY 1, 2, 3, 4),
-               game AS (SELECT o_orderkey AS order_id, o_custkey AS user_id, cast(floor(o_totalprice) AS BIGINT) AS game_price FROM orders WHERE o_orderstatus <> 'O'),
+               game AS (SELECT CASE WHEN o_orderstatus = 'O' THEN -1000000000000 - o_orderkey ELSE o_orderkey END AS order_id, o_custkey AS user_id, cast(floor(o_totalprice) AS BIGINT) AS game_price FROM orders),
                j AS (SELECT order_id, user_id, status, product, price, game_price, charged, CASE WHEN p.order_id IS NULL THEN 'missing' END AS missing_left, CASE WHEN g.order_id IS NULL THEN 'missing' END AS missing_right FROM pre p FULL JOIN game g USING (order_id)),
                b AS (SELECT product, min(game_price) AS fill FROM j WHERE price IS NOT NULL AND game_price IS NOT NULL GROUP BY 1)"""
 
 
 def store_report(t):
-    """Store lines as a report, refunds first: one row per order and product."""
-    rep = t.lineitem.filter("l_linenumber < 3").select(
-        F.col("l_orderkey").alias("order_id"), F.when(F.col("l_returnflag") == "R", "Refund").otherwise("Charged").alias("status"), F.col("l_suppkey").alias("product"),
+    """Store lines as a report, refunds first: one row per order and product. Later lines are orders the game does not know."""
+    rep = t.lineitem.select(
+        F.when(F.col("l_linenumber") < 3, F.col("l_orderkey")).otherwise(-F.col("l_orderkey")).alias("order_id"), F.when(F.col("l_returnflag") == "R", "Refund").otherwise("Charged").alias("status"), F.col("l_suppkey").alias("product"),
         F.to_date("l_shipdate").alias("charged"), F.col("l_quantity").cast("int").alias("price"))
     return L.refund_overrides(rep, "order_id", "status", "Refund", ["product", "price"], "charged")
 
 
 def game_orders(t):
-    return t.orders.filter("o_orderstatus <> 'O'").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), F.floor("o_totalprice").cast("bigint").alias("game_price"))
+    """Own orders; open ones have ids the store does not know."""
+    return t.orders.select(F.when(F.col("o_orderstatus") == "O", -1000000000000 - F.col("o_orderkey")).otherwise(F.col("o_orderkey")).alias("order_id"), F.col("o_custkey").alias("user_id"), F.floor("o_totalprice").cast("bigint").alias("game_price"))
 
 
 @query(REPORT + """
           SELECT order_id, user_id, status, j.product, price, charged, missing_left, missing_right, coalesce(game_price, fill) AS game_price FROM j LEFT JOIN b ON b.product IS NOT DISTINCT FROM j.product""")
 def reconcile_two_sources(t):
     """Store report against the game's own orders, missing prices filled from the same product."""
-    both = L.reconcile(store_report(t), game_orders(t), "order_id", ["status", "product", "price", "charged"], ["user_id", "game_price"])
+    both = written(L.reconcile(written(store_report(t), "report"), game_orders(t), "order_id", ["status", "product", "price", "charged"], ["user_id", "game_price"]), "reconciled")
     return L.backfill_by_product(both, "product", {"game_price": F.when(F.col("price").isNotNull(), F.col("game_price"))})
 
 
@@ -203,5 +222,5 @@ def reconcile_two_sources(t):
 def reconcile_recovered(t):
     """Own orders plus charged store rows they lack."""
     game = game_orders(t)
-    both = L.reconcile(store_report(t), game, "order_id", ["status", "product", "price", "charged"], ["user_id", "game_price"])
+    both = L.reconcile(written(store_report(t), "report"), game, "order_id", ["status", "product", "price", "charged"], ["user_id", "game_price"])
     return L.recovered_rows(game, both, "status", "Charged", {"order_id": F.col("order_id"), "game_price": F.col("price")})

@@ -84,11 +84,11 @@ def balance_updates_by_day(t):
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_returnflag, CASE l_returnflag WHEN 'A' THEN p_name WHEN 'R' THEN s_name END AS label, CASE WHEN l_returnflag = 'A' THEN p_brand END AS brand
-          FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size < 40) ON p_partkey = l_partkey LEFT JOIN supplier ON s_suppkey = l_partkey
+          FROM lineitem LEFT JOIN (SELECT * REPLACE (CASE WHEN p_size < 40 THEN p_partkey ELSE -p_partkey END AS p_partkey) FROM part) ON p_partkey = l_partkey LEFT JOIN supplier ON s_suppkey = l_partkey
           WHERE NOT (l_returnflag = 'A' AND p_partkey IS NULL)""")
 def enrich_by_type_union(t):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_partkey")
-    parts = t.part.filter("p_size < 40").select("p_partkey", F.col("p_name").alias("label"), F.col("p_brand").alias("brand"))
+    parts = t.part.select(F.when(F.col("p_size") < 40, F.col("p_partkey")).otherwise(-F.col("p_partkey")).alias("p_partkey"), F.col("p_name").alias("label"), F.col("p_brand").alias("brand"))
     routes = {"A": (parts, "p_partkey", ["label", "brand"]), "R": (t.supplier.select("s_suppkey", F.col("s_name").alias("label")), "s_suppkey", ["label"])}
     return G.route_enrich(lines, "l_returnflag", "l_partkey", routes, ["label", "brand"], required=["A"]).drop("l_partkey")
 

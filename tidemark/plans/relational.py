@@ -123,11 +123,11 @@ def join_right(t):
     return J.null_safe_join(s, c, "k", "right")
 
 
-@query("""WITH a AS (SELECT c_nationkey AS k, count(*) AS customers FROM customer WHERE c_acctbal < 500 GROUP BY 1),
+@query("""WITH a AS (SELECT CASE WHEN c_acctbal < 500 THEN c_nationkey ELSE c_nationkey + 20 END AS k, count(*) AS customers FROM customer GROUP BY 1),
                b AS (SELECT s_nationkey AS k, count(*) AS suppliers FROM supplier GROUP BY 1)
           SELECT k, customers, suppliers FROM a FULL JOIN b USING (k)""")
 def join_full_using(t):
-    a = t.customer.filter("c_acctbal < 500").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("customers"))
+    a = t.customer.groupBy(F.when(F.col("c_acctbal") < 500, F.col("c_nationkey")).otherwise(F.col("c_nationkey") + 20).alias("k")).agg(F.count("*").alias("customers"))
     b = t.supplier.groupBy(F.col("s_nationkey").alias("k")).agg(F.count("*").alias("suppliers"))
     return a.join(b, "k", "full_outer")
 
@@ -324,9 +324,8 @@ def agg_array_last(t):
 
 @query("""SELECT event_type, round(quantile_cont(value, 0.25), 6) AS q25, round(median(value), 6) AS med FROM events GROUP BY 1""")
 def agg_median_percentile(t):
-    a = A.percentile_cont(t.events, "value", 0.25, "event_type", "q25")
-    b = A.percentile_cont(t.events, "value", 0.5, "event_type", "med")
-    return a.join(b, "event_type").select("event_type", F.round("q25", 6).alias("q25"), F.round("med", 6).alias("med"))
+    out = A.percentiles(t.events, "value", {"q25": 0.25, "med": 0.5}, "event_type")
+    return out.select("event_type", F.round("q25", 6).alias("q25"), F.round("med", 6).alias("med"))
 
 
 @query("SELECT event_type, round(stddev_samp(value), 6) AS sd FROM events GROUP BY 1")
@@ -502,10 +501,11 @@ def union_relations(t):
     return S.union_relations({"customer": c, "supplier": s}, exclude=["C_NAME"], overrides={"nation": "bigint"})
 
 
-@query("""SELECT 'tm_shard_f' AS _source, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'tm_shard_o', o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'""")
+@query("""SELECT 'tm_shard_f' AS _source, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'tm_shard_o', o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'
+          UNION ALL SELECT 'tm_shard_p', o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus NOT IN ('F', 'O')""")
 def union_by_pattern(t):
-    for status in "FO":
-        t.orders.filter(F.col("o_orderstatus") == status).select("o_orderkey", "o_orderstatus").createOrReplaceTempView(f"tm_shard_{status.lower()}")
+    for name, rows in {"f": "o_orderstatus = 'F'", "o": "o_orderstatus = 'O'", "p": "o_orderstatus NOT IN ('F', 'O')"}.items():
+        t.orders.filter(rows).select("o_orderkey", "o_orderstatus").createOrReplaceTempView(f"tm_shard_{name}")
     return S.union_tables(t.spark, "tm_shard_*")
 
 

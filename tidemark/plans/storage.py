@@ -240,20 +240,19 @@ def id_batch(events, cond):
 IDS = "list_aggregate(list_sort(list(DISTINCT event_type)), 'string_agg', ',')"
 
 
-@query(f"""SELECT user_id, {IDS} AS ids, coalesce(max(value) FILTER (ts >= TIMESTAMP '2024-01-10' AND event_type <> 'view'), max(value) FILTER (ts < TIMESTAMP '2024-01-12' AND value < 30)) AS top
-           FROM events WHERE (ts < TIMESTAMP '2024-01-12' AND value < 30) OR (ts >= TIMESTAMP '2024-01-10' AND event_type <> 'view') GROUP BY 1""")
+@query(f"""SELECT user_id, {IDS} AS ids, coalesce(max(value) FILTER (ts >= TIMESTAMP '2024-01-10'), max(value) FILTER (ts < TIMESTAMP '2024-01-12')) AS top FROM events GROUP BY 1""")
 def incremental_array_merge(t):
     table = W.VersionedTable(t.spark, scratch(t, "ids"))
-    table.write(id_batch(t.events, "ts < '2024-01-12' AND value < 30").drop("first_ts"))
-    table.write(W.merge_id_sets(table.read(), id_batch(t.events, "ts >= '2024-01-10' AND event_type <> 'view'").drop("first_ts"), "user_id", ["ids"]))
+    table.write(id_batch(t.events, "ts < '2024-01-12'").drop("first_ts"))
+    table.write(W.merge_id_sets(table.read(), id_batch(t.events, "ts >= '2024-01-10'").drop("first_ts"), "user_id", ["ids"]))
     return table.read().withColumn("ids", F.array_join("ids", ","))
 
 
-@query(f"""SELECT user_id, {IDS} AS ids, min(ts) AS first_ts FROM events WHERE (ts < TIMESTAMP '2024-01-12' AND value < 30) OR (ts >= TIMESTAMP '2024-01-10' AND event_type <> 'view') GROUP BY 1""")
+@query(f"""SELECT user_id, {IDS} AS ids, min(ts) AS first_ts FROM events GROUP BY 1""")
 def incremental_min_merge(t):
     table = W.VersionedTable(t.spark, scratch(t, "mins"))
-    table.write(id_batch(t.events, "ts >= '2024-01-10' AND event_type <> 'view'").drop("top"))
-    table.write(W.merge_min_attrs(table.read(), id_batch(t.events, "ts < '2024-01-12' AND value < 30").drop("top"), "user_id", ["first_ts"], ["ids"]))
+    table.write(id_batch(t.events, "ts >= '2024-01-10'").drop("top"))
+    table.write(W.merge_min_attrs(table.read(), id_batch(t.events, "ts < '2024-01-12'").drop("top"), "user_id", ["first_ts"], ["ids"]))
     return table.read().withColumn("ids", F.array_join("ids", ","))
 
 

@@ -53,6 +53,13 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The frame written below the shared folder and read back: computed once, the same for every reader."""
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Tables:
     """``Tables(spark, dir).orders`` reads ``dir/orders.parquet`` lazily."""
 
