@@ -116,7 +116,8 @@ def certify(feats: DataFrame, labels: DataFrame, rate: float = RATE, confidence:
     flat = [(r, i, c, F.expr(m) > c if way == "above" else F.expr(m) < c) for r, (m, way, cuts) in RULES.items() for i, c in enumerate(cuts)]
     good = labels.filter("quality = 1").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
     held = feats.filter(~base_failed()).join(good, "doc_id", "left_semi")
-    seen = held.groupBy("stratum").agg(F.count("*").alias("seen"))
+    # Written, so that its small size is known and the labelled rows stay where they are.
+    seen = table(held.groupBy("stratum").agg(F.count("*").alias("seen")), "strata")
     held = held.join(seen, "stratum").filter(F.expr(f"pmod(xxhash64(doc_id, 7), 1000000) * seen < {fit_rows} * 1000000D"))
     counts = table(held.groupBy("stratum").agg(F.count("*").cast("double").alias("n_good"), *[F.sum(hit.cast("int")).alias(f"h{k}") for k, (*_, hit) in enumerate(flat)]), "holdout")
     level = F.lit((1 - confidence) / len(RULES) / max(1, counts.count()))
