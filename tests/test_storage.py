@@ -52,12 +52,61 @@ def test_readers_keep_their_version(table, frame):
 
 def test_unpublished_version_is_ignored(spark, table, frame):
     table.write(frame([(1,)], "k int"))
-    table._fs.create(table._path(f"{table.root}/_versions/2"), False).close()  # a writer died here
+    table._fs.create(table._path(f"{table.root}/_versions/2"), False).close()  # a writer is publishing, or died here
     assert rows(table.read()) == [(1,)]
+    with pytest.raises(RuntimeError, match="another writer"):
+        table.write(frame([(3,)], "k int"))
+    table.STALE_S = 0  # long enough ago: it died
     assert table.write(frame([(3,)], "k int")) == 3
     assert rows(table.read()) == [(3,)]
 
 
+@pytest.mark.parametrize("keys", [None, ["k"]])
+def test_second_writer_from_the_same_version_fails(spark, frame, keys):
+    ddl = "k int, a string"
+    root = shared_dir(spark, "race")
+    one, two = (W.VersionedTable(spark, root, keys, buckets=4) for _ in range(2))
+    one.write(frame([(1, "x"), (2, "x")], ddl))
+    seen = two.current()
+    W.merge_upsert(one, frame([(3, "one")], ddl), ["k"])
+    with pytest.raises(RuntimeError, match="another writer"):
+        two.write(W.merged(two.read(seen), frame([(4, "two")], ddl), ["k"]), expected=seen[0])
+    assert rows(one.read()) == [(1, "x"), (2, "x"), (3, "one")]
+
+
+def test_merge_rewrites_only_touched_buckets(spark, frame):
+    ddl = "k int, a string"
+    table = W.VersionedTable(spark, shared_dir(spark, "buckets"), ["k"], buckets=16)
+    table.write(frame([(i, "old") for i in range(200)], ddl))
+    (before,) = table.current()[1]
+    W.merge_upsert(table, frame([(5, "new"), (500, "new")], ddl), ["k"])
+    manifest = table.current()[1]
+    fresh = next(f for f in manifest if f != before)
+    assert len(manifest[before]) >= 14 and len(manifest[fresh]) <= 2
+    assert rows(table.read()) == sorted([(i, "new" if i == 5 else "old") for i in range(200)] + [(500, "new")], key=repr)
+
+
+def test_old_versions_are_removed(spark, frame):
+    table = W.VersionedTable(spark, shared_dir(spark, "keep"), ["k"], buckets=4, keep=2)
+    for i in range(6):
+        W.merge_upsert(table, frame([(i, f"v{i}")], "k int, a string"), ["k"])
+    assert sorted(table._markers()) == [5, 6]
+    assert rows(table.read()) == [(i, f"v{i}") for i in range(6)]
+    empty = W.VersionedTable(spark, shared_dir(spark, "none"), ["k"], buckets=4)
+    empty.write(frame([], "k int, a string"))
+    assert empty.read().columns == ["k", "a"] and empty.read().count() == 0
+
+
+def test_failed_rebuild_leaves_the_table(spark, frame):
+    path = shared_dir(spark, "rebuild")
+    W.write_replace(frame([(1,)], "v int"), path)
+    with pytest.raises(Exception):
+        W.write_replace(frame([(2,)], "v int").select(F.raise_error(F.lit("no")).cast("int").alias("v")), path)
+    assert rows(spark.read.parquet(path)) == [(1,)]
+    W.write_replace(frame([(3,)], "v int"), path)
+    assert rows(spark.read.parquet(path)) == [(3,)]
+
+
 def test_insert_only_is_repeatable(spark, frame):
     path = shared_dir(spark, "ins")
     for _ in range(2):
@@ -96,7 +145,10 @@ def test_shards_prune_partitions(spark, frame):
     assert rows(recent.select("v")) == [(4,), (5,), (6,)]
     plan = recent._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(_suffix" in plan
-    assert rows(S.scan_latest_shard(spark, path).select("v")) == [(7,)]
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    newest = S.scan_latest_shard(spark, path, schema=df.select("v").schema)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == before  # folder names only, no job
+    assert rows(newest.select("v")) == [(7,)]
 
 
 def test_csv_reports(spark, tmp_path):

@@ -80,7 +80,7 @@ def json_first(cols: list[str], path: str) -> Column:
 
 def json_fields(df: DataFrame, col: str, fields: dict[str, str]) -> DataFrame:
     """Several top-level fields of one JSON column, parsed once. ``fields`` maps name to Spark type."""
-    schema = T.StructType([T.StructField(n, T._parse_datatype_string(t)) for n, t in fields.items()])
+    schema = ", ".join(f"`{n}` {t}" for n, t in fields.items())
     return df.withColumn("__j", F.from_json(col, schema)).select(
         *[c for c in df.columns if c not in fields], *[F.col(f"__j.`{n}`").alias(n) for n in fields]
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,11 +45,24 @@ def scan_date_shards(spark: SparkSession, root: str, as_of: str, days_back: int
     return df.filter(F.col("_suffix") >= low) if low else df
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path and its path class (PySpark has no public form of either)."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def newest_partition(spark: SparkSession, root: str, part: str, numeric: bool = False) -> str | None:
+    """Greatest value of the outermost partition column, by the folder names alone; None if there is no folder."""
+    fs, make = file_system(spark, root)
+    names = [s.getPath().getName() for s in fs.listStatus(make(root))]
+    values = [unquote(n.split("=", 1)[1]) for n in names if n.startswith(f"{part}=") and not n.endswith("=__HIVE_DEFAULT_PARTITION__")]
+    return max(values, key=int if numeric else str, default=None)
+
+
 def scan_latest_shard(spark: SparkSession, root: str, suffix_col: str = "_suffix", schema: T.StructType | None = None) -> DataFrame:
-    """Only the newest shard. Its suffix comes from partition metadata and becomes a literal: one folder is read."""
+    """Only the newest shard. Its suffix is the greatest folder name and becomes a literal: no job runs before, one folder is read."""
     df = scan_partitioned(spark, root, {suffix_col: "string"}, schema=schema)
-    newest = df.agg(F.max(suffix_col)).first()[0]
-    return df.filter(F.col(suffix_col) == F.lit(newest))
+    return df.filter(F.col(suffix_col) == F.lit(newest_partition(spark, root, suffix_col)))
 
 
 def latest_snapshot(df: DataFrame, snapshot: str) -> DataFrame:

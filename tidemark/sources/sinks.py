@@ -1,11 +1,14 @@
 """Writers: replace, append, snapshots, incremental loads and keyed merges on Parquet folders.
 
-A keyed merge writes a whole new version of the table beside the old one and then publishes it by
-a marker file, so readers see the old or the new state and a lost executor or a failed job leaves the old one in place.
+A keyed merge writes new files for the hash buckets of keys it touches beside the old ones and then publishes the new
+version by a marker file, so readers see the old or the new state and a lost executor or a failed job leaves the old one
+in place. Of two writers that started from the same version, the second fails.
 """
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -13,26 +16,30 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scans import retain_days, scan_partitioned
-
-
-def _file_system(spark: SparkSession, path: str):
-    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+from .scans import file_system, newest_partition, retain_days
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, make = _file_system(spark, path)
+    fs, make = file_system(spark, path)
     return fs.exists(make(path))
 
 
 def write_replace(df: DataFrame, path: str, partition_by: list[str] | None = None, cluster_by: list[str] | None = None, partitions: int | None = None) -> None:
-    """Full rebuild. Clustering sorts files by ranges of the columns, which lets readers skip row groups."""
+    """Full rebuild. Clustering sorts files by ranges of the columns, which lets readers skip row groups.
+
+    The new table is complete before it takes the place of the old one, so a failed rebuild leaves that as it was.
+    """
     if cluster_by:
         spread = [*(partition_by or []), *cluster_by]
         df = df.repartitionByRange(*([partitions] if partitions else []), *spread).sortWithinPartitions(*spread)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    fresh, old = (f"{path.rstrip('/')}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(fresh)
+    fs, make = file_system(df.sparkSession, path)
+    had = fs.exists(make(path)) and fs.rename(make(path), make(old))
+    if not fs.rename(make(fresh), make(path)):
+        raise OSError(f"could not put the new table at {path}; it is complete at {fresh}")
+    if had:
+        fs.delete(make(old), True)
 
 
 def write_append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -66,10 +73,11 @@ def write_collected(df: DataFrame, root: str, partition: dict[str, str], collect
 def insert_overwrite_since_max(build: Callable[[Column | None], DataFrame], spark: SparkSession, path: str, part: str, part_type: str = "date") -> None:
     """Recompute from the newest stored partition on (that one included) and replace just those partitions.
 
-    ``build`` gets the watermark as a literal, or None on the first run, and applies it to its scan.
+    ``build`` gets the watermark as a literal, or None on the first run, and applies it to its scan. The watermark comes
+    from the names of the partition folders; no file is read for it.
     """
-    newest = scan_partitioned(spark, path, {part: part_type}).agg(F.max(part)).first()[0] if path_exists(spark, path) else None
-    overwrite_partitions(build(None if newest is None else F.lit(newest)), path, [part])
+    newest = newest_partition(spark, path, part, numeric=part_type in ("int", "bigint")) if path_exists(spark, path) else None
+    overwrite_partitions(build(None if newest is None else F.lit(newest).cast(part_type)), path, [part])
 
 
 def reprocess_window(build: Callable[[], DataFrame], path: str, date_col: str, as_of: str, days: int) -> None:
@@ -78,61 +86,112 @@ def reprocess_window(build: Callable[[], DataFrame], path: str, date_col: str, a
 
 
 class VersionedTable:
-    """A table as immutable Parquet folders and one marker file per published version."""
+    """A table as immutable Parquet folders and one marker file per published version.
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self._fs, self._path = _file_system(spark, self.root)
+    With ``keys`` the rows lie in ``buckets`` folders by a hash of the keys, and a version lists the folder of every
+    bucket, so a merge reads and rewrites only the buckets that its source touches. The last ``keep`` versions stay
+    readable; older markers, and folders that only they use, are removed after a new version is out.
+    """
+
+    STALE_S = 60  # an empty marker older than this belongs to a writer that died while publishing
+
+    def __init__(self, spark: SparkSession, root: str, keys: list[str] | None = None, buckets: int = 64, keep: int = 3):
+        self.spark, self.root, self.keys, self.buckets, self.keep = spark, root.rstrip("/"), keys, buckets, keep
+        self._fs, self._path = file_system(spark, self.root)
 
-    def _markers(self) -> dict[int, str]:
+    def _markers(self) -> dict[int, object]:
         folder = self._path(f"{self.root}/_versions")
         if not self._fs.exists(folder):
             return {}
-        # a marker without content belongs to a writer that died before it published
-        return {int(s.getPath().getName()): s for s in self._fs.listStatus(folder)}
+        return {int(s.getPath().getName()): s for s in self._fs.listStatus(folder) if s.getPath().getName().isdigit()}
 
-    def _folder(self, status) -> str | None:
+    def _manifest(self, status) -> dict[str, list[int]] | None:
+        """Folder -> buckets it holds (one empty list: all rows, without buckets); None if nothing was published."""
         if status.getLen() == 0:
             return None
         stream = self._fs.open(status.getPath())
         try:
-            return stream.readUTF()
+            return json.loads(stream.readUTF())
         finally:
             stream.close()
 
-    def current(self) -> str | None:
-        """Folder of the newest published version."""
-        for _, status in sorted(self._markers().items(), reverse=True):
-            folder = self._folder(status)
-            if folder:
-                return f"{self.root}/{folder}"
-        return None
+    def current(self) -> tuple[int, dict[str, list[int]]]:
+        """Number and manifest of the newest published version; 0 and nothing before the first."""
+        for number, status in sorted(self._markers().items(), reverse=True):
+            manifest = self._manifest(status)
+            if manifest is not None:
+                return number, manifest
+        return 0, {}
 
     def exists(self) -> bool:
-        return self.current() is not None
-
-    def read(self) -> DataFrame:
-        folder = self.current()
-        if folder is None:
-            raise ValueError(f"no version of {self.root} yet")
-        return self.spark.read.parquet(folder)
+        return self.current()[0] > 0
 
-    def write(self, df: DataFrame) -> int:
-        """Write the next version completely, then publish it under the next number.
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
-        The number is taken by creating its marker without overwriting, so of two racing writers one fails.
+    def read(self, version: tuple[int, dict[str, list[int]]] | None = None, touched: set[int] | None = None) -> DataFrame:
+        """The newest version, or the one that ``current`` returned; with ``touched`` only those buckets."""
+        number, manifest = version or self.current()
+        if not number:
+            raise ValueError(f"no version of {self.root} yet")
+        paths = [f"{self.root}/{folder}" if not held else f"{self.root}/{folder}/__bucket={b}" for folder, held in manifest.items() for b in held or [None]
+                 if touched is None or not held or b in touched]
+        if not paths:  # the touched buckets are empty so far
+            return self.read((number, manifest)).limit(0)
+        return self.spark.read.option("recursiveFileLookup", "true").parquet(*paths)
+
+    def write(self, df: DataFrame, expected: int | None = None, touched: set[int] | None = None) -> int:
+        """Write the next version and publish it.
+
+        ``expected`` is the version that ``df`` was made from (the current one if not given); if another has been
+        published meanwhile, the write fails and nothing changes. With ``touched``, ``df`` holds all rows of those
+        buckets and the others stay as they are.
         """
-        version = max(self._markers(), default=0) + 1
+        number, manifest = self.current()
+        expected = number if expected is None else expected
         folder = f"data-{uuid.uuid4().hex}"
-        df.write.mode("errorifexists").parquet(f"{self.root}/{folder}")
+        if self.keys:
+            df.withColumn("__bucket", self.bucket()).hint("rebalance", F.col("__bucket")).write.partitionBy("__bucket").parquet(f"{self.root}/{folder}")
+            made = self._fs.listStatus(self._path(f"{self.root}/{folder}"))
+            held = sorted(int(s.getPath().getName().split("=")[1]) for s in made if s.getPath().getName().startswith("__bucket="))
+            rest = {f: [b for b in bs if b not in touched] for f, bs in manifest.items()} if touched is not None else {}
+            fresh = {f: bs for f, bs in rest.items() if bs} | ({folder: held} if held else {})
+            if not fresh:  # an empty table still has its columns
+                df.write.parquet(f"{self.root}/{folder}-empty")
+                fresh = {f"{folder}-empty": []}
+        else:
+            df.write.mode("errorifexists").parquet(f"{self.root}/{folder}")
+            fresh = {folder: []}
+        version = self._publish(fresh, expected)
+        self._forget()
+        return version
+
+    def _publish(self, manifest: dict[str, list[int]], expected: int) -> int:
+        """Take the number after ``expected`` by creating its marker without overwriting."""
+        version = expected + 1
+        for number, status in sorted(self._markers().items()):
+            if number <= expected:
+                continue
+            dead = status.getLen() == 0 and time.time() - status.getModificationTime() / 1000 >= self.STALE_S
+            if not dead:
+                raise RuntimeError(f"{self.root}: version {number} was published by another writer; this one started from {expected}")
+            version = number + 1
         marker = self._fs.create(self._path(f"{self.root}/_versions/{version}"), False)
         try:
-            marker.writeUTF(folder)
+            marker.writeUTF(json.dumps(manifest))
         finally:
             marker.close()
         return version
 
+    def _forget(self) -> None:
+        published = {n: m for n, s in self._markers().items() if (m := self._manifest(s)) is not None}
+        newest = sorted(published)[-self.keep :]
+        used = {f for n in newest for f in published[n]}
+        for n in sorted(published)[: -self.keep]:
+            self._fs.delete(self._path(f"{self.root}/_versions/{n}"), False)
+            for folder in set(published[n]) - used:
+                self._fs.delete(self._path(f"{self.root}/{folder}"), True)
+
 
 def reject_duplicate_keys(source: DataFrame, keys: list[str]) -> DataFrame:
     """The source itself, failing at run time when a full key occurs twice (as MERGE does).
@@ -172,12 +231,28 @@ def merged(target: DataFrame, source: DataFrame, keys: list[str], update_cols: l
 
 
 def new_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Source rows whose key the target lacks. Rows with a NULL key always count as new."""
-    return source.join(target.select(*keys).distinct(), keys, "left_anti")
+    """Source rows whose key the target lacks. Rows with a NULL key always count as new.
+
+    Only target rows within the source's span of the first key are read, which row group statistics skip by.
+    """
+    span = source.agg(F.min(keys[0]).alias("a"), F.max(keys[0]).alias("b")).first()
+    near = target.filter(F.col(keys[0]).between(F.lit(span["a"]), F.lit(span["b"])))
+    return source.join(near.select(*keys).distinct(), keys, "left_anti")
+
+
+def rewrite(table: VersionedTable, source: DataFrame, merge: Callable[[DataFrame], DataFrame]) -> int:
+    """Publish ``merge(stored rows)``: of a bucketed table only the buckets that keys of ``source`` fall into are read and rewritten."""
+    version = table.current()
+    if not table.keys:
+        return table.write(merge(table.read(version)), version[0])
+    touched = {r[0] for r in source.select(table.bucket().alias("b")).distinct().collect()}  # at most ``buckets`` numbers
+    return table.write(merge(table.read(version, touched)), version[0], touched)
 
 
 def merge_upsert(table: VersionedTable, source: DataFrame, keys: list[str], update_cols: list[str] | None = None) -> int:
-    return table.write(merged(table.read(), source, keys, update_cols) if table.exists() else source)
+    if not table.exists():
+        return table.write(source, 0)
+    return rewrite(table, source, lambda stored: merged(stored, source, keys, update_cols))
 
 
 def insert_new(spark: SparkSession, path: str, source: DataFrame, keys: list[str]) -> None:
@@ -199,8 +274,11 @@ def merge_id_sets(target: DataFrame, batch: DataFrame, key: str, array_cols: lis
 def merge_min_attrs(target: DataFrame, batch: DataFrame, key: str, min_cols: list[str], array_cols: list[str]) -> DataFrame:
     """Stored and new entities: first-seen attributes keep their minimum, id arrays are united."""
     both = target.select(key, *min_cols, *array_cols).unionByName(batch.select(key, *min_cols, *array_cols))
-    arrays = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in array_cols]
-    return both.groupBy(key).agg(*[F.min(c).alias(c) for c in min_cols], *arrays)
+    out = both.groupBy(key).agg(*[F.min(c).alias(c) for c in min_cols])
+    for c in array_cols:  # duplicates go before anything is collected
+        ids = both.select(key, F.explode(c).alias("__id")).distinct().groupBy(key).agg(F.array_sort(F.collect_list("__id")).alias(c))
+        out = out.join(ids, key, "left").withColumn(c, F.coalesce(c, F.array().cast(target.schema[c].dataType)))
+    return out
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.windows import latest_per_key
-from ..sources.sinks import VersionedTable, insert_new, overwrite_partitions
+from ..sources.sinks import VersionedTable, insert_new, overwrite_partitions, rewrite
 
 
 def file_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -66,10 +66,15 @@ def stream_insert_new(stream: DataFrame, path: str, keys: list[str], checkpoint:
 
 
 def stream_upsert(stream: DataFrame, table: VersionedTable, keys: list[str], order: list[str], checkpoint: str) -> StreamingQuery:
-    """Newest row per key over stored and arriving rows, whatever the order of arrival."""
+    """Newest row per key over stored and arriving rows, whatever the order of arrival.
+
+    Of a table with ``keys`` only the buckets that a batch touches are rewritten.
+    """
     def step(batch: DataFrame, _: int) -> None:
-        rows = table.read().unionByName(batch) if table.exists() else batch
-        table.write(latest_per_key(rows, keys, order))
+        if table.exists():
+            rewrite(table, batch, lambda stored: latest_per_key(stored.unionByName(batch), keys, order))
+        else:
+            table.write(latest_per_key(batch, keys, order), 0)
 
     return run_batches(stream, step, checkpoint)
 
