@@ -31,10 +31,17 @@ def test_safe_math(spark):
                M.ratio_or_zero(F.lit(6), F.lit(0)), M.ratio_or_zero(F.lit(6), n), M.ratio_or_zero(F.lit(6), F.lit(4))) == (4, 1, None, 0.0, 0.0, 1.5)
 
 
-def test_haversine_paris_amsterdam(spark):
-    spot = [F.lit(x) for x in (48.864716, 2.349014, 52.379189, 4.899431)]
-    mi, km = one(spark, M.haversine(*spot), M.haversine(*spot, unit="km"))
-    assert (round(mi), round(km)) == (267, 430)
+def test_haversine(spark):
+    """A quarter of the globe along the equator and up to the pole, and a pair of places by the formula."""
+    from math import asin, cos, pi, radians, sin, sqrt
+
+    spot = [F.lit(x) for x in (-33.45, -70.66, 35.68, 139.69)]
+    mi, km, equator, pole = one(spark, M.haversine(*spot), M.haversine(*spot, unit="km"), M.haversine(F.lit(0.0), F.lit(10.0), F.lit(0.0), F.lit(100.0), unit="km"),
+                                M.haversine(F.lit(0.0), F.lit(5.0), F.lit(90.0), F.lit(77.0), unit="km"))
+    a = sin(radians(35.68 + 33.45) / 2) ** 2 + cos(radians(-33.45)) * cos(radians(35.68)) * sin(radians(139.69 + 70.66) / 2) ** 2
+    radius = equator / (pi / 2)
+    assert 6360 < radius < 6380 and round(pole, 6) == round(equator, 6)
+    assert round(km / radius, 9) == round(2 * asin(sqrt(a)), 9) and round(km / mi, 3) == 1.609
     with pytest.raises(ValueError):
         M.haversine(*spot, unit="m")
 

@@ -102,9 +102,3 @@ def step_function(col: str | Column, steps: list[tuple[float, int]], below: int
     for limit, value in sorted(steps):
         expr = F.when(_c(col) >= limit, value).otherwise(expr)
     return expr
-
-
-def ratio_metrics(df: DataFrame, specs: dict[str, tuple[str, str]], zero: bool = True) -> DataFrame:
-    """Add rate columns ``name -> (numerator, denominator)`` with the zero guard."""
-    make = ratio_or_zero if zero else safe_divide
-    return df.withColumns({name: make(a, b) for name, (a, b) in specs.items()})

@@ -99,7 +99,8 @@ def mentions(df: DataFrame, text: str, users: DataFrame, user_id: str, user_name
     """
     found = df.withColumn("__ids", F.array_distinct(F.regexp_extract_all(text, F.lit(r"<@([A-Za-z0-9]+)>"), F.lit(1))))
     found = found.withColumn("links", F.array_join(F.regexp_extract_all(text, F.lit(r"<(https?://[^>|]+)"), F.lit(1)), "\n"))
-    names = users.select(F.col(user_id).cast("string").alias("__id"), F.col(user_name).alias("__name"))
+    # one name per id, the first by alphabet
+    names = users.groupBy(F.col(user_id).cast("string").alias("__id")).agg(F.min(user_name).alias("__name"))
     pairs = (
         found.select(*keys, F.explode("__ids").alias("__id"))
         .join(names, "__id", "left")

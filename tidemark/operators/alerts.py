@@ -73,13 +73,18 @@ def daily_ranking(df: DataFrame, platform: str, key: str, date: str, value: str,
 
 
 def rank_movement(today: DataFrame, yesterday: DataFrame, keys: list[str], rank: str, top: int = 50, min_move: int = 5) -> DataFrame:
-    """Moves between two rankings with a label; kept are ranked keys that moved far enough."""
-    out = rank_labels(today, yesterday, keys, rank)
-    return out.filter((F.col("today_rank") <= top) & (F.col("rank_change") >= min_move))
+    """Moves within the first ``top`` of two rankings, with a label; kept are keys that moved far enough."""
+    out = rank_labels(today, yesterday, keys, rank, top)
+    return out.filter(F.col("today_rank").isNotNull() & (F.col("rank_change") >= min_move))
 
 
-def rank_labels(today: DataFrame, yesterday: DataFrame, keys: list[str], rank: str) -> DataFrame:
-    """Every key of either day: both ranks, the size of the move, and up / drop / same / new / out."""
+def rank_labels(today: DataFrame, yesterday: DataFrame, keys: list[str], rank: str, top: int | None = None) -> DataFrame:
+    """Every key of either day: both ranks, the size of the move, and up / drop / same / new / out.
+
+    ``top`` says how far the ranking goes: a key beyond it counts as unranked on that day. Without it all are ranked.
+    """
+    if top is not None:
+        today, yesterday = today.filter(F.col(rank) <= top), yesterday.filter(F.col(rank) <= top)
     a = today.select(*keys, F.col(rank).alias("today_rank"))
     b = yesterday.select(*keys, F.col(rank).alias("yesterday_rank"))
     t, y = F.col("today_rank"), F.col("yesterday_rank")

@@ -60,7 +60,10 @@ def spine_of(df: DataFrame, date_col: str, part: str = "day", name: str = "date_
 
 
 def date_dimension(days: DataFrame, col: str = "date_day") -> DataFrame:
-    """Calendar attributes for a frame of days, prior-year columns included."""
+    """Calendar attributes for a frame of days, prior-year columns included.
+
+    Fixed values: the column names, which readers of a date dimension expect.
+    """
     d = F.col("date_day")
     prior, py, pyoy = F.date_sub(d, 1), D.shift(d, -1, "year"), F.date_sub(d, 364)
     return days.select(F.col(col).cast("date").alias("date_day")).select(

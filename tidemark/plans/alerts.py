@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import scan_cost
 from ..operators import alerts as N
 from ..operators.aggregates import money
-from ..operators.windows import period_deltas, top_n
+from ..operators.windows import period_deltas, range_parts, split_window
 from .registry import query
 
 
@@ -61,7 +61,9 @@ def anomaly_rate_change(t):
 
 def ranking(t, d):
     counts = t.events.filter(day() == F.lit(d).cast("date")).groupBy("user_id").agg(F.count("*").alias("n"))
-    return top_n(counts.withColumn("os", F.col("user_id") % 2), "os", [F.desc("n"), F.asc("user_id")], 50, "ranking")
+    places = range_parts(counts.select("user_id", (F.col("user_id") % 2).alias("os"), (-F.col("n")).alias("__less")), ["os", "__less", "user_id"])
+    ranked = split_window(places, "os", ["__less", "user_id"], F.col("__part"), {"ranking": ("row_number", None)})
+    return ranked.select("user_id", "os", F.col("ranking").cast("int").alias("ranking"))
 
 
 RANKS = """r AS (SELECT day, user_id, user_id % 2 AS os, row_number() OVER (PARTITION BY day, user_id % 2 ORDER BY n DESC, user_id) AS rk FROM (SELECT cast(ts AS DATE) AS day, user_id, count(*) AS n FROM events GROUP BY 1, 2)),
@@ -72,12 +74,12 @@ RANKS = """r AS (SELECT day, user_id, user_id % 2 AS os, row_number() OVER (PART
 
 @query(f"WITH {RANKS} SELECT * FROM m WHERE today_rank <= 50 AND rank_change >= 5")
 def rank_movement(t):
-    return N.rank_movement(ranking(t, "2024-01-21"), ranking(t, "2024-01-20"), ["user_id", "os"], "ranking")
+    return N.rank_movement(ranking(t, "2024-01-21"), ranking(t, "2024-01-20"), ["user_id", "os"], "ranking", top=50)
 
 
 @query(f"WITH {RANKS} SELECT * FROM m")
 def rank_labels(t):
-    return N.rank_labels(ranking(t, "2024-01-21"), ranking(t, "2024-01-20"), ["user_id", "os"], "ranking")
+    return N.rank_labels(ranking(t, "2024-01-21"), ranking(t, "2024-01-20"), ["user_id", "os"], "ranking", top=50)
 
 
 @query("""WITH s AS (SELECT o_orderpriority, o_custkey, cast(sum(cast(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS total FROM orders WHERE cast(o_orderdate AS DATE) BETWEEN DATE '2000-06-01' AND DATE '2000-06-30' GROUP BY 1, 2)

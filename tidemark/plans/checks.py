@@ -179,7 +179,7 @@ def run_checks(t):
 
 @query("""WITH n AS (SELECT count(*) AS n FROM orders)
           SELECT check_name, CASE WHEN check_name = 'rows' THEN n ELSE f END AS failures, 'error' AS severity, CASE WHEN check_name = 'rows' OR f > 0 THEN 'fail' ELSE 'pass' END AS state FROM n,
-          (VALUES ('exists', 0), ('position', 1), ('contains', 0), ('match_set', 1), ('ordered', 1), ('absent', 0), ('count', 0), ('count_other', 1), ('type', 0), ('type_list', 1), ('rows', 0)) v(check_name, f)""")
+          (VALUES ('exists', 0), ('position', 1), ('contains', 0), ('match_set', 1), ('ordered', 1), ('absent', 0), ('count', 0), ('count_equal', 1), ('count_other', 1), ('type', 0), ('type_list', 1), ('rows', 0)) v(check_name, f)""")
 def run_schema_checks(t):
     """Table-shape expectations next to a row check that reads the whole table."""
     o = t.orders
@@ -191,6 +191,7 @@ def run_schema_checks(t):
         "ordered": X.expect_columns(o, list(reversed(o.columns)), "match_ordered"),
         "absent": X.expect_columns(o, ["secret"], "not_contain"),
         "count": X.expect_column_count(o, 3, 10),
+        "count_equal": X.expect_column_count(o, equal=99),
         "count_other": X.expect_column_count(o, other=t.lineitem),
         "type": X.expect_type(o, "o_totalprice", "double"),
         "type_list": X.expect_type(o, "o_totalprice", ["int", "bigint"]),

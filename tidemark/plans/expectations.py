@@ -47,6 +47,19 @@ def expect_distinct_count(t):
     return X.expect_distinct_count(t.events.withColumn("day", F.to_date("ts")), "user_id", "gt", 50, "day", "event_type = 'purchase'")
 
 
+@query("""SELECT * FROM (SELECT cast(ts AS DATE) AS day, count(DISTINCT user_id) AS n_distinct, 'lt' AS rule FROM events GROUP BY 1) WHERE NOT n_distinct < 100
+          UNION ALL SELECT * FROM (SELECT cast(ts AS DATE), count(DISTINCT user_id) AS n, 'eq' FROM events GROUP BY 1) WHERE NOT n = 100""")
+def expect_distinct_count_lt_eq(t):
+    e = t.events.withColumn("day", F.to_date("ts"))
+    return X.expect_distinct_count(e, "user_id", "lt", 100, "day").withColumn("rule", F.lit("lt")).union(
+        X.expect_distinct_count(e, "user_id", "eq", 100, "day").withColumn("rule", F.lit("eq")))
+
+
+@query("""SELECT o_custkey, cast(count(*) AS DOUBLE) AS value FROM orders GROUP BY 1 HAVING NOT count(*) = 10""")
+def expect_row_count_equal(t):
+    return X.expect_row_count(t.orders, equal=10, group_by="o_custkey").withColumn("value", F.col("value").cast("double"))
+
+
 @query("""SELECT * FROM (SELECT cast(count(DISTINCT o_custkey) AS DOUBLE) AS value_a, (SELECT cast(count(DISTINCT c_custkey) AS DOUBLE) FROM customer) AS value_b FROM orders) WHERE value_a <> value_b
           UNION ALL SELECT * FROM (SELECT cast(count(DISTINCT o_custkey) FILTER (o_orderstatus = 'F') AS DOUBLE) AS a, (SELECT cast(count(DISTINCT c_custkey) AS DOUBLE) FROM customer) AS b FROM orders) WHERE a <> b""")
 def expect_distinct_count_equal_other(t):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import nested as N
 from ..operators import aggregates as A
 from ..operators import joins as J
 from ..operators import projections as P
@@ -319,7 +320,8 @@ def agg_string_concat_ordered(t):
 
 @query("""SELECT user_id, max(cast(json_extract_string(props, '$.k') AS BIGINT)) AS latest_k FROM events GROUP BY 1""")
 def agg_array_last(t):
-    return t.events.groupBy("user_id").agg(F.max(F.get_json_object("props", "$.k").cast("bigint")).alias("latest_k"))
+    held = t.events.select("user_id", F.get_json_object("props", "$.k").cast("bigint").alias("k")).distinct().groupBy("user_id").agg(F.collect_list("k").alias("ks"))
+    return held.select("user_id", N.array_last("ks").alias("latest_k"))
 
 
 @query("""SELECT event_type, round(quantile_cont(value, 0.25), 6) AS q25, round(median(value), 6) AS med FROM events GROUP BY 1""")
@@ -328,6 +330,21 @@ def agg_median_percentile(t):
     return out.select("event_type", F.round("q25", 6).alias("q25"), F.round("med", 6).alias("med"))
 
 
+@query("SELECT o_orderkey FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)")
+def agg_single_value(t):
+    """One value read by the driver becomes a literal of the next query."""
+    newest = A.single_value(t.orders.agg(F.max("o_orderdate")))
+    return t.orders.filter(F.col("o_orderdate") == F.lit(newest)).select("o_orderkey")
+
+
+@query("SELECT o_orderkey, n AS status_rows FROM orders JOIN (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1) USING (o_orderstatus)")
+def agg_query_dict(t):
+    """A small result read as name -> values and used as a lookup."""
+    counts = A.as_dict(t.orders.groupBy("o_orderstatus").agg(F.count("*").alias("n")))
+    lookup = F.create_map(*[F.lit(x) for pair in zip(counts["o_orderstatus"], counts["n"]) for x in pair])
+    return t.orders.select("o_orderkey", lookup[F.col("o_orderstatus")].cast("bigint").alias("status_rows"))
+
+
 @query("SELECT event_type, round(stddev_samp(value), 6) AS sd FROM events GROUP BY 1")
 def agg_stddev(t):
     return t.events.groupBy("event_type").agg(F.round(F.stddev_samp("value"), 6).alias("sd"))

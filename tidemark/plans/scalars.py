@@ -325,7 +325,11 @@ def date_diff(t):
                            D.full_units("ts", end, "minute").alias("full_minutes"), D.day_diff(D.as_date("2024-02-01"), F.to_date("ts")).alias("days"))
 
 
-@query()
+@query("""WITH m AS (SELECT conv_id, turn, role, '<@' || role || '> <@U9> see <https://example.org/' || conv_id || '> ' || text AS full_text FROM conversations),
+               f AS (SELECT *, regexp_extract_all(full_text, '<@([A-Za-z0-9]+)>', 1) AS ids FROM m)
+          SELECT conv_id, turn, array_to_string(list_filter(ids, lambda x, i: list_position(ids, x) = i), chr(10)) AS mentions,
+                 array_to_string(regexp_extract_all(full_text, '<(https?://[^>|]+)', 1), chr(10)) AS links,
+                 regexp_replace(replace(full_text, '<@' || role || '>', '@' || upper(role[1]) || lower(role[2:])), '<@[A-Za-z0-9]+>', '@unknown', 'g') AS resolved_text FROM f""")
 def mentions_and_links(t):
     """Message texts with a mention of the turn's speaker and a link; speakers come from the same table."""
     msg = t.conversations.select(

@@ -71,6 +71,15 @@ def scan_csv_all_string(t):
     return I.ingest_csv_reports(t.spark, f"{root}/report_*", r"report_([0-9]{8})", sep="\t", loaded=loaded)
 
 
+@query("""SELECT cast(s_suppkey AS VARCHAR) AS key, s_name AS name, cast(s_nationkey AS VARCHAR) AS nation, DATE '2024-01-05' AS snapshot_date FROM supplier""")
+def scan_csv_utf16(t):
+    """A report as the app stores write it: UTF-16, comma-separated, with a header."""
+    root = scratch(t, "utf16")
+    s = t.supplier.select(F.col("s_suppkey").alias("Key"), F.col("s_name").alias("Name"), F.col("s_nationkey").alias("Nation"))
+    s.write.option("header", True).option("encoding", "UTF-16").csv(f"{root}/report_20240105")
+    return I.ingest_csv_reports(t.spark, f"{root}/report_*", r"report_([0-9]{8})", encoding="UTF-16")
+
+
 @query("""SELECT cast(o_orderkey AS VARCHAR) AS o_orderkey, cast(o_custkey AS VARCHAR) AS o_custkey, o_orderpriority, cast(NULL AS VARCHAR) AS absent FROM orders""")
 def scan_json_all_string(t):
     root = scratch(t, "dump")

@@ -11,16 +11,13 @@ from pyspark.sql import types as T
 from ..functions.dates import as_date
 
 
-def scan_partitioned(spark: SparkSession, root: str, partition_types: dict[str, str], fmt: str = "parquet", schema: T.StructType | None = None,
-                     merge_schema: bool = False) -> DataFrame:
+def scan_partitioned(spark: SparkSession, root: str, partition_types: dict[str, str], fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
     """Table over ``key=value`` folders with declared partition types.
 
     The declared types are part of the read schema, so Spark never guesses them (``007`` stays text). With a
     schema given, unknown file columns are ignored, missing ones are NULL, and no footer is read to plan.
     """
     reader = spark.read.format(fmt).option("basePath", root)
-    if merge_schema:
-        reader = reader.option("mergeSchema", "true")
     if schema is None:
         schema = reader.load(root).schema
     full = T.StructType([f for f in schema.fields if f.name not in partition_types])
