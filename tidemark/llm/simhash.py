@@ -123,7 +123,7 @@ def near_edges(prints: DataFrame, most: int = 3, direct: int = DIRECT) -> DataFr
     assert most <= 3, "two halves find three differing bits at most"
     # A fixed number of partitions: each row becomes 64, so adaptive execution must not gather them into a few tasks.
     tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fps = prints.select("fp").repartition(tasks, "fp").distinct()
+    fps = prints.select("fp").distinct().repartition(tasks, "fp")
     both = F.explode(F.sequence(F.lit(0), F.lit(2 * HALF - 1)))
     masked = F.expr(f"(CASE WHEN slot < {HALF} THEN shiftrightunsigned(fp, {HALF}) ELSE fp & {2**HALF - 1} END) & ~shiftleft(1L, slot % {HALF})")
     variants = fps.withColumn("slot", both).select("fp", "slot", (masked + F.col("slot").cast("bigint") * F.lit(2**HALF)).alias("sig"))
