@@ -324,6 +324,15 @@ def agg_array_last(t):
     return held.select("user_id", N.array_last("ks").alias("latest_k"))
 
 
+@query("""SELECT event_id, dense_rank() OVER w AS place, lag(event_id) OVER w AS previous, cast(count(*) FILTER (event_id % 3 = 0) OVER (PARTITION BY user_id ORDER BY t NULLS FIRST, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS thirds
+          FROM (SELECT event_id, user_id, CASE WHEN event_id % 7 <> 0 THEN ts END AS t FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY t NULLS FIRST, event_id)""")
+def win_null_times(t):
+    """Every seventh event lost its time; such events come first, in the order of their ids."""
+    e = t.events.select("event_id", "user_id", F.when(F.col("event_id") % 7 != 0, F.col("ts")).alias("t"))
+    outputs = {"place": ("dense_rank", None), "previous": ("lag", "event_id"), "thirds": ("sum", F.when(F.col("event_id") % 3 == 0, 1).otherwise(0))}
+    return W.split_window(e, "user_id", ["t", "event_id"], F.date_trunc("hour", "t"), outputs).select("event_id", "place", "previous", F.col("thirds").cast("bigint").alias("thirds"))
+
+
 @query("""SELECT event_type, round(quantile_cont(value, 0.25), 6) AS q25, round(median(value), 6) AS med FROM events GROUP BY 1""")
 def agg_median_percentile(t):
     out = A.percentiles(t.events, "value", {"q25": 0.25, "med": 0.5}, "event_type")
