@@ -170,13 +170,19 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _count_terms(docs: DataFrame, only: set[str] | None = None) -> DataFrame:
     """``(term, n)``: documents per term."""
+    def counted(seen: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "n"])
+
     def run(parts):
+        seen: Counter = Counter()
         for b in parts:
-            seen: Counter = Counter()
             for t in texts(b):
                 terms = terms_of(set(words_of(t.decode())))
                 seen.update(terms if only is None else terms & only)
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "n"])
+                if len(seen) > 200_000:  # bounded memory whatever the size of a batch
+                    yield counted(seen)
+                    seen = Counter()
+        yield counted(seen)
 
     return docs.select("text").mapInArrow(run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
