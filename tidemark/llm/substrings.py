@@ -25,7 +25,7 @@ from .shared import WordHash, buckets_for, pack_gaps, pack_low, row_key, texts,
 WINDOW = 20
 BATCH_WORDS = 1_500_000
 BUCKET_ENTRIES = 4_000_000
-LOW = 5  # bytes of an anchor's hash beyond its bucket; a false match only adds a candidate
+LOW = 4  # bytes of an anchor's hash beyond its bucket; in a bucket of this size one probe in ten thousand matches falsely, which only adds a candidate
 RESULT = "did bigint, th bigint, places binary"
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))  # odd multipliers of the two rolling hashes
 
