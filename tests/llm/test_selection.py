@@ -285,6 +285,29 @@ def test_seating_follows_the_restaurant():
     assert got.mean() == pytest.approx(sum(t * p for t, p in dist.items()), rel=0.02)
 
 
+@pytest.mark.parametrize("limit", [512, 1])
+def test_sweeps_draw_from_the_conditional(monkeypatch, limit):
+    """Tables of one dish against weights w^t S_d(n, t) by the plain recursion, drawn directly and by Metropolis steps."""
+    monkeypatch.setattr(pitman_yor, "TABLE", limit)
+    pitman_yor.stirling.cache_clear()
+    for n, w, d in ((20, 0.7, 0.5), (100, 2.0, 0.8), (1000, 5.0, 0.8), (300, 60.0, 0.6), (200, 9.0, 0.5), (2, 0.1, 0.9), (4000, 20.0, 0.5), (1500, 4000.0, 0.7), (3000, 600.0, 0.9)):
+        s = np.zeros(1)  # logarithms, t = 1 .. n
+        for k in range(1, n):
+            s = np.logaddexp(np.append(s + np.log(k - d * np.arange(1, k + 1)), -np.inf), np.append(-np.inf, s))
+        p = s + np.log(w) * np.arange(1, n + 1)
+        p = np.exp(p - p.max())
+        p /= p.sum()
+        t = np.arange(1, n + 1)
+        mean = (p * t).sum()
+        dev = math.sqrt((p * t * t).sum() - mean**2)
+        rng, chain = np.random.default_rng(11), {}
+        for _ in range(8):
+            got = pitman_yor.resample(np.full(4000, float(n)), np.full(4000, w), d, rng, chain)
+        assert abs(got.mean() - mean) < 0.08 * dev, (n, w, d)  # 5 standard errors
+        assert got.std() == pytest.approx(dev, rel=0.1), (n, w, d)
+    pitman_yor.stirling.cache_clear()
+
+
 def plain_url(url):
     if url is None or "://" not in url:
         return "", ""
