@@ -220,6 +220,16 @@ def test_license_base_places(edges, small, spark):
     assert labels[0] == "mit" and labels[1] == "apache,gpl" and labels[5] == "bsd" and labels[3] == ""
 
 
+def test_short_wording_needs_the_name_of_the_licence(spark):
+    texts = ["the single was released under the name X", "licensed under the BSD license", "released under the bridge, licensed under the counter", "released under the MIT terms",
+             "licensed under the MIT", "licensed under CC BY 4.0", "licensed under a pseudonym",
+             "This work is licensed under the BSD License, version 3", "This work is licensed under a 4.0 International License", "This work is licensed under the GNU General Public Licence, v3"]
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r["labels"], r.score) for r in licenses.scan_licenses(made).collect()}
+    assert [got[i][0] for i in range(len(texts))] == ["", "", "", "mit", "mit", "cc", "", "", "", "gpl"]
+    assert all(got[i][1] < 0.1 for i in (0, 1, 2, 6, 7, 8))
+
+
 def test_suffix_automaton_matches_are_longest():
     rng = np.random.default_rng(4)
     word = lambda n: [b"%d" % x for x in rng.integers(0, 4, n)]

@@ -49,6 +49,8 @@ TEMPLATES = [
 ]
 MATCH = 3  # words from which a match counts as long
 COVER = 0.6  # share of a template that a chain must cover to give its label
+SHORT = 16  # words below which a chain must cover the licence's name in the template as well
+NAMES = {"mit": {b"mit"}, "gpl": {b"gnu"}, "cc": {b"cc", b"creative"}}  # words that name the licence of a short template
 GAP = 8  # words of a document that may lie between chained matches
 
 
@@ -134,6 +136,7 @@ class Scanner:
     def __init__(self, templates: list[tuple[str, str]], phrases: dict[str, str]):
         self.words = [words_of(t.encode()) for _, t in templates]
         self.labels = [label for label, _ in templates]
+        self.named = [{i for i, x in enumerate(w) if len(w) < SHORT and x in NAMES.get(label, ())} for label, w in zip(self.labels, self.words)]
         self.automaton = SuffixAutomaton(self.words)
         self.phrases = [(words_of(p.encode()), label) for p, label in phrases.items()]
         self.keys = {p[-1] for p, _ in self.phrases}
@@ -156,14 +159,16 @@ class Scanner:
         """Covered template spans ``(start, stop, label, covered share)`` of the document.
 
         Matches of one template that follow each other in the document and in the template, at most ``GAP`` words
-        apart, form a chain; its share is the template's words that it covers.
+        apart, form a chain; its share is the template's words that it covers. Short templates share their beginning with
+        common prose, so a chain of one counts only with the licence's name.
         """
-        open_: dict[int, list[int]] = {}  # template -> start, stop in the document, stop in the template, covered words
+        open_: dict[int, list[int]] = {}  # template -> start, stop in the document, stop in the template, covered words, whether named
         done = []
 
         def close(t):
-            a, z, _, covered = open_.pop(t)
-            done.append((a, z, self.labels[t], min(1.0, covered / len(self.words[t]))))
+            a, z, _, covered, named = open_.pop(t)
+            if named:
+                done.append((a, z, self.labels[t], min(1.0, covered / len(self.words[t]))))
 
         for stop, n, state in self.automaton.matches(words, MATCH):
             start = stop - n
@@ -172,13 +177,14 @@ class Scanner:
                 if t in placed:
                     continue
                 c = open_.get(t)
+                named = not self.named[t] or any(end - n <= i < end for i in self.named[t])
                 if c and start - c[1] <= GAP and end > c[2]:
                     fresh = min(n, end - c[2])
-                    open_[t] = [c[0], stop, end, c[3] + fresh]
+                    open_[t] = [c[0], stop, end, c[3] + fresh, c[4] or named]
                 else:
                     if c:
                         close(t)
-                    open_[t] = [start, stop, end, n]
+                    open_[t] = [start, stop, end, n, named]
                 placed.add(t)
         for t in list(open_):
             close(t)
@@ -193,9 +199,9 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     and greatest start of one (null if none). Every text is streamed through a suffix automaton of all templates,
     which gives at each word the longest sequence that ends there and occurs in some template; maximal matches of
     ``MATCH`` words or more are chained per template. A chain that covers ``cover`` of its template adds the
-    template's label; base labels stay. ``score`` is 1 with a base place, else the largest covered share of any
-    template. ``spans`` lists the chains that give a label. Label lists are distinct, sorted and comma-joined, empty
-    if there is none.
+    template's label; base labels stay. A chain of a template below ``SHORT`` words counts only with a word of ``NAMES``
+    in it. ``score`` is 1 with a base place, else the largest covered share of any template. ``spans`` lists the chains
+    that give a label. Label lists are distinct, sorted and comma-joined, empty if there is none.
 
     A null or empty text has no words, no label and score 0. Rows are judged one by one, so repeated rows agree;
     other columns are not read; an empty table gives no rows.
