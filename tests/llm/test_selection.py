@@ -54,6 +54,35 @@ def test_exact_binomial_limit(spark):
         assert [int(r.k) for r in got] == [plain(int(n), p, level) for n, level in mine]
 
 
+def test_cutoffs_see_all_labelled_documents(spark):
+    """More labelled rows than any sample: some good ones cross a cutoff, which only all of them can certify."""
+    n, rate = 250_000, quality_rules.RATE / len(quality_rules.RULES)
+    crossed = int(n * rate * 0.88)
+    measures = {"n_words": 100, "word_chars": 500, "n_dup_lines": 0, "n_lines": 1, "n_repeat_words": 0, "n_upper": 0, "n_marks": 0}
+    feats = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("en").alias("stratum"), *[F.lit(v).cast("bigint").alias(m) for m, v in measures.items()],
+                                  F.when(F.col("id") < crossed, 20).otherwise(0).cast("bigint").alias("n_symbols"))
+    got = quality_rules.certify(feats, spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))).collect()
+    symbols = next(r for r in got if r["rule"] == "symbols")
+    assert {r.n_good for r in got} == {n} and (symbols.cutoff, symbols.n_rejected) == (0.03, crossed)
+
+
+def test_binomial_limit_of_many_rows(spark):
+    """Against sums of the exact terms, and no more than a few deviations' worth of terms at a billion."""
+    def plain(n, p, level):
+        total, k = 0.0, -1
+        for i in range(n + 1):
+            total += math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p))
+            if total > level:
+                return k
+            k = i
+
+    cases = [(float(n), level) for n in (300_000, 2_000_000) for level in (0.05, 1e-6)]
+    got = spark.createDataFrame(cases, "n double, level double").select("n", "level", quality_rules.most_rejected(F.col("n"), 0.02, F.col("level")).alias("k")).collect()
+    assert [int(r.k) for r in got] == [plain(int(n), 0.02, level) for n, level in cases]
+    much = spark.createDataFrame([(1e9, 0.05)], "n double, level double").select(quality_rules.most_rejected(F.col("n"), 0.004, F.col("level")).alias("k")).first().k
+    assert much == pytest.approx(4e6 - 1.645 * math.sqrt(4e6 * 0.996), abs=3)
+
+
 def test_cutoffs_keep_good_documents(spark):
     rows = [row(i, prose(i, 80), "en") for i in range(4000)] + [row(10_000 + i, prose(i, 80).replace(" ", " %%% "), "en") for i in range(300)]
     rows += [row(20_000 + i, prose(i, 80).replace(" ", " %%% "), "rare") for i in range(5)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,23 +91,30 @@ def most_rejected(n: Column, rate: float, level: Column) -> Column:
     """Largest k with P(Binomial(n, rate) <= k) <= level, -1 if there is none: the exact one-sided binomial test.
 
     With at most k of n good documents rejected, the exact upper bound (confidence 1 - level) of the rate of
-    false rejection is at most ``rate``. Terms are carried as logarithms, so that none underflows.
+    false rejection is at most ``rate``. Terms are carried as logarithms, so that none underflows. For large n the sum
+    starts forty deviations below n * rate, before which less than e^-700 lies, so it has a few sqrt(n * rate) terms.
     """
     def step(a, _):
         cdf = a["cdf"] + F.exp(a["term"])
         odds = F.log((n - a["k"]) / (a["k"] + 1)) + F.log(F.lit(rate / (1 - rate)))
         return F.struct((a["k"] + 1).alias("k"), (a["term"] + odds).alias("term"), cdf.alias("cdf"), F.when(cdf <= level, a["k"]).otherwise(a["best"]).alias("best"))
 
-    start = F.struct(F.lit(0.0).alias("k"), (n * F.log(F.lit(1 - rate))).alias("term"), F.lit(0.0).alias("cdf"), F.lit(-1.0).alias("best"))
+    def log_factorial(x):  # Stirling's series, for x of 100 or more
+        return (x + 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x * x * x)
+
+    low = F.floor(n * rate - 40 * F.sqrt(n * rate)).cast("double")
+    low = F.when(low >= 100, low).otherwise(F.lit(0.0))
+    ways = log_factorial(n) - log_factorial(low) - log_factorial(n - low)
+    first = F.when(low > 0, ways + low * math.log(rate)).otherwise(F.lit(0.0)) + (n - low) * math.log1p(-rate)
+    start = F.struct(low.alias("k"), first.alias("term"), F.lit(0.0).alias("cdf"), (low - 1).alias("best"))
     # Beyond the expected number the sum exceeds any level below one half.
-    return F.aggregate(F.sequence(F.lit(0), F.floor(n * rate).cast("int")), start, step, lambda a: a["best"])
+    return F.aggregate(F.sequence(low.cast("bigint"), F.floor(n * rate).cast("bigint")), start, step, lambda a: a["best"])
 
 
-def certify(feats: DataFrame, labels: DataFrame, rate: float = RATE, confidence: float = 0.95, fit_rows: int = 200_000) -> DataFrame:
+def certify(feats: DataFrame, labels: DataFrame, rate: float = RATE, confidence: float = 0.95) -> DataFrame:
     """Cutoffs ``(stratum, rule, cutoff, n_good, n_rejected, n_allowed)``; no row where none can be certified.
 
-    Looked at are labelled good documents (``quality = 1``) that pass the base rules, at most about ``fit_rows``
-    per stratum, picked by a hash of the doc_id (the bound of the fit). Each rule may reject ``rate / number of
+    Looked at are all labelled good documents (``quality = 1``) that pass the base rules. Each rule may reject ``rate / number of
     rules`` of the good documents, so that together they reject at most ``rate`` in every stratum. A rule's cutoffs
     are tested in fixed order, from lax to strict, up to the first whose exact bound fails (fixed-sequence
     testing, which needs no share of the error level); the level ``1 - confidence`` is divided by the number of
@@ -116,9 +125,6 @@ def certify(feats: DataFrame, labels: DataFrame, rate: float = RATE, confidence:
     flat = [(r, i, c, F.expr(m) > c if way == "above" else F.expr(m) < c) for r, (m, way, cuts) in RULES.items() for i, c in enumerate(cuts)]
     good = labels.filter("quality = 1").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
     held = feats.filter(~base_failed()).join(good, "doc_id", "left_semi")
-    # Written, so that its small size is known and the labelled rows stay where they are.
-    seen = table(held.groupBy("stratum").agg(F.count("*").alias("seen")), "strata")
-    held = held.join(seen, "stratum").filter(F.expr(f"pmod(xxhash64(doc_id, 7), 1000000) * seen < {fit_rows} * 1000000D"))
     counts = table(held.groupBy("stratum").agg(F.count("*").cast("double").alias("n_good"), *[F.sum(hit.cast("int")).alias(f"h{k}") for k, (*_, hit) in enumerate(flat)]), "holdout")
     level = F.lit((1 - confidence) / len(RULES) / max(1, counts.count()))
     tried = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(i).alias("i"), F.lit(c).alias("cutoff"), F.col(f"h{k}").alias("n_rejected")) for k, (r, i, c, _) in enumerate(flat)]))
