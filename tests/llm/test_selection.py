@@ -160,6 +160,21 @@ def test_mix(edges, small, nothing):
     assert mixing.mix(nothing).count() == 0 and mixing.mixed(nothing).count() == 0
 
 
+def test_many_sources_are_numbered_by_ranges(spark):
+    """Thousands of sources: targets and ranks as in plain Python, and no window over all of them."""
+    rows = [(None if i == 7 else f"host{i * 7919 % 3001}.net", 1 + i * i % 50) for i in range(3000)]
+    queue = spark.createDataFrame(rows, "source string, size bigint")
+    goal = mixing.targets(queue)
+    want = plain_targets(dict(rows))
+    got = {r.source: r.target for r in goal.collect()}
+    assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s]) for s in want)
+    ranked = sharding._with_dimension(queue, "source", "dim")
+    names = sorted(s for s, _ in rows if s)
+    assert {r.source: r.dim for r in ranked.collect()} == {None: 0, **{s: i + 1 for i, s in enumerate(names)}}
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(__part" in plan and "windowspecdefinition(__v" not in plan
+
+
 def test_shards(edges, small, nothing, spark):
     hot = spark.createDataFrame([row(i, "same text of a large group " * 20 if i % 3 else prose(i, 100), source=f"s{i % 4}") for i in range(3000)], DOCS)
     for docs, near in ((edges, None), (small("documents"), None), (hot, 0.05)):

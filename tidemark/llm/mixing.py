@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .numbering import place, running
+from .numbering import ordered, place, running
 from .shared import WORD, attach, table, whole_row
 
 WEIGHTS = (5, 2, 1)  # repeated over the sources in code point order, null last
@@ -19,19 +19,20 @@ def targets(queue: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     The total is ``share`` of all words, dealt out by weight; a target stops at ``epochs`` times its source's size
     and the excess goes to the others by weight until none is above. That is one water level: sources in the order
     of their limit per weight, each full as long as the level of the rest reaches its limit. Sources without a word
-    have target 0. The windows run over one row per source.
+    have target 0. Sources are numbered and summed by ranges of their order, so they may be as many as the rows.
     """
     sizes = queue.groupBy("source").agg(F.sum("size").alias("source_size"))
-    order = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
+    last = F.col("source").asc_nulls_last()
     given = F.array(*[F.lit(float(w)) for w in weights])
-    s = sizes.withColumn("weight", F.get(given, order % len(weights))).withColumn("most", F.col("source_size") * float(epochs))
-    filling = Window.orderBy(F.col("most") / F.col("weight"), F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(F.lit(1))
-    rest = F.sum("source_size").over(whole) * share - F.coalesce(F.sum("most").over(filling), F.lit(0.0))
-    s = s.withColumn("level", rest / (F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(filling), F.lit(0.0))))
+    s = ordered(sizes, [last], {"no": F.lit(1)})
+    s = s.withColumn("weight", F.get(given, (F.col("no") % len(weights)).cast("int"))).withColumn("most", F.col("source_size") * float(epochs))
+    s = s.withColumn("limit", F.col("most") / F.col("weight"))
+    s = table(ordered(s, [F.col("limit").asc(), last], {"filled": F.col("most"), "filled_weight": F.col("weight")}), "filling")
+    whole = s.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    s = s.withColumn("level", (F.lit(float(whole["size"] or 0) * share) - F.col("filled")) / (F.lit(whole["weight"] or 0.0) - F.col("filled_weight")))
     s = s.withColumn("full", F.col("most") <= F.col("level") * F.col("weight"))
-    level = F.max(F.when(~F.col("full"), F.col("level"))).over(whole)  # falls from the first source that is not full
-    return s.select("source", "source_size", "weight", F.when(F.col("full"), F.col("most")).otherwise(level * F.col("weight")).alias("target"))
+    level = F.lit(s.agg(F.max(F.when(~F.col("full"), F.col("level"))).alias("level")).first()["level"])  # falls from the first source that is not full
+    return s.select("source", "source_size", "weight", F.when(F.col("full"), F.col("most")).otherwise(level.cast("double") * F.col("weight")).alias("target"))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, seed: int = 5) -> DataFrame:

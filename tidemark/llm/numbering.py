@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.windows import range_parts
+
 RANGE = 2**62
 
 
@@ -33,3 +35,18 @@ def running(df: DataFrame, group: str, at: str, tie: list[str], add: dict[str, C
     ordered = cells.withColumns({n: F.coalesce(F.sum(c).over(inner), F.lit(0)) for n, c in add.items()})
     joined = ordered.join(carried, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__cell") == F.col("__c")))
     return joined.withColumns({n: F.col(n) + F.col(f"__b_{n}") for n in add}).select(*df.columns, *add)
+
+
+def ordered(df: DataFrame, order: list[Column], add: dict[str, Column]) -> DataFrame:
+    """Per row the sums of ``add`` over the rows before it in the whole table, in an ``order`` without ties.
+
+    The table is cut into ranges of the order; each is summed and ordered on its own, and the sums are carried from
+    range to range (one small row per range).
+    """
+    ranges = range_parts(df, order)
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranges.groupBy(F.col("__part").alias("__p")).agg(*[F.sum(c).alias(f"__s_{n}") for n, c in add.items()]).withColumnRenamed("__p", "__part")
+    carried = sums.select(F.col("__part").alias("__p"), *[F.coalesce(F.sum(f"__s_{n}").over(before), F.lit(0)).alias(f"__b_{n}") for n in add])
+    joined = ranges.withColumns({n: F.coalesce(F.sum(c).over(inner), F.lit(0)) for n, c in add.items()}).join(carried, F.col("__part") == F.col("__p"))
+    return joined.withColumns({n: F.col(n) + F.col(f"__b_{n}") for n in add}).select(*df.columns, *add)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .numbering import place, running
+from .numbering import ordered, place, running
 from .shared import attach, table, whole_row
 
 SHARDS = 40
@@ -53,7 +53,8 @@ def _with_dimension(docs: DataFrame, name: str, out: str) -> DataFrame:
         x = F.greatest(F.nanvl(F.coalesce(F.col(name).cast("double"), F.lit(0.0)), F.lit(0.0)), F.lit(0.0))
         return docs.withColumn(out, F.least(F.floor(F.log1p(x) * 2**20), F.lit(2**30 - 1)).cast("bigint"))
     value = F.col(name).cast("string")
-    ranks = docs.select(value.alias("__v")).distinct().filter("__v IS NOT NULL").withColumn(out, F.row_number().over(Window.orderBy("__v")).cast("bigint"))
+    values = docs.select(value.alias("__v")).distinct().filter("__v IS NOT NULL")
+    ranks = ordered(values, [F.col("__v").asc()], {out: F.lit(1).cast("bigint")}).withColumn(out, F.col(out) + 1)
     joined = docs.join(ranks, value == F.col("__v"), "left").drop("__v")
     return joined.withColumn(out, F.coalesce(out, F.lit(0)))
 
