@@ -7,11 +7,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SF_DIR
 from tests.llm.conftest import DOCS, prose, row
+from tests.llm.test_dedup import brute_contamination, groups_of, plain_print
 from tidemark.llm import mixing, numbering, pitman_yor, quality_rules, sharding, toxicity, urls
 from tidemark.llm.shared import table
 
@@ -407,3 +409,116 @@ def test_pipeline(spark, edges):
     for name, stage in corpus_pipeline.STAGES:
         odd = table(stage(spark, odd, SF_DIR), name)
     assert 0 < odd.count() <= 2 * edges.count()
+
+
+def plain_limit(n, p, level):
+    total, k = 0.0, -1
+    for i in range(n + 1):
+        total += math.comb(n, i) * p**i * (1 - p) ** (n - i)
+        if total > level:
+            return k
+        k = i
+    return k
+
+
+def plain_quality(docs, labels):
+    """Documents without a base failure or a certified cutoff crossed."""
+    facts = {}
+    for r in docs:
+        n, chars, symbols, dups, repeats = base_counts(r.text)
+        t, lines = r.text or "", len([x for x in (r.text or "").split("\n") if re.search(SPLIT, x)])
+        share = lambda a, b: a / max(b, 1)
+        facts[r.doc_id] = (n < 50 or 2 * repeats > n, {
+            "symbols": share(symbols, chars), "dup_lines": share(dups, lines), "repeats": share(repeats, n), "upper": share(len(re.findall("[A-Z]", t)), chars),
+            "marks": share(len(re.findall("[!?]", t)), n), "long_words": share(chars, n), "short_words": share(chars, n)})
+    good = {r.doc_id for r in labels if r.quality == 1}
+    strata = defaultdict(list)
+    for r in docs:
+        if r.doc_id in good and not facts[r.doc_id][0]:
+            strata[r.lang].append(r.doc_id)
+    over = lambda d, rule, c: facts[d][1][rule] > c if quality_rules.RULES[rule][1] == "above" else facts[d][1][rule] < c
+    cut = {}
+    for lang, ids in strata.items():
+        allowed = plain_limit(len(ids), 0.03 / 7, 0.05 / 7 / len(strata))
+        for rule, (_, _, cutoffs) in quality_rules.RULES.items():
+            for c in cutoffs:
+                if sum(over(d, rule, c) for d in ids) > allowed:
+                    break
+                cut[lang, rule] = c
+    return [r for r in docs if not facts[r.doc_id][0] and not any((r.lang, rule) in cut and over(r.doc_id, rule, cut[r.lang, rule]) for rule in quality_rules.RULES)]
+
+
+def plain_dedup(docs):
+    prints = {r.doc_id: plain_print(r.text) for r in docs}
+    root, least = groups_of(list(prints.values())), {}
+    for d, f in prints.items():
+        least[root[f]] = min(least.get(root[f], d), d)
+    return [r for r in docs if least[root[prints[r.doc_id]]] == r.doc_id]
+
+
+def plain_clean(docs, items):
+    bad = {d for d, n, hit, _ in brute_contamination([(r.doc_id, r.text) for r in docs], [(r.item_id, r.text) for r in items]) if hit and 20 * hit >= n}
+    return [r for r in docs if r.doc_id not in bad]
+
+
+def plain_mix(docs):
+    """Times each document is taken, with the hash order of Spark's xxhash64."""
+    def spark_hash(*values):
+        h = 42
+        for v in values:
+            if v is not None:
+                h = xxhash.xxh64_intdigest(v if isinstance(v, bytes) else v.encode() if isinstance(v, str) else v.to_bytes(8, "little", signed=True), h)
+        return h
+
+    size = {r.doc_id: len(re.findall(SPLIT, r.text or "")) for r in docs}
+    total = defaultdict(int)
+    for r in docs:
+        total[r.source] += size[r.doc_id]
+    target = plain_targets(dict(total))
+    line, ahead = [], defaultdict(int)
+    whole = {r.doc_id: spark_hash(*r) for r in docs}
+    at = {d: spark_hash((5).to_bytes(4, "little"), d, h - 2**64 if h >= 2**63 else h) >> 2 for d, h in whole.items()}
+    for r in sorted(docs, key=lambda r: at[r.doc_id]):
+        ahead[r.source] += size[r.doc_id]
+        if size[r.doc_id] and target[r.source]:
+            line += [((ahead[r.source] + total[r.source] * e) / target[r.source], r.source, at[r.doc_id], r.doc_id) for e in range(2)]
+    times, taken = Counter(), 0
+    for *_, d in sorted(line):
+        taken += size[d]
+        if taken > sum(target.values()):
+            break
+        times[d] += 1
+    return times
+
+
+def test_pipeline_against_plain_python(spark, tmp_path):
+    """Kept documents of every stage, and the rows of run(), over the small table with planted failures."""
+    docs, labels, items = (spark.read.parquet(f"{SF_DIR}/{n}.parquet") for n in ("documents", "labels", "benchmark"))
+    first, long = docs.orderBy("doc_id").first(), docs.filter("length(text) > 1500").orderBy("doc_id").limit(3).collect()
+    item = max((r.text for r in items.collect()), key=len)
+    planted = ["too short", "same words again " * 40, *[r.text for r in long], long[0].text[:300] + " " + item + " " + item]
+    made = spark.createDataFrame([(10**9 + i, t, first.lang, first.source, len(t)) for i, t in enumerate(planted)], docs.schema)
+    for name, df in (("documents", docs.unionByName(made)), ("labels", labels), ("benchmark", items)):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    now = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    plain = now.collect()
+    whole = {r.doc_id: tuple(r) for r in plain}
+    for name, stage in corpus_pipeline.STAGES:
+        now = table(stage(spark, now, str(tmp_path)), name)
+        before = len(plain)
+        if name == "quality":
+            plain = plain_quality(plain, labels.collect())
+        elif name == "near_dedup":
+            plain = plain_dedup(plain)
+        elif name == "decontamination":
+            plain = plain_clean(plain, items.collect())
+        want = plain_mix(plain) if name == "mixing" else want if name == "sharding" else Counter(r.doc_id for r in plain)
+        assert name in ("mixing", "sharding") or len(plain) < before, name
+        assert Counter(r.doc_id for r in now.collect()) == want, name
+    for out in (now, corpus_pipeline.run(spark, str(tmp_path))):
+        slots, got = defaultdict(list), Counter()
+        for r in out.collect():
+            got[tuple(r)[:5]] += 1
+            slots[r.shard].append(r.slot)
+        assert got == Counter({whole[d]: n for d, n in want.items()})
+        assert all(0 <= k < 40 and sorted(s) == list(range(len(s))) for k, s in slots.items())
