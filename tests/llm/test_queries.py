@@ -19,13 +19,16 @@ COLUMNS = {
     8: "doc_id size text_crc32 law shard slot grown_shard",
     9: "doc_id n_words n_base first_word last_word base_labels labels score",
     10: "page_id host path rule verdict",
+    11: "lang rank phrase a l r n score",
+    12: "doc_id n_shingles component_id kept",
+    13: "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
 }
 
 
 def test_every_operator_has_one_query():
     import __spark_entry__ as entry
 
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 

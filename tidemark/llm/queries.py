@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import decontaminate, licenses, mixing, pitman_yor, quality_rules, sharding, simhash, substrings, toxicity, urls
+from . import decontaminate, fill_middle, licenses, mixing, pitman_yor, quality_rules, sharding, simhash, substrings, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,6 +93,15 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(_read(spark, sf_dir, "pages"), outcomes).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle form of each document, with hashes of the output and of the text rebuilt from it."""
+    made = fill_middle.fill_in_middle(_read(spark, sf_dir, "documents"), seed=1, plain_percent=10, spm_percent=20)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_middle.restored(), 256).alias("restored_sha256")
+    )
+
+
 # Words by position; a window's first place is the least (doc_id, start) of its words.
 ORACLES["op4_substring_dedup"] = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -118,3 +127,15 @@ SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, cast(coalesce(n_hit, 0) AS BIG
   coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLES["op13_fill_in_middle"] = r"""
+WITH u AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || doc_id) AS h FROM documents),
+  d AS (SELECT doc_id, t, u, cast(len(u) AS BIGINT) AS n, cast('0x' || substr(h, 1, 8) AS BIGINT) AS h1, cast('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+    cast('0x' || substr(h, 17, 8) AS BIGINT) AS h3, cast('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM u),
+  c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+  p AS (SELECT doc_id, t, n, form, coalesce(array_to_string(u[1 : a], ''), '') AS x, coalesce(array_to_string(u[a + 1 : b], ''), '') AS y, coalesce(array_to_string(u[b + 1 :], ''), '') AS z FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(x) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(y) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
