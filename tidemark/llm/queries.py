@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import decontaminate, fill_middle, licenses, mixing, pitman_yor, quality_rules, sharding, simhash, substrings, toxicity, urls
+from . import collocations, decontaminate, fill_middle, licenses, mixing, pitman_yor, quality_rules, sharding, simhash, substrings, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,6 +93,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(_read(spark, sf_dir, "pages"), outcomes).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two to five words of each language, found in 100 places at least."""
+    return collocations.collocations(_read(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
 @query
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fill-in-the-middle form of each document, with hashes of the output and of the text rebuilt from it."""
@@ -128,6 +134,22 @@ SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, cast(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+ORACLES["op11_collocations"] = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+  p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM d),
+  total AS (SELECT lang, cast(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY 1),
+  g AS (SELECT lang, k, w[i : i + k - 1] AS g FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)),
+  f AS (SELECT lang, k, g, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+  cut AS (SELECT lang, k, g, a, unnest(range(1, k)) AS c FROM f WHERE k > 1),
+  scored AS (SELECT cut.lang, cut.k, cut.g, cut.a, c, x.a AS l, y.a AS r, n, cast((1000::HUGEINT * cut.a * n) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+    FROM cut JOIN f x ON x.lang = cut.lang AND x.g = cut.g[1 : c] JOIN f y ON y.lang = cut.lang AND y.g = cut.g[c + 1 : cut.k] JOIN total ON total.lang = cut.lang),
+  best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1),
+  inside AS (SELECT lang, g[i : i + m - 1] AS g, max(a) AS a FROM (SELECT lang, g, a, m, unnest(range(1, k - m + 2)) AS i FROM f, (SELECT unnest(range(2, 5)) AS m) WHERE k > m) GROUP BY ALL),
+  kept AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM best WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = best.lang AND i.g = best.g AND i.a >= best.a))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
 ORACLES["op13_fill_in_middle"] = r"""
 WITH u AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || doc_id) AS h FROM documents),
   d AS (SELECT doc_id, t, u, cast(len(u) AS BIGINT) AS n, cast('0x' || substr(h, 1, 8) AS BIGINT) AS h1, cast('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
