@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import collocations, decontaminate, fill_middle, licenses, mixing, pitman_yor, quality_rules, sharding, simhash, substrings, toxicity, urls
+from . import chosen_path, collocations, decontaminate, fill_middle, licenses, mixing, pitman_yor, quality_rules, sharding, simhash, substrings, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,6 +99,13 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_read(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
 
 
+@query
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share 85 % of their three-word shingles, and the first of each."""
+    found = chosen_path.near_duplicates(_read(spark, sf_dir, "documents"), size=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 @query
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fill-in-the-middle form of each document, with hashes of the output and of the text rebuilt from it."""
