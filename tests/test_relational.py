@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -168,3 +169,45 @@ def test_column_values_limit(frame):
 def test_metrics_wide(frame):
     df = frame([(1, "v", "3", 1), (1, "v", "9", 2), (1, "w", "{}", 1), (2, "v", None, 1)], "id int, name string, value string, o int")
     assert rows(A.metrics_wide(df, "id", "name", "value", ["v", "w"], "o")) == [(1, "3", ""), (2, None, None)]
+
+
+def test_range_blocks_are_exact_and_few(spark):
+    r = random.Random(5)
+    cases = [(a, a + r.choice([0, 1, 2, 15, 16, 17, 255, 256, 300, 4095, 4096, 5000])) for a in (r.randint(0, 5000) for _ in range(150))]
+    for step, levels in ((1, 14), (4, 4), (4, 9), (3, 1), (5, 2)):
+        made = spark.createDataFrame(cases, "a bigint, b bigint").select("a", "b", J.range_blocks(F.col("a"), F.col("b"), step, levels).alias("out")).collect()
+        for a, b, out in made:
+            covered = [x for level, block in out for x in range(block << step * level, (block + 1) << step * level)]
+            assert sorted(covered) == list(range(a, b + 1))
+            assert levels < 9 or len(out) <= 2 * (2**step - 1) * (b - a + 1).bit_length()
+    edge = spark.range(1).select(J.range_blocks(F.lit(0), F.lit(2**60), 4, 16).alias("out")).first()["out"]
+    assert sum(1 << 4 * level for level, _ in edge) == 2**60 + 1
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "bigint"])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_range_join_against_a_filter(spark, kind, how):
+    r = random.Random(kind)
+    make = {"bigint": lambda i: i - 700, "date": lambda i: dt.date(2024, 1, 1) + dt.timedelta(days=i - 700)}.get(kind, lambda i: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=997 * i, microseconds=i))
+    points = [None if i % 40 == 0 else make(r.randint(0, 1000)) for i in range(120)]
+    ranges = []
+    for i in range(60):
+        a = r.randint(-100, 1000)
+        ranges.append((f"r{i}", None if r.random() < 0.1 else make(a), None if r.random() < 0.1 else make(a + r.choice([-5, 0, 1, 30, 900]))))
+    df = spark.createDataFrame(list(enumerate(points)), f"id int, at {kind}")
+    rs = spark.createDataFrame(ranges, f"label string, lo {kind}, hi {kind}")
+    got = rows(J.range_join(df, rs, "at", "lo", "hi", how).select("id", "label"))
+    want = [(i, n) for i, p in enumerate(points) for n, a, b in ranges if p is not None and (a is None or a <= p) and (b is None or p <= b)]
+    if how == "left":
+        want += [(i, None) for i in set(range(len(points))) - {i for i, _ in want}]
+    assert got == sorted(want, key=repr)
+
+
+def test_range_join_without_rows(spark, frame):
+    none, some = frame([], "d date"), frame([(dt.date(2024, 1, 1),)], "d date")
+    rs = frame([(dt.date(2023, 1, 1), dt.date(2025, 1, 1))], "lo date, hi date")
+    assert J.range_join(none, rs, "d", "lo", "hi").count() == 0
+    assert J.range_join(some, rs.limit(0), "d", "lo", "hi").count() == 0
+    assert J.range_join(some, rs.limit(0), "d", "lo", "hi", "left").count() == 1
+    with pytest.raises(TypeError):
+        J.range_join(some.select(F.lit(1.5).alias("d")), rs, "d", "lo", "hi")

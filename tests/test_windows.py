@@ -1,5 +1,6 @@
 """Split windows must equal plain windows, whatever the skew."""
 
+import datetime as dt
 import random
 
 import pytest
@@ -121,3 +122,20 @@ def test_cumulative_until_drops_keys_without_a_stop(frame):
     df = frame([(1, 1, "c"), (1, 2, "p"), (1, 3, "p"), (2, 1, "c")], "k int, t int, e string")
     out = W.cumulative_until(df, "k", "t", F.col("e") == "p", {"n": F.lit(1)})
     assert rows(out) == [(1, 2, 2)]
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+@pytest.mark.parametrize("n", [1, 4, 25])
+def test_trailing_on_hot_keys_equals_the_plain_window(spark, monkeypatch, keys, n):
+    monkeypatch.setattr(W, "HOT_ROWS", 5)
+    r = random.Random(n)
+    start = dt.datetime(2024, 1, 1)
+    data = [(r.choice(["a", "a", "a", "b", None]), None if r.random() < 0.15 else start + dt.timedelta(minutes=r.randint(0, 600)), i, r.randint(-9, 9) if r.random() < 0.9 else None) for i in range(300)]
+    data += [("one", start, 1000, 7), (None, None, 1001, 8)]
+    df = spark.createDataFrame(data, "k string, t timestamp, id int, v int")
+    outputs = {"s": ("sum", "v"), "m": ("max", "v"), "l": ("min", "v"), "c": ("count", "v"), "a": ("avg", "v"), "d": ("stddev", "v")}
+    plain = W.trailing(df, keys, ["t", "id"], n, outputs)
+    split = W.trailing(df, keys, ["t", "id"], n, outputs, bucket=F.date_trunc("hour", "t"))
+    assert split.columns == plain.columns
+    same = lambda x: [tuple(round(v, 9) if isinstance(v, float) else v for v in row) for row in rows(x)]
+    assert same(split) == same(plain)

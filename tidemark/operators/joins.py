@@ -110,17 +110,72 @@ def asof_validity_join(events: DataFrame, versions: DataFrame, key: str, ts: str
     return out if how == "left" else out.filter(F.col("valid_from").isNotNull())
 
 
-def range_join(df: DataFrame, ranges: DataFrame, col: str, lo: str, hi: str, how: str = "inner", dates: DataFrame | None = None) -> DataFrame:
-    """Rows whose date lies between two dates (both included): ranges become days, then an equi join.
-
-    Open or far-off ends are first cut to the span of dates that occur, so a range never grows beyond it. ``dates``
-    may name a cheaper frame with the same column that covers the dates of ``df``.
+def _as_number(c: Column, kind: str) -> Column:
+    """Dates as days, timestamps as microseconds, whole numbers as they are."""
+    if kind == "date":
+        return F.unix_date(c).cast("bigint")
+    if kind.startswith("timestamp"):
+        return F.unix_micros(c.cast("timestamp"))
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return c.cast("bigint")
+    raise TypeError(f"a range join needs dates, timestamps or whole numbers, not {kind}")
+
+
+def range_blocks(lo: Column, hi: Column, step: int, levels: int) -> Column:
+    """The aligned blocks that make up lo..hi exactly: an array of ``(level, block)``, a block of level L being 2^(step L) long.
+
+    From each end the blocks that do not fill a block of the next level are taken, then the rest goes up a level; so
+    there are at most 2 (2^step - 1) blocks per level, however long the range is.
+    """
+    width = 2**step
+
+    def climb(s: Column, level: Column) -> Column:
+        floor = lambda x: F.shiftleft(F.shiftright(x, step), step)
+        up, down = floor(s["a"] + (width - 1)), floor(s["b"] + 1)  # where the next level's blocks start and stop
+        last = (up >= down) | (level == levels - 1)  # nothing left for the next level
+        first_end = F.when(last, s["b"]).otherwise(up - 1)
+        blocks = lambda a, b: F.when(a <= b, F.transform(F.sequence(a, b), lambda x: F.struct(level.alias("level"), x.alias("block"))))
+        none = F.array().cast("array<struct<level:int,block:bigint>>")
+        made = F.concat(s["out"], F.coalesce(blocks(s["a"], first_end), none), F.when(last, none).otherwise(F.coalesce(blocks(down, s["b"]), none)))
+        a, b = F.when(last, F.lit(1)).otherwise(F.shiftright(up, step)), F.when(last, F.lit(0)).otherwise(F.shiftright(down, step) - 1)
+        step_on = F.struct(a.cast("bigint").alias("a"), b.cast("bigint").alias("b"), made.alias("out"))
+        return F.when(s["a"] <= s["b"], step_on).otherwise(s)
+
+    start = F.struct(lo.cast("bigint").alias("a"), hi.cast("bigint").alias("b"), F.array().cast("array<struct<level:int,block:bigint>>").alias("out"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(levels - 1)), start, climb, lambda s: s["out"])
+
+
+def range_join(df: DataFrame, ranges: DataFrame, col: str, lo: str, hi: str, how: str = "inner", dates: DataFrame | None = None, step: int = 4) -> DataFrame:
+    """Rows whose date, timestamp or whole number lies between two bounds (both included); a NULL bound is open.
+
+    Both sides meet in an equi join on aligned blocks: a range becomes a few blocks per level, a row looks up the one
+    block of each level that it lies in, so a range of a second and one of a century cost about the same. ``step`` is
+    the number of bits between two levels: a smaller one means fewer blocks per range and more lookups per row. Ranges
+    are first cut to the span of values that occur; ``dates`` may name a cheaper frame with the same column that covers
+    it. Levels that no range uses are not looked up (a list of 64 numbers at most). ``how`` is inner or left; for a left
+    join the values are matched once each.
     """
-    span = (df if dates is None else dates).agg(F.min(col).alias("a"), F.max(col).alias("b"))
-    first, last = span.select("a").scalar(), span.select("b").scalar()
-    cut = ranges.withColumns({"__lo": F.greatest(F.col(lo), first), "__hi": F.least(F.col(hi), last)})
-    days = cut.filter("__lo <= __hi").withColumn("__day", F.explode(F.sequence("__lo", "__hi"))).drop("__lo", "__hi")
-    return df.join(days, F.col(col) == F.col("__day"), how).drop("__day")
+    if how not in ("inner", "left"):
+        raise ValueError("how must be inner or left")
+    kind = df.schema[col].dataType.simpleString()
+    number = _as_number(F.col(col), kind)
+    ends = (df if dates is None else dates).agg(F.min(number).alias("a"), F.max(number).alias("b"))
+    span = ends.first()
+    first, last = span["a"] or 0, span["b"] if span["b"] is not None else -1
+    levels = max(1, -(-max(1, last - first + 1).bit_length() // step))
+    bounds = ranges.withColumns({
+        "__lo": F.greatest(_as_number(F.col(lo), ranges.schema[lo].dataType.simpleString()), F.lit(first)) - first,
+        "__hi": F.least(_as_number(F.col(hi), ranges.schema[hi].dataType.simpleString()), F.lit(last)) - first,
+    })
+    cut = bounds.filter("__lo <= __hi").withColumn("__b", F.explode(range_blocks(F.col("__lo"), F.col("__hi"), step, levels)))
+    blocks = cut.select(*ranges.columns, F.col("__b.level").alias("__level"), F.col("__b.block").alias("__block"))
+    used = sorted(r[0] for r in blocks.select("__level").distinct().collect())
+    values = df if how == "inner" else df.select(col).distinct()
+    lookup = F.array(*[F.struct(F.lit(x).alias("l"), F.expr(f"shiftright(__at, {x * step})").alias("b")) for x in used]) if used else F.array().cast("array<struct<l:int,b:bigint>>")
+    placed = values.withColumn("__at", number - first).withColumn("__look", F.explode(lookup))
+    same = (F.col("__look.l") == F.col("__level")) & (F.col("__look.b") == F.col("__block"))
+    hits = placed.join(blocks, same).drop("__at", "__look", "__level", "__block")
+    return hits if how == "inner" else df.join(hits, col, "left")
 
 
 GRAM = 8  # characters of a pattern's longest literal run that find its candidates

@@ -18,7 +18,7 @@ FIRST_ROW = Window.unboundedPreceding
 CURRENT_ROW = Window.currentRow
 
 # Rows of one key that a single task may sort. Keys above it are split; there can be at most
-# (rows of the table / HOT_ROWS) of them, which bounds the broadcast list of hot keys.
+# (rows of the table / HOT_ROWS) of them, a list that adaptive execution broadcasts while it is small.
 HOT_ROWS = 2_000_000
 
 
@@ -34,7 +34,7 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> Dat
 
 def _with_hot(df: DataFrame, hot: DataFrame, keys: list[str], how: str) -> DataFrame:
     same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
-    return df.join(F.broadcast(hot), same, how).drop(*[f"__k_{k}" for k in keys])
+    return df.join(hot, same, how).drop(*[f"__k_{k}" for k in keys])
 
 
 def split_window(df: DataFrame, keys, order, bucket: Column | None, outputs: dict[str, tuple[str, str | Column | None]]) -> DataFrame:
@@ -156,14 +156,35 @@ def validity_ranges(df: DataFrame, keys, start: str, order=None, end: str = "val
     return out if default_end is None else out.withColumn(end, F.coalesce(end, default_end))
 
 
-def trailing(df: DataFrame, keys, order, n: int, outputs: dict[str, tuple[str, str]]) -> DataFrame:
+def trailing(df: DataFrame, keys, order, n: int, outputs: dict[str, tuple[str, str]], bucket: Column | None = None) -> DataFrame:
     """Aggregates over the n rows before the current one: ``new name -> (sum|avg|stddev|count|max|min, column)``.
 
-    Meant for aggregated series (one row per period), whose keys are short.
+    Without ``bucket`` a plain window, for series of one row per period, whose keys are short. With it (a rising
+    function of the leading order column, as for ``split_window``) a hot key is cut into stretches of its row numbers,
+    and the last n rows of each stretch also go to the next one (a halo), so every window is complete within its task.
+    ``order`` should be total; rows without an order value come first. An ungrouped table is always cut.
     """
-    w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order)).rowsBetween(-n, -1)
+    keys, order = _cols(keys), _cols(order)
     agg = {"sum": F.sum, "avg": F.avg, "stddev": F.stddev_samp, "count": F.count, "max": F.max, "min": F.min}
-    return df.withColumns({name: agg[fn](c).over(w) for name, (fn, c) in outputs.items()})
+
+    def over(rows: DataFrame, by: list[str], sort: list[str]) -> DataFrame:
+        w = Window.partitionBy(*by).orderBy(*sort).rowsBetween(-n, -1)
+        return rows.withColumns({name: agg[fn](c).over(w) for name, (fn, c) in outputs.items()})
+
+    if bucket is None:
+        return over(df, keys, order)
+    hot = hot_keys(df, keys) if keys else None
+    rows = _with_hot(df, hot, keys, "inner").drop("__hot") if keys else df
+    numbered = split_window(rows, keys, order, bucket, {"__at": ("row_number", None)})
+    size = max(n, HOT_ROWS)  # a halo never reaches beyond the next stretch
+    own, place = F.floor((F.col("__at") - 1) / size), (F.col("__at") - 1) % size
+    stretches = F.when(place >= size - n, F.array(own, own + 1)).otherwise(F.array(own))
+    spread = numbered.withColumns({"__own": own, "__stretch": stretches}).withColumn("__stretch", F.explode("__stretch"))
+    cut = over(spread, [*keys, "__stretch"], ["__at"]).filter("__stretch = __own").drop("__stretch", "__own", "__at")
+    if not keys:
+        return cut
+    cold = _with_hot(df, hot, keys, "left").filter("__hot IS NULL").drop("__hot")
+    return over(cold, keys, order).unionByName(cut)
 
 
 def partition_agg(df: DataFrame, keys, aggs: dict[str, Column]) -> DataFrame:

@@ -216,6 +216,25 @@ def join_range_between(t):
     return J.range_join(days, r.union(last), "d", "a", "b").select("label", "d", "n")
 
 
+@query("""WITH r AS (SELECT event_type AS label, min(ts) AS a, min(ts) + INTERVAL 90 MINUTE AS b FROM events GROUP BY 1
+                     UNION ALL SELECT 'error ' || event_id, ts, ts + to_seconds(cast(user_id AS BIGINT)) FROM events WHERE event_type = 'error' AND value > 50
+                     UNION ALL SELECT 'since', TIMESTAMP '2024-01-29 12:00:00.000001', NULL UNION ALL SELECT 'until', NULL, TIMESTAMP '2024-01-02' UNION ALL SELECT 'always', NULL, NULL
+                     UNION ALL SELECT 'centuries', TIMESTAMP '1700-01-01', TIMESTAMP '2500-01-01' UNION ALL SELECT 'never', TIMESTAMP '1990-01-01', TIMESTAMP '1990-01-02')
+          SELECT label, count(*) AS n, cast(sum(event_id) AS BIGINT) AS ids FROM events JOIN r ON (a IS NULL OR ts >= a) AND (b IS NULL OR ts <= b) GROUP BY 1""")
+def join_range_timestamps(t):
+    """Events in ranges of seconds and of centuries, some with open ends."""
+    e = t.events
+    first = e.groupBy(F.col("event_type").alias("label")).agg(F.min("ts").alias("a")).withColumn("b", F.col("a") + F.expr("INTERVAL 90 MINUTES"))
+    errors = e.filter("event_type = 'error' AND value > 50").select(F.concat(F.lit("error "), "event_id").alias("label"), F.col("ts").alias("a"), (F.col("ts") + F.expr("make_dt_interval(0, 0, 0, user_id)")).alias("b"))
+    at = lambda x: F.lit(x).cast("timestamp_ntz")
+    fixed = [("since", "2024-01-29 12:00:00.000001", None), ("until", None, "2024-01-02"), ("always", None, None), ("centuries", "1700-01-01", "2500-01-01"), ("never", "1990-01-01", "1990-01-02")]
+    ranges = first.union(errors)
+    for label, a, b in fixed:
+        ranges = ranges.union(e.agg(F.lit(label).alias("label"), at(a).alias("a"), at(b).alias("b")))
+    hits = J.range_join(e.select("event_id", "ts"), ranges, "ts", "a", "b")
+    return hits.groupBy("label").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
 @query("""WITH w AS (SELECT DISTINCT split_part(p_name, ' ', 2) AS w, 'kind' AS tag FROM part UNION ALL SELECT 'd b', 'gap')
           SELECT p_partkey, w, tag FROM part LEFT JOIN w ON p_name LIKE '%' || w || '%'""")
 def join_like_pattern(t):
@@ -482,6 +501,16 @@ def trailing_bound(t):
     return out.filter(F.col("total") > 2 * F.col("mean_before"))
 
 
+@query("""WITH e AS (SELECT event_id, event_type, CASE WHEN event_id % 9 > 0 THEN ts END AS t, cast(value AS DECIMAL(14,2)) AS v FROM events)
+          SELECT event_id, cast(sum(v) OVER w AS DOUBLE) AS before, cast(max(v) OVER w AS DOUBLE) AS most, cast(min(v) OVER w AS DOUBLE) AS least, count(v) OVER w AS n
+          FROM e WINDOW w AS (PARTITION BY event_type ORDER BY t NULLS FIRST, event_id ROWS BETWEEN 50 PRECEDING AND 1 PRECEDING)""")
+def trailing_events(t):
+    """The fifty events of the same kind before each event; few kinds, so every key is hot, and a ninth of the times is missing."""
+    e = t.events.select("event_id", "event_type", F.when(F.col("event_id") % 9 > 0, F.col("ts")).alias("at"), money("value").alias("v"))
+    w = W.trailing(e, ["event_type"], ["at", "event_id"], 50, {"before": ("sum", "v"), "most": ("max", "v"), "least": ("min", "v"), "n": ("count", "v")}, bucket=F.date_trunc("hour", "at"))
+    return w.select("event_id", *[F.col(c).cast("double").alias(c) for c in ("before", "most", "least")], "n")
+
+
 @query("""SELECT l_orderkey, l_linenumber, l_quantity, max(l_quantity) OVER (PARTITION BY l_orderkey) AS most, count(*) OVER (PARTITION BY l_orderkey) AS lines FROM lineitem""")
 def win_partition_agg(t):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
