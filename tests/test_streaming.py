@@ -1,14 +1,17 @@
 """Streams run to completion must equal their batch twins."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tidemark.operators.engagement import sessionize
 from tidemark.session import shared_dir
 from tidemark.sources.sinks import VersionedTable
 from tidemark.streaming import jobs as J
+from tidemark.streaming.sessions import keyed_state, stream_start_sessions
 
 
 @pytest.fixture
@@ -58,3 +61,41 @@ def test_reprocess_rebuilds_touched_days(spark, frame, land):
     root = shared_dir(spark, "late")
     J.stream_reprocess(land(first, late), lambda r: r.groupBy("day").agg(F.sum("v").alias("v")), f"{root}/h", f"{root}/o", "day", f"{root}/c")
     assert rows(spark.read.parquet(f"{root}/o").select("day", "v")) == [("d1", 11), ("d2", 5)]
+
+
+def start_sessions(land, parts, delay="60 minutes", idle=None):
+    with keyed_state(parts[0].sparkSession):
+        root = shared_dir(parts[0].sparkSession, "out")
+        out = stream_start_sessions(land(*parts), "u", "ts", "id", F.col("kind") == "start", delay, idle)
+        return J.run_to_parquet(out, f"{root}/t", f"{root}/c")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_start_sessions_equal_the_batch_for_any_split(spark, frame, land, seed):
+    r = random.Random(seed)
+    ddl = "u string, id bigint, kind string, ts timestamp"
+    events = [(r.choice(["a", "a", "b", None]), i, r.choice(["start", "play", "play", "end", None]), at(r.randint(0, 400))) for i in range(150)]
+    events += [("late", 900, "play", at(10)), ("late", 901, "start", at(20)), ("late", 902, "start", at(20)), ("late", 903, "start", at(60)), ("never", 910, "play", at(5)), ("x", 920, "start", None)]
+    arrival = lambda e: (e[3].hour * 60 + e[3].minute if e[3] else 0) + r.randint(0, 50)
+    waves = [[] for _ in range(5)]
+    for e in events:
+        waves[min(4, arrival(e) // 100)].append(e)
+    for w in waves:
+        r.shuffle(w)
+    waves.append([("tick", 999, "play", at(2000))])
+    got = start_sessions(land, [frame(w, ddl) for w in waves if w])
+    batch = sessionize(frame([e for e in events if e[3]], ddl), "u", "ts", "id", F.col("kind") == "start").select("u", "session_no", "session_start", "session_end", "events").collect()
+    last = {}
+    for b in batch:
+        last[b["u"]] = max(last.get(b["u"], 0), b["session_no"])
+    want = sorted((tuple(b) for b in batch if b["session_no"] < last[b["u"]]), key=repr)  # the last one of a user has no next start
+    assert rows(got) == want and len(want) > 10
+
+
+def test_start_sessions_end_when_idle(spark, frame, land):
+    ddl = "u string, id bigint, kind string, ts timestamp"
+    one = frame([("a", 1, "start", at(0)), ("a", 2, "play", at(5))], ddl)
+    two = frame([("a", 3, "play", at(200)), ("a", 4, "start", at(210)), ("b", 5, "start", at(190))], ddl)
+    three = frame([("tick", 6, "play", at(500))], ddl)
+    got = start_sessions(land, [one, two, three], "10 minutes", idle=1800)
+    assert rows(got.select("u", "session_no", "session_end", "events")) == [("a", 1, at(5), 2), ("a", 2, at(210), 1), ("b", 1, at(190), 1)]

@@ -9,6 +9,8 @@ from ..session import shared_dir
 from ..sources.scans import scan_partitioned
 from ..sources.sinks import VersionedTable
 from ..streaming import jobs as J
+from ..streaming.sessions import keyed_state
+from ..streaming.sessions import stream_start_sessions as start_sessions
 from .registry import query
 
 
@@ -66,6 +68,20 @@ def stream_sessions(t):
     return plain(finish(t, out), "session_start", "last_event")
 
 
+@query("""WITH n AS (SELECT *, sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM events),
+               e AS (SELECT user_id, cast(s AS BIGINT) AS session_no, min(ts) AS session_start, max(ts) AS session_end, count(*) AS events FROM n WHERE s > 0 GROUP BY 1, 2)
+          SELECT user_id, session_no, session_start, session_end, events FROM (SELECT *, lead(session_start) OVER (PARTITION BY user_id ORDER BY session_no) AS next FROM e)
+          WHERE next <= (SELECT max(ts) - INTERVAL 3 DAY FROM events)""")
+def stream_start_sessions(t):
+    """Sessions by start event; every file holds events of up to two days before the newest of the file before it."""
+    e = stamped(t).select("user_id", "ts", "event_id", "event_type")
+    wave = F.floor((F.datediff("ts", F.lit("2024-01-01")) + F.col("event_id") % 3) / 8)
+    stream = landed(t, *[e.filter(wave == i).coalesce(1) for i in range(5)], files_per_batch=1)
+    with keyed_state(t.spark):
+        out = finish(t, start_sessions(stream, "user_id", "ts", "event_id", F.col("event_type") == "signup", "3 days"))
+    return plain(out, "session_start", "session_end")
+
+
 @query("""SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, max(ts) AS ts, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1""")
 def stream_intraday_upsert(t):
     """History and today's rows arrive in any order; the table keeps the newest row of each user."""
