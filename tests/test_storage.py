@@ -86,6 +86,32 @@ def test_merge_rewrites_only_touched_buckets(spark, frame):
     assert rows(table.read()) == sorted([(i, "new" if i == 5 else "old") for i in range(200)] + [(500, "new")], key=repr)
 
 
+def test_buckets_keep_their_size_as_the_table_grows(spark, frame):
+    table = W.VersionedTable(spark, shared_dir(spark, "linear"), ["k"], bucket_rows=100, keep=20)
+    want, at = {}, 0
+    for turn in range(10):
+        fresh = [(i, f"v{turn}") for i in range(at, at + 60 + 40 * turn)] + [(i, f"v{turn}") for i in range(0, at, 97)]
+        at += 60 + 40 * turn
+        want |= dict(fresh)
+        W.merge_upsert(table, frame(fresh, "k int, a string"), ["k"])
+        version = table.current()
+        assert version.rows == {r["__b"]: r["n"] for r in table.read().groupBy(W.bucket_of(["k"], version.buckets).alias("__b")).agg(F.count("*").alias("n")).collect()}
+        assert sum(version.rows.values()) == len(want) <= 100 * version.buckets
+        assert max(version.rows.values()) <= 2 * 1.5 * len(want) / version.buckets  # unsplit buckets hold twice the rows, give or take the hash
+        if turn == 4:
+            middle, then = version, dict(want)
+    assert version.buckets > 15 and rows(table.read()) == sorted(want.items(), key=repr)
+    assert rows(table.read(middle)) == sorted(then.items(), key=repr)
+
+
+def test_a_split_moves_the_rows_of_one_bucket(spark):
+    ids = spark.range(3000)
+    for n in (1, 2, 3, 5, 8, 13):
+        moved = ids.select(W.bucket_of(["id"], n).alias("a"), W.bucket_of(["id"], n + 1).alias("b")).filter("a <> b").distinct().collect()
+        assert [tuple(r) for r in moved] == [(W.split_from(n, n), n)]
+    assert [W.split_from(b, 3) for b in (3, 4, 5, 6, 7, 12)] == [1, 0, 1, 2, 1, 0]
+
+
 def test_old_versions_are_removed(spark, frame):
     table = W.VersionedTable(spark, shared_dir(spark, "keep"), ["k"], buckets=4, keep=2)
     for i in range(6):

@@ -12,6 +12,7 @@ import time
 import uuid
 from collections.abc import Callable
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,18 +86,22 @@ def reprocess_window(build: Callable[[], DataFrame], path: str, date_col: str, a
     overwrite_partitions(retain_days(build(), date_col, as_of, days), path, [date_col])
 
 
-class VersionedTable:
-    """A table as immutable Parquet folders and one marker file per published version.
+class Version(NamedTuple):
+    """A published state: folder -> buckets that it holds (none: all rows, without buckets), and the rows of each bucket."""
 
-    With ``keys`` the rows lie in ``buckets`` folders by a hash of the keys, and a version lists the folder of every
-    bucket, so a merge reads and rewrites only the buckets that its source touches. The last ``keep`` versions stay
-    readable; older markers, and folders that only they use, are removed after a new version is out.
-    """
+    number: int
+    folders: dict[str, list[int]]
+    buckets: int = 1
+    rows: dict[int, int] = {}
+
+
+class VersionLog:
+    """Numbered states of a folder, one marker file each, published by one writer at a time."""
 
     STALE_S = 60  # an empty marker older than this belongs to a writer that died while publishing
 
-    def __init__(self, spark: SparkSession, root: str, keys: list[str] | None = None, buckets: int = 64, keep: int = 3):
-        self.spark, self.root, self.keys, self.buckets, self.keep = spark, root.rstrip("/"), keys, buckets, keep
+    def __init__(self, spark: SparkSession, root: str, keep: int = 3):
+        self.spark, self.root, self.keep = spark, root.rstrip("/"), keep
         self._fs, self._path = file_system(spark, self.root)
 
     def _markers(self) -> dict[int, object]:
@@ -105,92 +110,130 @@ class VersionedTable:
             return {}
         return {int(s.getPath().getName()): s for s in self._fs.listStatus(folder) if s.getPath().getName().isdigit()}
 
-    def _manifest(self, status) -> dict[str, list[int]] | None:
-        """Folder -> buckets it holds (one empty list: all rows, without buckets); None if nothing was published."""
+    def _manifest(self, number: int, status) -> Version | None:
+        """The state that a marker describes; None if nothing was published by it."""
         if status.getLen() == 0:
             return None
         stream = self._fs.open(status.getPath())
         try:
-            return json.loads(stream.readUTF())
+            told = json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
+        return Version(number, told["folders"], told["buckets"], {int(k): v for k, v in told["rows"].items()})
 
-    def current(self) -> tuple[int, dict[str, list[int]]]:
-        """Number and manifest of the newest published version; 0 and nothing before the first."""
+    def current(self) -> Version:
+        """The newest published version; number 0 and nothing before the first."""
         for number, status in sorted(self._markers().items(), reverse=True):
-            manifest = self._manifest(status)
-            if manifest is not None:
-                return number, manifest
-        return 0, {}
+            version = self._manifest(number, status)
+            if version is not None:
+                return version
+        return Version(0, {})
 
     def exists(self) -> bool:
-        return self.current()[0] > 0
+        return self.current().number > 0
+
+    def _publish(self, version: Version, expected: int) -> int:
+        """Take the number after ``expected`` by creating its marker without overwriting."""
+        number = expected + 1
+        for found, status in sorted(self._markers().items()):
+            if found <= expected:
+                continue
+            dead = status.getLen() == 0 and time.time() - status.getModificationTime() / 1000 >= self.STALE_S
+            if not dead:
+                raise RuntimeError(f"{self.root}: version {found} was published by another writer; this one started from {expected}")
+            number = found + 1
+        marker = self._fs.create(self._path(f"{self.root}/_versions/{number}"), False)
+        try:
+            marker.write(bytearray(json.dumps({"folders": version.folders, "buckets": version.buckets, "rows": version.rows}).encode()))
+        finally:
+            marker.close()
+        return number
+
+    def _forget(self) -> None:
+        published = {n: v for n, s in self._markers().items() if (v := self._manifest(n, s)) is not None}
+        newest = sorted(published)[-self.keep :]
+        used = {f for n in newest for f in published[n].folders}
+        for n in sorted(published)[: -self.keep]:
+            self._fs.delete(self._path(f"{self.root}/_versions/{n}"), False)
+            for folder in set(published[n].folders) - used:
+                self._fs.delete(self._path(f"{self.root}/{folder}"), True)
+
+
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    """Linear hashing: with n buckets, the lowest ones are already split by one more bit of the hash than the others.
+
+    Bucket ``i`` was split off from bucket ``i`` without its highest bit, so going from n to n + 1 buckets moves rows
+    of one bucket only.
+    """
+    wide = 1 << max(0, (buckets - 1).bit_length())
+    place = F.xxhash64(*keys).bitwiseAND(F.lit(wide - 1))
+    return F.when(place >= buckets, place - wide // 2).otherwise(place).cast("int")
+
+
+def split_from(bucket: int, buckets: int) -> int:
+    """The one of the first ``buckets`` buckets that a later bucket's rows lie in before it is split off."""
+    while bucket >= buckets:
+        bucket -= 1 << (bucket.bit_length() - 1)
+    return bucket
+
 
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+class VersionedTable(VersionLog):
+    """A table as immutable Parquet folders and one marker file per published version.
+
+    With ``keys`` the rows lie in buckets by a hash of the keys, and a version lists the folder of every bucket, so a
+    merge reads and rewrites only the buckets that its source touches. Buckets keep their size: when the rows outgrow
+    ``bucket_rows`` per bucket, buckets are split one by one, in the merge that brings the rows (linear hashing), from
+    ``buckets`` on. The last ``keep`` versions stay readable; older markers, and folders that only they use, are
+    removed after a new version is out.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: list[str] | None = None, buckets: int = 1, keep: int = 3, bucket_rows: int = 2_000_000):
+        super().__init__(spark, root, keep)
+        self.keys, self.least, self.bucket_rows = keys, buckets, bucket_rows
 
-    def read(self, version: tuple[int, dict[str, list[int]]] | None = None, touched: set[int] | None = None) -> DataFrame:
+    def buckets_for(self, rows: int, at_least: int = 0) -> int:
+        return max(self.least, at_least, -(-rows // self.bucket_rows))
+
+    def read(self, version: Version | None = None, touched: set[int] | None = None) -> DataFrame:
         """The newest version, or the one that ``current`` returned; with ``touched`` only those buckets."""
-        number, manifest = version or self.current()
-        if not number:
+        version = version or self.current()
+        if not version.number:
             raise ValueError(f"no version of {self.root} yet")
-        paths = [f"{self.root}/{folder}" if not held else f"{self.root}/{folder}/__bucket={b}" for folder, held in manifest.items() for b in held or [None]
+        paths = [f"{self.root}/{folder}" if not held else f"{self.root}/{folder}/__bucket={b}" for folder, held in version.folders.items() for b in held or [None]
                  if touched is None or not held or b in touched]
         if not paths:  # the touched buckets are empty so far
-            return self.read((number, manifest)).limit(0)
+            return self.read(version).limit(0)
         return self.spark.read.option("recursiveFileLookup", "true").parquet(*paths)
 
-    def write(self, df: DataFrame, expected: int | None = None, touched: set[int] | None = None) -> int:
+    def write(self, df: DataFrame, expected: int | None = None, touched: set[int] | None = None, buckets: int | None = None) -> int:
         """Write the next version and publish it.
 
         ``expected`` is the version that ``df`` was made from (the current one if not given); if another has been
         published meanwhile, the write fails and nothing changes. With ``touched``, ``df`` holds all rows of those
-        buckets and the others stay as they are.
+        buckets, the others stay as they are, and there are ``buckets`` buckets from now on. A full write counts its
+        rows to choose the number of buckets.
         """
-        number, manifest = self.current()
-        expected = number if expected is None else expected
+        before = self.current()
+        expected = before.number if expected is None else expected
         folder = f"data-{uuid.uuid4().hex}"
-        if self.keys:
-            df.withColumn("__bucket", self.bucket()).hint("rebalance", F.col("__bucket")).write.partitionBy("__bucket").parquet(f"{self.root}/{folder}")
-            made = self._fs.listStatus(self._path(f"{self.root}/{folder}"))
-            held = sorted(int(s.getPath().getName().split("=")[1]) for s in made if s.getPath().getName().startswith("__bucket="))
-            rest = {f: [b for b in bs if b not in touched] for f, bs in manifest.items()} if touched is not None else {}
-            fresh = {f: bs for f, bs in rest.items() if bs} | ({folder: held} if held else {})
-            if not fresh:  # an empty table still has its columns
-                df.write.parquet(f"{self.root}/{folder}-empty")
-                fresh = {f"{folder}-empty": []}
-        else:
+        if not self.keys:
             df.write.mode("errorifexists").parquet(f"{self.root}/{folder}")
-            fresh = {folder: []}
-        version = self._publish(fresh, expected)
+            fresh = Version(0, {folder: []})
+        else:
+            n = buckets or (before.buckets if touched is not None else self.buckets_for(df.count()))
+            df.withColumn("__bucket", bucket_of(self.keys, n)).hint("rebalance", F.col("__bucket")).write.partitionBy("__bucket").parquet(f"{self.root}/{folder}")
+            held = {}
+            if any(s.getPath().getName().startswith("__bucket=") for s in self._fs.listStatus(self._path(f"{self.root}/{folder}"))):
+                held = dict(self.spark.read.parquet(f"{self.root}/{folder}").groupBy("__bucket").count().collect())  # from the file footers
+            rest = {f: [b for b in bs if b not in touched] for f, bs in before.folders.items()} if touched is not None else {}
+            folders = {f: bs for f, bs in rest.items() if bs} | ({folder: sorted(held)} if held else {})
+            if not folders:  # an empty table still has its columns
+                df.write.parquet(f"{self.root}/{folder}-empty")
+                folders = {f"{folder}-empty": []}
+            fresh = Version(0, folders, n, {b: r for b, r in before.rows.items() if touched is not None and b not in touched} | held)
+        number = self._publish(fresh, expected)
         self._forget()
-        return version
-
-    def _publish(self, manifest: dict[str, list[int]], expected: int) -> int:
-        """Take the number after ``expected`` by creating its marker without overwriting."""
-        version = expected + 1
-        for number, status in sorted(self._markers().items()):
-            if number <= expected:
-                continue
-            dead = status.getLen() == 0 and time.time() - status.getModificationTime() / 1000 >= self.STALE_S
-            if not dead:
-                raise RuntimeError(f"{self.root}: version {number} was published by another writer; this one started from {expected}")
-            version = number + 1
-        marker = self._fs.create(self._path(f"{self.root}/_versions/{version}"), False)
-        try:
-            marker.writeUTF(json.dumps(manifest))
-        finally:
-            marker.close()
-        return version
-
-    def _forget(self) -> None:
-        published = {n: m for n, s in self._markers().items() if (m := self._manifest(s)) is not None}
-        newest = sorted(published)[-self.keep :]
-        used = {f for n in newest for f in published[n]}
-        for n in sorted(published)[: -self.keep]:
-            self._fs.delete(self._path(f"{self.root}/_versions/{n}"), False)
-            for folder in set(published[n]) - used:
-                self._fs.delete(self._path(f"{self.root}/{folder}"), True)
+        return number
 
 
 def reject_duplicate_keys(source: DataFrame, keys: list[str]) -> DataFrame:
@@ -241,12 +284,17 @@ def new_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame
 
 
 def rewrite(table: VersionedTable, source: DataFrame, merge: Callable[[DataFrame], DataFrame]) -> int:
-    """Publish ``merge(stored rows)``: of a bucketed table only the buckets that keys of ``source`` fall into are read and rewritten."""
+    """Publish ``merge(stored rows)``: of a bucketed table only the buckets that keys of ``source`` fall into are read and rewritten.
+
+    If the table may outgrow its buckets by the rows of ``source``, the next buckets in turn are split as well.
+    """
     version = table.current()
     if not table.keys:
-        return table.write(merge(table.read(version)), version[0])
-    touched = {r[0] for r in source.select(table.bucket().alias("b")).distinct().collect()}  # at most ``buckets`` numbers
-    return table.write(merge(table.read(version, touched)), version[0], touched)
+        return table.write(merge(table.read(version)), version.number)
+    batch = dict(source.groupBy(bucket_of(table.keys, version.buckets).alias("b")).count().collect())  # at most one row per bucket
+    grown = table.buckets_for(sum(version.rows.values()) + sum(batch.values()), version.buckets)
+    touched = set(batch) | {split_from(b, version.buckets) for b in range(version.buckets, grown)}
+    return table.write(merge(table.read(version, touched)), version.number, touched, grown)
 
 
 def merge_upsert(table: VersionedTable, source: DataFrame, keys: list[str], update_cols: list[str] | None = None) -> int:
