@@ -10,6 +10,7 @@ from tidemark.session import shared_dir
 from tidemark.sources import ingest as I
 from tidemark.sources import scans as S
 from tidemark.sources import sinks as W
+from tidemark.sources.keylog import KeyedLog
 
 
 @pytest.fixture
@@ -237,3 +238,66 @@ def test_shared_dir_needs_a_setting_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         shared_dir(Session(), "x")
+
+
+def log_of(spark, **kw):
+    return KeyedLog(spark, shared_dir(spark, "log"), ["k"], **kw)
+
+
+def test_keyed_log_reads_only_files_that_may_hold_a_key(spark):
+    log = log_of(spark, file_rows=500, folders=20)
+    for i in range(5):
+        log.insert(spark.range(i * 4000, (i + 1) * 4000).select(F.col("id").alias("k"), F.lit(f"v{i}").alias("v")))
+    assert log.read().count() == 20_000
+    version = log.current()
+    assert [parts for parts, _, _ in version.folders.values()] == [8] * 5
+    batch = spark.createDataFrame([(17, "again"), (10**12, "new")], "k bigint, v string")
+    files = log.files_for(batch)
+    holds = [r[0] for r in log.read().filter("k = 17").select(F.regexp_extract(F.input_file_name(), "(data-.*/__part=\\d+)", 1)).collect()]
+    assert any(f.endswith(holds[0]) for f in files) and len(files) <= 2  # a chance hit of the filters is possible, but rare
+    log.insert(batch)
+    assert [tuple(r) for r in log.read().filter("k IN (17, 1000000000000)").orderBy("k").collect()] == [(17, "v0"), (10**12, "new")]
+
+
+def test_keyed_log_filters_miss_no_key_and_pass_few_others(spark):
+    log = log_of(spark, file_rows=2000)
+    keys = spark.range(30_000).select(F.xxhash64("id").alias("k"))
+    log.insert(keys)
+    every = log.files_for(keys)
+    assert len(every) == 16
+    assert log._unseen(keys, log.current()).count() == 0
+    others = spark.range(10**6, 10**6 + 200).select(F.xxhash64("id").alias("k"))
+    assert sum(len(log.files_for(others.filter(f"abs(k) % 200 = {i}"))) for i in range(0, 200, 20)) <= 3
+
+
+def test_keyed_log_has_one_writer_at_a_time(spark, frame):
+    one = log_of(spark)
+    one.insert(frame([(1, "a")], "k bigint, v string"))
+    two = KeyedLog(spark, one.root, ["k"])
+    seen = two.current()
+    one.insert(frame([(2, "one")], "k bigint, v string"))
+    two.current = lambda: seen  # the other writer began before
+    with pytest.raises(RuntimeError, match="another writer"):
+        two.insert(frame([(2, "two"), (3, "two")], "k bigint, v string"))
+    assert rows(one.read()) == [(1, "a"), (2, "one")]
+
+
+def test_keyed_log_stays_small_and_repeatable(spark, frame):
+    log = log_of(spark, folders=4, keep=2)
+    for i in range(14):
+        batch = frame([(j, f"v{i}") for j in range(3 * i, 3 * i + 5)] + [(None, f"null {i}")], "k bigint, v string")
+        log.insert(batch)
+        assert len(log.current().folders) <= 4
+    want = {j: f"v{max(0, -(-(j - 4) // 3))}" for j in range(3 * 13 + 5)}
+    got = log.read()
+    assert rows(got.filter("k IS NOT NULL")) == sorted(want.items(), key=repr) and got.filter("k IS NULL").count() == 14
+    known = frame([(4, "x")], "k bigint, v string")
+    assert log.insert(known) == log.current().number == log.insert(known)
+    used = {f for n, s in log._markers().items() for f in log._manifest(n, s).folders}
+    stored = {s.getPath().getName() for s in log._fs.listStatus(log._path(log.root))} - {"_versions"}
+    assert stored == used
+    empty = log_of(spark)
+    empty.insert(frame([], "k bigint, v string"))
+    assert empty.read().columns == ["k", "v"] and empty.read().count() == 0
+    empty.insert(frame([(1, "a")], "k bigint, v string"))
+    assert rows(empty.read()) == [(1, "a")]

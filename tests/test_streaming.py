@@ -99,3 +99,36 @@ def test_start_sessions_end_when_idle(spark, frame, land):
     three = frame([("tick", 6, "play", at(500))], ddl)
     got = start_sessions(land, [one, two, three], "10 minutes", idle=1800)
     assert rows(got.select("u", "session_no", "session_end", "events")) == [("a", 1, at(5), 2), ("a", 2, at(210), 1), ("b", 1, at(190), 1)]
+
+
+def test_history_by_day_stays_small(spark, frame, land):
+    root = shared_dir(spark, "late")
+    ddl = "day date, v int"
+    day = lambda n: dt.date(2024, 1, n)
+    waves = [[(day(1), i)] + [(day(2 + i % 3), 100 * i)] + ([(None, 7)] if i == 3 else []) for i in range(14)]
+    build = lambda r: r.groupBy("day").agg(F.sum("v").alias("v"), F.count("*").alias("n"))
+    J.stream_reprocess(land(*[frame(w, ddl) for w in waves]), build, f"{root}/h", f"{root}/o", "day", f"{root}/c", batches=3)
+    every = [x for w in waves for x in w]
+    want = {d: (sum(v for e, v in every if e == d), sum(e == d for e, _ in every)) for d in {e for e, _ in every}}
+    made = spark.read.parquet(f"{root}/o").select("day", "v", "n")
+    assert rows(made) == sorted(((d, *x) for d, x in want.items()), key=repr)
+    stored = J.DayHistory(spark, f"{root}/h", "day", 3)
+    assert len(stored.paths(["d2024-01-01"])) <= 5  # a base and a few batches, after fourteen
+    assert stored.read(["d2024-01-01"], ddl).count() == 14 and stored.read(["none"], ddl).count() == 1
+
+
+def test_history_survives_repeats_and_broken_compactions(spark, frame):
+    stored = J.DayHistory(spark, shared_dir(spark, "days"), "day", batches=1)
+    ddl = "day string, v int"
+    for number in range(3):
+        for _ in range(2):  # the batch is repeated
+            assert stored.add(frame([("a/b", number), ("c", 10 * number)], ddl), number) == ["dc", "x612F62"]
+    home = f"{stored.root}/__day=dc"
+    frame([("c", 99)], ddl).write.parquet(f"{home}/base-1")
+    stored._fs.delete(stored._path(f"{home}/base-1/_SUCCESS"), False)  # cut off before its end
+    assert rows(stored.read(["dc"], ddl)) == [("c", 0), ("c", 10), ("c", 20)]
+    stored.compact(["dc", "x612F62"], ddl, 2)
+    assert rows(stored.read(["dc"], ddl)) == [("c", 0), ("c", 10), ("c", 20)]
+    assert [p.rsplit("/", 1)[1] for p in stored.paths(["dc"])] == ["base-1", "__batch=2"]
+    stored.add(frame([("c", 20)], ddl), 2)
+    assert rows(stored.read(["dc"], ddl)) == [("c", 0), ("c", 10), ("c", 20)]

@@ -11,6 +11,7 @@ from ..session import shared_dir
 from ..sources import ingest as I
 from ..sources import scans as S
 from ..sources import sinks as W
+from ..sources.keylog import KeyedLog
 from .registry import query
 
 
@@ -233,12 +234,12 @@ def incremental_merge_upsert(t):
 
 @query("""SELECT o_orderkey, o_custkey FROM orders""")
 def incremental_merge_insert_only(t):
-    root = scratch(t, "insert")
+    """Orders of some customers, then all orders twice; then one order that was stored first, which is not stored again."""
+    log = KeyedLog(t.spark, scratch(t, "insert"), ["o_orderkey"], file_rows=4000, folders=3)
     o = t.orders.select("o_orderkey", "o_custkey")
-    W.insert_new(t.spark, root, o.filter("o_custkey < 700"), ["o_orderkey"])
-    for _ in range(2):
-        W.insert_new(t.spark, root, o, ["o_orderkey"])
-    return t.spark.read.parquet(root)
+    for part in (o.filter("o_custkey < 700"), o.filter("o_custkey < 800"), o, o, o.filter("o_custkey = 1")):
+        log.insert(part)
+    return log.read()
 
 
 def id_batch(events, cond):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregates import money
 from ..session import shared_dir
+from ..sources.keylog import KeyedLog
 from ..sources.scans import scan_partitioned
 from ..sources.sinks import VersionedTable
 from ..streaming import jobs as J
@@ -49,8 +50,9 @@ def stream_new_transactions(t):
 def stream_insert_only(t):
     e = t.events.select("event_id", "user_id", "event_type")
     root = shared_dir(t.spark, "insert")
-    J.stream_insert_new(landed(t, e.filter("event_type <> 'view'"), e), f"{root}/out", ["event_id"], f"{root}/checkpoint")
-    return t.spark.read.parquet(f"{root}/out")
+    log = KeyedLog(t.spark, f"{root}/out", ["event_id"])
+    J.stream_insert_keyed(landed(t, e.filter("event_type <> 'view'"), e), log, f"{root}/checkpoint")
+    return log.read()
 
 
 @query("""WITH w AS (SELECT user_id, time_bucket(INTERVAL 20 MINUTE, ts) - to_minutes(unnest([0, 20, 40])) AS window_start FROM events)
