@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark.session import shared_dir
+from tidemark.sources import archives as A
 from tidemark.sources import ingest as I
 from tidemark.sources import scans as S
 from tidemark.sources import sinks as W
@@ -197,8 +198,23 @@ def test_csv_utf16_tab(spark, tmp_path):
 def test_zip_reports(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "earnings_202401.zip", "w") as z:
         z.writestr("a.csv", "id,amount\n1,2.50\n2,3.00\n")
-    out = I.ingest_zip_reports(spark, f"{tmp_path}/*.zip", r"earnings_([0-9]{6})", "yyyyMM")
-    assert rows(out.select("line", F.col("record")["amount"], "snapshot_date")) == [(0, "2.50", dt.date(2024, 1, 1)), (1, "3.00", dt.date(2024, 1, 1))]
+        z.writestr("folder/", "")
+        z.writestr("folder/b.csv", 'id,id,note\n7,8,"two\nlines"\n\n9\n')
+        z.writestr("empty.csv", "")
+    with zipfile.ZipFile(tmp_path / "earnings_202402.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("long.csv", "id\n" + "\n".join(str(i) for i in range(12_000)))
+    out = A.ingest_zip_reports(spark, f"{tmp_path}/*.zip", r"earnings_([0-9]{6})", "yyyyMM")
+    assert out.rdd.getNumPartitions() == 4  # one task per member
+    first = out.filter("snapshot_date = '2024-01-01'")
+    assert rows(first.select("member", "line", F.to_json("record"))) == [
+        ("a.csv", 0, '{"id":"1","amount":"2.50"}'), ("a.csv", 1, '{"id":"2","amount":"3.00"}'),
+        ("folder/b.csv", 0, '{"id":"7","note":"two\\nlines"}'), ("folder/b.csv", 1, '{"id":"9"}')]
+    long = out.filter("member = 'long.csv'")
+    assert tuple(long.agg(F.count("*"), F.max("line"), F.countDistinct(F.col("record")["id"])).first()) == (12_000, 11_999, 12_000)
+    loaded = spark.range(1).select(F.lit("2024-01-01").cast("date").alias("snapshot_date"))
+    assert A.ingest_zip_reports(spark, f"{tmp_path}/*.zip", r"earnings_([0-9]{6})", "yyyyMM", loaded=loaded).select("member").distinct().count() == 1
+    only = A.ingest_zip_reports(spark, f"{tmp_path}/*01.zip", r"earnings_([0-9]{6})", "yyyyMM", first_only=True)
+    assert rows(only.select("line", F.col("record")["amount"], "snapshot_date")) == [(0, "2.50", dt.date(2024, 1, 1)), (1, "3.00", dt.date(2024, 1, 1))]
 
 
 def test_json_columns(spark, tmp_path):

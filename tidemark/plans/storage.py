@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import zipfile
+
+import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +14,7 @@ from ..session import shared_dir
 from ..sources import ingest as I
 from ..sources import scans as S
 from ..sources import sinks as W
+from ..sources.archives import ingest_zip_reports, opened
 from ..sources.keylog import KeyedLog
 from .registry import query
 
@@ -81,6 +85,26 @@ def scan_csv_utf16(t):
     return I.ingest_csv_reports(t.spark, f"{root}/report_*", r"report_([0-9]{8})", encoding="UTF-16")
 
 
+@query("""SELECT strftime(cast(o_orderdate AS DATE), '%Y-%m') || '.csv' AS member, cast(o_orderkey AS VARCHAR) AS order_key, o_orderpriority AS priority, make_date(cast(year(o_orderdate) AS BIGINT), 1, 1) AS snapshot_date FROM orders""")
+def scan_csv_zip(t):
+    """Yearly archives with one report per month in them, every member read by a task of its own."""
+    root = scratch(t, "zips")
+
+    def pack(key, pdf):
+        path = f"{root}/orders_{key[0]}01.zip"
+        with opened(path, "wb") as f, zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as archive:
+            for month, rows in pdf.groupby("month"):
+                archive.writestr(f"{month}.csv", rows[["Order Key", "Priority"]].to_csv(index=False))
+        return pd.DataFrame({"path": [path]})
+
+    date = F.col("o_orderdate").cast("date")
+    o = t.orders.select(F.year(date).alias("year"), F.date_format(date, "yyyy-MM").alias("month"), F.col("o_orderkey").alias("Order Key"), F.col("o_orderpriority").alias("Priority"))
+    t.spark.read.parquet(t.path("region")).limit(0).write.mode("overwrite").parquet(f"{root}/made")  # the folder
+    o.groupBy("year").applyInPandas(pack, "path string").write.mode("overwrite").parquet(f"{root}/made")
+    read = ingest_zip_reports(t.spark, f"{root}/*.zip", r"orders_([0-9]{6})", "yyyyMM")
+    return read.select("member", F.col("record")["Order Key"].alias("order_key"), F.col("record")["Priority"].alias("priority"), "snapshot_date")
+
+
 @query("""SELECT cast(o_orderkey AS VARCHAR) AS o_orderkey, cast(o_custkey AS VARCHAR) AS o_custkey, o_orderpriority, cast(NULL AS VARCHAR) AS absent FROM orders""")
 def scan_json_all_string(t):
     root = scratch(t, "dump")

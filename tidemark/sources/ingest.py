@@ -40,40 +40,6 @@ def ingest_csv_reports(spark: SparkSession, glob: str, date_regex: str, date_for
     return df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip([c for c in df.columns if c != "__date"], out)], F.col("__date").alias(date_col))
 
 
-def ingest_zip_reports(spark: SparkSession, glob: str, date_regex: str, date_format: str = "yyyyMMdd", sep: str = ",", encoding: str = "UTF-8",
-                       date_col: str = "snapshot_date") -> DataFrame:
-    """CSV members of zip archives as (file, date, line number, values by header name).
-
-    One task opens one archive (report archives are monthly and small) and streams its members line by line.
-    """
-    import csv
-    import io
-    import zipfile
-
-    paths = spark.read.format("binaryFile").load(glob).select("path", "content")
-    schema = "path string, line bigint, record map<string,string>"
-
-    def read(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for member in archive.namelist():
-                        rows = csv.DictReader(io.TextIOWrapper(archive.open(member), encoding=encoding, newline=""), delimiter=sep)
-                        chunk = []
-                        for i, row in enumerate(rows):
-                            chunk.append((path, i, dict(row)))
-                            if len(chunk) == 5000:
-                                yield pd.DataFrame(chunk, columns=["path", "line", "record"])
-                                chunk = []
-                        if chunk:
-                            yield pd.DataFrame(chunk, columns=["path", "line", "record"])
-
-    date = F.to_date(F.regexp_extract("path", date_regex, 1), date_format)
-    return paths.mapInPandas(read, schema).withColumn(date_col, date)
-
-
 def ingest_json_columns(spark: SparkSession, glob: str, columns: list[str], multi_line: bool = False) -> DataFrame:
     """Declared columns of a JSON dump as strings; columns that are absent come out NULL."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
