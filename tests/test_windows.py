@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tidemark.operators import aggregates as A
 from tidemark.operators import windows as W
 from tidemark.operators.aggregates import percentile_cont
 
@@ -101,6 +102,25 @@ def test_percentile_is_exact(skewed, monkeypatch, q):
     assert percentile_cont(skewed, "v", q).first()[0] == pytest.approx(skewed.agg(F.expr(f"percentile(v, {q})")).first()[0])
 
 
+@pytest.mark.parametrize("few", [9, 100])
+def test_percentiles_by_bracketing(spark, monkeypatch, few):
+    """Ties, spikes, outliers and missing keys, with brackets that must shrink to a few rows."""
+    monkeypatch.setattr(W, "HOT_ROWS", 50)
+    monkeypatch.setattr(A, "RANK_ROWS", few)
+    monkeypatch.setattr(A, "GRID", 8)
+    r = random.Random(few)
+    data = [("ties", float(r.randint(0, 3))) for _ in range(400)] + [("wide", r.choice([-1, 1]) * 10.0 ** r.randint(-300, 300)) for _ in range(900)]
+    data += [("spike", 7.0 if r.random() < 0.7 else r.random() * 14) for _ in range(500)] + [("same", 2.5)] * 80 + [(None, r.gauss(0, 1)) for _ in range(300)]
+    data += [("small", float(i)) for i in range(5)] + [("none", None)] * 60
+    r.shuffle(data)
+    df = spark.createDataFrame(data, "k string, v double").repartition(4)
+    qs = {"a": 0.0, "b": 0.03, "c": 0.5, "d": 0.77, "e": 1.0}
+    near = lambda x: [tuple(c if c is None or isinstance(c, str) else float(f"{c:.9g}") for c in row) for row in rows(x)]
+    want = df.filter("v IS NOT NULL").groupBy("k").agg(*[F.expr(f"percentile(v, {q})").alias(n) for n, q in qs.items()])
+    assert near(A.percentiles(df, "v", qs, "k")) == near(want)
+    assert near(A.percentiles(df, "v", qs)) == near(df.agg(*[F.expr(f"percentile(v, {q})").alias(n) for n, q in qs.items()]))
+
+
 def test_deduplicate_and_latest(frame):
     df = frame([(1, "play", 1), (1, "play", 2), (2, "play", 1)], "user_id int, event string, version int")
     assert rows(W.deduplicate(df, "user_id", [F.desc("version")])) == [(1, "play", 2), (2, "play", 1)]

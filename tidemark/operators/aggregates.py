@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import _c
 from ..functions.text import slugify_name
-from .windows import _cols, range_parts, split_window
+from ..session import written
+from .windows import _cols, _with_hot, hot_keys
 
 
 def money(col: str | Column, scale: int = 2) -> Column:
@@ -47,31 +48,99 @@ def string_agg_ordered(df: DataFrame, keys, value: str, order: str, sep: str, na
     return df.groupBy(*_cols(keys)).agg(F.array_join(F.transform(pairs, lambda p: p["v"]), sep).alias(name))
 
 
+GRID = 256  # approximate quantiles that a bracketing pass looks at
+RANK_ROWS = 100_000  # rows of an interval that are sorted in one task
+
+
 def percentiles(df: DataFrame, col: str, qs: dict[str, float], by=()) -> DataFrame:
-    """Exact continuous percentiles ``name -> q`` per group, all from one ladder.
+    """Exact continuous percentiles ``name -> q`` per group; the two neighbours of each target rank are interpolated.
 
-    Equal values are counted together first; the counts are cut into ranges of (group, value) and run up range by
-    range, so neither a hot group nor the whole table is sorted or held by one task. The two neighbours of each
-    target rank are interpolated.
+    Groups of up to ``HOT_ROWS`` rows are aggregated exactly by Spark. For a hot group every target rank is bracketed:
+    a pass counts the rows below, at and between two values, and takes approximate quantiles of those between; the two
+    around the rank are the next bracket. Counts are exact and partial, so only the bracket is approximate, and after a
+    few passes it holds so few rows that they are sorted. All percentiles share the passes; only the brackets are written.
     """
     by = _cols(by)
-    counts = df.filter(F.col(col).isNotNull()).groupBy(*by, F.col(col).cast("double").alias("__v")).agg(F.count("*").alias("__n"))
-    counts = range_parts(counts, [*by, "__v"])
-    ladder = split_window(counts, by, ["__v"], F.col("__part"), {"__upto": ("sum", "__n")})
-    totals = counts.groupBy(*by).agg(F.sum("__n").alias("__total"))
-    if by:
-        keyed = totals.select(*[F.col(k).alias(f"__k_{k}") for k in by], "__total")
-        ladder = ladder.join(keyed, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in by])
+    values = df.filter(F.col(col).isNotNull()).select(*by, F.col(col).cast("double").alias("__v"))
+    keyed = values if by else values.withColumn("__all", F.lit(0))
+    keys = by or ["__all"]
+    hot = hot_keys(keyed, keys)
+    names = list(qs)
+    exact = F.percentile("__v", F.array(*[F.lit(float(q)) for q in qs.values()])).alias("__p")
+    small = [F.get("__p", F.lit(i)).alias(n) for i, n in enumerate(names)]
+    if not hot.take(1):
+        return values.groupBy(*by).agg(exact).select(*by, *small)
+    large = _with_hot(keyed, hot, keys, "inner").drop("__hot")
+    ranked = _bracketed(large, keys, qs).select(*by, *names)
+    if not by:
+        return ranked
+    rest = _with_hot(keyed, hot, keys, "left").filter("__hot IS NULL")
+    return rest.groupBy(*by).agg(exact).select(*by, *small).unionByName(ranked)
+
+
+def _bracketed(values: DataFrame, keys: list[str], qs: dict[str, float]) -> DataFrame:
+    """Percentiles of groups that are too large to sort: see ``percentiles``.
+
+    The state is one row per group with a bracket per target rank: open bounds ``lo`` and ``hi`` (NULL: none), the
+    number of rows up to ``lo`` and of those ``left`` between, and the value ``x`` once it is known to be a bound.
+    """
+    same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
+    other = lambda df: df.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[c for c in df.columns if c not in keys])
+    quantiles = lambda c: F.percentile_approx(c, [i / GRID for i in range(GRID + 1)], 8 * GRID)
+    v, n = F.col("__v"), len(qs)
+    ranks = range(2 * n)  # the lower and upper neighbour of each percentile
+
+    def around(g: Column, share: Column) -> tuple[Column, Column]:
+        at = F.floor(share * GRID).cast("int")
+        return F.get(g, F.greatest(at - 1, F.lit(0))), F.get(g, F.least(at + 2, F.lit(GRID)))
+
+    state = values.groupBy(*keys).agg(F.count("*").alias("n"), quantiles(v).alias("g"))
+    for i, q in enumerate(qs.values()):
+        place = F.lit(float(q)) * (F.col("n") - 1)
+        state = state.withColumns({f"r{2 * i}": F.floor(place) + 1, f"r{2 * i + 1}": F.ceil(place) + 1, f"f{i}": place - F.floor(place)})
+    for i in ranks:
+        low, high = around(F.col("g"), F.col(f"r{i}") / F.col("n"))
+        state = state.withColumns({f"lo{i}": low, f"hi{i}": high, f"x{i}": F.lit(None).cast("double"), f"upto{i}": F.lit(0).cast("bigint"), f"left{i}": F.lit(2**62)})
+    state = written(state.drop("g", "n"), "brackets")
+
+    for _ in range(60):  # a pass leaves a few hundredths of an interval; 60 passes are beyond any table
+        wide = [F.max(F.when(F.col(f"x{i}").isNull() & (F.col(f"left{i}") > RANK_ROWS), 1)).alias(f"x{i}") for i in ranks]
+        told = state.agg(*wide).first()
+        unsettled = [i for i in ranks if told[f"x{i}"]]
+        if not unsettled:
+            break
+        counts = []
+        for i in unsettled:
+            lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
+            inside = (lo.isNull() | (v > lo)) & (hi.isNull() | (v < hi))
+            for name, condition in (("b", lo.isNotNull() & (v < lo)), ("l", v == lo), ("m", inside), ("h", (v == hi) & (lo.isNull() | (lo < hi)))):
+                counts.append(F.count(F.when(condition, 1)).alias(f"{name}{i}"))
+            counts.append(quantiles(F.when(inside, v)).alias(f"g{i}"))
+        seen = values.join(other(state), same).groupBy(*keys).agg(*counts)
+        both = state.join(other(seen), same)
+        changed = {}
+        for i in unsettled:
+            rank, below, low, inside, high, lo, hi, x = (F.col(f"{c}{i}") for c in ("r", "b", "l", "m", "h", "lo", "hi", "x"))
+            value = F.coalesce(x, F.when((rank > below) & (rank <= below + low), lo), F.when((rank > below + low + inside) & (rank <= below + low + inside + high), hi))
+            keep = value.isNotNull() | ((inside <= RANK_ROWS) & (rank > below + low) & (rank <= below + low + inside))
+            under, over = rank <= below, rank > below + low + inside + high  # the quantiles were off: open that side again
+            next_lo, next_hi = around(F.col(f"g{i}"), (rank - below - low) / inside)
+            changed |= {
+                f"x{i}": value, f"upto{i}": below + low, f"left{i}": F.when(under | over, F.lit(2**62)).otherwise(inside),
+                f"lo{i}": F.when(keep | over, lo).when(~under, next_lo), f"hi{i}": F.when(keep | under, hi).when(~over, next_hi),
+            }
+        state = written(both.select(*keys, *[changed.get(c, F.col(c)).alias(c) for c in state.columns if c not in keys]), "brackets")
     else:
-        ladder = ladder.withColumn("__total", totals.scalar())
-    holds = lambda r: (F.col("__upto") >= r) & (F.col("__upto") - F.col("__n") < r)
-    found, made = [], []
-    for i, (name, q) in enumerate(qs.items()):
-        rank = F.lit(q) * (F.col("__total") - 1)
-        low, high = F.max(F.when(holds(F.floor(rank) + 1), F.col("__v"))), F.max(F.when(holds(F.ceil(rank) + 1), F.col("__v")))
-        found += [low.alias(f"__lo{i}"), high.alias(f"__hi{i}"), F.max(rank - F.floor(rank)).alias(f"__f{i}")]
-        made.append((F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__f{i}")).alias(name))
-    return ladder.groupBy(*by).agg(*found).select(*by, *made)
+        raise RuntimeError("a percentile could not be bracketed")
+
+    aggs = [F.max(f"f{i}").alias(f"f{i}") for i in range(n)]
+    for i in ranks:
+        lo, hi, x = F.col(f"lo{i}"), F.col(f"hi{i}"), F.col(f"x{i}")
+        inside = x.isNull() & (lo.isNull() | (v > lo)) & (hi.isNull() | (v < hi))
+        aggs += [F.array_sort(F.collect_list(F.when(inside, v))).alias(f"s{i}"), F.max(x).alias(f"x{i}"), F.max(F.col(f"r{i}") - F.col(f"upto{i}")).alias(f"k{i}")]
+    settled = values.join(other(state), same).groupBy(*keys).agg(*aggs)
+    at = lambda i: F.coalesce(F.col(f"x{i}"), F.get(f"s{i}", (F.col(f"k{i}") - 1).cast("int")))
+    return settled.select(*keys, *[(at(2 * i) + (at(2 * i + 1) - at(2 * i)) * F.col(f"f{i}")).alias(name) for i, name in enumerate(qs)])
 
 
 def percentile_cont(df: DataFrame, col: str, q: float, by=(), name: str = "percentile") -> DataFrame:
