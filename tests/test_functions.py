@@ -1,13 +1,16 @@
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import rows
 from tidemark.functions import dates as D
 from tidemark.functions import nested as N
 from tidemark.functions import numeric as M
 from tidemark.functions import text as X
 from tidemark.functions import web as U
+from tidemark.functions import wide as WD
 
 
 def one(spark, *cols):
@@ -143,3 +146,24 @@ def test_convert_timezone_and_rounding(spark):
 
     noon = D.as_timestamp("2024-06-30 12:00:00")
     assert one(spark, D.convert_timezone(noon, "America/New_York"), D.round_to_day(noon).cast("timestamp_ntz")) == (dt.datetime(2024, 6, 30, 8), dt.datetime(2024, 7, 1))
+
+
+def test_wide_sums_equal_python_integers(spark):
+    r = random.Random(11)
+    big = lambda: r.choice([-1, 1]) * r.randint(0, 10 ** r.choice([1, 17, 18, 19, 36, 60, 80]))
+    data = [(r.choice("abc"), str(big())) for _ in range(400)]
+    data += [("zero", "5" + "0" * 70), ("zero", "-5" + "0" * 70), ("sign", "+007"), ("sign", "-0"), ("edge", "9" * 90), ("edge", "1"), ("none", None), ("none", "x1"), ("none", "1.5"), ("none", "")]
+    df = spark.createDataFrame(data, "k string, v string").repartition(3)
+    got = dict(rows(df.groupBy("k").agg(WD.wide_text(WD.wide_sum(WD.wide("v"))).alias("s"))))
+    want = {k: str(sum(int(v) for j, v in data if j == k)) for k in {k for k, _ in data} - {"none"}}
+    assert got == want | {"none": None}
+    each = [v for _, v in data if v and v.lstrip("+-").isdigit()]
+    assert [x[0] for x in spark.createDataFrame([(v,) for v in each], "v string").select(WD.wide_text(WD.wide("v"))).collect()] == [str(int(v)) for v in each]
+    with pytest.raises(Exception, match="more than 36 digits"):
+        spark.createDataFrame([("1" * 37,)], "v string").select(WD.wide_text(WD.wide("v", 2))).collect()
+
+
+def test_wide_scaled(spark):
+    cases = [("1" + "0" * 60, 18, "1" + "0" * 42), ("-5", 3, "-0.005"), ("1200", 2, "12"), ("12345", 2, "123.45"), ("0", 18, "0"), ("7", None, "7"), ("100", 0, "100"), ("-1500", 3, "-1.5"), (None, 2, None)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(cases)], "i int, a string, b int")
+    assert [r[1] for r in sorted(df.select("i", WD.wide_scaled("a", "b")).collect())] == [c for _, _, c in cases]

@@ -1,5 +1,6 @@
 import datetime as dt
 import gzip
+import random
 import zipfile
 
 import pytest
@@ -11,6 +12,7 @@ from tidemark.sources import archives as A
 from tidemark.sources import ingest as I
 from tidemark.sources import scans as S
 from tidemark.sources import sinks as W
+from tidemark.sources.bitmaps import ActivityBitmaps
 from tidemark.sources.keylog import KeyedLog
 
 
@@ -281,7 +283,7 @@ def test_keyed_log_filters_miss_no_key_and_pass_few_others(spark):
     log.insert(keys)
     every = log.files_for(keys)
     assert len(every) == 16
-    assert log._unseen(keys, log.current()).count() == 0
+    assert log.unseen(keys, log.current()).count() == 0
     others = spark.range(10**6, 10**6 + 200).select(F.xxhash64("id").alias("k"))
     assert sum(len(log.files_for(others.filter(f"abs(k) % 200 = {i}"))) for i in range(0, 200, 20)) <= 3
 
@@ -317,3 +319,23 @@ def test_keyed_log_stays_small_and_repeatable(spark, frame):
     assert empty.read().columns == ["k", "v"] and empty.read().count() == 0
     empty.insert(frame([(1, "a")], "k bigint, v string"))
     assert rows(empty.read()) == [(1, "a")]
+
+
+def test_activity_bitmaps_read_only_what_is_new(spark, frame):
+    r = random.Random(2)
+    ddl = "u string, d date, n int"
+    day = lambda i: dt.date(2024, 1, 1) + dt.timedelta(days=i)
+    events = [(r.choice([None, *(f"user {i}" for i in range(60))]), day(i), r.randint(0, 9)) for i in range(45) for _ in range(30)]
+    stored = ActivityBitmaps(spark, shared_dir(spark, "active"), "u")
+    for a, b in ((0, 20), (20, 21), (21, 45), (5, 7)):  # the last one brings two days again
+        stored.add(frame([e for e in events if day(a) <= e[1] < day(b)], ddl), "d")
+    for grain, cut in (("day", lambda x: x), ("month", lambda x: x.replace(day=1)), ("week", lambda x: x - dt.timedelta(days=x.weekday()))):
+        want = {}
+        for u, d, _ in events:
+            want.setdefault(cut(d), set()).add(u) if u else None
+        assert rows(stored.counts(grain)) == sorted(((p, len(us)) for p, us in want.items()), key=repr)
+    codes = [c for _, c in rows(stored.codes.read())]
+    assert sorted(codes) == list(range(1, 61))
+    stored.add(frame([("user 1", day(50), 1)], ddl).limit(0), "d")
+    stored.add(frame([("user 1", day(5), 1)], ddl), "d")  # a corrected day replaces the old one
+    assert rows(stored.counts("day").filter(F.col("period") == F.lit(day(5)))) == [(day(5), 1)]

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.wide import LIMBS, wide, wide_sum, wide_text
 from .calendars import densify
 from .joins import null_safe_join
 from .sets import ledger
@@ -19,6 +20,14 @@ def balances(transfers: DataFrame, sender: str, receiver: str, value: str, by: l
     return legs.groupBy("party", *by).agg(F.sum("amount").alias("balance"))
 
 
+def big_balances(transfers: DataFrame, sender: str, receiver: str, value: str, by: list[str] = (), limbs: int = LIMBS) -> DataFrame:
+    """Net holding per party (and token) of whole amounts of any length, given and returned as text; amounts that are no number count as none."""
+    v = wide(value, limbs)
+    legs = F.array(F.struct(F.col(sender).alias("party"), F.transform(v, lambda x: -x).alias("amount")), F.struct(F.col(receiver).alias("party"), v.alias("amount")))
+    sums = transfers.select(*by, F.inline(legs)).groupBy("party", *by).agg(wide_sum("amount", limbs).alias("balance"))
+    return sums.withColumn("balance", wide_text("balance"))
+
+
 def balances_wide(transfers: DataFrame, sender: str, receiver: str, value: str, token: str, tokens: list[str]) -> DataFrame:
     """Net holding per party with one column per listed token."""
     legs = ledger(transfers, sender, receiver, value, keep=[token])

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import engagement as E
 from ..operators.aggregates import money
+from ..session import shared_dir
+from ..sources.bitmaps import ActivityBitmaps
 from .registry import query
 
 
@@ -28,6 +30,19 @@ def dau_mau(t):
     return parts[0].union(parts[1])
 
 
+@query("""SELECT 'day' AS grain, cast(ts AS DATE) AS period, count(DISTINCT user_id) AS users FROM events GROUP BY 2
+          UNION ALL SELECT 'week', cast(date_trunc('week', ts) AS DATE), count(DISTINCT user_id) FROM events GROUP BY 2
+          UNION ALL SELECT 'month', cast(date_trunc('month', ts) AS DATE), count(DISTINCT user_id) FROM events GROUP BY 2""")
+def active_user_bitmaps(t):
+    """Stored bitmaps of users with text keys: the first weeks, then the rest with one day again; periods come from the bitmaps alone."""
+    stored = ActivityBitmaps(t.spark, shared_dir(t.spark, "active"), "user")
+    e = t.events.select(F.concat(F.lit("u"), "user_id").alias("user"), F.to_date("ts").alias("day"))
+    stored.add(e.filter("day < '2024-01-20'"), "day")
+    stored.add(e.filter("day >= '2024-01-19'"), "day")
+    parts = [stored.counts(g).select(F.lit(g).alias("grain"), "period", "users") for g in ("day", "week", "month")]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 @query("""WITH f AS (SELECT user_id, min(cast(ts AS DATE)) AS d0 FROM events GROUP BY 1), a AS (SELECT DISTINCT user_id, cast(ts AS DATE) AS d FROM events)
           SELECT d0 AS cohort, count(DISTINCT user_id) AS users, count(DISTINCT CASE WHEN d - d0 = 1 THEN user_id END) AS d1, count(DISTINCT CASE WHEN d - d0 = 2 THEN user_id END) AS d2,
                  count(DISTINCT CASE WHEN d - d0 = 7 THEN user_id END) AS d7, count(DISTINCT CASE WHEN d - d0 = 14 THEN user_id END) AS d14 FROM a JOIN f USING (user_id) GROUP BY 1""")

@@ -44,6 +44,26 @@ def ledger_balance(t):
     return as_double(L.balances(transfers(t), *ENDS), "balance")
 
 
+BIG = "cast(cast(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR) || repeat(lpad(cast(l_partkey AS VARCHAR), 10, '0'), 5) || lpad(cast(l_orderkey AS VARCHAR), 10, '0')"
+# Three limbs of 30 digits per leg; carries go up by floor, and a negative total is turned round first.
+BIG_TWIN = f"""{TRANSFERS}, big AS (SELECT 'C' || o_custkey AS a, 'S' || l_suppkey AS b, lpad({BIG}, 90, '0') AS v FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+  three AS (SELECT party, s * cast(substr(v, 1, 30) AS HUGEINT) AS h, s * cast(substr(v, 31, 30) AS HUGEINT) AS m, s * cast(substr(v, 61, 30) AS HUGEINT) AS l FROM (SELECT a AS party, v, -1 AS s FROM big UNION ALL SELECT b, v, 1 FROM big)),
+  net AS (SELECT party, cast(sum(h) AS HUGEINT) AS h, cast(sum(m) AS HUGEINT) AS m, cast(sum(l) AS HUGEINT) AS l, 1000000000000000000000000000000::HUGEINT AS e FROM three GROUP BY 1),
+  up AS (SELECT *, ((l % e) + e) % e AS l0 FROM net), up2 AS (SELECT *, m + (l - l0) // e AS m1 FROM up), up3 AS (SELECT *, ((m1 % e) + e) % e AS m0 FROM up2), sign AS (SELECT party, e, CASE WHEN h + (m1 - m0) // e < 0 THEN -1 ELSE 1 END AS s, h, m, l FROM up3),
+  pos AS (SELECT party, e, s, s * h AS h, s * m AS m, s * l AS l FROM sign), p1 AS (SELECT *, ((l % e) + e) % e AS l0 FROM pos), p2 AS (SELECT *, m + (l - l0) // e AS m1 FROM p1), p3 AS (SELECT *, ((m1 % e) + e) % e AS m0 FROM p2),
+  text AS (SELECT party, s, cast(h + (m1 - m0) // e AS VARCHAR) || lpad(cast(m0 AS VARCHAR), 30, '0') || lpad(cast(l0 AS VARCHAR), 30, '0') AS t FROM p3)"""
+
+
+@query(f"""WITH {BIG_TWIN} SELECT party, CASE WHEN s < 0 THEN '-' ELSE '' END || CASE WHEN ltrim(t, '0') = '' THEN '0' ELSE ltrim(t, '0') END AS balance FROM text""")
+def ledger_balance_big(t):
+    """Balances of amounts of more than sixty digits, most of them negative for customers."""
+    lines = t.lineitem.select("l_orderkey", "l_suppkey", "l_partkey", "l_extendedprice").join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string")
+    amount = F.concat(cents, F.repeat(F.lpad(F.col("l_partkey").cast("string"), 10, "0"), 5), F.lpad(F.col("l_orderkey").cast("string"), 10, "0"))
+    moves = lines.select(F.concat(F.lit("C"), "o_custkey").alias("a"), F.concat(F.lit("S"), "l_suppkey").alias("b"), amount.alias("v"))
+    return L.big_balances(moves, "a", "b", "v")
+
+
 @query(f"""WITH {TRANSFERS} SELECT lower(party) AS party, cast(sum(CASE WHEN token = 'A' THEN amount ELSE 0 END) AS DOUBLE) AS "A", cast(sum(CASE WHEN token = 'N' THEN amount ELSE 0 END) AS DOUBLE) AS "N",
            cast(sum(CASE WHEN token = 'R' THEN amount ELSE 0 END) AS DOUBLE) AS "R" FROM legs GROUP BY 1""")
 def ledger_balance_by_token(t):

@@ -63,7 +63,14 @@ class KeyedLog(VersionLog):
         hits = asked.join(filters, ["folder", "block"]).filter(bit).select("folder", "part").distinct().collect()  # at most one row per file
         return sorted(f"{self.root}/{r['folder']}/rows/__part={r['part']}" for r in hits)
 
-    def _unseen(self, source: DataFrame, version: Version) -> DataFrame:
+    def files(self, source: DataFrame) -> DataFrame:
+        """The stored rows of the files that may hold a key of ``source``."""
+        version = self.current()
+        paths = self.files_for(source, version)
+        return self._files(paths) if paths else self.read(version).limit(0)
+
+    def unseen(self, source: DataFrame, version: Version) -> DataFrame:
+        """The rows of ``source`` whose key that version does not hold."""
         paths = self.files_for(source, version)
         if not paths:
             return source
@@ -84,13 +91,14 @@ class KeyedLog(VersionLog):
         bits.groupBy("block").agg(F.bitmap_construct_agg("place").alias("bits")).withColumn("folder", F.lit(folder)).write.parquet(f"{self.root}/{folder}/keys")
         return {folder: [parts, blocks, rows.count()]}
 
-    def insert(self, source: DataFrame) -> int:
+    def insert(self, source: DataFrame, version: Version | None = None) -> int:
         """Add the rows whose key is not stored yet; returns the version that holds them.
 
         Rows with a NULL in their key always count as new, and rows of the source that share a new key are all added.
+        ``version`` is the one that ``source`` was made from, if it depends on one.
         """
-        version = self.current()
-        added = self._add(self._unseen(source, version), max(1, source.count()))
+        version = version or self.current()
+        added = self._add(self.unseen(source, version), max(1, source.count()))
         if not added and version.number:
             return version.number
         if not added:  # an empty table still has its columns
