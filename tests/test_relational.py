@@ -100,6 +100,18 @@ def test_like_join_of_a_large_dictionary(frame):
     assert rows(J.like_join(df, d, "code", "name").select("id", "tag")) == rows(want.select("id", "tag"))
 
 
+def test_like_candidates_follow_the_rarest_gram(frame):
+    """All texts hold the start of every pattern; only the rare end of each finds candidates."""
+    texts = frame([(f"the level of the dungeon {i:04d} and the end",) for i in range(400)], "__text string")
+    names = frame([(f"the dungeon 0{i:03d}",) for i in range(50)] + [(f"of the dungeon {i:04d}",) for i in range(300)] + [("the level of the",), ("absent zebra",)], "__name string")
+    pairs = J.like_candidates(texts, names)
+    per_name = dict(rows(pairs.groupBy("__name").count()))
+    assert per_name.pop("the level of the") == 400 and "absent zebra" not in per_name
+    assert max(per_name.values()) <= 10  # four digits at most are shared with ten others
+    matched = pairs.filter(F.expr("__text LIKE concat('%', __name, '%')"))
+    assert matched.count() == 400 + 300 + 50
+
+
 def test_no_limit_on_values(frame):
     from tidemark.operators.aggregates import as_dict, column_values, money
 

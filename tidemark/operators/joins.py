@@ -178,29 +178,67 @@ def range_join(df: DataFrame, ranges: DataFrame, col: str, lo: str, hi: str, how
     return hits if how == "inner" else df.join(hits, col, "left")
 
 
-GRAM = 8  # characters of a pattern's longest literal run that find its candidates
+GRAM = 6  # characters that find the candidates of a pattern
+MARKS = 2**18  # bits of the filter that texts are read with: 32 KB, whatever the size of the dictionary
+
+
+def _grams(text: Column, k: int) -> Column:
+    """All pieces of k characters."""
+    cut = F.transform(F.sequence(F.lit(1), F.length(text) - k + 1), lambda i: F.substr(text, i, F.lit(k)))
+    return F.when(F.length(text) >= k, cut).otherwise(F.array().cast("array<string>"))
+
+
+def _marks(grams: DataFrame) -> Column:
+    """A fixed-size bitmap of a column ``g``, put together by Spark, as a literal."""
+    place = F.pmod(F.xxhash64("g"), F.lit(MARKS))
+    pieces = grams.groupBy(F.floor(place / 32768).alias("piece")).agg(F.bitmap_construct_agg(place % 32768).alias("bits")).collect()
+    out = bytearray(MARKS // 8)
+    for r in pieces:
+        out[r["piece"] * 4096 : (r["piece"] + 1) * 4096] = r["bits"]
+    return F.lit(bytes(out))
+
+
+def like_candidates(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """``(__text, __name)`` pairs that share the pattern's rarest gram; every pair that matches is among them.
+
+    A pattern's grams are the pieces of ``GRAM`` characters of its longest literal run (the run itself, if shorter).
+    Texts yield only grams that some pattern uses: a bitmap drops nearly all others within the row, the join the rest.
+    The texts per gram are counted, and each pattern is looked up by the gram that fewest texts have; one whose gram no
+    text has is gone. A pattern without literal characters has the empty gram, which every text has.
+    """
+    runs = F.split("__name", r"[%_\\]")
+    longest = F.reduce(runs, F.lit(""), lambda best, r: F.when(F.length(r) > F.length(best), r).otherwise(best))
+    keyed = names.withColumn("__run", longest).withColumn("__k", F.least(F.length("__run"), F.lit(GRAM)))
+    pieces = F.when(F.col("__k") == 0, F.array(F.lit("")))
+    for k in range(1, GRAM + 1):
+        pieces = pieces.when(F.col("__k") == k, F.array_distinct(_grams(F.col("__run"), k)))
+    used = keyed.select("__name", F.explode(pieces).alias("g"))
+    lengths = [r[0] for r in keyed.select("__k").distinct().collect()]  # GRAM + 1 numbers at most
+    marks = _marks(used)
+
+    def marked(g: Column) -> Column:
+        place = F.pmod(F.xxhash64(g), F.lit(MARKS)).cast("int")
+        byte = F.conv(F.hex(F.substr(marks, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return F.get(F.array(*[F.lit(1 << i) for i in range(8)]), place % 8).bitwiseAND(byte) > 0
+
+    text = F.col("__text")
+    found = [F.array(F.lit("")) if k == 0 else F.filter(_grams(text, k), marked) for k in lengths] or [F.array().cast("array<string>")]
+    of_text = texts.select("__text", F.explode(F.array_distinct(F.concat(*found))).alias("g")).join(used.select("g").distinct(), "g", "left_semi")
+    seen = of_text.groupBy("g").agg(F.count("*").alias("n"))
+    everywhere = used.join(seen, "g", "left").groupBy("__name").agg(F.min_by("g", F.struct(F.coalesce("n", F.lit(0)), "g")).alias("g"))
+    return of_text.join(everywhere, "g").select("__text", "__name")
 
 
 def like_join(df: DataFrame, dictionary: DataFrame, col: str, pattern: str, how: str = "left") -> DataFrame:
     """Join on ``col LIKE '%' || pattern || '%'``, one row per match.
 
-    Matches are found once per distinct text, at any size of the dictionary alike: each pattern is looked up by the
-    start of its own longest literal run (up to ``GRAM`` characters), texts are cut into grams of just the lengths
-    that occur, and the equi join's candidates are verified. A pattern without literal characters has the empty
-    gram, which every text has.
+    Matches are found once per distinct text, at any size of the dictionary alike: an equi join on the rarest gram of
+    each pattern gives the candidates (``like_candidates``), which are then verified.
     """
     texts = df.select(F.col(col).alias("__text")).filter(F.col(col).isNotNull()).distinct()
     names = dictionary.select(F.col(pattern).alias("__name")).filter(F.col(pattern).isNotNull()).distinct()
-    runs = F.split("__name", r"[%_\\\\]")
-    longest = F.reduce(runs, F.lit(""), lambda best, r: F.when(F.length(r) > F.length(best), r).otherwise(best))
-    names = names.withColumn("__gram", F.substring(longest, 1, GRAM))
-    lengths = [r[0] for r in names.select(F.length("__gram")).distinct().collect()]  # GRAM + 1 numbers at most
-    cut = lambda k: F.transform(F.sequence(F.lit(1), F.length("__text") - k + 1), lambda i: F.substr(F.col("__text"), i, F.lit(k)))
-    empty = F.array().cast("array<string>")
-    grams = [F.array(F.lit("")) if k == 0 else F.when(F.length("__text") >= k, cut(k)).otherwise(empty) for k in lengths]
-    candidates = texts.withColumn("__gram", F.explode(F.array_distinct(F.concat(empty, *grams))))
-    pairs = candidates.join(names, "__gram").filter(F.expr("__text LIKE concat('%', __name, '%')"))
-    matched = pairs.select("__text", "__name").join(dictionary, F.col("__name") == F.col(pattern)).drop("__name")
+    pairs = like_candidates(texts, names).filter(F.expr("__text LIKE concat('%', __name, '%')"))
+    matched = pairs.join(dictionary, F.col("__name") == F.col(pattern)).drop("__name")
     return df.join(matched, F.col(col) == F.col("__text"), how).drop("__text")
 
 
