@@ -4,7 +4,7 @@ Every distinct shingle set has a fixed number of minwise tokens. A tree deals th
 node that is still large by two tokens that the node chooses, and so on; sets that are alike stay together along some
 path. Small nodes are compared exhaustively. Independent trees are repeated until the target recall is reached.
 
-A large node that hardly shrinks holds sets that are nearly the same. It is cut into blocks that all contain one set of
+A large node that keeps more than three quarters of its sets together holds sets that are nearly the same. It is cut into blocks that all contain one set of
 the node, which joins blocks of copies; what is not in the node's largest component by then is compared with all of it.
 """
 
@@ -94,7 +94,7 @@ def tree_nodes(sets: DataFrame, trees: int, limit: int) -> tuple[list[DataFrame]
     levels = range(trees, TOKENS - LEVEL + 1, LEVEL)
     for first in levels:
         large = rows.filter(F.col("size") > limit)
-        large = large if first == trees else large.filter("2 * size <= above")
+        large = large if first == trees else large.filter("4 * size <= 3 * above")
         if not large.take(1):
             return small, dense
         one = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(LEVEL))
@@ -103,7 +103,7 @@ def tree_nodes(sets: DataFrame, trees: int, limit: int) -> tuple[list[DataFrame]
         child = F.xxhash64("node", "at", F.expr(f"substring(sig, cast(4 * ({first} + at) + 1 AS int), 4)"))
         rows = table(_sized(both.select("key", "w", F.col("size").alias("above"), child.alias("node"))), "nodes")
         small.append(rows.filter(F.col("size") <= limit).select("node", "key"))
-        stuck = (F.col("size") > limit) & ((2 * F.col("size") > F.col("above")) | F.lit(first == levels[-1]))
+        stuck = (F.col("size") > limit) & ((4 * F.col("size") > 3 * F.col("above")) | F.lit(first == levels[-1]))
         dense.append(rows.filter(stuck).select("node", "key", "w", "size"))
     return small, dense
 
@@ -160,11 +160,14 @@ def probable(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return dealt.select("node", "block", "key", "n", "sig").mapInArrow(run, "grp binary, key binary").distinct()
 
 
-def confirmed(groups: DataFrame, sets: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Edges ``(a, b)`` between keys that connect what the links between full sets connect within each group."""
-    wanted = sets.select("key", "at.*").join(groups.select("key").distinct(), "key")
-    whole = docs.select(*whole_row(docs), F.col("text").cast("string").alias("text")).join(wanted, ["__did", "__row"]).select("key", "text").dropDuplicates(["key"])
+def whole_texts(keys: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(key, text)``: a text of each of the given sets."""
+    wanted = sets.select("key", "at.*").join(keys.distinct(), "key")
+    return docs.select(*whole_row(docs), F.col("text").cast("string").alias("text")).join(wanted, ["__did", "__row"]).select("key", "text").dropDuplicates(["key"])
+
 
+def confirmed(groups: DataFrame, whole: DataFrame, size: int, percent: int) -> DataFrame:
+    """Edges ``(a, b)`` between keys that connect what the links between full sets connect within each group."""
     def run(batches):
         hashes = WordHash()
         for held in _groups(batches, ["grp"]):
@@ -195,17 +198,21 @@ def _blocks(dense: DataFrame, limit: int) -> DataFrame:
 
 
 def _strays(dense: DataFrame, roots: DataFrame, limit: int) -> DataFrame:
-    """Dense nodes again: what lies outside the node's largest component, in blocks, each with every block of the node."""
+    """What lies outside the largest component of a dense node, in blocks, each with every block of the node.
+
+    Nodes of several trees with the same largest component are taken together, as they hold much the same sets.
+    """
     named = dense.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     parts = named.groupBy("node", "root").agg(F.sum("w").alias("w"))
     main = parts.groupBy("node").agg(F.max_by("root", F.struct("w", "root")).alias("main"), (F.sum("w") - F.max("w")).alias("rest")).filter("rest > 0")
-    rows = named.join(main, "node")
+    rows = named.join(main.select("node", "main"), "node").select(F.xxhash64("main").alias("node"), "key", "w", (F.col("root") != F.col("main")).alias("stray")).distinct()
+    sizes = rows.groupBy("node").agg(F.sum("w").alias("size"), F.sum(F.when(F.col("stray"), F.col("w"))).alias("rest"))
     blocks, others = F.ceil(2 * F.col("size") / limit).cast("int"), F.ceil(2 * F.col("rest") / limit).cast("int")
-    all_blocks, all_others = F.sequence(F.lit(0), blocks - 1), F.sequence(F.lit(0), others - 1)
-    own, other = F.pmod(F.xxhash64("key"), blocks).cast("int"), F.pmod(F.xxhash64("key", F.lit(1)), others).cast("int")
-    members = rows.select("node", "key", own.alias("b"), blocks.alias("n"), F.explode(all_others).alias("o"))
-    strays = rows.filter("root <> main").select("node", "key", other.alias("o"), blocks.alias("n"), F.explode(all_blocks).alias("b"))
-    return members.unionByName(strays).select("node", (F.col("o") * F.col("n") + F.col("b")).alias("block"), "key").distinct()
+    rows = rows.join(sizes.select("node", blocks.alias("blocks"), others.alias("others")), "node")
+    own, other = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("key", F.lit(1)), F.col("others")).cast("int")
+    members = rows.select("node", "key", "blocks", own.alias("b"), F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("o"))
+    strays = rows.filter("stray").select("node", "key", "blocks", other.alias("o"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"))
+    return members.unionByName(strays).select("node", (F.col("o") * F.col("blocks") + F.col("b")).alias("block"), "key").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85, recall: float = 0.9999, limit: int = LIMIT) -> DataFrame:
@@ -238,14 +245,19 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85, recall: f
         packed = table(packed, "dense")
         rows = rows.unionByName(_blocks(packed, limit))
     groups = table(probable(rows, sets, percent), "groups")
-    edges = table(confirmed(groups, sets, docs, size, percent), "links")
+    keys = groups.select("key") if packed is None else groups.select("key").union(packed.select("key"))
+    whole = whole_texts(keys, sets, docs)
+    whole = whole if packed is None else table(whole, "texts")
+    edges = table(confirmed(groups, whole, size, percent), "links")
     roots = components(edges).select(F.col("node").alias("key"), "root")
     if packed is not None:
-        rest = table(_strays(packed, roots, limit), "strays")
-        if rest.take(1):
-            groups = table(probable(rest, sets, percent), "groups")
-            more = confirmed(groups, sets, docs, size, percent)
-            roots = components(edges.union(more)).select(F.col("node").alias("key"), "root")
+        rest = _strays(packed, roots, limit)
+        groups = table(probable(rest, sets, percent), "groups")
+        more = confirmed(groups, whole, size, percent)
+        named = more.join(roots.withColumnRenamed("key", "a").withColumnRenamed("root", "ra"), "a", "left").join(roots.withColumnRenamed("key", "b").withColumnRenamed("root", "rb"), "b", "left")
+        fresh = table(named.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).filter("a <> b"), "links")
+        if fresh.take(1):
+            roots = components(edges.union(fresh)).select(F.col("node").alias("key"), "root")
 
     firsts = prints.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("first")).join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     ids = firsts.join(firsts.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("key", "component_id")
