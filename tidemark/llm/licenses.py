@@ -18,8 +18,6 @@ TEMPLATES = [
             "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to "
             "the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions "
             "of the Software."),
-    ("mit", "Released under the MIT License."),
-    ("mit", "Licensed under the MIT license."),
     ("apache", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may "
                "obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
                "software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or "
@@ -40,6 +38,18 @@ TEMPLATES = [
     ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, "
                   "or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by "
                   "any means."),
+    ("zlib", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising "
+             "from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+             "alter it and redistribute it freely, subject to the following restrictions: The origin of this software must not be misrepresented; you must not "
+             "claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be "
+             "appreciated but is not required. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original "
+             "software. This notice may not be removed or altered from any source distribution."),
+    ("boost", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation "
+              "covered by this license (the Software) to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative "
+              "works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright "
+              "notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be "
+              "included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works "
+              "are solely in the form of machine-executable object code generated by a source language processor."),
     ("cc", "Licensed under CC BY 4.0."),
     ("cc", "Licensed under CC BY-NC 4.0."),
     ("cc", "Licensed under CC BY-SA 4.0."),
@@ -49,8 +59,8 @@ TEMPLATES = [
 ]
 MATCH = 3  # words from which a match counts as long
 COVER = 0.6  # share of a template that a chain must cover to give its label
-SHORT = 16  # words below which a chain must cover the licence's name in the template as well
-NAMES = {"mit": {b"mit"}, "gpl": {b"gnu"}, "cc": {b"cc", b"creative"}}  # words that name the licence of a short template
+SHORT = 16  # words below which a chain must cover the licence's name (and version) in the template as well
+NAMES = {"gpl": [{b"gnu"}], "cc": [{b"cc", b"creative"}, {b"4"}]}  # a word of each set names the licence of a short template
 GAP = 8  # words of a document that may lie between chained matches
 
 
@@ -136,7 +146,7 @@ class Scanner:
     def __init__(self, templates: list[tuple[str, str]], phrases: dict[str, str]):
         self.words = [words_of(t.encode()) for _, t in templates]
         self.labels = [label for label, _ in templates]
-        self.named = [{i for i, x in enumerate(w) if len(w) < SHORT and x in NAMES.get(label, ())} for label, w in zip(self.labels, self.words)]
+        self.named = [[{i for i, x in enumerate(w) if x in names} for names in NAMES.get(label, ())] if len(w) < SHORT else [] for label, w in zip(self.labels, self.words)]
         self.automaton = SuffixAutomaton(self.words)
         self.phrases = [(words_of(p.encode()), label) for p, label in phrases.items()]
         self.keys = {p[-1] for p, _ in self.phrases}
@@ -159,33 +169,32 @@ class Scanner:
         """Covered template spans ``(start, stop, label, covered share)`` of the document.
 
         Matches of one template that follow each other in the document and in the template, at most ``GAP`` words
-        apart, form a chain; its share is the template's words that it covers. Short templates share their beginning with
-        common prose, so a chain of one counts only with the licence's name.
+        apart, form a chain; its share is the template's words that it covers. Of several places of a match the first behind
+        the chain counts. Short templates share their beginning with common prose, so a chain of one counts only with the
+        licence's name, and its version where it has one.
         """
-        open_: dict[int, list[int]] = {}  # template -> start, stop in the document, stop in the template, covered words, whether named
+        open_: dict[int, tuple] = {}  # template -> start, stop in the document, stop in the template, covered words, its names that are covered
         done = []
 
         def close(t):
-            a, z, _, covered, named = open_.pop(t)
-            if named:
+            a, z, _, covered, names = open_.pop(t)
+            if len(names) == len(self.named[t]):
                 done.append((a, z, self.labels[t], min(1.0, covered / len(self.words[t]))))
 
         for stop, n, state in self.automaton.matches(words, MATCH):
             start = stop - n
-            placed = set()
+            places: dict[int, list[int]] = {}
             for t, end in self.automaton.ends[state]:
-                if t in placed:
-                    continue
+                places.setdefault(t, []).append(end)
+            for t, ends in places.items():
                 c = open_.get(t)
-                named = not self.named[t] or any(end - n <= i < end for i in self.named[t])
-                if c and start - c[1] <= GAP and end > c[2]:
-                    fresh = min(n, end - c[2])
-                    open_[t] = [c[0], stop, end, c[3] + fresh, c[4] or named]
-                else:
-                    if c:
-                        close(t)
-                    open_[t] = [start, stop, end, n, named]
-                placed.add(t)
+                later = [e for e in ends if e > c[2]] if c and start - c[1] <= GAP else []
+                if c and not later:
+                    close(t)
+                # The first place that lies wholly behind the chain, else the one that adds most to it.
+                end = next((e for e in later if e - n >= c[2]), later[-1]) if later else ends[0]
+                names = {i for i, places_of in enumerate(self.named[t]) if any(end - n <= x < end for x in places_of)}
+                open_[t] = (c[0], stop, end, c[3] + min(n, end - c[2]), c[4] | names) if later else (start, stop, end, n, names)
         for t in list(open_):
             close(t)
         return sorted(done)
@@ -199,8 +208,8 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     and greatest start of one (null if none). Every text is streamed through a suffix automaton of all templates,
     which gives at each word the longest sequence that ends there and occurs in some template; maximal matches of
     ``MATCH`` words or more are chained per template. A chain that covers ``cover`` of its template adds the
-    template's label; base labels stay. A chain of a template below ``SHORT`` words counts only with a word of ``NAMES``
-    in it. ``score`` is 1 with a base place, else the largest covered share of any template. ``spans`` lists the chains
+    template's label; base labels stay. A chain of a template below ``SHORT`` words counts only with the words of
+    ``NAMES`` in it. ``score`` is 1 with a base place, else the largest covered share of any template. ``spans`` lists the chains
     that give a label. Label lists are distinct, sorted and comma-joined, empty if there is none.
 
     A null or empty text has no words, no label and score 0. Rows are judged one by one, so repeated rows agree;
