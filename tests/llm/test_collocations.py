@@ -8,6 +8,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 from tidemark.llm import collocations as C
 
@@ -81,23 +82,52 @@ def test_malformed_text(spark):
     assert [tuple(r)[2:5] for r in C.collocations(docs, least=30).collect()] == [("a � b", 30, 30)]
 
 
-def test_chunks_lose_and_repeat_nothing(monkeypatch):
+def test_reading_in_parts_loses_and_repeats_nothing(monkeypatch, spark):
     rows = [(lang or "und", t or "") for _, t, lang in corpus(5, 120)]
     batch = pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows]), pa.array([t for _, t in rows])], ["lang", "text"])
 
     def counts():
         total = Counter()
-        for c in C._chunks(iter([batch]), 5):
-            inside = c.words
-            for k, keys, new in c.grams(5):
-                inside = c.words if k == 1 else inside[:-1] & c.words[k - 1 :]
-                at = np.nonzero(inside & new)[0]
-                total.update((c.langs[c.owner[i]], int(keys[i])) for i in at)
+        for tokens, owner, langs, old in C._token_runs(iter([batch]), 5):
+            for k in range(1, 6):
+                grams = ((langs[owner[i]], tuple(tokens[i : i + k])) for i in range(max(0, old - k + 1), len(tokens) - k + 1))
+                total.update(g for g in grams if b"\n" not in g[1])
         return total
 
     whole = counts()
     for chunk, part in ((1, 4_000_000), (7, 5), (100, 50), (4, 1)):
-        monkeypatch.setattr(C, "CHUNK", chunk)
+        monkeypatch.setattr(C, "TOKENS", chunk)
+        monkeypatch.setattr(C, "PART", part)
+        assert counts() == whole
+
+
+def test_codes_in_parts(monkeypatch):
+    rows = [(lang or "und", t or "") for _, t, lang in corpus(6, 120)]
+    batch = pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows]), pa.array([i % 3 == 0 for i in range(len(rows))]), pa.array([t for _, t in rows])], ["lang", "sample", "text"])
+
+    class Docs:
+        """Runs the function that a task gets over one batch."""
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return list(run(iter([batch])))
+
+    def counts():
+        total = Counter()
+        for p in C._stretches(iter(C.encoded(Docs(), 5)), 61):
+            inside = p.words
+            for k, keys, new in p.levels(5):
+                inside = p.words if k == 1 else inside[:-1] & p.words[k - 1 :]
+                total.update(keys[inside & new].tolist())
+        return total
+
+    whole = counts()
+    assert sum(n for key, n in whole.items() if key & 7 == 1) == sum(len(p) for _, t in rows for p in pieces(t))
+    for row, codes, part in ((1, 1, 4_000_000), (7, 50, 5), (100, 2_000_000, 50), (3, 9, 1)):
+        monkeypatch.setattr(C, "ROW", row)
+        monkeypatch.setattr(C, "CODES", codes)
         monkeypatch.setattr(C, "PART", part)
         assert counts() == whole
 
@@ -109,3 +139,13 @@ def test_bitmap_holds_its_members(spark):
     made = C.bitmap(df, bits=20)
     others = r.integers(0, 2**64, 5000, dtype=np.uint64)
     assert made.has(keys).all() and made.has(others).mean() < 0.02
+
+
+def test_words_that_share_a_code_are_counted_apart(spark):
+    seen = {}
+    pair = next((seen[c], w) for i in range(2_000_000) if (c := xxhash.xxh3_64_intdigest(w := b"w%d" % i) >> 32) in seen or seen.setdefault(c, w) is None)
+    a, b = (w.decode() for w in pair)
+    text = f"{a} x. " * 20 + f"{b} x. " * 15 + f"{b} y. " * 9
+    docs = spark.createDataFrame([(1, "en", text)], "doc_id bigint, lang string, text string")
+    phrases, _ = C.frequent_phrases(docs, least=10)
+    assert dict((r["phrase"], r["n"]) for r in phrases.collect()) == {a: 20, b: 24, "x": 35, f"{a} x": 20, f"{b} x": 15}

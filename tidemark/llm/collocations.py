@@ -3,42 +3,48 @@
 A phrase of k words can only be frequent if both phrases of k - 1 words inside it are. The sample gives a set of phrases
 that are probably frequent. The negative border are the phrases outside the set of which all parts are inside. One pass
 over all texts counts both. A border phrase that turns out frequent was missed by the sample; the set then grows by the
-missed phrases, and another pass counts what this adds to the border, until nothing in the border is frequent. Every
-frequent phrase has then been counted, whatever the sample was.
+missed phrases, and another pass counts what this adds to the border. That pass takes what it newly reaches as frequent
+and goes on from there, so it closes the border at once. Every frequent phrase has then been counted, whatever the
+sample was.
 
 The set itself grows with the corpus, so no task holds it. Tasks ask a bitmap of fixed size instead: a phrase that
-passes by chance is only counted in vain. Counts by hash can only be too high, so they decide what to look at; the
-counts that are returned are made per phrase text in the last pass.
+passes by chance is only counted in vain. The texts are split once, into a table of word codes of 32 bits, which the
+counting passes read. Counts by code can only be too high, so they decide what to look at; the counts that are returned
+are made per phrase text in the last pass.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import WordHash, table, texts
+from ..session import shared_dir
+from .shared import table, texts
 
 # Lower-cases A-Z, ends a piece at punctuation and line ends, and makes a tab a space.
 CLEAN = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c for c in range(256))
 TOKEN = re.compile(rb"\n|[^ \n]+")
 GAP = re.compile(rb"[ \n]")
-END = xxhash.xxh3_64_intdigest(b"\n")
 MIX = np.uint64(0x9E3779B97F4A7C15)
-LENGTH_BITS = np.uint64(7)  # the low bits of a phrase's hash hold its number of words
-
-CHUNK = 1_000_000  # tokens that a task holds at a time
-PART = 4_000_000  # bytes of a text that are split at a time
+LENGTH_BITS = 7  # the low bits of a phrase's key hold its number of words
+WHOLE = 61  # bits of a key at most
+SPARE = 13  # bits of a key beyond those that number all words: one key in 2^13 shares its place with another
+
+CODES = 500_000  # codes that a task counts at a time
+ROW = 100_000  # codes in a row of the table of codes
+TOKENS = 250_000  # tokens of text that a task holds at a time
+PART = 1_000_000  # bytes of a text that are split at a time
+KNOWN = 150_000  # words whose hashes a task remembers
 BITS = 27  # the bitmap has 2^27 bits: 16 MB, whatever the size of the corpus
 SAMPLE = 8  # one document in so many proposes phrases
 
-COUNTS = "lang string, key bigint, n bigint"
-
 
 def _parts(text: bytes) -> Iterator[bytes]:
     """A text cut between words into parts of bounded size."""
@@ -49,63 +55,61 @@ def _parts(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-class Chunk:
-    """Consecutive tokens; the first ``old`` ones come from the chunk before, so that no phrase is lost between two."""
+class Words(dict):
+    """Word -> 64-bit hash, worked out once per word; 0 is the end of a piece. Emptied when it has grown large."""
 
-    def __init__(self, tokens: list[bytes], owner: np.ndarray, langs: list[str], old: int, hashes: WordHash):
-        self.tokens, self.owner, self.langs, self.old = tokens, owner, langs, old
-        plain = hashes.of(tokens)
-        self.words = plain != np.uint64(END)
-        seeds = np.array([xxhash.xxh3_64_intdigest(x.encode(), 1) for x in langs], np.uint64)
-        self.hash = (plain ^ seeds[owner]) * MIX
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = 0 if word == b"\n" else max(xxhash.xxh3_64_intdigest(word), 1)
+        return h
 
-    def tally(self, keys: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct keys with the start of their first place and their number."""
-        u, first, n = np.unique(keys, return_index=True, return_counts=True)
-        return u, starts[first], n
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > KNOWN:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
-    def rows(self, keys: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
-        u, first, n = self.tally(keys, starts)
-        lang = pa.DictionaryArray.from_arrays(pa.array(self.owner[first].astype(np.int32)), pa.array(self.langs, pa.string())).cast(pa.string())
-        return pa.RecordBatch.from_arrays([lang, pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], ["lang", "key", "n"])
 
-    def grams(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """``(k, keys, new)`` for k from 1: per start the key of k words, and whether they end among the new tokens."""
-        h = self.hash
-        for k in range(1, longest + 1):
-            if k > 1:
-                h = h[: max(0, len(self.hash) - k + 1)] * MIX + self.hash[k - 1 :]
-            yield k, (h & ~LENGTH_BITS) | np.uint64(k), np.arange(len(h)) + k > self.old
+def _codes(hashes: np.ndarray) -> np.ndarray:
+    """32 bits per word; 0 remains the end of a piece."""
+    return np.where(hashes == 0, 0, np.maximum(hashes >> np.uint64(32), 1)).astype(np.uint32)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[Chunk]:
-    hashes = WordHash()
-    tokens, runs, langs, old = [], [], {}, 0
+def _texts(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[tuple, bytes]]:
+    """The values of ``names`` and part of a text after part of a text, a few rows of a batch at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, 200):
+            few = b.slice(at, 200)
+            for kind, text in zip(zip(*(few.column(x).to_pylist() for x in names)), texts(few)):
+                for part in _parts(text.translate(CLEAN) + b"\n"):
+                    yield kind, part
 
-    def chunk() -> Chunk:
-        owner = np.repeat(np.array([x for x, _ in runs], np.int64), [n for _, n in runs])
-        return Chunk(tokens, owner, list(langs), old, hashes)
 
-    for b in batches:
-        for lang, text in zip(b.column("lang").to_pylist(), texts(b)):
-            for part in _parts(text.translate(CLEAN) + b"\n"):
-                found = TOKEN.findall(part)
-                tokens += found
-                runs.append((langs.setdefault(lang, len(langs)), len(found)))
-                if len(tokens) >= CHUNK:
-                    full = chunk()
-                    yield full
-                    keep = full.tokens[-(longest - 1) :]
-                    last = full.owner[-len(keep) :]
-                    names = [full.langs[i] for i in last]
-                    langs = {x: i for i, x in enumerate(dict.fromkeys(names))}
-                    tokens, runs, old = list(keep), [(langs[x], 1) for x in names], len(keep)
-    if len(tokens) > old:
-        yield chunk()
+def _seed(lang: str) -> np.uint64:
+    return np.uint64(xxhash.xxh3_64_intdigest(lang.encode(), 1))
+
+
+class Phrases:
+    """All phrases of consecutive codes, level by level. ``fresh`` marks the codes that were not counted before.
+
+    A key keeps the top ``width`` bits of a phrase's hash, as the others would only be carried about.
+    """
+
+    def __init__(self, codes: np.ndarray, seeds: np.ndarray | np.uint64, fresh: np.ndarray, width: int):
+        self.words, self.fresh = codes > 0, fresh
+        self.top = np.uint64((2**64 - 2 ** (64 - width)) & ~LENGTH_BITS)
+        x = (codes + seeds) * MIX
+        self.hash = (x ^ (x >> np.uint64(32))) * MIX
+
+    def levels(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """``(k, keys, new)`` for k from 1: per start the key of k words, and whether the last one is fresh."""
+        h = self.hash
+        for k in range(1, longest + 1):
+            if k > 1:
+                h = h[: max(0, len(self.hash) - k + 1)] * MIX + self.hash[k - 1 :]
+            yield k, (h & self.top) | np.uint64(k), self.fresh[k - 1 :]
 
 
 class Bitmap:
-    """Whether a key is in a set, by its top bits: never wrong for a member."""
+    """Whether a key is in a set, by its top bits (no more than any key keeps): never wrong for a member."""
 
     def __init__(self, bits: np.ndarray):
         self.bits, self.shift = bits, np.uint64(64 - int(np.log2(len(bits) * 8)))
@@ -114,6 +118,12 @@ class Bitmap:
         at = keys >> self.shift
         return (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
 
+    def among(self, mask: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The places of ``mask`` whose keys are members."""
+        out, at = np.zeros_like(mask), np.nonzero(mask)[0]
+        out[at] = self.has(keys[at])
+        return out
+
 
 def bitmap(keys: DataFrame, bits: int = BITS) -> Bitmap:
     """The bitmap of a column ``key``, put together by Spark in pieces of 4 KB; 2^bits bits reach the driver."""
@@ -125,50 +135,127 @@ def bitmap(keys: DataFrame, bits: int = BITS) -> Bitmap:
     return Bitmap(out)
 
 
-def _summed(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("lang", "key").agg(F.sum("n").alias("n"))
+def encoded(docs: DataFrame, longest: int) -> DataFrame:
+    """``(lang, sample, old, words, codes)``: the texts as word codes, many texts of a language (in the sample or not) to a row.
+
+    A row starts with the last codes of the row before (``old`` of them), so that no phrase is lost between two.
+    """
+    names, keep = ["lang", "sample", "old", "words", "codes"], longest - 1
+    kinds = [pa.string(), pa.bool_(), pa.int32(), pa.int64(), pa.binary()]
+
+    def run(batches):
+        known, held, old = Words(), {}, {}
+
+        def row(kind):
+            codes = np.concatenate(held[kind])
+            n, held[kind], old[kind] = old[kind], [codes[-keep:]], min(keep, len(codes))
+            return *kind, n, int((codes[n:] > 0).sum()), codes.tobytes()
+
+        def frame(rows):
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
+
+        size, total = {}, 0
+        for kind, part in _texts(batches, ["lang", "sample"]):
+            codes = _codes(known.of(TOKEN.findall(part)))
+            held.setdefault(kind, []).append(codes)
+            old.setdefault(kind, 0)
+            size[kind] = size.get(kind, 0) + len(codes)
+            total += len(codes)
+            if size[kind] >= ROW:
+                total -= size.pop(kind)
+                yield frame([row(kind)])
+            elif total >= 10 * ROW:  # many languages with a little text each
+                yield frame([row(x) for x in size])
+                size, total = {}, 0
+        if size:
+            yield frame([row(x) for x in size])
+
+    return docs.select("lang", "sample", "text").mapInArrow(run, "lang string, sample boolean, old int, words bigint, codes binary")
+
+
+def _stretches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[Phrases]:
+    """The codes of several rows of a language, with an end between two rows."""
+    held, size = {}, {}
+
+    def stretch(lang):
+        rows = held.pop(lang)
+        del size[lang]
+        codes = np.concatenate([x for _, c in rows for x in (c, np.zeros(1, np.uint32))])
+        fresh, at = np.ones(len(codes), bool), 0
+        for n, c in rows:
+            fresh[at : at + n] = False
+            at += len(c) + 1
+        return Phrases(codes, _seed(lang), fresh, width)
+
+    for b in batches:
+        for lang, n, codes in zip(b.column("lang").to_pylist(), b.column("old").to_pylist(), b.column("codes")):
+            c = np.frombuffer(codes.as_py(), np.uint32)
+            held.setdefault(lang, []).append((n, c))
+            size[lang] = size.get(lang, 0) + len(c)
+            if size[lang] >= CODES or sum(size.values()) >= 2 * CODES:
+                yield stretch(max(size, key=size.get))
+    for lang in list(held):
+        yield stretch(lang)
+
+
+def _tally(keys: np.ndarray) -> pa.RecordBatch:
+    u, n = np.unique(keys, return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+
+
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def word_counts(docs: DataFrame, longest: int) -> DataFrame:
-    """``(lang, key, n)`` of every word; key 0 holds the number of all words of the language."""
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m"):
+    """Jobs inside send rows to the tasks' Python in small batches, as texts and rows of codes are large."""
+    before = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_BYTES, before)
+
+
+def _counted(codes: DataFrame, run) -> DataFrame:
+    return codes.select("lang", "old", "codes").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def word_counts(codes: DataFrame, width: int) -> DataFrame:
+    """``(key, n)`` of every word of every language."""
     def run(batches):
-        for c in _chunks(batches, longest):
-            k, keys, new = next(c.grams(1))
-            at = np.nonzero(new & c.words)[0]
-            yield c.rows(keys[at], at)
-            n = np.bincount(c.owner[at], minlength=len(c.langs))
-            yield pa.RecordBatch.from_arrays([pa.array(c.langs, pa.string()), pa.array(np.zeros(len(n), np.int64)), pa.array(n.astype(np.int64))], ["lang", "key", "n"])
+        for p in _stretches(batches, width):
+            _, keys, new = next(p.levels(1))
+            yield _tally(keys[p.words & new])
 
-    return _summed(docs.mapInArrow(run, COUNTS))
+    return _counted(codes, run)
 
 
-def phrase_counts(docs: DataFrame, members: Bitmap, first: int, last: int, longest: int, free: int | None = None, before: Bitmap | None = None) -> DataFrame:
-    """``(lang, key, n)`` of the phrases of ``first`` to ``last`` words whose two shorter parts are members.
+def phrase_counts(codes: DataFrame, width: int, members: Bitmap, first: int, last: int, assume: int = 99, before: Bitmap | None = None) -> DataFrame:
+    """``(key, n)`` of the phrases of ``first`` to ``last`` words whose two shorter parts are members.
 
-    From ``free`` words on, every phrase whose parts were counted is a member. With ``before``, phrases that were
-    counted under that earlier set are left out.
+    With ``before``, only phrases that were not counted under that earlier set. From ``assume`` words on, a phrase
+    that is counted here is a member for the longer ones around it.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((members, before))  # two bitmaps of fixed size
+    shared = codes.sparkSession.sparkContext.broadcast((members, before))  # two bitmaps of fixed size
 
     def run(batches):
         now, then = shared.value
-        for c in _chunks(batches, longest):
+        for p in _stretches(batches, width):
             inside = known = None
-            for k, keys, new in c.grams(last):
+            for k, keys, new in p.levels(last):
                 if k == 1:
-                    inside = c.words & now.has(keys)
-                    known = c.words & then.has(keys) if then else None
+                    inside, known = now.among(p.words, keys), then.among(p.words, keys) if then else None
                     continue
                 reach = inside[:-1] & inside[1:]
-                old = known[:-1] & known[1:] if then else None
-                if k >= first:
-                    at = np.nonzero(reach & new & ~old if then else reach & new)[0]
-                    if len(at):
-                        yield c.rows(keys[at], at)
-                inside = reach if free and k >= free else reach & now.has(keys)
-                known = old & then.has(keys) if then else None
+                old = known[:-1] & known[1:] if then else np.zeros_like(reach)
+                added = reach & ~old
+                if k >= first and (counted := added & new).any():
+                    yield _tally(keys[counted])
+                inside = now.among(reach, keys) | (added if k >= assume else False)
+                known = then.among(old, keys) if then else None
 
-    return _summed(docs.mapInArrow(run, COUNTS))
+    return _counted(codes, run)
 
 
 def phrase_texts(docs: DataFrame, members: Bitmap, longest: int) -> DataFrame:
@@ -177,22 +264,47 @@ def phrase_texts(docs: DataFrame, members: Bitmap, longest: int) -> DataFrame:
     names = ["lang", "phrase", "n"]
 
     def run(batches):
-        for c in _chunks(batches, longest):
-            inside = None
-            for k, keys, new in c.grams(longest):
-                inside = (c.words if k == 1 else inside[:-1] & inside[1:]) & shared.value.has(keys)
+        known = Words()
+        for tokens, owner, langs, old in _token_runs(batches, longest):
+            hashes, seeds = known.of(tokens), np.array([_seed(x) for x in langs], np.uint64)[owner]
+            fresh, inside = np.arange(len(tokens)) >= old, None
+            by_code, by_word = (Phrases(x, seeds, fresh, WHOLE).levels(longest) for x in (_codes(hashes), hashes))
+            for (k, keys, new), (_, names_of, _) in zip(by_code, by_word):  # members are known by code, phrases told apart by whole hashes
+                inside = shared.value.among(hashes > 0 if k == 1 else inside[:-1] & inside[1:], keys)
                 at = np.nonzero(inside & new)[0]
-                if len(at):
-                    _, first, n = c.tally(keys[at], at)
-                    phrases = [b" ".join(c.tokens[i : i + k]) for i in first.tolist()]
-                    yield pa.RecordBatch.from_arrays([pa.array([c.langs[i] for i in c.owner[first]], pa.string()), pa.array(phrases, pa.binary()), pa.array(n.astype(np.int64))], names)
-
-    found = docs.mapInArrow(run, "lang string, phrase binary, n bigint")
+                if not len(at):
+                    continue
+                coded = pa.array(names_of[at]).dictionary_encode()
+                number = coded.indices.to_numpy()
+                first = np.empty(len(coded.dictionary), np.int64)
+                first[number[::-1]] = at[::-1]
+                phrases = [b" ".join(tokens[i : i + k]) for i in first.tolist()]
+                lang = pa.DictionaryArray.from_arrays(pa.array(owner[first].astype(np.int32)), pa.array(langs, pa.string())).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([lang, pa.array(phrases, pa.binary()), pa.array(np.bincount(number))], names)
+
+    found = docs.select("lang", "text").mapInArrow(run, "lang string, phrase binary, n bigint")
     return found.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("n").alias("n"))
 
 
-def _length() -> Column:
-    return F.expr("cast(key & 7 AS int)")
+def _token_runs(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[list[bytes], np.ndarray, list[str], int]]:
+    """``(tokens, number of the language per token, languages, old)``: consecutive tokens, the first ``old`` from the run before."""
+    tokens, runs, langs, old = [], [], {}, 0
+
+    def owners():
+        return np.repeat(np.array([x for x, _ in runs], np.int64), [n for _, n in runs])
+
+    for (lang,), part in _texts(batches, ["lang"]):
+        found = TOKEN.findall(part)
+        tokens += found
+        runs.append((langs.setdefault(lang, len(langs)), len(found)))
+        if len(tokens) >= TOKENS:
+            yield tokens, (owner := owners()), list(langs), old
+            tokens = tokens[-(longest - 1) :]
+            names = [list(langs)[i] for i in owner[-len(tokens) :]]
+            langs = {x: i for i, x in enumerate(dict.fromkeys(names))}
+            runs, old = [(langs[x], 1) for x in names], len(tokens)
+    if len(tokens) > old:
+        yield tokens, owners(), list(langs), old
 
 
 def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5, sample: int = SAMPLE, slack: float = 0.25, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
@@ -205,38 +317,38 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5, sample
     assert 2 <= longest <= 7, "a phrase's length has three bits"
     narrow = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.make_valid_utf8(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"),
-        F.xxhash64("doc_id", "text").alias("draw"),
+        (F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample)) == 0).alias("sample"),
     )
-    some = narrow.filter(F.pmod("draw", F.lit(sample)) == 0).drop("draw")
-    narrow = narrow.drop("draw")
-    enough = max(1, int(least / sample * slack))
+    with small_batches(docs.sparkSession):
+        return _mined(narrow, least, longest, max(1, int(least / sample * slack)), bits)
+
 
-    words = table(word_counts(narrow, longest).filter((F.col("key") == 0) | (F.col("n") >= least)), "words")
-    totals = words.filter("key = 0").select("lang", F.col("n").alias("words"))
-    singles = words.filter("key <> 0")
-    found = [singles]
+def _mined(narrow: DataFrame, least: int, longest: int, enough: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    spark = narrow.sparkSession
+    path = shared_dir(spark, "codes")
+    encoded(narrow, longest).write.option("compression", "zstd").parquet(path)
+    codes = spark.read.parquet(path)
+    totals = codes.groupBy("lang").agg(F.sum("words").alias("words"))
+    width = min(WHOLE, max(bits, (codes.agg(F.sum("words").alias("n")).first()["n"] or 0).bit_length() + SPARE))
+    counts = lambda rows, *how, **more: phrase_counts(rows, width, *how, **more)
+    often = F.col("n") >= least
+    singles = table(word_counts(codes, width).filter(often).select("key"), "words")
 
     # The sample: pairs of frequent words, then longer phrases of frequent pairs.
-    pairs = table(phrase_counts(some, bitmap(singles.select("key"), bits), 2, 2, longest).filter(F.col("n") >= enough), "proposed")
-    proposed = singles.select("key").union(pairs.select("key"))
+    some, likely = codes.filter("sample"), F.col("n") >= enough
+    proposed = singles.union(table(counts(some, bitmap(singles, bits), 2, 2).filter(likely).select("key"), "proposed"))
     if longest > 2:
-        more = phrase_counts(some, bitmap(proposed, bits), 3, longest, longest, free=3).filter(F.col("n") >= enough)
-        proposed = proposed.union(table(more, "proposed").select("key"))
-
-    # The proposed phrases and their border, then whatever the missed ones add to the border.
-    members, before = bitmap(proposed, bits), None
-    while True:
-        counted = table(phrase_counts(narrow, members, 2, longest, longest, before=before).filter(F.col("n") >= least), "counted")
-        found.append(counted)
-        missed = table(counted.filter(_length() < longest).select("key").distinct().join(proposed.select("key").distinct(), "key", "left_anti"), "missed")
-        if not missed.take(1):
-            break
-        proposed = proposed.union(missed)
-        members, before = bitmap(proposed, bits), members
-    everything = found[0].select("key")
-    for f in found[1:]:
-        everything = everything.union(f.select("key"))
-    exact = phrase_texts(narrow, bitmap(everything, bits), longest).filter(F.col("n") >= least)
+        proposed = proposed.union(table(counts(some, bitmap(proposed, bits), 3, longest, assume=3).filter(likely).select("key"), "proposed"))
+
+    # The proposed phrases and their border, then all that the missed ones add to the border.
+    members = bitmap(proposed, bits)
+    counted = table(counts(codes, members, 2, longest).filter(often).select("key"), "counted")
+    missed = table(counted.filter(f"key & {LENGTH_BITS} < {longest}").join(proposed, "key", "left_anti"), "missed")
+    found = singles.union(counted)
+    if missed.take(1):
+        grown = bitmap(proposed.union(missed), bits)
+        found = found.union(table(counts(codes, grown, 2, longest, assume=2, before=members).filter(often).select("key"), "counted"))
+    exact = phrase_texts(narrow, bitmap(found, bits), longest).filter(often)
     return table(exact, "phrases"), totals
 
 
