@@ -259,6 +259,13 @@ def test_toxicity_edges(spark, edges, nothing, small):
     assert toxicity.score_toxicity(nothing, small("labels")).count() == 0
 
 
+def test_toxicity_of_malformed_text(spark, small):
+    odd = spark.sql("SELECT id AS doc_id, concat('some words ', cast(X'FFC3' AS STRING), ' and more') AS text, 'x' AS score, 'y' AS predicted FROM range(4)")
+    docs = small("documents").select("doc_id", "text", F.lit("x").alias("score"), F.lit("y").alias("predicted")).union(odd)
+    got = toxicity.score_toxicity(docs, small("labels")).collect()
+    assert len(got) == docs.count() and all(0 <= r.score <= 1 for r in got)
+
+
 def check_language_model(docs):
     got = pitman_yor.score_documents(docs).collect()
     rows = docs.collect()

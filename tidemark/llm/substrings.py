@@ -204,7 +204,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, buckets: int | None =
 
     A null or empty text has no words and an empty ``kept_text``; texts below ``window`` words lose nothing. A null
     doc_id comes after all others. Repeated rows (same id and text) are one place and are not repeats of each
-    other; rows of one id with different texts neither. Other columns are not read; an empty table gives no rows.
+    other; rows of one id with different texts neither. Malformed UTF-8 is compared and kept as bytes. Other columns
+    are not read; an empty table gives no rows.
     The rows of ``docs`` must be the same whenever they are computed (a file or a checkpoint).
     """
     assert window >= 3
@@ -237,6 +238,6 @@ def _removed(parts: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
                 words = [w for a, z in zip(edges[::2], edges[1::2]) for w in words[a:z]]
             n_removed.append(sum(m["stop"] - m["start"] for m in mine))
             spans.append(mine)
-            kept.append(b" ".join(words).decode())
-        arrays = [b.column("did"), b.column("th"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, pa.list_(span)), pa.array(kept, pa.string())]
+            kept.append(b" ".join(words))
+        arrays = [b.column("did"), b.column("th"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, pa.list_(span)), pa.array(kept, pa.binary()).cast(pa.string(), safe=False)]
         yield pa.RecordBatch.from_arrays(arrays, ["did", "th", "n_words", "n_removed", "spans", "kept_text"])

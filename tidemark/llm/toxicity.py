@@ -177,7 +177,7 @@ def _count_terms(docs: DataFrame, only: set[str] | None = None) -> DataFrame:
         seen: Counter = Counter()
         for b in parts:
             for t in texts(b):
-                terms = terms_of(set(words_of(t.decode())))
+                terms = terms_of(set(words_of(t.decode(errors="replace"))))
                 seen.update(terms if only is None else terms & only)
                 if len(seen) > 200_000:  # bounded memory whatever the size of a batch
                     yield counted(seen)
@@ -221,7 +221,7 @@ def _measure(docs: DataFrame, lexicon: Lexicon, keep: list[str], fuzzy: bool = F
         for b in parts:
             xs, words = [], []
             for t in texts(b):
-                x, f = lex.features(t.decode())
+                x, f = lex.features(t.decode(errors="replace"))
                 xs.append(x)
                 words.append(sorted(f) if fuzzy else None)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(xs, pa.list_(pa.float64())), pa.array(words, pa.list_(pa.string()))], [*keep, "x", "fuzzy"])
@@ -255,7 +255,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Only texts are scored: a null or empty text has the score of a text without hits or words. A doc_id labelled
     twice is toxic if any label says so; null ids and null labels are not learned from. Without labels of both
-    kinds every score is 0. Repeated rows score alike; extra columns are not read; an empty table gives no rows.
+    kinds every score is 0. Malformed UTF-8 is read as U+FFFD. Repeated rows score alike; extra columns are not read;
+    an empty table gives no rows.
     """
     fit = _sample(docs, labels)
     weights = learn_lexicon(fit.filter("fold = 0"))
