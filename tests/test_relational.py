@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -223,3 +224,29 @@ def test_range_join_without_rows(spark, frame):
     assert J.range_join(some, rs.limit(0), "d", "lo", "hi", "left").count() == 1
     with pytest.raises(TypeError):
         J.range_join(some.select(F.lit(1.5).alias("d")), rs, "d", "lo", "hi")
+
+
+def test_large_costs_are_shared_exactly(spark, frame):
+    from tidemark.operators import finance as N
+
+    weights = frame([("m", "a", 1), ("m", "b", 2), ("m", "c", 5), ("n", "a", 3)], "month string, seg string, users bigint")
+    costs = frame([("m", 1e15), ("n", 0.0005)], "month string, cost double")
+    odd = frame([("m", -7.0), ("n", 2e16)], "month string, cost double")
+    got = {(r["month"], r["seg"]): (r["cost_ads"], r["cost_odd"], r["total_cost"]) for r in N.allocate(weights, {"ads": costs, "odd": odd}, "month", "users").collect()}
+    half_up = lambda x: (abs(x) * 1000 + Fraction(1, 2)).__floor__() * Fraction(1 if x >= 0 else -1, 1000)
+    for (month, seg), (ads, odd_cost, total) in got.items():
+        users = {("m", "a"): 1, ("m", "b"): 2, ("m", "c"): 5, ("n", "a"): 3}[month, seg]
+        all_users = 8 if month == "m" else 3
+        first, second = ({"m": Fraction(10**15), "n": Fraction(5, 10_000)}[month], {"m": Fraction(-7), "n": Fraction(2 * 10**16)}[month])
+        assert Fraction(ads) == half_up(first * users / all_users) and Fraction(odd_cost) == half_up(second * users / all_users)
+        assert Fraction(total) == Fraction(ads) + Fraction(odd_cost)
+
+
+def test_large_revenues(frame):
+    from tidemark.operators import finance as N
+
+    rev = frame([("d", "x", 3e17), ("d", "y", 1e17)], "day string, ch string, revenue double")
+    out = N.roas(rev, frame([("d", 2e17)], "day string, cost double"), frame([("d", 5)], "day string, installs bigint"), ["day"], "ch", ["x", "y"])
+    assert [tuple(r) for r in out.select("rev_x", "rev_y", "cost", "roas").collect()] == [(3e17, 1e17, 2e17, 2.0)]
+    facts = N.conform_facts({"f": frame([("k", 9e18)], "dim string, v double")}, ["dim"], ["v"])
+    assert float(facts.first()["v"]) == 9e18

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .windows import running_sum, split_window
@@ -91,7 +91,7 @@ def retention_curve(events: DataFrame, user: str, ts: str, unit_days: int = 7) -
     aged = _aged(user_days(events, user, ts), user)
     period = F.floor(F.datediff("day", "first_day") / unit_days).cast("bigint").alias("period")
     sizes = aged.select(user, period).distinct().groupBy("period").agg(F.count("*").alias("users"))
-    line = split_window(sizes, [], ["period"], None, {"before": ("lag", "users")})
+    line = sizes.withColumn("before", F.lag("users").over(Window.orderBy("period")))  # one row per period
     base = sizes.filter("period = 0").select("users").scalar()
     return line.select(
         "period", "users",
@@ -114,7 +114,7 @@ def growth_accounting(events: DataFrame, user: str, ts: str, bucket: Column | No
         F.count_if(gap > 1).alias("returning"),
         F.count_if(gap == 1).alias("retained"),
     )
-    out = split_window(daily, [], ["day"], None, {"beginning": ("lag", "ending")})
+    out = daily.withColumn("beginning", F.lag("ending").over(Window.orderBy("day")))  # one row per day
     return out.withColumn("churned", F.col("beginning") - F.col("retained"))
 
 

@@ -12,6 +12,9 @@ from .joins import full_join_zero_fill, range_join
 from .windows import _cols
 
 
+AMOUNT = "decimal(28,4)"  # 24 digits before the point, and room for sums within the 38 of a decimal
+
+
 def purchases(events: DataFrame, kind: str, purchase: str, keep: list[str], product: Column, micros: Column, app: Column) -> DataFrame:
     """Purchase events with product name, amount in units and an app label."""
     return events.filter(F.col(kind) == purchase).select(*keep, product.alias("product"), (micros / F.lit(1e6)).alias("amount"), app.alias("app"))
@@ -25,7 +28,7 @@ def conform_facts(frames: dict[str, DataFrame], dims: list[str], measures: list[
         parts.append(df.select(
             F.lit(name).alias(source),
             *[(F.col(d).cast("string") if d in have else F.lit(None).cast("string")).alias(d) for d in dims],
-            *[(F.col(m) if m in have else F.lit(None)).cast("decimal(20,4)").alias(m) for m in measures],
+            *[(F.col(m) if m in have else F.lit(None)).cast(AMOUNT).alias(m) for m in measures],
         ))
     long = reduce(DataFrame.unionByName, parts)
     return long.groupBy(source, *dims).agg(*[F.sum(m).alias(m) for m in measures])
@@ -47,11 +50,11 @@ def roas(revenue: DataFrame, cost: DataFrame, installs: DataFrame, keys: list[st
 
     The three inputs are stacked and aggregated once, instead of two full outer joins.
     """
-    zero = F.lit(0).cast("decimal(20,4)")
+    zero = F.lit(0).cast(AMOUNT)
 
     def part(df, **cols):
         names = [*[f"rev_{c}" for c in channels], "cost", "installs"]
-        return df.select(*keys, *[cols.get(n, zero).cast("decimal(20,4)").alias(n) for n in names])
+        return df.select(*keys, *[cols.get(n, zero).cast(AMOUNT).alias(n) for n in names])
 
     rev = part(revenue, **{f"rev_{c}": F.when(F.col(channel) == c, F.col("revenue")).otherwise(0) for c in channels})
     both = rev.unionByName(part(cost, cost=F.col("cost"))).unionByName(part(installs, installs=F.col("installs")))
@@ -85,10 +88,24 @@ def _rounded(c: Column, digits: int) -> Column:
 
 
 def _units(c: Column) -> Column:
-    """A count (below 10^15) as a decimal, which leaves a quotient of costs room for eight decimals before it is rounded."""
+    """A count (below 10^15) as a decimal, which leaves a quotient of amounts room for thirteen decimals before it is rounded."""
     return c.cast("decimal(15,0)")
 
 
+def _share(cost: Column, weight: Column, total: Column, digits: int) -> Column:
+    """``cost * weight / total``, halves away from zero, from the remainder of a whole division: nothing is rounded twice.
+
+    The cost has four decimals and may reach 10^17, the counts 10^15.
+    """
+    whole = lambda c: c.cast("decimal(38,0)")
+    amount = (F.abs(cost) * 10_000).cast("decimal(22,0)") * _units(weight)
+    unit = whole(_units(total) * 10 ** (4 - digits))
+    twice = whole(amount * 2 + unit)
+    parts = whole((twice - F.pmod(twice, unit * 2)) / whole(unit * 2))
+    value = (parts / F.lit(10**digits).cast("decimal(5,0)")).cast(f"decimal(28,{digits})")
+    return F.when(cost < 0, -value).otherwise(value).cast(f"decimal(28,{digits})")
+
+
 def allocate(weights: DataFrame, costs: dict[str, DataFrame], period: str, weight: str, digits: int = 3) -> DataFrame:
     """Costs of a period shared among its segments by weight, rounded; costs per unit of weight as well.
 
@@ -98,9 +115,9 @@ def allocate(weights: DataFrame, costs: dict[str, DataFrame], period: str, weigh
     total = _units(F.sum(weight).over(Window.partitionBy(period)))
     out = weights
     for name, c in costs.items():
-        out = out.join(c.select(period, F.col("cost").cast("decimal(18,4)").alias(f"__{name}")), period, "left")
+        out = out.join(c.select(period, F.col("cost").cast(AMOUNT).alias(f"__{name}")), period, "left")
     out = out.withColumn("__total", total)
-    share = {f"cost_{n}": _rounded(F.coalesce(F.col(f"__{n}"), F.lit(0)) * _units(F.col(weight)) / F.col("__total"), digits) for n in costs}
+    share = {f"cost_{n}": _share(F.coalesce(F.col(f"__{n}"), F.lit(0).cast(AMOUNT)), F.col(weight), F.col("__total"), digits) for n in costs}
     out = out.withColumns(share).drop("__total", *[f"__{n}" for n in costs])
     whole = reduce(lambda a, b: a + b, [F.col(c) for c in share])
     return out.withColumns({"total_cost": whole.cast(f"decimal(28,{digits})"), "cost_per_unit": _rounded(whole / _units(F.col(weight)), digits)})
@@ -108,12 +125,12 @@ def allocate(weights: DataFrame, costs: dict[str, DataFrame], period: str, weigh
 
 def new_user_profit(allocated: DataFrame, revenue: DataFrame, keys: list[str], period: str, weight: str, digits: int = 3) -> DataFrame:
     """Revenue per new user of each segment and of the whole period next to the allocated cost."""
-    amount = _rounded(F.coalesce(F.col("revenue").cast("decimal(20,4)"), F.lit(0)), digits)
+    amount = _rounded(F.coalesce(F.col("revenue").cast(AMOUNT), F.lit(0)), digits)
     joined = allocated.join(revenue, keys, "left").withColumn("revenue", amount)
     w = Window.partitionBy(period)
     return joined.withColumns({
         "rev_per_user_segment": _rounded(F.col("revenue") / _units(F.col(weight)), digits),
-        "rev_per_user": _rounded(F.sum("revenue").over(w).cast("decimal(24,3)") / _units(F.sum(weight).over(w)), digits),
+        "rev_per_user": _rounded(F.sum("revenue").over(w).cast(f"decimal(28,{digits})") / _units(F.sum(weight).over(w)), digits),
     })
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.wide import LIMBS, wide, wide_sum, wide_text
+from ..session import written
 from .calendars import densify
 from .joins import null_safe_join
 from .sets import ledger
@@ -49,7 +50,7 @@ def balances_asof(transfers: DataFrame, sender: str, receiver: str, value: str,
 def balance_history(transfers: DataFrame, sender: str, receiver: str, value: str, by: list[str], ts: str, bucket: Column | None = None) -> DataFrame:
     """Balance after each time at which a party moved anything."""
     legs = ledger(transfers, sender, receiver, value, keep=[*by, ts])
-    steps = legs.groupBy("party", *by, ts).agg(F.sum("amount").alias("change"))
+    steps = written(legs.groupBy("party", *by, ts).agg(F.sum("amount").alias("change")), "steps")  # read by every branch of the window
     return running_sum(steps, ["party", *by], ts, {"balance": "change"}, bucket=bucket)
 
 

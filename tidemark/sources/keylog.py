@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import written
 from .sinks import Version, VersionLog
 
 BLOCK_BITS = 32768  # a block of a Bloom filter is one 4 KB bitmap
@@ -98,6 +99,7 @@ class KeyedLog(VersionLog):
         ``version`` is the one that ``source`` was made from, if it depends on one.
         """
         version = version or self.current()
+        source = written(source, "batch")  # it is looked at several times
         added = self._add(self.unseen(source, version), max(1, source.count()))
         if not added and version.number:
             return version.number
