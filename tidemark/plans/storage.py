@@ -247,7 +247,7 @@ def incremental_insert_overwrite(t):
           UNION ALL SELECT c_custkey, 'new', c_acctbal * 2, c_mktsegment FROM customer WHERE c_custkey >= 1000 AND c_custkey % 2 = 0""")
 def incremental_merge_upsert(t):
     """Only the listed column changes on a match; other rows are inserted; a second run changes nothing."""
-    table = W.VersionedTable(t.spark, scratch(t, "merge"), keys=["c_custkey"], bucket_rows=40)
+    table = W.VersionedTable(t.spark, scratch(t, "merge"), keys=["c_custkey"], bucket_rows=1000)
     c = t.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     table.write(c.filter("c_custkey < 1000"))
     source = c.filter("c_custkey % 2 = 0").withColumns({"c_name": F.lit("new"), "c_acctbal": F.col("c_acctbal") * 2})
@@ -276,7 +276,7 @@ IDS = "list_aggregate(list_sort(list(DISTINCT event_type)), 'string_agg', ',')"
 
 @query(f"""SELECT user_id, {IDS} AS ids, coalesce(max(value) FILTER (ts >= TIMESTAMP '2024-01-10'), max(value) FILTER (ts < TIMESTAMP '2024-01-12')) AS top FROM events GROUP BY 1""")
 def incremental_array_merge(t):
-    table = W.VersionedTable(t.spark, scratch(t, "ids"), keys=["user_id"], bucket_rows=40)
+    table = W.VersionedTable(t.spark, scratch(t, "ids"), keys=["user_id"], bucket_rows=100)
     table.write(id_batch(t.events, "ts < '2024-01-12'").drop("first_ts"))
     batch = id_batch(t.events, "ts >= '2024-01-10'").drop("first_ts")
     W.rewrite(table, batch, lambda stored: W.merge_id_sets(stored, batch, "user_id", ["ids"]))
@@ -285,7 +285,7 @@ def incremental_array_merge(t):
 
 @query(f"""SELECT user_id, {IDS} AS ids, min(ts) AS first_ts FROM events GROUP BY 1""")
 def incremental_min_merge(t):
-    table = W.VersionedTable(t.spark, scratch(t, "mins"), keys=["user_id"], bucket_rows=40)
+    table = W.VersionedTable(t.spark, scratch(t, "mins"), keys=["user_id"], bucket_rows=100)
     table.write(id_batch(t.events, "ts >= '2024-01-10'").drop("top"))
     batch = id_batch(t.events, "ts < '2024-01-12'").drop("top")
     W.rewrite(table, batch, lambda stored: W.merge_min_attrs(stored, batch, "user_id", ["first_ts"], ["ids"]))

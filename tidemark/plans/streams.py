@@ -88,7 +88,7 @@ def stream_start_sessions(t):
 def stream_intraday_upsert(t):
     """History and today's rows arrive in any order; the table keeps the newest row of each user."""
     e = t.events.select("user_id", "event_id", "ts", "value")
-    table = VersionedTable(t.spark, shared_dir(t.spark, "upsert"), keys=["user_id"], bucket_rows=40)
+    table = VersionedTable(t.spark, shared_dir(t.spark, "upsert"), keys=["user_id"], bucket_rows=100)
     J.stream_upsert(landed(t, e.filter("ts >= '2024-01-20'"), e.filter("ts < '2024-01-20'")), table, ["user_id"], ["ts", "event_id"], shared_dir(t.spark, "checkpoint"))
     return table.read()
 
