@@ -247,7 +247,7 @@ def incremental_insert_overwrite(t):
           UNION ALL SELECT c_custkey, 'new', c_acctbal * 2, c_mktsegment FROM customer WHERE c_custkey >= 1000 AND c_custkey % 2 = 0""")
 def incremental_merge_upsert(t):
     """Only the listed column changes on a match; other rows are inserted; a second run changes nothing."""
-    table = W.VersionedTable(t.spark, scratch(t, "merge"), keys=["c_custkey"], bucket_rows=1000)
+    table = W.VersionedTable(t.spark, scratch(t, "merge"), keys=["c_custkey"], bucket_rows=2000)
     c = t.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     table.write(c.filter("c_custkey < 1000"))
     source = c.filter("c_custkey % 2 = 0").withColumns({"c_name": F.lit("new"), "c_acctbal": F.col("c_acctbal") * 2})
