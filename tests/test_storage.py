@@ -288,6 +288,16 @@ def test_keyed_log_filters_miss_no_key_and_pass_few_others(spark):
     assert sum(len(log.files_for(others.filter(f"abs(k) % 200 = {i}"))) for i in range(0, 200, 20)) <= 3
 
 
+def test_keyed_log_never_broadcasts_its_keys(spark):
+    log = log_of(spark)
+    log.insert(spark.range(5000).select(F.col("id").alias("k")))
+    asked = spark.range(4990, 5010).select(F.col("id").alias("k"))
+    unseen = log.unseen(asked, log.current())
+    plan = unseen._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert rows(unseen) == [(k,) for k in range(5000, 5010)]
+
+
 def test_keyed_log_has_one_writer_at_a_time(spark, frame):
     one = log_of(spark)
     one.insert(frame([(1, "a")], "k bigint, v string"))

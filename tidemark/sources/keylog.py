@@ -57,8 +57,8 @@ class KeyedLog(VersionLog):
         if not version.folders:
             return []
         folders = F.array(*[F.struct(F.lit(f).alias("folder"), F.lit(parts).alias("parts"), F.lit(blocks).alias("blocks")) for f, (parts, blocks, _) in version.folders.items()])
-        asked = source.select(self._hash().alias("h"), F.array(*self._places()).alias("places"), F.explode(folders).alias("f")).distinct()
-        asked = asked.select("f.folder", F.col("h").bitwiseAND(F.col("f.parts") - 1).alias("part"), F.col("h").bitwiseAND(F.col("f.blocks") - 1).alias("block"), "places")
+        asked = source.select(self._hash().alias("h"), F.array(*self._places()).alias("places")).distinct()
+        asked = asked.select("*", F.explode(folders).alias("f")).select("f.folder", F.col("h").bitwiseAND(F.col("f.parts") - 1).alias("part"), F.col("h").bitwiseAND(F.col("f.blocks") - 1).alias("block"), "places")
         filters = self.spark.read.parquet(*[f"{self.root}/{f}/keys" for f in version.folders])
         bit = F.expr("forall(places, p -> (cast(conv(hex(substring(bits, cast(p div 8 AS int) + 1, 1)), 16, 10) AS int) & shiftleft(1, cast(p % 8 AS int))) > 0)")
         hits = asked.join(filters, ["folder", "block"]).filter(bit).select("folder", "part").distinct().collect()  # at most one row per file
@@ -71,11 +71,14 @@ class KeyedLog(VersionLog):
         return self._files(paths) if paths else self.read(version).limit(0)
 
     def unseen(self, source: DataFrame, version: Version) -> DataFrame:
-        """The rows of ``source`` whose key that version does not hold."""
+        """The rows of ``source`` whose key that version does not hold.
+
+        The stored keys are never broadcast: packed in files, millions of them look small to the planner.
+        """
         paths = self.files_for(source, version)
         if not paths:
             return source
-        return source.join(self._files(paths).select(*self.keys).distinct(), self.keys, "left_anti")
+        return source.join(self._files(paths).select(*self.keys).hint("merge"), self.keys, "left_anti")
 
     def _add(self, df: DataFrame, at_most: int) -> dict[str, list[int]]:
         """Rows written to a new folder with their filter; nothing if there are none."""
