@@ -216,6 +216,31 @@ def test_range_join_against_a_filter(spark, kind, how):
     assert got == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "bigint"])
+def test_range_totals_against_the_pairs(spark, kind):
+    r = random.Random(kind)
+    make = (lambda i: i - 70) if kind == "bigint" else (lambda i: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=997 * i))
+    points = [(r.choice([None, 10**12 + i, -i]), None if i % 40 == 0 else make(r.randint(0, 60))) for i in range(200)]
+    ranges = [(f"r{i % 30}", None if r.random() < 0.2 else make(a), None if r.random() < 0.2 else make(a + r.choice([-5, 0, 1, 30]))) for i in range(60) for a in [r.randint(-30, 90)]]
+    ranges += [ranges[0], ("all", None, None), ("all", None, None), ("gone", make(900), make(901)), ("none", make(5), make(4))]
+    df = spark.createDataFrame(points, f"id bigint, at {kind}")
+    rs = spark.createDataFrame(ranges, f"label string, lo {kind}, hi {kind}")
+    got = J.range_join(df, rs, "at", "lo", "hi", totals={"ids": "id"})
+    pairs = J.range_join(df, rs, "at", "lo", "hi").groupBy("label", "lo", "hi").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
+    assert rows(got) == rows(pairs) and got.count() > 20 and got.schema["ids"].dataType.simpleString() == "bigint"
+    assert J.range_join(df.limit(0), rs, "at", "lo", "hi", totals={"ids": "id"}).count() == 0
+    with pytest.raises(TypeError):
+        J.range_join(df, rs, "at", "lo", "hi", totals={"x": F.lit(1.5)})
+
+
+def test_range_blocks_of_unknown_number_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(J, "FEW_BLOCKS", 10)
+    ids = spark.range(100).select(F.col("id").alias("a"), (F.col("id") + 5).alias("b"))
+    joined = J.range_join(spark.range(200), ids, "id", "a", "b")
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 600
+
+
 def test_range_join_without_rows(spark, frame):
     none, some = frame([], "d date"), frame([(dt.date(2024, 1, 1),)], "d date")
     rs = frame([(dt.date(2023, 1, 1), dt.date(2025, 1, 1))], "lo date, hi date")

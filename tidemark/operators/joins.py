@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import _c
-from .windows import _cols, split_window
+from .windows import _cols, running_sum, split_window
 
 
 def null_safe_join(a: DataFrame, b: DataFrame, keys, how: str = "inner") -> DataFrame:
@@ -145,7 +145,39 @@ def range_blocks(lo: Column, hi: Column, step: int, levels: int) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(levels - 1)), start, climb, lambda s: s["out"])
 
 
-def range_join(df: DataFrame, ranges: DataFrame, col: str, lo: str, hi: str, how: str = "inner", dates: DataFrame | None = None, step: int = 4) -> DataFrame:
+FEW_BLOCKS = 100_000  # blocks of ranges up to which they are broadcast; their number is counted, not estimated
+
+
+def range_totals(placed: DataFrame, bounds: DataFrame, cols: list[str], totals: dict[str, str | Column]) -> DataFrame:
+    """Per range with rows in it: their number ``n`` and the named sums, exactly, without any pair of row and range.
+
+    ``placed`` has a column ``__at``, ``bounds`` has ``__lo`` and ``__hi``. Rows are summed per value and put on one line
+    with the ends of the ranges; the total of a range is the running sum at its end less the one before its start.
+    Ranges equal in all of ``cols`` are one row, which holds the totals of all of them.
+    """
+    kinds = placed.select(*[_c(c).alias(name) for name, c in totals.items()]).schema
+    exact = {}
+    for f in kinds:
+        kind = f.dataType.simpleString()
+        if kind not in ("tinyint", "smallint", "int", "bigint") and not kind.startswith("decimal"):
+            raise TypeError(f"totals of ranges need whole numbers or decimals, not {kind}")
+        exact[f.name] = f"decimal(28,{f.dataType.scale if kind.startswith('decimal') else 0})"
+    made = placed.groupBy("__at").agg(
+        F.count("*").alias("__n"), *[x for name, c in totals.items() for x in (F.coalesce(F.sum(_c(c).cast(exact[name])), F.lit(0)).alias(f"__s_{name}"), F.count(_c(c)).alias(f"__c_{name}"))])
+    steps = [c for c in made.columns if c != "__at"]
+    kept = bounds.filter("__lo <= __hi")
+    ends = F.array(*[F.struct(F.col(c).alias("__at"), F.lit(k).alias("__kind")) for c, k in (("__lo", -1), ("__hi", 1))])  # before and after the rows of a value
+    points = kept.select(F.inline(ends)).distinct()
+    line = made.withColumn("__kind", F.lit(0)).unionByName(points, allowMissingColumns=True).filter("__at IS NOT NULL")
+    so_far = running_sum(line, [], ["__at", "__kind"], {f"__t{i}": F.coalesce(F.col(c), F.lit(0)) for i, c in enumerate(steps)}).filter("__kind <> 0")
+    sums = kept.select(*cols, F.inline(ends)).join(so_far.select("__at", "__kind", *[f"__t{i}" for i in range(len(steps))]), ["__at", "__kind"])
+    both = sums.groupBy(*cols).agg(*[F.sum(F.col("__kind") * F.col(f"__t{i}")).alias(c) for i, c in enumerate(steps)]).filter("__n > 0")
+    out = {f.name: F.when(F.col(f"__c_{f.name}") > 0, F.col(f"__s_{f.name}")).cast(placed.agg(F.sum(_c(totals[f.name])).alias("s")).schema["s"].dataType) for f in kinds}
+    return both.select(*cols, F.col("__n").alias("n"), *[c.alias(name) for name, c in out.items()])
+
+
+def range_join(df: DataFrame, ranges: DataFrame, col: str, lo: str, hi: str, how: str = "inner", dates: DataFrame | None = None, step: int = 4,
+               totals: dict[str, str | Column] | None = None) -> DataFrame:
     """Rows whose date, timestamp or whole number lies between two bounds (both included); a NULL bound is open.
 
     Both sides meet in an equi join on aligned blocks: a range becomes a few blocks per level, a row looks up the one
@@ -153,8 +185,11 @@ def range_join(df: DataFrame, ranges: DataFrame, col: str, lo: str, hi: str, how
     the number of bits between two levels: a smaller one means fewer blocks per range and more lookups per row. Ranges
     are first cut to the span of values that occur; ``dates`` may name a cheaper frame with the same column that covers
     it. Levels that no range uses are not looked up (a list of 64 numbers at most). ``how`` is inner or left; for a left
-    join the values are matched once each.
+    join the values are matched once each. With ``totals`` (name -> whole number or decimal of ``df``) an inner join gives
+    only the number of rows and these sums per range, at a cost that does not follow the number of pairs (``range_totals``).
     """
+    if totals is not None and how != "inner":
+        raise ValueError("totals need an inner join")
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
     kind = df.schema[col].dataType.simpleString()
@@ -167,14 +202,17 @@ def range_join(df: DataFrame, ranges: DataFrame, col: str, lo: str, hi: str, how
         "__lo": F.greatest(_as_number(F.col(lo), ranges.schema[lo].dataType.simpleString()), F.lit(first)) - first,
         "__hi": F.least(_as_number(F.col(hi), ranges.schema[hi].dataType.simpleString()), F.lit(last)) - first,
     })
+    if totals is not None:
+        return range_totals(df.filter(F.col(col).isNotNull()).withColumn("__at", number - first), bounds, ranges.columns, totals)
     cut = bounds.filter("__lo <= __hi").withColumn("__b", F.explode(range_blocks(F.col("__lo"), F.col("__hi"), step, levels)))
     blocks = cut.select(*ranges.columns, F.col("__b.level").alias("__level"), F.col("__b.block").alias("__block"))
-    used = sorted(r[0] for r in blocks.select("__level").distinct().collect())
+    made = dict(blocks.groupBy("__level").count().collect())
+    used = sorted(made)
     values = df if how == "inner" else df.select(col).distinct()
     lookup = F.array(*[F.struct(F.lit(x).alias("l"), F.expr(f"shiftright(__at, {x * step})").alias("b")) for x in used]) if used else F.array().cast("array<struct<l:int,b:bigint>>")
     placed = values.withColumn("__at", number - first).withColumn("__look", F.explode(lookup))
     same = (F.col("__look.l") == F.col("__level")) & (F.col("__look.b") == F.col("__block"))
-    hits = placed.join(blocks, same).drop("__at", "__look", "__level", "__block")
+    hits = placed.join(F.broadcast(blocks) if sum(made.values()) <= FEW_BLOCKS else blocks.hint("merge"), same).drop("__at", "__look", "__level", "__block")
     return hits if how == "inner" else df.join(hits, col, "left")
 
 

@@ -231,8 +231,8 @@ def join_range_timestamps(t):
     ranges = first.union(errors)
     for label, a, b in fixed:
         ranges = ranges.union(e.agg(F.lit(label).alias("label"), at(a).alias("a"), at(b).alias("b")))
-    hits = J.range_join(e.select("event_id", "ts"), ranges, "ts", "a", "b")
-    return hits.groupBy("label").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+    hits = J.range_join(e.select("event_id", "ts"), ranges, "ts", "a", "b", totals={"ids": "event_id"})
+    return hits.groupBy("label").agg(F.sum("n").alias("n"), F.sum("ids").alias("ids"))
 
 
 @query("""WITH w AS (SELECT DISTINCT split_part(p_name, ' ', 2) AS w, 'kind' AS tag FROM part UNION ALL SELECT 'd b', 'gap')
