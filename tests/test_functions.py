@@ -163,6 +163,18 @@ def test_wide_sums_equal_python_integers(spark):
         spark.createDataFrame([("1" * 37,)], "v string").select(WD.wide_text(WD.wide("v", 2))).collect()
 
 
+def test_wide_sums_stay_in_whole_64_bit_numbers(spark):
+    r = random.Random(12)
+    data = [(r.choice("ab"), r.choice([-1, 1]) * r.randint(0, 10**80)) for _ in range(200)] + [("zero", 7), ("zero", -7)]
+    df = spark.createDataFrame([(k, str(v), 1 - 2 * (i % 2)) for i, (k, v) in enumerate(data)], "k string, v string, s bigint")
+    made = df.groupBy("k").agg(WD.wide_sum(WD.wide("v"), sign=F.col("s")).alias("x"))
+    assert made.schema["x"].dataType.simpleString() == "array<bigint>"  # decimals of 38 digits cost several times as much
+    want = {}
+    for i, (k, v) in enumerate(data):
+        want[k] = want.get(k, 0) + v * (1 - 2 * (i % 2))
+    assert dict(rows(made.select("k", WD.wide_text("x")))) == {k: str(v) for k, v in want.items()}
+
+
 def test_wide_scaled(spark):
     cases = [("1" + "0" * 60, 18, "1" + "0" * 42), ("-5", 3, "-0.005"), ("1200", 2, "12"), ("12345", 2, "123.45"), ("0", 18, "0"), ("7", None, "7"), ("100", 0, "100"), ("-1500", 3, "-1.5"), (None, 2, None)]
     df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(cases)], "i int, a string, b int")

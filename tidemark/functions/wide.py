@@ -7,53 +7,77 @@ from pyspark.sql import functions as F
 
 from .numeric import _c
 
-DIGITS = 18  # of a limb; a decimal sum has room for 10^20 of them
-LIMBS = 5  # 90 digits, enough for 256-bit amounts
-LIMB = "decimal(38,0)"
+DIGITS = 6  # of a limb; a sum of whole 64-bit numbers has room for 10^12 of them
+PIECE = 3  # limbs that are read from the text at once
+LIMBS = 5  # pieces: 90 digits, enough for 256-bit amounts
+LIMB = "bigint"
+
+
+def _div(a: Column, b: int) -> Column:
+    return F.call_function("div", a, F.lit(b).cast(LIMB))
 
 
 def wide(col: str | Column, limbs: int = LIMBS) -> Column:
-    """The limbs of a whole number given as text, lowest first, each with the number's sign; NULL if it is no such text.
+    """The limbs of a whole number given as text, lowest first, each with the number's sign; limbs of NULL if it is no such text.
 
-    A number of more digits than the limbs hold fails when it is read.
+    A number of more than 18 digits times ``limbs`` fails when it is read.
     """
+    return _limbs(col, limbs, signed=True)
+
+
+def wide_sign(col: str | Column) -> Column:
+    """-1 for a text that starts with a minus, else 1."""
+    return F.when(F.trim(_c(col).cast("string")).startswith("-"), F.lit(-1)).otherwise(F.lit(1)).cast(LIMB)
+
+
+def wide_size(col: str | Column, limbs: int = LIMBS) -> Column:
+    """The limbs of a number without its sign."""
+    return _limbs(col, limbs, signed=False)
+
+
+def _limbs(col: str | Column, limbs: int, signed: bool) -> Column:
+    # No CASE around the array: Spark computes what its parts share once, but not inside a branch.
     text = F.trim(_c(col).cast("string"))
-    digits = F.regexp_extract(text, "^[+-]?0*([0-9]*)$", 1)
-    room = DIGITS * limbs
+    room = DIGITS * PIECE * limbs
+    digits = F.when(text.rlike("^[+-]?[0-9]+$"), F.regexp_extract(text, "^[+-]?0*([0-9]*)$", 1))
     padded = F.when(F.length(digits) > room, F.raise_error(F.concat(F.lit(f"more than {room} digits: "), text)).cast("string")).otherwise(F.lpad(digits, room, "0"))
-    sign = F.when(text.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
-    parts = [(F.substring(padded, room - DIGITS * (i + 1) + 1, DIGITS).cast("decimal(18,0)") * sign).cast("decimal(28,0)") for i in range(limbs)]
-    return F.when(text.rlike("^[+-]?[0-9]+$"), F.array(*parts))
+    out = []
+    for i in range(limbs):
+        piece = F.substring(padded, room - DIGITS * PIECE * (i + 1) + 1, DIGITS * PIECE).cast(LIMB)
+        out += [_div(piece, 10 ** (DIGITS * j)) % 10**DIGITS for j in range(PIECE)]
+    return F.array(*[x * wide_sign(col) if signed else x for x in out])
 
 
-def wide_sum(col: str | Column, limbs: int = LIMBS) -> Column:
-    """Aggregate: the sum of the limbs, each on its own; ``wide_text`` carries between them. NULL if there is no number."""
+def wide_sum(col: str | Column, limbs: int = LIMBS, sign: Column | None = None) -> Column:
+    """Aggregate: the sum of the limbs (times a sign), each on its own; ``wide_text`` carries between them. NULL if there is no number."""
     c = _c(col)
-    sums = F.array(*[F.sum(F.get(c, F.lit(i))) for i in range(limbs)])
-    return F.when(F.count(c) > 0, sums)
+    sums = F.array(*[F.sum(F.get(c, F.lit(i)) if sign is None else F.get(c, F.lit(i)) * sign) for i in range(PIECE * limbs)])
+    return F.when(F.count(F.get(c, F.lit(0))) > 0, sums)
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _carried(limbs: Column) -> Column:
-    """``(carry, out)``: limbs from 0 to 10^18 - 1, lowest first, and what is left over above them, negative if the number is."""
+    """``(carry, digits)``: the digits of limbs from 0 to one less than their base, and what is left over above them, negative if the number is."""
     base = F.lit(10**DIGITS).cast(LIMB)
 
     def add(s: Column, limb: Column) -> Column:
-        t = (s["carry"] + limb.cast(LIMB)).cast(LIMB)
-        rest = F.pmod(t, base).cast(LIMB)
-        return F.struct(((t - rest) / base).cast(LIMB).alias("carry"), F.concat(s["out"], F.array(rest)).alias("out"))
+        t = s["carry"] + limb
+        rest = F.pmod(t, base)
+        return F.struct(_div(t - rest, 10**DIGITS).alias("carry"), F.concat(F.lpad(rest.cast("string"), DIGITS, "0"), s["digits"]).alias("digits"))
 
-    return F.aggregate(limbs, F.struct(F.lit(0).cast(LIMB).alias("carry"), F.array().cast(f"array<{LIMB}>").alias("out")), add)
+    return F.aggregate(limbs, F.struct(F.lit(0).cast(LIMB).alias("carry"), F.lit("").alias("digits")), add)
 
 
 def wide_text(limbs: str | Column) -> Column:
     """The number that (sums of) limbs stand for, as text without leading zeros."""
     c = _c(limbs)
-    negative = _carried(c)["carry"] < 0
-    flipped = F.when(negative, F.transform(c, lambda x: -x)).otherwise(c)
-    done = _carried(flipped)
-    low = F.array_join(F.transform(F.reverse(done["out"]), lambda x: F.lpad(x.cast("string"), DIGITS, "0")), "")
-    digits = F.regexp_replace(F.concat(done["carry"].cast("string"), low), "^0+(?=.)", "")
-    return F.when(c.isNotNull(), F.concat(F.when(negative, "-").otherwise(""), digits))
+    plain = lambda s: F.regexp_replace(F.concat(s["carry"].cast("string"), s["digits"]), "^0+(?=.)", "")
+    negated = F.concat(F.lit("-"), _once(_carried(F.transform(c, lambda x: -x)), plain))
+    return F.when(F.get(c, F.lit(0)).isNotNull(), _once(_carried(c), lambda s: F.when(s["carry"] < 0, negated).otherwise(plain(s))))
 
 
 def wide_scaled(text: str | Column, decimals: str | Column | int) -> Column:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.wide import LIMBS, wide, wide_sum, wide_text
+from ..functions.wide import LIMBS, wide_sign, wide_size, wide_sum, wide_text
 from ..session import written
 from .calendars import densify
 from .joins import null_safe_join
@@ -23,9 +23,9 @@ def balances(transfers: DataFrame, sender: str, receiver: str, value: str, by: l
 
 def big_balances(transfers: DataFrame, sender: str, receiver: str, value: str, by: list[str] = (), limbs: int = LIMBS) -> DataFrame:
     """Net holding per party (and token) of whole amounts of any length, given and returned as text; amounts that are no number count as none."""
-    v = wide(value, limbs)
-    legs = F.array(F.struct(F.col(sender).alias("party"), F.transform(v, lambda x: -x).alias("amount")), F.struct(F.col(receiver).alias("party"), v.alias("amount")))
-    sums = transfers.select(*by, F.inline(legs)).groupBy("party", *by).agg(wide_sum("amount", limbs).alias("balance"))
+    read = transfers.select(*by, sender, receiver, wide_size(value, limbs).alias("__limbs"), wide_sign(value).alias("__sign"))
+    legs = F.array(F.struct(F.col(sender).alias("party"), (-F.col("__sign")).alias("__way")), F.struct(F.col(receiver).alias("party"), F.col("__sign").alias("__way")))
+    sums = read.select(*by, "__limbs", F.inline(legs)).groupBy("party", *by).agg(wide_sum("__limbs", limbs, F.col("__way")).alias("balance"))
     return sums.withColumn("balance", wide_text("balance"))
 
 
