@@ -275,3 +275,21 @@ def test_large_revenues(frame):
     assert [tuple(r) for r in out.select("rev_x", "rev_y", "cost", "roas").collect()] == [(3e17, 1e17, 2e17, 2.0)]
     facts = N.conform_facts({"f": frame([("k", 9e18)], "dim string, v double")}, ["dim"], ["v"])
     assert float(facts.first()["v"]) == 9e18
+
+
+def test_classified_transfers_search_for_hot_transactions_only_if_there_can_be_one(frame, monkeypatch):
+    from tidemark.operators import ledgers as L
+    from tidemark.operators import windows as W
+
+    r = random.Random(8)
+    moves = [(r.choice([1, 1, 1, 2, 3, None]), i % 30, f"a{r.randint(0, 5)}", f"b{r.randint(0, 5)}") for i in range(60)]
+    table = [("from", "a1", "x"), ("from", "a1", "y"), ("from", "a2", "x"), ("to", "b1", "z"), ("to", "b1", "z"), ("from", "b2", "no")]
+    tr, rules = frame(moves, "tx int, at int, a string, b string"), frame(table, "side string, address string, tag string")
+    tagged = [(*m, tag) for m in moves for side, address, tag in table if address == m[2 if side == "from" else 3]]
+    want = sorted(((*t, 1 + sum(u[0] == t[0] and u[1] < t[1] for u in tagged)) for t in tagged), key=repr)
+    for hot, searched in ((2_000_000, False), (3, True)):
+        monkeypatch.setattr(W, "HOT_ROWS", hot)
+        out = L.classify_transfers(tr, "a", "b", rules, ["tx"], "at", F.floor(F.col("at") / 10))
+        assert ("__hot" in out._jdf.queryExecution().executedPlan().toString()) == searched
+        assert rows(out.select("tx", "at", "a", "b", "tag", "rank_in_tx")) == want
+    assert L.classify_transfers(tr, "a", "b", rules.limit(0), ["tx"], "at", F.floor(F.col("at") / 10)).count() == 0

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.wide import LIMBS, wide_sign, wide_size, wide_sum, wide_text
 from ..session import written
+from . import windows
 from .calendars import densify
 from .joins import null_safe_join
 from .sets import ledger
@@ -120,12 +121,17 @@ def classify_transfers(transfers: DataFrame, sender: str, receiver: str, rules:
     """Tag each transfer by a rule table (side, address, tag) and rank it within its transaction.
 
     A transfer that satisfies several rules gives one row per tag. Rules are joined on the address of either
-    side.
+    side. Transactions are first counted by their key alone: if none can have more rows than one task may sort, the
+    ranks need no search for hot transactions among the tagged rows, which would tag all of them two more times.
     """
+    at_once = rules.groupBy("side", "address").agg(F.count("*").alias("n")).groupBy("side").agg(F.max("n").alias("n"))
+    tags = at_once.agg(F.sum("n")).first()[0] or 0  # of one transfer, at most
+    most = transfers.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    small = tags * most <= windows.HOT_ROWS
     sides = F.array(F.struct(F.lit("from").alias("side"), F.col(sender).alias("address")), F.struct(F.lit("to").alias("side"), F.col(receiver).alias("address")))
     ends = transfers.withColumn("__e", F.explode(sides)).select(*transfers.columns, "__e.side", "__e.address")
     tagged = ends.join(rules, ["side", "address"]).drop("side", "address")
-    return rank_in_group(tagged, keys, order, "rank_in_tx", bucket)
+    return rank_in_group(tagged, keys, order, "rank_in_tx", None if small else bucket)
 
 
 def transactions_touching(df: DataFrame, ends: list[str], address: Column | list, tx: str) -> DataFrame:
