@@ -11,6 +11,7 @@ from tidemark.operators.engagement import sessionize
 from tidemark.session import shared_dir
 from tidemark.sources.sinks import VersionedTable
 from tidemark.streaming import jobs as J
+from tidemark.streaming import sessions as SE
 from tidemark.streaming.sessions import keyed_state, stream_start_sessions
 
 
@@ -101,6 +102,19 @@ def test_start_sessions_end_when_idle(spark, frame, land):
     assert rows(got.select("u", "session_no", "session_end", "events")) == [("a", 1, at(5), 2), ("a", 2, at(210), 1), ("b", 1, at(190), 1)]
 
 
+def test_start_sessions_keep_large_and_missing_users_apart_in_one_state(spark, frame, land, monkeypatch):
+    monkeypatch.setattr(SE, "BUCKETS", 1)  # one call per batch for all users
+    ddl = "u bigint, id bigint, kind string, ts timestamp"
+    users = [None, 2**62, 2**62 + 1, -7, 0]
+    one = frame([(u, i, "start", at(i)) for i, u in enumerate(users)] + [(2**62, 50, "play", at(30))], ddl)
+    two = frame([(u, 100 + i, "start", at(100 + i)) for i, u in enumerate(users)], ddl)
+    three = frame([(0, 999, "play", at(900))], ddl)
+    got = start_sessions(land, [one, two, three])
+    assert got.schema["u"].dataType.simpleString() == "bigint"
+    want = [(u, 1, at(i), at(30) if u == 2**62 else at(i), 2 if u == 2**62 else 1) for i, u in enumerate(users)]
+    assert rows(got) == sorted(want, key=repr)
+
+
 def test_history_by_day_stays_small(spark, frame, land):
     root = shared_dir(spark, "late")
     ddl = "day date, v int"
