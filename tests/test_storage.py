@@ -108,6 +108,15 @@ def test_buckets_keep_their_size_as_the_table_grows(spark, frame):
     assert rows(table.read(middle)) == sorted(then.items(), key=repr)
 
 
+def test_small_buckets_stay_few(spark):
+    table = W.VersionedTable(spark, shared_dir(spark, "few"), ["id"], bucket_rows=10)
+    for end in (500, 5000):
+        W.merge_upsert(table, spark.range(end).select("id", F.lit(end).alias("v")), ["id"])
+        assert table.current().buckets == min(end // 10, 64) and table.read().count() == end
+    assert [table.buckets_for(n) for n in (30, 64 * 2_000_000, 200_000_000)] == [3, 64, 100]
+    assert W.VersionedTable(spark, table.root, ["id"], buckets=300).buckets_for(5) == 300
+
+
 def test_a_split_moves_the_rows_of_one_bucket(spark):
     ids = spark.range(3000)
     for n in (1, 2, 3, 5, 8, 13):

@@ -177,22 +177,28 @@ def split_from(bucket: int, buckets: int) -> int:
     return bucket
 
 
+BUCKET_ROWS = 2_000_000
+FINE_BUCKETS = 64  # buckets that a table may have before they are full
+
+
 class VersionedTable(VersionLog):
     """A table as immutable Parquet folders and one marker file per published version.
 
     With ``keys`` the rows lie in buckets by a hash of the keys, and a version lists the folder of every bucket, so a
     merge reads and rewrites only the buckets that its source touches. Buckets keep their size: when the rows outgrow
     ``bucket_rows`` per bucket, buckets are split one by one, in the merge that brings the rows (linear hashing), from
-    ``buckets`` on. The last ``keep`` versions stay readable; older markers, and folders that only they use, are
+    ``buckets`` on. Buckets of fewer than ``BUCKET_ROWS`` rows are made only up to ``FINE_BUCKETS`` of them: a merge that
+    touches all buckets pays for each one's file, so the number of files must follow the size of the table. The last ``keep`` versions stay readable; older markers, and folders that only they use, are
     removed after a new version is out.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: list[str] | None = None, buckets: int = 1, keep: int = 3, bucket_rows: int = 2_000_000):
+    def __init__(self, spark: SparkSession, root: str, keys: list[str] | None = None, buckets: int = 1, keep: int = 3, bucket_rows: int = BUCKET_ROWS):
         super().__init__(spark, root, keep)
         self.keys, self.least, self.bucket_rows = keys, buckets, bucket_rows
 
     def buckets_for(self, rows: int, at_least: int = 0) -> int:
-        return max(self.least, at_least, -(-rows // self.bucket_rows))
+        fine = min(-(-rows // self.bucket_rows), FINE_BUCKETS)
+        return max(self.least, at_least, fine, -(-rows // max(self.bucket_rows, BUCKET_ROWS)))
 
     def read(self, version: Version | None = None, touched: set[int] | None = None) -> DataFrame:
         """The newest version, or the one that ``current`` returned; with ``touched`` only those buckets."""
