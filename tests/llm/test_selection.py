@@ -1,6 +1,7 @@
 """Quality rules, mixing, sharding, toxicity, language model, URL filters and the pipeline."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -323,6 +324,72 @@ def test_probabilities_sum_to_one():
         assert (10 ** b.score(keys)[1]).sum() == pytest.approx(1.0)
 
 
+def test_contexts_are_words(spark, tmp_path):
+    """Of two words with one ending each is followed by words of its own; a class of endings cannot tell them apart."""
+    r = random.Random(3)
+    after = {"stating": "alpha beta gamma delta".split(), "floating": "one two three four".split(), "grating": "red green blue grey".split()}
+    text = lambda n: " ".join(f"{w} {r.choice(after[w])}" for w in r.choices(list(after), k=n))
+    docs = [(i, text(200), "en") for i in range(40)] + [(None, None, "en"), (None, "", "de"), (7, "zzz stating alpha qqq", "en")]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string").write.parquet(str(tmp_path / "docs"))
+    got = check_language_model(spark.read.parquet(str(tmp_path / "docs")))
+    held = [x for x in got if x.held_out and x.n_tokens > 100]
+    bits = -sum(x.score for x in held) / sum(x.n_tokens for x in held) / math.log10(2)
+    # 1.79 bits are the entropy: log2(3) and log2(4) in turn. One restaurant for the three words has 2.58 at best.
+    assert held and bits < 1.9
+
+
+def test_words_are_told_apart(monkeypatch):
+    """Texts in blocks, a long one in parts, and one by one: the same codes; equal for equal words in lower case only."""
+    r = random.Random(4)
+    word = lambda: bytes(r.choice(b"abAB\xc3\xa9\xff\x00\x1c0") for _ in range(r.randint(1, 4)))
+    some = [b"".join(word() + r.choice([b" ", b"\t", b"\n\n", b"\r", b"\x0b\x0c"]) for _ in range(r.choice([0, 1, 30, 400]))) for _ in range(60)]
+    some += [b"", b"  ", b"x" * 5000, b" y" * 3000 + b"z"]
+    want = [t.lower().split() for t in some]
+    whole = list(pitman_yor._coded(some))
+    monkeypatch.setattr(pitman_yor, "BLOCK", 300)
+    for got in (whole, list(pitman_yor._coded(some)), [x for t in some for x in pitman_yor._coded([t])]):
+        assert [len(x) for x in got] == [len(w) + 1 for w in want] and all(x[-1] == pitman_yor.END for x in got)
+        code = {}
+        for x, w in zip(got, want):
+            assert all(code.setdefault(a, int(b)) == int(b) for a, b in zip(w, x))
+        assert len(set(code.values()) | {int(pitman_yor.END)}) == len(code) + 1 and len(code) > 1500
+        assert all(c & 127 == 1 + xxhash.xxh32_intdigest(w[-2:]) % (pitman_yor.CONTEXTS - 1) for w, c in code.items())
+
+
+def test_word_restaurants_sum_to_one():
+    """Over all known words and one unknown, after contexts with many customers, with one and with none."""
+    rng = np.random.default_rng(8)
+    words = np.unique(rng.integers(1, 2**50, 120).astype(np.uint64)) << np.uint64(7)
+    contexts = np.unique(rng.integers(1, 2**33, 60).astype(np.uint64) << np.uint64(7) | rng.integers(1, pitman_yor.CONTEXTS, 60).astype(np.uint64))
+    of = np.minimum(rng.geometric(0.15, 1500) - 1, 57).astype(np.uint64)  # the last two contexts are never seen
+    pair, n = np.unique(np.append(np.arange(120), rng.integers(0, 120, 1380)).astype(np.uint64) << np.uint64(32) | of, return_counts=True)
+    n = n.astype(np.uint64) * rng.integers(1, 4, len(n)).astype(np.uint64)
+    n[0] = 5_000_000_000  # more than 32 bits
+    row = {"bucket": 0} | pitman_yor._counts_row(words, contexts, pair, n)
+    for a, b in zip(pitman_yor._read_counts(row), (words, contexts, pair, n)):
+        assert (a == b).all()
+    start = pitman_yor.Words(row, pitman_yor.Model(0, 0, np.zeros(pitman_yor.CONTEXTS), 0.6, 0.4, []))
+    totals = lambda b: pitman_yor.Totals(np.bincount(b.ends.context, b.ends.tables, pitman_yor.CONTEXTS), float(b.ends.tables.sum()), float(b.ends.parent_tables.sum()),
+                                         np.bincount(b.ends.context, b.ends.counts, pitman_yor.CONTEXTS))
+    model = pitman_yor.Model(int(n.sum()), 120, np.zeros(pitman_yor.CONTEXTS), 0.6, 0.4, [totals(start)], word_discount=0.7)
+    tables = [np.bincount(start.context, minlength=60).astype(float)]
+    for sweep in range(1, pitman_yor.SWEEPS + 1):
+        b = pitman_yor.Words(row, model)
+        b.totals = {pitman_yor.ONES: np.zeros(len(b.asked))} | {i: t[b.asked] for i, t in enumerate(tables)}
+        for number in range(1, sweep + 1):
+            b.sweep(number)
+        assert (b.tables >= 1).all() and (b.tables <= b.n).all() and (b.ends.tables <= b.ends.counts).all()
+        model.totals.append(totals(b))
+        tables.append(np.bincount(b.context, b.tables, 60))
+    b = pitman_yor.Words(row, model)
+    b.totals = {pitman_yor.ONES: np.zeros(len(b.asked))} | {i: t[b.asked] for i, t in enumerate(tables)}
+    b.sample().prepared(np.bincount(b.context, b.n, 60), tables[pitman_yor.BURN_IN + 1 :])
+    every = np.append(words, np.uint64(1 << 60))
+    for k in (0, 1, 30, 57, 58, 59):
+        _, logp = b.score(every, contexts[k : k + 1], np.arange(len(every)), np.zeros(len(every), int))
+        assert (10**logp).sum() == pytest.approx(1.0), k
+
+
 def test_seating_follows_the_restaurant():
     """Mean tables of one dish against the exact expectation of the sequential process."""
     rng, n, w, d = np.random.default_rng(7), 20, 0.7, 0.5
