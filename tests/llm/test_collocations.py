@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 from collections import Counter
 from fractions import Fraction
 
@@ -149,3 +150,19 @@ def test_words_that_share_a_code_are_counted_apart(spark):
     docs = spark.createDataFrame([(1, "en", text)], "doc_id bigint, lang string, text string")
     phrases, _ = C.frequent_phrases(docs, least=10)
     assert dict((r["phrase"], r["n"]) for r in phrases.collect()) == {a: 20, b: 24, "x": 35, f"{a} x": 20, f"{b} x": 15}
+
+
+def test_counts_are_sent_packed(spark, tmp_path, monkeypatch):
+    """Keys cross the shuffle in a few bytes each, in ranges whose number follows the corpus; counts stay exact."""
+    monkeypatch.setattr(C, "KEYS", 3000)
+    r = np.random.default_rng(2)
+    codes = [np.append(r.zipf(1.3, 4000).clip(max=2**31).astype(np.uint32), np.uint32(0)) for _ in range(5)]
+    path = str(tmp_path / "codes")
+    spark.createDataFrame([("en", 0, c.tobytes()) for c in codes], "lang string, old int, codes binary").write.parquet(path)
+    want = Counter(x for c in codes for x in next(C.Phrases(c, C._seed("en"), np.ones(len(c), bool), 40).levels(1))[1][c > 0].view(np.int64).tolist())
+    for least, buckets in ((1, 1), (3, 7), (50, 1000)):
+        got = {x.key: x.n for x in C.word_counts(spark.read.parquet(path), 40, least, buckets).collect()}
+        assert got == {k: n for k, n in want.items() if n >= least}
+    keys = r.integers(0, 2**40, 200_000).astype(np.uint64) << np.uint64(24) | np.uint64(2)
+    assert C._ranges([keys], 40, 32).num_rows == 32
+    assert sum(len(zlib.compress(x.as_py())) for c in ("keys", "n") for x in C._ranges([keys], 40, 32).column(c)) < 5 * len(keys)

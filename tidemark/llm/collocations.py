@@ -20,13 +20,14 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .shared import table, texts
+from .shared import buckets_for, pack_numbers, table, texts, unpack_numbers
 
 # Lower-cases A-Z, ends a piece at punctuation and line ends, and makes a tab a space.
 CLEAN = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c for c in range(256))
@@ -42,6 +43,8 @@ ROW = 100_000  # codes in a row of the table of codes
 TOKENS = 250_000  # tokens of text that a task holds at a time
 PART = 1_000_000  # bytes of a text that are split at a time
 KNOWN = 150_000  # words whose hashes a task remembers
+KEYS = 2_000_000  # keys that a task holds before they are counted and sent
+BUCKET_WORDS = 2_000_000  # words of the corpus per range of keys
 BITS = 27  # the bitmap has 2^27 bits: 16 MB, whatever the size of the corpus
 SAMPLE = 8  # one document in so many proposes phrases
 
@@ -198,11 +201,6 @@ def _stretches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[Phrase
         yield stretch(lang)
 
 
-def _tally(keys: np.ndarray) -> pa.RecordBatch:
-    u, n = np.unique(keys, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
-
-
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -217,22 +215,58 @@ def small_batches(spark: SparkSession, size: str = "8m"):
         spark.conf.set(BATCH_BYTES, before)
 
 
-def _counted(codes: DataFrame, run) -> DataFrame:
-    return codes.select("lang", "old", "codes").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+PACKED = "bucket int, keys binary, n binary"
+
+
+def _ranges(keys: list[np.ndarray], width: int, buckets: int) -> pa.RecordBatch:
+    """Keys with their counts, by range of keys: sorted, as their gaps, so that a key takes about three bytes."""
+    u, n = np.unique(np.concatenate(keys), return_counts=True)
+    short = u >> np.uint64(64 - width) << np.uint64(3) | u & np.uint64(7)
+    bucket = (u >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)
+    cuts = np.concatenate([[0], np.nonzero(np.diff(bucket))[0] + 1, [len(u)]])
+    rows = [(int(bucket[a]), pack_numbers(np.diff(short[a:b], prepend=np.uint64(0))), pack_numbers(n[a:b])) for a, b in zip(cuts[:-1], cuts[1:])]
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], ["bucket", "keys", "n"])
+
+
+def _counted(codes: DataFrame, found, width: int, least: int, buckets: int) -> DataFrame:
+    """``(key, n)`` of the keys that ``found`` gives ``least`` times or more."""
+    def run(batches):
+        held, size = [], 0
+        for keys in found(batches):
+            held.append(keys)
+            size += len(keys)
+            if size >= KEYS:
+                yield _ranges(held, width, buckets)
+                held, size = [], 0
+        if size:
+            yield _ranges(held, width, buckets)
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        short = np.concatenate([np.cumsum(unpack_numbers(x), dtype=np.uint64) for x in pdf["keys"]])
+        order = np.argsort(short)
+        short, n = short[order], np.concatenate([unpack_numbers(x) for x in pdf["n"]])[order]
+        starts = np.nonzero(np.diff(short, prepend=~short[:1]))[0]
+        total = np.add.reduceat(n, starts)
+        short, total = short[starts][total >= least], total[total >= least]
+        keys = short >> np.uint64(3) << np.uint64(64 - width) | short & np.uint64(7)
+        return pd.DataFrame({"key": keys.view(np.int64), "n": total.astype(np.int64)})
+
+    return codes.select("lang", "old", "codes").mapInArrow(run, PACKED).groupBy("bucket").applyInPandas(add, "key bigint, n bigint")
 
 
-def word_counts(codes: DataFrame, width: int) -> DataFrame:
-    """``(key, n)`` of every word of every language."""
+def word_counts(codes: DataFrame, width: int, least: int = 1, buckets: int = 32) -> DataFrame:
+    """``(key, n)`` of the words of every language that occur ``least`` times."""
     def run(batches):
         for p in _stretches(batches, width):
             _, keys, new = next(p.levels(1))
-            yield _tally(keys[p.words & new])
+            yield keys[p.words & new]
 
-    return _counted(codes, run)
+    return _counted(codes, run, width, least, buckets)
 
 
-def phrase_counts(codes: DataFrame, width: int, members: Bitmap, first: int, last: int, assume: int = 99, before: Bitmap | None = None) -> DataFrame:
-    """``(key, n)`` of the phrases of ``first`` to ``last`` words whose two shorter parts are members.
+def phrase_counts(codes: DataFrame, width: int, members: Bitmap, first: int, last: int, assume: int = 99, before: Bitmap | None = None,
+                  least: int = 1, buckets: int = 32) -> DataFrame:
+    """``(key, n)`` of the phrases of ``first`` to ``last`` words that occur ``least`` times and whose two shorter parts are members.
 
     With ``before``, only phrases that were not counted under that earlier set. From ``assume`` words on, a phrase
     that is counted here is a member for the longer ones around it.
@@ -251,11 +285,11 @@ def phrase_counts(codes: DataFrame, width: int, members: Bitmap, first: int, las
                 old = known[:-1] & known[1:] if then else np.zeros_like(reach)
                 added = reach & ~old
                 if k >= first and (counted := added & new).any():
-                    yield _tally(keys[counted])
+                    yield keys[counted]
                 inside = now.among(reach, keys) | (added if k >= assume else False)
                 known = then.among(old, keys) if then else None
 
-    return _counted(codes, run)
+    return _counted(codes, run, width, least, buckets)
 
 
 def phrase_texts(docs: DataFrame, members: Bitmap, longest: int) -> DataFrame:
@@ -329,26 +363,26 @@ def _mined(narrow: DataFrame, least: int, longest: int, enough: int, bits: int)
     encoded(narrow, longest).write.option("compression", "zstd").parquet(path)
     codes = spark.read.parquet(path)
     totals = codes.groupBy("lang").agg(F.sum("words").alias("words"))
-    width = min(WHOLE, max(bits, (codes.agg(F.sum("words").alias("n")).first()["n"] or 0).bit_length() + SPARE))
-    counts = lambda rows, *how, **more: phrase_counts(rows, width, *how, **more)
-    often = F.col("n") >= least
-    singles = table(word_counts(codes, width).filter(often).select("key"), "words")
+    n = codes.agg(F.sum("words").alias("n")).first()["n"] or 0
+    width, buckets = min(WHOLE, max(bits, n.bit_length() + SPARE)), buckets_for(n, BUCKET_WORDS)
+    counts = lambda rows, most, *how, **more: phrase_counts(rows, width, *how, least=most, buckets=buckets, **more).select("key")
+    singles = table(word_counts(codes, width, least, buckets).select("key"), "words")
 
     # The sample: pairs of frequent words, then longer phrases of frequent pairs.
-    some, likely = codes.filter("sample"), F.col("n") >= enough
-    proposed = singles.union(table(counts(some, bitmap(singles, bits), 2, 2).filter(likely).select("key"), "proposed"))
+    some = codes.filter("sample")
+    proposed = singles.union(table(counts(some, enough, bitmap(singles, bits), 2, 2), "proposed"))
     if longest > 2:
-        proposed = proposed.union(table(counts(some, bitmap(proposed, bits), 3, longest, assume=3).filter(likely).select("key"), "proposed"))
+        proposed = proposed.union(table(counts(some, enough, bitmap(proposed, bits), 3, longest, assume=3), "proposed"))
 
     # The proposed phrases and their border, then all that the missed ones add to the border.
     members = bitmap(proposed, bits)
-    counted = table(counts(codes, members, 2, longest).filter(often).select("key"), "counted")
+    counted = table(counts(codes, least, members, 2, longest), "counted")
     missed = table(counted.filter(f"key & {LENGTH_BITS} < {longest}").join(proposed, "key", "left_anti"), "missed")
     found = singles.union(counted)
     if missed.take(1):
         grown = bitmap(proposed.union(missed), bits)
-        found = found.union(table(counts(codes, grown, 2, longest, assume=2, before=members).filter(often).select("key"), "counted"))
-    exact = phrase_texts(narrow, bitmap(found, bits), longest).filter(often)
+        found = found.union(table(counts(codes, least, grown, 2, longest, assume=2, before=members), "counted"))
+    exact = phrase_texts(narrow, bitmap(found, bits), longest).filter(F.col("n") >= least)
     return table(exact, "phrases"), totals
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure, shared_dir
 from .parcels import batch_name
-from .shared import buckets_for, pack_gaps, row_key, table, texts, unpack_gaps, word_total
+from .shared import buckets_for, pack_gaps, pack_numbers, row_key, table, texts, unpack_gaps, unpack_numbers, word_total
 
 CONTEXTS = 96  # parents of the words' restaurants: the start of a text, and 95 classes of word endings
 CONTEXT_BITS = 40  # a word as a context: 33 bits of its hash above its ending's class
@@ -361,7 +361,7 @@ class Words:
         """Take in the totals of the contexts asked about: after which sweep, and in ranges of contexts."""
         rows = rows[rows["kind"] <= len(self.model.totals)].sort_values(["kind", "shard"])
         for kind, of in rows.groupby("kind"):
-            self.totals[int(kind)] = np.concatenate([_unpack(x) for x in of["flags"]]).astype(np.float64)
+            self.totals[int(kind)] = np.concatenate([unpack_numbers(x) for x in of["flags"]]).astype(np.float64)
         return self
 
     def total(self, number: int) -> np.ndarray:
@@ -433,39 +433,25 @@ SEEN, ONES, ALL = -2, -1, 1000  # kinds of totals; 0 and above are those after a
 ASKED = 2000
 
 
-def _pack(values: np.ndarray) -> bytes:
-    """Whole numbers, byte by byte: all lowest bytes first, so that the high ones compress to nothing."""
-    v = np.ascontiguousarray(values.astype("<u8"))
-    width = max(1, (int(v.max()).bit_length() + 7) // 8) if len(v) else 1
-    return bytes([width]) + v.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
-    out = np.zeros((raw.shape[1], 8), np.uint8)
-    out[:, : data[0]] = raw.T
-    return out.view("<u8").ravel()
-
-
 def _pack_sorted(values: np.ndarray) -> bytes:
-    return _pack(np.diff(values, prepend=np.uint64(0)))
+    return pack_numbers(np.diff(values, prepend=np.uint64(0)))
 
 
 def _unpack_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(_unpack(data), dtype=np.uint64)
+    return np.cumsum(unpack_numbers(data), dtype=np.uint64)
 
 
 def _counts_row(words: np.ndarray, contexts: np.ndarray, pair: np.ndarray, n: np.ndarray) -> dict:
     """Sorted words and contexts, and the sorted pairs of their places (32 bits each) with their counts; every word has a pair."""
     steps = np.diff(pair >> np.uint64(32), prepend=np.uint64(0)).astype(bool)
     return {"words": _pack_sorted(words >> np.uint64(7)), "contexts": _pack_sorted(contexts), "pairs": np.packbits(steps).tobytes(),
-            "places": _pack(pair & np.uint64(2**32 - 1)), "flags": _pack(n)}
+            "places": pack_numbers(pair & np.uint64(2**32 - 1)), "flags": pack_numbers(n)}
 
 
 def _read_counts(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    of = _unpack(row["places"])
+    of = unpack_numbers(row["places"])
     at = np.cumsum(np.unpackbits(np.frombuffer(row["pairs"], np.uint8))[: len(of)], dtype=np.uint64)
-    return _unpack_sorted(row["words"]) << np.uint64(7), _unpack_sorted(row["contexts"]), at << np.uint64(32) | of, _unpack(row["flags"]).astype(np.int64)
+    return _unpack_sorted(row["words"]) << np.uint64(7), _unpack_sorted(row["contexts"]), at << np.uint64(32) | of, unpack_numbers(row["flags"]).astype(np.int64)
 
 
 def _wire(rows: list[dict], ddl: str = WIRE) -> pa.RecordBatch:
@@ -591,7 +577,7 @@ def _to_shards(number: int, sweep: int, shards: int, contexts: np.ndarray, **col
     """Rows for the ranges of contexts: sorted contexts with numbers of each."""
     shard = contexts * np.uint64(shards) >> np.uint64(CONTEXT_BITS)
     cuts = np.concatenate([[0], np.nonzero(np.diff(shard))[0] + 1, [len(shard)]])
-    return [{"shard": int(shard[a]), "bucket": number, "sweep": sweep, "contexts": _pack_sorted(contexts[a:b])} | {k: _pack(v[a:b]) for k, v in columns.items()}
+    return [{"shard": int(shard[a]), "bucket": number, "sweep": sweep, "contexts": _pack_sorted(contexts[a:b])} | {k: pack_numbers(v[a:b]) for k, v in columns.items()}
             for a, b in zip(cuts[:-1], cuts[1:]) if a < b]
 
 
@@ -615,13 +601,13 @@ def _add_up(rows: DataFrame) -> DataFrame:
         every, at = np.unique(np.concatenate(contexts), return_inverse=True)
         parts = np.split(at, np.cumsum([len(x) for x in contexts])[:-1])
         first = pdf["sweep"].iloc[0] == 0
-        total = {k: np.bincount(at, np.concatenate([_unpack(x) for x in pdf[c]]), len(every))
+        total = {k: np.bincount(at, np.concatenate([unpack_numbers(x) for x in pdf[c]]), len(every))
                  for k, c in ([(SEEN, "seen"), (ONES, "ones"), (0, "tables")] if first else [(int(pdf["sweep"].iloc[0]), "tables")])}
         out = []
         for bucket, tables, mine in zip(pdf["bucket"], pdf["tables"], parts):
-            mine = mine[_unpack(tables) > 0]
+            mine = mine[unpack_numbers(tables) > 0]
             if len(mine):
-                out += [{"bucket": bucket, "batch": 0, "kind": k, "shard": pdf["shard"].iloc[0], "flags": _pack(t[mine])} for k, t in total.items()]
+                out += [{"bucket": bucket, "batch": 0, "kind": k, "shard": pdf["shard"].iloc[0], "flags": pack_numbers(t[mine])} for k, t in total.items()]
         return _frame(out, WIRE)
 
     return rows.groupBy("shard").applyInPandas(run, WIRE)
@@ -635,13 +621,13 @@ def _all_totals(rows: DataFrame) -> DataFrame:
         first = pdf[pdf["sweep"] == 0]
         contexts = [_unpack_sorted(x) for x in first["contexts"]]
         every, at = np.unique(np.concatenate(contexts), return_inverse=True)
-        seen, ones = (np.bincount(at, np.concatenate([_unpack(x) for x in first[c]]), len(every)) for c in ("seen", "ones"))
+        seen, ones = (np.bincount(at, np.concatenate([unpack_numbers(x) for x in first[c]]), len(every)) for c in ("seen", "ones"))
         total = np.stack([seen, *[ones] * len(kept)])
         for sweep, c, tables in zip(pdf["sweep"], pdf["contexts"], pdf["tables"]):
             if sweep:
-                total[sweep - BURN_IN, np.searchsorted(every, _unpack_sorted(c))] += _unpack(tables)
+                total[sweep - BURN_IN, np.searchsorted(every, _unpack_sorted(c))] += unpack_numbers(tables)
         parts = np.split(at, np.cumsum([len(x) for x in contexts])[:-1])
-        return _frame([{"bucket": b, "batch": 0, "kind": ALL, "shard": pdf["shard"].iloc[0], "flags": _pack(total[:, mine].ravel())} for b, mine in zip(first["bucket"], parts)], WIRE)
+        return _frame([{"bucket": b, "batch": 0, "kind": ALL, "shard": pdf["shard"].iloc[0], "flags": pack_numbers(total[:, mine].ravel())} for b, mine in zip(first["bucket"], parts)], WIRE)
 
     return rows.groupBy("shard").applyInPandas(run, WIRE)
 
@@ -750,14 +736,14 @@ def score_documents(docs: DataFrame, buckets: int | None = None) -> DataFrame:
             for bucket, j in _dealt(word, buckets):
                 (w, which), (c, of) = np.unique(word[j], return_inverse=True), np.unique(context[j], return_inverse=True)
                 rows.append({"bucket": bucket, "batch": name, "kind": ASKED, "places": pack_gaps(doc[j]), "words": _pack_sorted(w >> np.uint64(7)),
-                             "contexts": _pack_sorted(c), "pairs": _pack(which), "flags": _pack(of)})
+                             "contexts": _pack_sorted(c), "pairs": pack_numbers(which), "flags": pack_numbers(of)})
             yield _wire(rows)
 
     def answer(mine: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         asked = rows[rows["kind"] == ASKED]
         if not len(mine):
             return asked[["batch", "docs", "places", "flags"]]
-        every = [_unpack(x) for x in rows[rows["kind"] == ALL].sort_values("shard")["flags"]]
+        every = [unpack_numbers(x) for x in rows[rows["kind"] == ALL].sort_values("shard")["flags"]]
         seen, *tables = np.concatenate([x.reshape(1 + SWEEPS - BURN_IN, -1) for x in every], axis=1).astype(np.float64)
         b = Words(mine.iloc[0], shared.value[0]).told(rows).sample().prepared(seen, tables)
         out = []
@@ -765,7 +751,7 @@ def score_documents(docs: DataFrame, buckets: int | None = None) -> DataFrame:
             doc = unpack_gaps(places)  # rising
             new = np.diff(doc, prepend=-1) > 0
             docs_, doc = doc[new], np.cumsum(new) - 1
-            which, of = _unpack(which).astype(np.int64), _unpack(of).astype(np.int64)
+            which, of = unpack_numbers(which).astype(np.int64), unpack_numbers(of).astype(np.int64)
             times, logp = b.score(_unpack_sorted(w) << np.uint64(7), _unpack_sorted(c), which, of)
             out.append((int(name), None, pack_gaps(docs_), sums(doc, len(docs_), (times > 0)[which], base(times)[which], logp).tobytes()))
         return pd.DataFrame(out, columns=["batch", "docs", "places", "flags"])

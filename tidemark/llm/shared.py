@@ -117,3 +117,17 @@ def unpack_low(data: bytes, width: int) -> np.ndarray:
     out = np.zeros((len(raw), 8), np.uint8)
     out[:, :width] = raw
     return out.view("<u8").ravel()
+
+
+def pack_numbers(values: np.ndarray) -> bytes:
+    """Whole numbers, byte by byte: all lowest bytes first, so that the high ones compress to nothing."""
+    v = np.ascontiguousarray(values.astype("<u8"))
+    width = max(1, (int(v.max()).bit_length() + 7) // 8) if len(v) else 1
+    return bytes([width]) + v.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    out = np.zeros((raw.shape[1], 8), np.uint8)
+    out[:, : data[0]] = raw.T
+    return out.view("<u8").ravel()
