@@ -43,7 +43,7 @@ ROW = 100_000  # codes in a row of the table of codes
 TOKENS = 250_000  # tokens of text that a task holds at a time
 PART = 1_000_000  # bytes of a text that are split at a time
 KNOWN = 150_000  # words whose hashes a task remembers
-KEYS = 2_000_000  # keys that a task holds before they are counted and sent
+KEYS = 5_000_000  # keys that a task holds before they are counted and sent
 BUCKET_WORDS = 2_000_000  # words of the corpus per range of keys
 BITS = 27  # the bitmap has 2^27 bits: 16 MB, whatever the size of the corpus
 SAMPLE = 8  # one document in so many proposes phrases
