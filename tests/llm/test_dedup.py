@@ -82,6 +82,15 @@ def test_simhash_large_cluster(spark):
         assert as_sets(mine) == as_sets({int(np.uint64(k).view(np.int64)): int(np.uint64(v).view(np.int64)) for k, v in want.items()})
 
 
+def test_signatures_are_not_broadcast(spark):
+    """The 64 signatures of each fingerprint are many more rows than the planner thinks, also where the table is small."""
+    found = simhash.near_edges(spark.range(500).select(F.xxhash64("id").alias("fp")))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert "REPARTITION_BY_NUM" in plan  # else one task may make all signatures
+
+
 def test_dense_groups_equal_direct():
     rng = np.random.default_rng(2)
     p = np.unique(rng.integers(0, 2**14, 900, dtype=np.uint64) << np.uint64(7) | np.uint64(5) << np.uint64(40))

@@ -122,13 +122,15 @@ def near_edges(prints: DataFrame, most: int = 3, direct: int = DIRECT) -> DataFr
     """
     assert most <= 3, "two halves find three differing bits at most"
     # A fixed number of partitions: each row becomes 64, so adaptive execution must not gather them into a few tasks.
+    # Dealt by another hash than that of the distinct rows, as Spark leaves out a shuffle that equals the one before it.
     tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fps = prints.select("fp").distinct().repartition(tasks, "fp")
+    fps = prints.select("fp").distinct().repartition(tasks, F.xxhash64("fp"))
     both = F.explode(F.sequence(F.lit(0), F.lit(2 * HALF - 1)))
     masked = F.expr(f"(CASE WHEN slot < {HALF} THEN shiftrightunsigned(fp, {HALF}) ELSE fp & {2**HALF - 1} END) & ~shiftleft(1L, slot % {HALF})")
     variants = fps.withColumn("slot", both).select("fp", "slot", (masked + F.col("slot").cast("bigint") * F.lit(2**HALF)).alias("sig"))
     shared = variants.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1")
-    matched = variants.join(shared, "sig")
+    # Never a broadcast: the planner sizes the variants by the fingerprints that they are made from, a 64th of their rows.
+    matched = variants.join(shared.hint("merge"), "sig")
     few = matched.filter(F.col("n") <= direct).groupBy("sig").agg(F.collect_list("fp").alias("fps"))
     quarter = F.expr("CASE WHEN slot < 32 THEN fp & 4294967295 ELSE shiftrightunsigned(fp, 32) END")
     cut = (
