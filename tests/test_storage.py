@@ -1,6 +1,8 @@
 import datetime as dt
 import gzip
+import itertools
 import random
+import re
 import zipfile
 
 import pytest
@@ -10,6 +12,7 @@ from tests.conftest import rows
 from tidemark.session import shared_dir
 from tidemark.sources import archives as A
 from tidemark.sources import ingest as I
+from tidemark.sources import keylog
 from tidemark.sources import scans as S
 from tidemark.sources import sinks as W
 from tidemark.sources.bitmaps import ActivityBitmaps
@@ -307,6 +310,35 @@ def test_keyed_log_never_broadcasts_its_keys(spark):
     assert rows(unseen) == [(k,) for k in range(5000, 5010)]
 
 
+@pytest.mark.parametrize("sent", [0, 3, 100])
+def test_keyed_log_never_broadcasts_keys_spread_over_folders(spark, monkeypatch, sent):
+    """A key is looked up in every folder's filter, which the planner does not count; filters up to a size may be sent."""
+    log = log_of(spark, folders=20, file_rows=2000)
+    for i, n in enumerate([10, 300, 6000, 5000, 10, 4000]):
+        log.insert(spark.range(10_000 * i, 10_000 * i + n).select(F.col("id").alias("k"), F.lit("v").alias("v")))
+    plans, kind = [], type(log.read())
+    collect = kind.collect
+
+    def spied(df):
+        out = collect(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+        return out
+
+    monkeypatch.setattr(keylog, "SENT_BLOCKS", sent, raising=False)
+    monkeypatch.setattr(kind, "collect", spied)
+    few = F.array(*[F.lit(k) for k in (5, 10_299, 25_999, 31_000, 10**9)])
+    files = log.files_for(spark.range(5).select(F.get(few, F.col("id").cast("int")).cast("bigint").alias("k")))  # looks smaller than the filters
+    monkeypatch.undo()
+    lines = plans[0].split("\n")
+    depth = [len(re.match(r"[\s:|*+-]*", line)[0]) for line in lines]
+    for i in (i for i, line in enumerate(lines) if "BroadcastExchange" in line):
+        below = itertools.takewhile(lambda k, i=i: depth[k] > depth[i], range(i + 1, len(lines)))
+        assert not any("Generate" in lines[k] for k in below)
+    assert ("BroadcastHashJoin" in plans[0]) == (sent > 0) and ("SortMergeJoin" in plans[0]) == (sent < 100)
+    holds = {r[0] for r in log.read().filter("k IN (5, 10299, 25999, 31000)").select(F.regexp_extract(F.input_file_name(), "(data-.*/__part=\\d+)", 1)).collect()}
+    assert len(holds) == 4 and holds <= {f.removeprefix(f"{log.root}/") for f in files} and len(files) <= 6
+
+
 def test_keyed_log_has_one_writer_at_a_time(spark, frame):
     one = log_of(spark)
     one.insert(frame([(1, "a")], "k bigint, v string"))

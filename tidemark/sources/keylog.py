@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from .sinks import Version, VersionLog
 BLOCK_BITS = 32768  # a block of a Bloom filter is one 4 KB bitmap
 BLOCK_KEYS = 2048  # 16 bits for a key, four of them set: one key in 400 passes by chance
 PROBES = 4
+SENT_BLOCKS = 2048  # blocks of filters that are sent to every task at most, 8 MB
 
 
 def _power(n: int) -> int:
@@ -56,14 +58,34 @@ class KeyedLog(VersionLog):
         version = version or self.current()
         if not version.folders:
             return []
-        folders = F.array(*[F.struct(F.lit(f).alias("folder"), F.lit(parts).alias("parts"), F.lit(blocks).alias("blocks")) for f, (parts, blocks, _) in version.folders.items()])
         asked = source.select(self._hash().alias("h"), F.array(*self._places()).alias("places")).distinct()
-        asked = asked.select("*", F.explode(folders).alias("f")).select("f.folder", F.col("h").bitwiseAND(F.col("f.parts") - 1).alias("part"), F.col("h").bitwiseAND(F.col("f.blocks") - 1).alias("block"), "places")
-        filters = self.spark.read.parquet(*[f"{self.root}/{f}/keys" for f in version.folders])
-        bit = F.expr("forall(places, p -> (cast(conv(hex(substring(bits, cast(p div 8 AS int) + 1, 1)), 16, 10) AS int) & shiftleft(1, cast(p % 8 AS int))) > 0)")
-        hits = asked.join(filters, ["folder", "block"]).filter(bit).select("folder", "part").distinct().collect()  # at most one row per file
+        hits = [self._hits(asked, folders, kind) for folders, kind in self._by_filter_size(version) if folders]
+        hits = reduce(DataFrame.unionAll, hits).distinct().collect()  # at most one row per file
         return sorted(f"{self.root}/{r['folder']}/rows/__part={r['part']}" for r in hits)
 
+    def _by_filter_size(self, version: Version) -> list[tuple[dict[str, list[int]], str]]:
+        """The folders, smallest first, whose filters make up ``SENT_BLOCKS`` at most, and the others, with a join hint for each."""
+        sent, rest, n = {}, {}, 0
+        for folder, (parts, blocks, rows) in sorted(version.folders.items(), key=lambda x: min(x[1][1:])):
+            n += min(blocks, rows)
+            (sent if n <= SENT_BLOCKS else rest)[folder] = [parts, blocks]
+        return [(sent, "broadcast"), (rest, "merge")]
+
+    def _hits(self, asked: DataFrame, folders: dict[str, list[int]], kind: str) -> DataFrame:
+        """``(folder, part)`` of the files of ``folders`` whose filters may hold one of the asked keys.
+
+        Folders with equally many blocks keep a key in the same block, so a key is asked once per number of blocks. The
+        planner does not count that as more rows, so the join is told what to do: small filters, whose few blocks would
+        gather all keys in few tasks, go to every task; otherwise both sides are shuffled. The keys are never broadcast.
+        """
+        shape = F.create_map(*[c for f, (parts, blocks) in folders.items() for c in (F.lit(f), F.struct(F.lit(parts).alias("parts"), F.lit(blocks).alias("blocks")))])
+        filters = self.spark.read.parquet(*[f"{self.root}/{f}/keys" for f in folders]).withColumn("shape", shape[F.col("folder")])
+        sizes = F.explode(F.array(*[F.lit(n) for n in sorted({blocks for _, blocks in folders.values()})]))
+        looked = asked.withColumn("blocks", sizes).withColumn("block", F.col("h").bitwiseAND(F.col("blocks") - 1))
+        bit = F.expr("forall(places, p -> (cast(conv(hex(substring(bits, cast(p div 8 AS int) + 1, 1)), 16, 10) AS int) & shiftleft(1, cast(p % 8 AS int))) > 0)")
+        found = looked.join(filters.select("folder", "block", "bits", "shape.parts", "shape.blocks").hint(kind), ["blocks", "block"]).filter(bit)
+        return found.select("folder", F.col("h").bitwiseAND(F.col("parts") - 1).alias("part"))
+
     def files(self, source: DataFrame) -> DataFrame:
         """The stored rows of the files that may hold a key of ``source``."""
         version = self.current()
