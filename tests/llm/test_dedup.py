@@ -8,6 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm import decontaminate, licenses, simhash, substrings
 from tidemark.llm.components import components
 from tidemark.llm.fm_index import FMIndex, suffix_array
@@ -91,6 +92,26 @@ def test_signatures_are_not_broadcast(spark):
     assert "REPARTITION_BY_NUM" in plan  # else one task may make all signatures
 
 
+def test_pipeline_broadcasts_no_rows_of_exploded_tables(spark, small, monkeypatch):
+    """Signatures in near-dedup, copies of documents in the mix: the planner sizes both as the rows that they are made from."""
+    plans, found = [], simhash.near_edges
+
+    def spied(*args):
+        edges = found(*args)
+        plans.append(edges._jdf.queryExecution().executedPlan().toString())
+        return edges
+
+    monkeypatch.setattr(simhash, "near_edges", spied)
+    docs = small("documents")
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    mixed = corpus_pipeline.source_mix(spark, docs, "")
+    plans += [df._jdf.queryExecution().executedPlan().toString() for df in (kept, mixed)]
+    assert all("SortMergeJoin" in p for p in plans)
+    assert not any("BroadcastHashJoin" in p for p in plans[:1]) and all(re.search(r"SortMergeJoin \[__did#\d+L, __row#\d+L\]", p) for p in plans[1:])
+    ids = {r.doc_id for r in docs.select("doc_id").collect()}
+    assert {r.doc_id for r in mixed.select("doc_id").collect()} <= ids and mixed.count() > len(ids)
+
+
 def test_dense_groups_equal_direct():
     rng = np.random.default_rng(2)
     p = np.unique(rng.integers(0, 2**14, 900, dtype=np.uint64) << np.uint64(7) | np.uint64(5) << np.uint64(40))

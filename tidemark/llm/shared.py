@@ -50,10 +50,12 @@ def whole_row(docs: DataFrame) -> list[Column]:
 def attach(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """One output row per row of ``decided`` (keyed by ``__did, __row``): the document with that key and the other columns.
 
-    Equal rows of ``docs`` count once, so ``decided`` says how often such a row appears.
+    Equal rows of ``docs`` count once, so ``decided`` says how often such a row appears. It has as many rows as there
+    are documents, or more, which the planner does not see after an explode; it is never broadcast. The documents lie
+    by key already.
     """
     once = docs.select(*whole_row(docs), "*").dropDuplicates(["__did", "__row"])
-    return once.join(decided, ["__did", "__row"]).drop("__did", "__row")
+    return once.join(decided.hint("merge"), ["__did", "__row"]).drop("__did", "__row")
 
 
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
